@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from skillweave.llm import line_frequency
+from skillweave.llm import chat_format, line_frequency
 
-_MODULES = (line_frequency,)
+_MODULES = (line_frequency, chat_format)
 
 
 def queries() -> dict:
