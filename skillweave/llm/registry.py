@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from skillweave.llm import chat_format, line_frequency
+from skillweave.llm import chat_format, line_frequency, token_rollups
 
-_MODULES = (line_frequency, chat_format)
+_MODULES = (line_frequency, token_rollups, chat_format)
 
 
 def queries() -> dict:
