@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from skillweave.llm import chat_format, line_frequency, token_rollups
+from skillweave.llm import chat_format, line_frequency, pii_feistel, token_rollups
 
-_MODULES = (line_frequency, token_rollups, chat_format)
+_MODULES = (line_frequency, token_rollups, chat_format, pii_feistel)
 
 
 def queries() -> dict:
