@@ -41,8 +41,9 @@ def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumns({"_id": F.col(f"`{id_col}`"), "_th": F.xxhash64(F.col(f"`{text_col}`"))})
 
 
-def same_key(left: DataFrame, right: DataFrame) -> Column:
-    return left["_id"].eqNullSafe(right["_id"]) & (left["_th"] == right["_th"])
+def key_matches(docs: DataFrame, id_col: str, text_col: str, other: DataFrame, other_id: str, other_th: str) -> Column:
+    """Join condition of whole rows of docs with keys as `with_key` gives them; adds no column that could clash."""
+    return docs[f"`{id_col}`"].eqNullSafe(other[other_id]) & (F.xxhash64(docs[f"`{text_col}`"]) == other[other_th])
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,3 +93,29 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         out = out * _BASE + words[k : k + count]
     return mix(out)
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """v, root: each vertex of an edge table (a, b: long) with the smallest vertex of its component.
+
+    Large-star and small-star rounds: edges are pulled to the smallest neighbour until nothing moves. A vertex's
+    neighbours never meet in one task, only their minimum does; every round is written to the shared folder."""
+    links = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = checkpointed(links)
+    size = None
+    for _ in range(max_rounds):
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        large = both.filter("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.unionByName(least.filter("u <> m").select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
+        # all edges now point to a smaller vertex
+        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        small = large.join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        links = checkpointed(small.filter("a <> b").distinct())
+        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if tuple(now) == size:
+            break
+        size = tuple(now)
+    roots = links.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("v"), "root")
+    return roots.unionByName(roots.select(F.col("root").alias("v"), "root").distinct())

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skillweave.llm.common import gram_hashes, with_key, word_hashes
+from skillweave.llm.common import gram_hashes, key_matches, with_key, word_hashes
 
 SEED_WORDS = 3
 MIN_SCORE = 0.5
@@ -188,9 +188,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that leak a benchmark item."""
-    bad = find_leaks(docs, benchmark, id_col, text_col).select(F.col("_id").alias("_bid"), F.col("_th").alias("_bth")).distinct()
-    keyed = with_key(docs, id_col, text_col)
-    return keyed.join(bad, keyed["_id"].eqNullSafe(bad["_bid"]) & (keyed["_th"] == bad["_bth"]), "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    bad = find_leaks(docs, benchmark, id_col, text_col).select(F.col("_id").alias("__bid"), F.col("_th").alias("__bth")).distinct()
+    return docs.join(bad, key_matches(docs, id_col, text_col, bad, "__bid", "__bth"), "left_anti")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

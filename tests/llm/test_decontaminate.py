@@ -50,7 +50,7 @@ def test_planted_leaks(spark, monkeypatch):
         rows = d.find_leaks(table, bench).collect()
         assert sorted((str(r["_id"]), r.item_id) for r in rows) == expected
     kept = d.decontaminate(table, bench)
-    assert kept.columns == table.columns
+    assert kept.columns == table.columns and {r["_item"] for r in kept.collect()} == {"x"}
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5]
 
 
