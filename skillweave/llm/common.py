@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -119,3 +120,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         size = tuple(now)
     roots = links.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("v"), "root")
     return roots.unionByName(roots.select(F.col("root").alias("v"), "root").distinct())
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written once as Parquet in the shared folder and read back; smaller there than a checkpoint."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
