@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SOLVED = 300_000
+MAX_SOLVED = 600_000
 MAX_PAIRS = 1_000_000
 BLOCK_CHARS = 2_000_000
 
@@ -42,41 +42,45 @@ class Replayer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.bytes = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.byte_pairs = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], dtype=np.int64)
+        byte = self.bytes.tolist()
+        self.pairs: dict[int, int] = {a << 32 | b: r for (a, b), r in zip(((a, b) for a in byte for b in byte), self.byte_pairs.tolist(), strict=True)}
         self.solved: dict[str, bytes] = {}
 
     def pair_rank(self, a: int, b: int) -> int:
         """Rank of the merge of two tokens, -1 if there is none."""
-        rank = self.pairs.get((a, b))
+        rank = self.pairs.get(a << 32 | b)
         if rank is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            rank = self.pairs[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
+            rank = self.pairs[a << 32 | b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
         return rank
 
     def replay(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece."""
-        token: list[int] = []
-        following: list[int] = []
-        before: list[int] = []
-        index: dict[int, list[int]] = {}
-        first = []
-        pair_rank = self.pair_rank
-        for piece in pieces:
-            start = len(token)
-            first.append(start)
-            ids = [self.ranks[piece]] if piece in self.ranks else [self.bytes[b] for b in piece]
-            n = len(ids)
-            token += ids
-            following += range(start + 1, start + n)
-            following.append(-1)
-            before.append(-1)
-            before += range(start, start + n - 1)
-            for k in range(n - 1):
-                rank = pair_rank(ids[k], ids[k + 1])
-                if rank >= 0:
-                    index.setdefault(rank, []).append(start + k)
+        whole = {k: self.ranks[x] for k, x in enumerate(pieces) if x in self.ranks}
+        ends = np.cumsum([len(x) for x in pieces], dtype=np.int64)
+        flat = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.int64)
+        n = len(flat)
+        token = self.bytes[flat].tolist()
+        after = np.arange(1, n + 1)
+        after[ends[ends > 0] - 1] = -1
+        last = after == -1
+        prior = np.arange(-1, n - 1)
+        prior[1:][last[:-1]] = -1
+        # the inverted index: rank of a merge -> where its pair starts, as far as single bytes go
+        rank_at = np.full(n, -1)
+        rank_at[:-1] = self.byte_pairs[flat[:-1] * 256 + flat[1:]]
+        rank_at[last] = -1
+        for k in whole:
+            rank_at[(ends[k - 1] if k else 0) : ends[k]] = -1
+        where_any = np.flatnonzero(rank_at >= 0)
+        where_any = where_any[np.argsort(rank_at[where_any], kind="stable")]
+        kinds, cuts = np.unique(rank_at[where_any], return_index=True)
+        index: dict[int, list[int]] = {int(r): x.tolist() for r, x in zip(kinds, np.split(where_any, cuts[1:]), strict=True)} if len(kinds) else {}
+        following, before = after.tolist(), prior.tolist()
+        known, pair_rank, push = self.pairs.get, self.pair_rank, heapq.heappush
         queue = list(index)
         heapq.heapify(queue)
         while queue:
@@ -87,38 +91,51 @@ class Replayer:
             where.sort()
             for k, i in enumerate(where):
                 j = following[i]
-                if token[i] < 0 or j < 0 or pair_rank(token[i], token[j]) != rank:
-                    continue  # a neighbour was merged meanwhile
-                after, left = following[j], before[i]
-                token[i], token[j], following[i] = rank, -1, after
+                # a neighbour may have been merged meanwhile
+                if j < 0 or (a := token[i]) < 0:
+                    continue
+                r = known(a << 32 | token[j])
+                if (pair_rank(a, token[j]) if r is None else r) != rank:
+                    continue
+                right, left = following[j], before[i]
+                token[i], token[j], following[i] = rank, -1, right
                 least = rank + 1
-                if after >= 0:
-                    before[after] = i
-                    r = pair_rank(rank, token[after])
+                if right >= 0:
+                    before[right] = i
+                    r = known(rank << 32 | token[right])
+                    if r is None:
+                        r = pair_rank(rank, token[right])
                     if r >= 0:
-                        if r not in index:
-                            heapq.heappush(queue, r)
-                        index.setdefault(r, []).append(i)
+                        if r in index:
+                            index[r].append(i)
+                        else:
+                            index[r] = [i]
+                            push(queue, r)
                         least = r
                 if left >= 0:
-                    r = pair_rank(token[left], rank)
+                    r = known(token[left] << 32 | rank)
+                    if r is None:
+                        r = pair_rank(token[left], rank)
                     if r >= 0:
-                        if r not in index:
-                            heapq.heappush(queue, r)
-                        index.setdefault(r, []).append(left)
-                        least = min(least, r)
+                        if r in index:
+                            index[r].append(left)
+                        else:
+                            index[r] = [left]
+                            push(queue, r)
+                        if r < least:
+                            least = r
                 if least <= rank:  # an earlier merge came up; it goes before the rest of this one
                     if rank not in index:
-                        heapq.heappush(queue, rank)
+                        push(queue, rank)
                     index.setdefault(rank, []).extend(where[k + 1 :])
                     break
         out = []
-        for start, piece in zip(first, pieces, strict=True):
-            ids, i = [], start if piece else -1
-            while i >= 0:
-                ids.append(token[i])
-                i = following[i]
-            out.append(ids)
+        starts = [0, *ends.tolist()]
+        for k, piece in enumerate(pieces):
+            if k in whole:
+                out.append([whole[k]])
+            else:
+                out.append([t for t in token[starts[k] : starts[k + 1]] if t >= 0])
         return out
 
     def encode_block(self, texts: list[str], pattern: regex.Pattern) -> list[bytes]:
