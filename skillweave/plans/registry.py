@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from skillweave.plans import reports
+from skillweave.plans import history, reports
 
-_MODULES = (reports,)
+_MODULES = (reports, history)
 
 
 def queries() -> dict:
