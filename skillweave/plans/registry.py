@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from skillweave.plans import history, reports
+from skillweave.plans import history, relevance, reports
 
-_MODULES = (reports, history)
+_MODULES = (reports, history, relevance)
 
 
 def queries() -> dict:
