@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from skillweave.plans import history, relevance, reports
+from skillweave.plans import history, relevance, reports, text
 
-_MODULES = (reports, history, relevance)
+_MODULES = (reports, history, relevance, text)
 
 
 def queries() -> dict:

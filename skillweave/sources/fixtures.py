@@ -35,6 +35,23 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT event_id AS id, concat('u', cast(user_id AS varchar(9))) AS url, ts AS crawled_on, event_type AS type, event_type <> 'error' AS valid,
                CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS fail_count,
                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS crawl_number FROM {events}"""),
+    "TT": (("part",), """
+        SELECT p_partkey AS id, p_name AS base, p_type AS kind, p_brand AS brand,
+               concat(CASE p_partkey % 5 WHEN 0 THEN 'Senior ' WHEN 1 THEN 'Junior Lead ' WHEN 2 THEN '2x ' ELSE '' END, p_name,
+                      CASE p_partkey % 4 WHEN 0 THEN ' Engineer at ' WHEN 1 THEN ' Intern for ' WHEN 2 THEN ' Caf\u00e9 (m/f) at ' ELSE ' - ' END, p_type) AS title,
+               CASE p_partkey % 5 WHEN 0 THEN 'Senior ' WHEN 1 THEN 'Junior Lead ' WHEN 2 THEN '2x ' ELSE '' END AS prefix,
+               CASE p_partkey % 4 WHEN 0 THEN ' Engineer' WHEN 1 THEN ' Intern' WHEN 2 THEN ' Caf\u00e9' ELSE '' END AS suffix
+        FROM {part}"""),
+    "SAL": (("orders",), """
+        SELECT o_orderkey AS id, o_orderkey % 6 AS shape, 20 + o_orderkey % 40 AS lo, 25 + o_orderkey % 40 AS hi,
+               CASE o_orderkey % 6
+                 WHEN 0 THEN concat('We offer a salary of \u00a3', CAST(20 + o_orderkey % 40 AS varchar(9)), 'k-\u00a3', CAST(25 + o_orderkey % 40 AS varchar(9)), 'k plus benefits')
+                 WHEN 1 THEN concat('Rate: \u00a3', CAST(20 + o_orderkey % 40 AS varchar(9)), ' per hour, overtime \u00a3', CAST(60 + o_orderkey % 40 AS varchar(9)), ' per hour')
+                 WHEN 2 THEN concat('Salary $', CAST(20 + o_orderkey % 40 AS varchar(9)), ',000 to $', CAST(25 + o_orderkey % 40 AS varchar(9)), ',000 pa')
+                 WHEN 3 THEN concat('Turnover of \u00a3', CAST(20 + o_orderkey % 40 AS varchar(9)), ' million last year')
+                 WHEN 4 THEN concat('Band \u20ac', CAST(20 + o_orderkey % 40 AS varchar(9)), '-', CAST(25 + o_orderkey % 40 AS varchar(9)), 'k depending on skill')
+                 ELSE 'Competitive pay' END AS text
+        FROM {orders}"""),
 }
 
 
