@@ -36,6 +36,7 @@ def salary(text: Column) -> Column:
         thousand = (x["ak"] != "") | (x["bk"] != "")
         scale = lambda v, own: F.when((own | (thousand & (v < 1000))) & (v < 10_000), v * 1000).otherwise(v)
         low, high = scale(low, x["ak"] != ""), scale(high, x["bk"] != "")
+        high = F.when(high >= low, high)  # "31,200 and 20 days" is no range
         top = F.coalesce(high, low)
         low = F.when((low * 1000 <= top) & (low < 1000), low * 1000).otherwise(low)
         period = F.coalesce(*[F.when(x["after"].rlike(p), F.lit(n)) for n, p in _PERIODS], F.when(top > 10_000, F.lit("year")))

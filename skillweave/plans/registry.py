@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from skillweave.plans import history, relevance, reports, text
+from skillweave.plans import flows, history, relevance, reports, text
 
-_MODULES = (reports, history, relevance, text)
+_MODULES = (reports, history, relevance, text, flows)
 
 
 def queries() -> dict:
