@@ -28,46 +28,68 @@ from pyspark.sql import functions as F
 from skillweave.llm.common import key_matches, mix, powers, stored, with_key, word_edges, word_hashes
 
 MIN_WORDS = 5
-#: Words at either end that suspects share: (from so many words on, so many words).
-ENDS = ((13, 6), (MIN_WORDS, 2))
+#: Words at either end that suspects share: (from so many words on, so many words). A line of just so many words takes the
+#: next size as well, as one edit can move it below.
+ENDS = ((97, 48), (49, 24), (25, 12), (13, 6), (MIN_WORDS, 2))
+#: Bytes of the texts that are hashed together.
+BLOCK_BYTES = 1 << 19
 
 
 class Lines:
-    """The lines of one text as runs of word hashes."""
+    """The lines of a block of texts, with at least MIN_WORDS words, as runs of word hashes."""
 
-    def __init__(self, text: str | None):
-        data = (text or "").lower().encode("utf-8", "replace")
+    def __init__(self, texts: list[str | None]):
+        raw = [(t or "").lower().encode("utf-8", "replace") for t in texts]
+        data = b"\n".join(raw)
         self.words = word_hashes(data)
-        raw = np.frombuffer(data, dtype=np.uint8)
-        breaks = np.flatnonzero(raw == 10)
-        of = np.searchsorted(breaks, word_edges(raw)[0])
-        counts = np.bincount(of, minlength=len(breaks) + 1)
-        self.n_lines = len(breaks) + 1 if text else 0
-        self.at = np.flatnonzero(counts >= MIN_WORDS)
-        self.n = counts[self.at]
-        self.start = (np.cumsum(counts) - counts)[self.at]
+        array = np.frombuffer(data, dtype=np.uint8)
+        breaks = np.flatnonzero(array == 10)
+        counts = np.bincount(np.searchsorted(breaks, word_edges(array)[0]), minlength=len(breaks) + 1)
+        lines = np.array([x.count(b"\n") + 1 for x in raw], dtype=np.int64)
+        heads = np.cumsum(lines) - lines
+        self.n_lines = np.where([bool(x) for x in raw], lines, 0)
+        long = np.flatnonzero(counts >= MIN_WORDS)
+        self.doc = np.searchsorted(heads, long, side="right") - 1
+        self.pos = long - heads[self.doc]
+        self.n = counts[long]
+        self.start = (np.cumsum(counts) - counts)[long]
         up, self.down = powers(len(self.words) + 1)
         self.total = np.zeros(len(self.words) + 1, dtype=np.uint64)
         np.cumsum(self.words * up[:-1], out=self.total[1:])
 
     def run_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of the words from start to end, whatever their place in the text."""
+        """Hash of the words from start to end, whatever their place in the block."""
         return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(np.uint64))
 
     def hashes(self) -> np.ndarray:
         return self.run_hash(self.start, self.start + self.n)
 
-    def end_keys(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(key, line hash): the words at either end of each line. Lines that one edit moves over the border have both sizes."""
-        keys, owners = [], []
+    def end_keys(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(doc, key, line hash): the words at either end of each line; in the order of doc."""
+        docs, keys, owners = [], [], []
         for k, (least, size) in enumerate(ENDS):
             most = ENDS[k - 1][0] if k else None
             use = (self.n >= least) & ((self.n <= most) if most else True)
-            s, n, own = self.start[use], self.n[use], h[use]
+            s, n = self.start[use], self.n[use]
             for side, lo in ((0, s), (1, s + n - size)):
                 keys.append(mix(self.run_hash(lo, lo + size) + np.uint64(2 * k + side)))
-                owners.append(own)
-        return np.concatenate(keys), np.concatenate(owners)
+                owners.append(h[use])
+                docs.append(self.doc[use])
+        doc = np.concatenate(docs)
+        order = np.argsort(doc, kind="stable")
+        return doc[order], np.concatenate(keys)[order], np.concatenate(owners)[order]
+
+
+def _blocks(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of blocks of about BLOCK_BYTES; a longer text is a block of its own."""
+    first, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t or "")
+        if size >= BLOCK_BYTES:
+            yield first, texts[first : k + 1]
+            first, size = k + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]
 
 
 def variant_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +124,7 @@ def within_one_edit(a: np.ndarray, b: np.ndarray) -> bool:
     return np.array_equal(longer[k + 1 :], shorter[k:])
 
 
-def _nested(counts: list[int], fields: list[tuple[str, np.ndarray]]) -> pa.Array:
+def _nested(counts: np.ndarray, fields: list[tuple[str, np.ndarray]]) -> pa.Array:
     offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
     return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(v) for _, v in fields], names=[k for k, _ in fields]))
 
@@ -113,30 +135,25 @@ def _join(parts: list[np.ndarray], kind: type) -> np.ndarray:
 
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n_lines, at, h, keys, owners = [], [], [], [], []
-        for t in batch.column("_text").to_pylist():
-            x = Lines(t)
-            n_lines.append(x.n_lines)
-            at.append(x.at)
-            h.append(x.hashes().view(np.int64))
-            k, o = x.end_keys(h[-1])
-            keys.append(k.view(np.int64))
-            owners.append(o)
-        lines = _nested([len(x) for x in at], [("pos", _join(at, np.int32)), ("h", _join(h, np.int64))])
-        ends = _nested([len(x) for x in keys], [("k", _join(keys, np.int64)), ("h", _join(owners, np.int64))])
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(n_lines, pa.int64()), lines, ends], names=["_id", "_th", "n_lines", "lines", "ends"])
+        for first, texts in _blocks(batch.column("_text").to_pylist()):
+            part = batch.slice(first, len(texts))
+            x = Lines(texts)
+            h = x.hashes()
+            doc, keys, owners = x.end_keys(h)
+            counts = lambda d: np.bincount(d, minlength=len(texts))  # noqa: B023, E731
+            lines = _nested(counts(x.doc), [("pos", x.pos.astype(np.int32)), ("h", h.view(np.int64))])
+            ends = _nested(counts(doc), [("k", keys.view(np.int64)), ("h", owners.view(np.int64))])
+            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_th"), pa.array(x.n_lines, pa.int64()), lines, ends], names=["_id", "_th", "n_lines", "lines", "ends"])
 
 
 def _suspect_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         order, words = [], []
         for t, wanted in zip(batch.column("_text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
-            x = Lines(t)
-            place = {int(p): k for k, p in enumerate(x.at)}
+            lines = (t or "").split("\n")
             for w in wanted:
-                k = place[w["pos"]]
                 order.append(w["ord"])
-                words.append(x.words[x.start[k] : x.start[k] + x.n[k]].view(np.int64))
+                words.append(word_hashes(lines[w["pos"]].lower().encode("utf-8", "replace")).view(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(words, pa.list_(pa.int64()))], names=["ord", "words"])
 
 
