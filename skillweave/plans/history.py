@@ -248,9 +248,9 @@ def n9(jobs):
     return jobs.select("job_id", midpoint(F.col("salary_min"), F.col("salary_max")).alias("mid"))
 
 
-@plan("n3_epoch_times", "events", sql="SELECT event_id, make_timestamp(nullif(CAST(epoch_ms(ts) AS BIGINT) // 1000 * (event_id % 3), 0) * 1000000) AS t FROM events")
+@plan("n3_epoch_times", "events", sql="SELECT event_id, make_timestamp(nullif(epoch_us(ts) // 1000000 * (event_id % 3), 0) * 1000000) AS t FROM events")
 def n3(events):
-    seconds = F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 1000) * (F.col("event_id") % 3)
+    seconds = F.expr("unix_micros(CAST(ts AS TIMESTAMP)) div 1000000") * (F.col("event_id") % 3)
     return events.select("event_id", F.timestamp_seconds(F.nullif(seconds, F.lit(0))).cast("timestamp_ntz").alias("t"))
 
 
