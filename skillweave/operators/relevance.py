@@ -32,7 +32,7 @@ def map_entities(df: DataFrame, column: str, sector: str, mapping: DataFrame) ->
     null sector is general."""
     own = mapping.filter("sector IS NOT NULL").select(F.col("sector").alias("__s"), F.col("name").alias("__n"), F.col("target").alias("__own"))
     general = mapping.filter("sector IS NULL").select(F.col("name").alias("__g"), F.col("target").alias("__general"))
-    out = df.join(F.broadcast(own), (df[sector] == F.col("__s")) & (df[column] == F.col("__n")), "left").join(F.broadcast(general), F.col(column) == F.col("__g"), "left")
+    out = df.join(own, (df[sector] == F.col("__s")) & (df[column] == F.col("__n")), "left").join(general, F.col(column) == F.col("__g"), "left")
     return out.withColumn("mapped", F.coalesce("__own", "__general", column)).drop("__s", "__n", "__own", "__g", "__general")
 
 
@@ -80,7 +80,7 @@ def idf(skills: DataFrame, n_jobs: DataFrame) -> DataFrame:
 def skill_vectors(rows: DataFrame, title: str, skill: str, min_count: int) -> DataFrame:
     """title, skill, w: shares of co-occurrence, normalised to length 1; all titles in one pass."""
     often = rows.groupBy(skill).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_count).select(skill)
-    counts = rows.join(F.broadcast(often), skill).groupBy(title, skill).agg(F.count(F.lit(1)).cast("double").alias("w"))
+    counts = rows.join(often, skill).groupBy(title, skill).agg(F.count(F.lit(1)).cast("double").alias("w"))
     return counts.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(title))))
 
 

@@ -142,8 +142,8 @@ def w5(skills):
 
 @plan("w6_dimension_ids", "P", sql="WITH d AS (SELECT lower(company) AS k, min(company) AS company, row_number() OVER (ORDER BY lower(company)) AS id FROM P GROUP BY lower(company)) SELECT profile_id, id AS company_id FROM P JOIN d ON lower(P.company) = d.k")
 def w6(p):
-    dim = p.groupBy(F.lower("company").alias("k")).agg(F.min("company").alias("label")).withColumn("company_id", F.row_number().over(W.orderBy("k")).cast("long"))
-    return p.withColumn("k", F.lower("company")).join(F.broadcast(dim), "k").select("profile_id", "company_id")
+    dim = h.numbered(p.groupBy(F.lower("company").alias("k")).agg(F.min("company").alias("label")), "k", "company_id")
+    return p.withColumn("k", F.lower("company")).join(dim, "k").select("profile_id", "company_id")
 
 
 @plan("w7_missing_bridge_rows", "P", "area_in_group", sql="SELECT DISTINCT sector, lep_id FROM P JOIN area_in_group USING (la_id) WHERE score < 0 EXCEPT SELECT sector, lep_id FROM P JOIN area_in_group USING (la_id) WHERE score > 9000")

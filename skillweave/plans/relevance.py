@@ -274,7 +274,7 @@ def v3(skills, jobs):
 @plan("v5_nearest_cluster", "JS", "J", sql=f"WITH v AS ({VECTORS}), d AS (SELECT job_id, category, sum(w) AS dot FROM JS JOIN v USING (skill) WHERE pos <= 2 GROUP BY ALL) SELECT job_id, arg_max(category, (round(dot, 9), category)) AS cluster FROM d GROUP BY job_id")
 def v5(skills, jobs):
     v = e.skill_vectors(skill_rows(skills, jobs), "category", "skill", 100)
-    dots = skills.filter("pos <= 2").join(F.broadcast(v), "skill").groupBy("job_id", "category").agg(F.sum("w").alias("dot"))
+    dots = skills.filter("pos <= 2").join(v, "skill").groupBy("job_id", "category").agg(F.sum("w").alias("dot"))
     return dots.groupBy("job_id").agg(F.max_by("category", F.struct(F.round("dot", 9), "category")).alias("cluster"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,3 +57,11 @@ def job_records(raw: DataFrame, json_col: str = "json") -> DataFrame:
     flag = F.when(F.col("r.full_time") == "1", True).when(F.col("r.full_time") == "0", False)
     areas = [F.get("r.location.area", F.lit(k)).alias(f"location{k}") for k in range(5)]
     return raw.select(r.alias("r")).select(F.col("r.id").try_cast("long").alias("id"), "r.title", flag.alias("full_time"), F.col("r.category.tag").alias("category"), *areas)
+
+
+def shared_checkpoint(df: DataFrame) -> DataFrame:
+    """df, computed once and read back from the session's checkpoint folder; one of its own only where none is named."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skillweave-"))
+    return df.checkpoint()
