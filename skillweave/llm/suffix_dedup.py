@@ -213,7 +213,8 @@ _FINE = "_id {0}, _th long, m long, seg long, first long, count long, multiple b
 
 
 def _fine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cuts the wanted runs of each text again, with fine anchors, and takes their bytes along."""
+    """Cuts the wanted runs of each text again, with fine anchors. A run's bytes come along without its anchor, which all
+    runs of the group share; whole where the anchor repeats."""
     for batch in batches:
         rows, out = [], []
         for k, (t, wanted) in enumerate(zip(batch.column("_text").to_pylist(), batch.column("wanted").to_pylist(), strict=True)):
@@ -223,8 +224,9 @@ def _fine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 begin, end = w["first"], w["first"] + w["count"] + SPAN - 1
                 r = Runs(np.frombuffer(view[begin:end], dtype=np.uint8), FINE)
                 for v, a, c, p, many in zip(r.value.view(np.int64).tolist(), r.first.tolist(), r.count.tolist(), r.place.tolist(), r.multiple.tolist(), strict=True):
-                    data = raw[begin + a : begin + a + c + SPAN - 1]
-                    out.append((v, _name(memoryview(data)), begin + a, c, many, p - a, data))
+                    first, last = begin + a, begin + a + c + SPAN - 1
+                    data = raw[first:last] if many else raw[first : begin + p] + raw[begin + p + FINE : last]
+                    out.append((v, _name(view[first:last]), first, c, many, p - a, data))
                     rows.append(k)
         take = pa.array(rows, pa.int64())
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
@@ -235,20 +237,22 @@ def _fine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _sorted_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    """Spans of a bucket of whole groups, by suffix arrays: one over the groups with a single anchor each, one over raw
-    bytes for the groups in which an anchor repeats."""
+    """Spans of a bucket of whole groups, by suffix arrays: one over the groups whose anchor never repeats in a run, one
+    over whole bytes for the others (their anchor's bytes are taken from a run that came whole)."""
     rows = rows.reset_index(drop=True)
-    raw_groups = set(rows["m"][rows["multiple"]])
+    anchors = {m: data[p : p + FINE] for m, data, p, many in zip(rows["m"], rows["data"], rows["place"], rows["multiple"], strict=True) if many}
     symbol = {m: 258 + k for k, m in enumerate(rows["m"].unique())}
     out = []
     for raw in (False, True):
-        part = rows[rows["m"].isin(raw_groups) == raw]
+        part = rows[rows["m"].isin(anchors) == raw]
         if not len(part):
             continue
         strings = []
-        for m, data, place in zip(part["m"], part["data"], part["place"], strict=True):
+        for m, data, place, many in zip(part["m"], part["data"], part["place"], part["multiple"], strict=True):
+            if raw and not many:
+                data = data[:place] + anchors[m] + data[place:]
             x = np.frombuffer(data, dtype=np.uint8).astype(np.int64) + 2
-            strings.append(x if raw else np.r_[x[:place], symbol[m], x[place + FINE :]])
+            strings.append(x if raw else np.r_[x[:place], symbol[m], x[place:]])
         hits = repeated_windows(strings, part["count"].tolist(), SPAN if raw else SPAN - FINE + 1)
         for k, first, hit in zip(part.index, part["first"], hits, strict=True):
             out += [(k, a, b) for a, b in spans_of(first, hit)]
@@ -257,15 +261,33 @@ def _sorted_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     return found
 
 
+def window_names(data: bytes, count: int, many: bool, place: int) -> list[int]:
+    """A name of each window of a run; equal windows of a group have equal names. A window that holds the anchor once is
+    named without it, as runs with a single anchor come without it."""
+    cut = SPAN - FINE
+    if not many:
+        return [_name(b"%d|" % (place - i) + data[i : i + cut]) for i in range(count)]
+    anchor, at = data[place : place + FINE], []
+    k = data.find(anchor)
+    while k >= 0:
+        at.append(k)
+        k = data.find(anchor, k + 1)
+    out = []
+    for i in range(count):
+        own = [k for k in at if i <= k <= i + cut]
+        out.append(_name(b"%d|" % (own[0] - i) + data[i : own[0]] + data[own[0] + FINE : i + SPAN]) if len(own) == 1 else _name(data[i : i + SPAN]))
+    return out
+
+
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two hashes of each window of the runs of groups too large to gather."""
+    """A hash of each window of the runs of groups too large to gather; with the group's own it names the window."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
             first, h, rows = [], [], []
-            for k, (data, a, c) in enumerate(zip(part.column("data").to_pylist(), part.column("first").to_pylist(), part.column("count").to_pylist(), strict=True)):
-                view = memoryview(data)
-                h += [_name(view[i : i + SPAN]) for i in range(c)]
+            fields = [part.column(c).to_pylist() for c in ("data", "first", "count", "multiple", "place")]
+            for k, (data, a, c, many, place) in enumerate(zip(*fields, strict=True)):
+                h += window_names(data, c, many, place)
                 first += range(a, a + c)
                 rows += [k] * c
             take = pa.array(rows, pa.int64())
@@ -294,7 +316,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # one text of each different run goes on
     wanted = segments.filter("differs OR multiple").groupBy(F.col("at._id").alias("_wid"), F.col("at._th").alias("_wth")).agg(F.collect_set(F.struct("at.first", "count")).alias("wanted"))
     with_text = keyed.join(wanted, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_th") == F.col("_wth"))).select("_id", "_th", "_text", "wanted")
-    fine = stored(with_text.mapInArrow(_fine_batches, _FINE.format(id_type)).dropDuplicates(["_id", "_th", "first", "count"]), "fine-runs")
+    fine = stored(with_text.mapInArrow(_fine_batches, _FINE.format(id_type)), "fine-runs")
     kinds = fine.groupBy("m", "seg").agg(F.count(F.lit(1)).alias("n"), first, F.max("multiple").alias("multiple"))
     again = fine.join(kinds.filter("n > 1").select(F.col("m").alias("cm"), F.col("seg").alias("cs")), (F.col("m") == F.col("cm")) & (F.col("seg") == F.col("cs")))
     again = again.select("_id", "_th", F.col("first").alias("a"), (F.col("first") + F.col("count") + SPAN - 1).alias("b"))

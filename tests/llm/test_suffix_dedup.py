@@ -72,6 +72,19 @@ def test_against_brute_force(spark, monkeypatch, max_group):
     assert sorted(map(str, ((r["_id"], r.n_bytes, r.n_removed, r.n_spans, r.h) for r in rows))) == sorted(map(str, ((a, *x) for a, x in zip(ids, brute(t), strict=True))))
 
 
+@pytest.mark.parametrize("max_group", [s.MAX_GROUP, 1])
+def test_periodic_passages_against_brute_force(spark, monkeypatch, max_group):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(s, "MAX_GROUP", max_group)
+    r = random.Random(8)
+    bits = ["the cat ", "ab", "q", "one two three four five six seven "]
+    t = ["".join(r.choice(["x", "yz", "", "w"]) + r.choice(bits) * r.randrange(1, 60) for _ in range(r.randrange(2, 6))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(t)), "doc_id long, text string").repartition(3)
+    rows = s.remove_repeats(df).select("_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("h")).collect()
+    assert {x["_id"]: tuple(x)[1:] for x in rows} == dict(enumerate(brute(t)))
+
+
 def test_empty(spark):
     assert s.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
