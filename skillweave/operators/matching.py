@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 _AMOUNT = r"(\d{1,3}(?:[,.']\d{3})+|\d+)(\.\d{1,2})?\s?(k)?"
 #: One amount, or a range of two; what follows is looked at for the period and for amounts that are no salaries.
 SALARY = rf"(?is)[£$€]\s?{_AMOUNT}(?:\s?(?:-|–|to|and)\s?[£$€]?\s?{_AMOUNT})?(?!\d)(?=(.{{0,30}}))"
-_NOT_SALARY = r"(?is)(?:overtime|bonus)\W+(?:\w+\W+){0,2}[£$€]\s?\d[\d,.']*k?|[£$€]\s?[\d.,]+\s?(?:m\b|million|billion)"
+_NOT_SALARY = r"(?is)(?:overtime|bonus)[^\w£$€]+(?:\w+[^\w£$€]+){0,2}?[£$€]\s?\d[\d,.']*k?|[£$€]\s?[\d.,]+\s?(?:m\b|million|billion)"
 _PERIODS = (
     ("hour", r"(?i)^\W{0,3}(?:per|an|/|p[./]?)\s?h(?:ou)?r?\b|^\W{0,3}ph\b"),
     ("day", r"(?i)^\W{0,3}(?:per|a|/|p[./]?)\s?d(?:ay)?\b|^\W{0,3}pd\b"),

@@ -68,6 +68,14 @@ def s5(spark, sf_dir):
     return files.read_skill_vectors(spark, folder)
 
 
+@register("s6_skill_vector_lines", "SELECT tag, count(*) AS n FROM (SELECT 't' AS tag FROM (SELECT DISTINCT category FROM JS JOIN J USING (job_id)) UNION ALL SELECT 's' FROM (SELECT DISTINCT category, skill FROM JS JOIN J USING (job_id))) GROUP BY tag", ("J", "JS"))
+def s6(spark, sf_dir):
+    rows = table(spark, sf_dir, "JS").join(table(spark, sf_dir, "J").select("job_id", "category"), "job_id")
+    folder = crawl.scratch(spark)
+    files.write_skill_vectors(rows.groupBy(F.col("category").alias("title"), "skill").agg(n().cast("double").alias("w")).withColumn("n", F.lit(1)), folder)
+    return spark.read.text(folder).groupBy(F.substring_index("value", ",", 1).alias("tag")).agg(n().alias("n"))
+
+
 @register("s8_job_api_records", "SELECT o_orderkey AS id, o_orderpriority AS title, CASE o_orderkey % 3 WHEN 0 THEN false WHEN 1 THEN true END AS full_time, o_orderstatus AS category, 'UK' AS location0, CASE WHEN o_orderkey % 2 = 0 THEN 'London' END AS location1 FROM orders")
 def s8(spark, sf_dir):
     o = table(spark, sf_dir, "orders")

@@ -435,4 +435,51 @@ def v6(jobs):
     return counts.groupBy(F.col("salary_period").alias("cluster")).agg(F.max_by("title", F.struct("c", "title")).alias("name"), F.sum("c").alias("n"))
 
 
+@plan("y2_salary_periods", "SAL", sql="SELECT id, CASE id % 5 WHEN 0 THEN 'hour' WHEN 1 THEN 'day' WHEN 2 THEN 'week' WHEN 3 THEN 'month' ELSE 'year' END AS period, lo::DOUBLE AS lo FROM SAL")
+def y2(sal):
+    forms = (" per hour", "pd", " per week", " a month", " p/a")
+    tail = F.get(F.lit(list(forms)), (F.col("id") % 5).cast("int"))
+    return sal.select("id", m.salary(F.concat(F.lit("Pay £"), F.col("lo").cast("string"), tail)).alias("s")).select("id", "s.period", F.col("s.min").alias("lo"))
+
+
+@plan("y3_salary_exclusions", "SAL", sql="SELECT id, CASE WHEN id % 3 = 0 THEN NULL ELSE (lo * 1000)::DOUBLE END AS lo FROM SAL")
+def y3(sal):
+    amount = F.concat(F.lit("£"), F.col("lo").cast("string"), F.lit(",000"))
+    text = F.when(F.col("id") % 3 == 0, F.concat(F.lit("a bonus of up "), amount)).when(F.col("id") % 3 == 1, F.concat(amount, F.lit(" and a fund of £3 million"))).otherwise(F.concat(F.lit("overtime £9, basic "), amount))
+    return sal.select("id", m.salary(text)["min"].alias("lo"))
+
+
+@plan("y4_salary_validation", "SAL", sql="SELECT id, CASE WHEN id % 2 = 0 THEN NULL ELSE (lo * 1000)::DOUBLE END AS lo, CASE WHEN id % 2 = 0 THEN NULL ELSE (hi * 1000)::DOUBLE END AS hi FROM SAL")
+def y4(sal):
+    """A range of more than threefold is none; a thousand that is missing on one side is put back."""
+    lo, hi = F.col("lo").cast("string"), F.col("hi").cast("string")
+    text = F.when(F.col("id") % 2 == 0, F.concat(F.lit("£"), lo, F.lit(",000 - £990,000 pa"))).otherwise(F.concat(F.lit("£"), lo, F.lit("-£"), hi, F.lit(",000 pa")))
+    return sal.select("id", m.salary(text).alias("s")).select("id", F.col("s.min").alias("lo"), F.col("s.max").alias("hi"))
+
+
+@plan("j5_grouped_max", "W", sql="SELECT w.id, w.url FROM W w JOIN (SELECT url, max(crawl_number) AS last FROM W GROUP BY url) l ON w.url = l.url AND w.crawl_number = l.last")
+def j5(log):
+    from skillweave.operators.history import latest
+
+    return latest(log, "url", "crawl_number").select("id", "url")
+
+
+@plan("j9_theta_self_join", "supplier", sql="WITH n AS (SELECT s_nationkey AS k, lower(s_name) AS x, min(s_suppkey) AS id FROM supplier GROUP BY ALL) SELECT a.id AS a, b.id AS b FROM n a JOIN n b ON a.k = b.k AND b.id > a.id WHERE greatest(length(a.x), length(b.x)) <= 2.0 * least(length(a.x), length(b.x)) AND 100.0::DOUBLE * (1 - levenshtein(a.x, b.x)::DOUBLE / greatest(length(a.x), length(b.x))) > 75")
+def j9(supplier):
+    names = supplier.select("s_suppkey", "s_nationkey", F.regexp_replace("s_name", " ", "_").alias("s"))
+    return m.near_pairs(names, "s_nationkey", "s_suppkey", "s", "s")
+
+
+@plan("j10_points_per_region", "customer", "nation", sql=f"SELECT code, count(*) AS n FROM ({LOCATED}) WHERE code IS NOT NULL GROUP BY code")
+def j10(customer, nation):
+    return g1(customer, nation).filter("code IS NOT NULL").groupBy("code").agg(n().alias("n"))
+
+
+@plan("j12_name_match", "supplier", "P", sql="WITH c AS (SELECT DISTINCT company, split_part(company, ' ', 1) AS k FROM P), s AS (SELECT s_suppkey, s_name, regexp_extract(s_name, '^[A-Za-z]+') AS k FROM supplier) SELECT s_suppkey, arg_min(company, (levenshtein(s_name, company), company)) AS company FROM s JOIN c USING (k) GROUP BY s_suppkey")
+def j12(supplier, p):
+    names = p.select("company").distinct().withColumn("k", F.substring_index("company", " ", 1))
+    own = supplier.select("s_suppkey", "s_name", F.regexp_extract("s_name", "^[A-Za-z]+", 0).alias("k"))
+    return own.join(names, "k").groupBy("s_suppkey").agg(F.min_by("company", F.struct(F.levenshtein("s_name", "company"), "company")).alias("company"))
+
+
 QUERIES, ORACLES = plan.queries, plan.oracles
