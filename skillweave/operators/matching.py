@@ -31,21 +31,21 @@ def salary(text: Column) -> Column:
     def amount(whole: Column, part: Column) -> Column:
         return F.concat(F.regexp_replace(whole, "[,.']", ""), part).try_cast("double")
 
-    def one(x: Column) -> Column:
-        low, high = amount(x["a"], x["ad"]), F.when(x["b"] == "", None).otherwise(amount(x["b"], x["bd"]))
-        thousand = (x["ak"] != "") | (x["bk"] != "")
-        scale = lambda v, own: F.when((own | (thousand & (v < 1000))) & (v < 10_000), v * 1000).otherwise(v)
-        low, high = scale(low, x["ak"] != ""), scale(high, x["bk"] != "")
-        high = F.when(high >= low, high)  # "31,200 and 20 days" is no range
-        top = F.coalesce(high, low)
-        low = F.when((low * 1000 <= top) & (low < 1000), low * 1000).otherwise(low)
-        period = F.coalesce(*[F.when(x["after"].rlike(p), F.lit(n)) for n, p in _PERIODS], F.when(top > 10_000, F.lit("year")))
-        ok = period.isNotNull() & (low > 0) & (low <= top) & (top <= 3 * low) & (top <= 1_000_000)
-        return F.struct(F.when(ok, F.when(period == "year", 0).otherwise(1)).alias("rank"), low.alias("min"), top.alias("max"), period.alias("period"))
-
-    good = F.filter(F.transform(found, one), lambda s: s["rank"].isNotNull())
-    first = lambda s: F.when(F.size(s) > 0, F.struct(F.get(s, 0)["min"].alias("min"), F.get(s, 0)["max"].alias("max"), F.get(s, 0)["period"].alias("period")))
-    return F.coalesce(first(F.filter(good, lambda s: s["rank"] == 0)), first(good))
+    # each step's structs are built before the next reads them; in one expression every use would work out the amounts anew
+    period = lambda after: F.coalesce(*[F.when(after.rlike(p), F.lit(name)) for name, p in _PERIODS])
+    read = F.transform(found, lambda x: F.struct(
+        amount(x["a"], x["ad"]).alias("low"), F.when(x["b"] != "", amount(x["b"], x["bd"])).alias("high"),
+        (x["ak"] != "").alias("lk"), (x["bk"] != "").alias("hk"), period(x["after"]).alias("period")))
+    scale = lambda v, own, any_k: F.when((own | (any_k & (v < 1000))) & (v < 10_000), v * 1000).otherwise(v)
+    scaled = F.transform(read, lambda x: F.struct(scale(x["low"], x["lk"], x["lk"] | x["hk"]).alias("low"), scale(x["high"], x["hk"], x["lk"] | x["hk"]).alias("high"), x["period"].alias("period")))
+    # "31,200 and 20 days" is no range
+    ranged = F.transform(scaled, lambda x: F.struct(x["low"].alias("low"), F.when(x["high"] >= x["low"], x["high"]).otherwise(x["low"]).alias("top"), x["period"].alias("period")))
+    full = F.transform(ranged, lambda x: F.struct(
+        F.when((x["low"] * 1000 <= x["top"]) & (x["low"] < 1000), x["low"] * 1000).otherwise(x["low"]).alias("min"), x["top"].alias("max"),
+        F.coalesce(x["period"], F.when(x["top"] > 10_000, F.lit("year"))).alias("period")))
+    good = F.filter(full, lambda x: x["period"].isNotNull() & (x["min"] > 0) & (x["min"] <= x["max"]) & (x["max"] <= 3 * x["min"]) & (x["max"] <= 1_000_000))
+    yearly_first = F.concat(F.filter(good, lambda x: x["period"] == "year"), good)
+    return F.when(text.rlike("[£$€]"), F.get(yearly_first, F.lit(0)))
 
 
 def phrase_hits(words: DataFrame, phrases: DataFrame, margin: float = 2.0) -> DataFrame:
