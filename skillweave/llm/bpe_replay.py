@@ -2,8 +2,8 @@
 
 A block of documents is split into pieces by the tokenizer's pattern. All distinct pieces of the block that were not yet
 solved become one token array; an inverted index maps each merge's rank to the positions where it applies; the ranks are
-replayed in order, and each merge touches its two neighbours only. A solved piece is kept for the blocks that follow, up
-to a bound, so a frequent piece is replayed once, whatever the number of its occurrences. The ranks (a file of bounded
+replayed in order, and each merge touches its two neighbours only. A solved piece is kept for the task's blocks that
+follow, up to a bound, so a frequent piece is replayed once, whatever the number of its occurrences. The ranks (a file of bounded
 size) are the only thing broadcast. Blocks are tasks' own, there is no shuffle, and the ids are those of whole pieces.
 
 Defined results: a null text is an empty one (no ids); special-token strings are ordinary text; rows that repeat and null
@@ -23,13 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SOLVED = 600_000
-MAX_PAIRS = 1_000_000
-BLOCK_CHARS = 2_000_000
-
-#: Per Python worker: the state of the last vocabulary used.
-_workers: dict[int, Replayer] = {}
+from skillweave.llm.common import bounded_batches, small
 
+MAX_SOLVED = 400_000
+MAX_PAIRS = 300_000
+BLOCK_CHARS = 2_000_000
 
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -150,15 +148,6 @@ class Replayer:
         return [b"".join(map(solve, p)) for p in pieces]
 
 
-def _replayer(ranks: dict[bytes, int]) -> Replayer:
-    """This worker's replayer for these ranks; built once, used by all its tasks."""
-    name = hash(frozenset(list(ranks.items())[-64:])) ^ len(ranks)
-    if name not in _workers:
-        _workers.clear()
-        _workers[name] = Replayer(ranks)
-    return _workers[name]
-
-
 def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
     block, chars = [], 0
     for t in texts:
@@ -173,13 +162,14 @@ def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """docs plus ids_col: binary, the ids as little-endian unsigned 32-bit integers."""
+    bounded_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(rank_path))
     base = docs.drop(ids_col)
     names = base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled, replayer = regex.compile(pattern), _replayer(ranks.value)
-        for batch in batches:
+        compiled, replayer = regex.compile(pattern), Replayer(ranks.value)
+        for batch in small(batches):
             at = 0
             for block in _blocks(batch.column(text_col).to_pylist()):
                 part = batch.slice(at, len(block))
@@ -198,7 +188,7 @@ def decode(df: DataFrame, rank_path: str, ids_col: str = "ids", bytes_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {i: t for t, i in ranks.value.items()}.__getitem__
-        for batch in batches:
+        for batch in small(batches):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 packed = part.column(ids_col).to_pylist()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 WHITE = b" \t\n\x0b\x0c\r"
 _IS_WHITE = np.zeros(256, dtype=bool)
 _IS_WHITE[list(WHITE)] = True
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -36,9 +39,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Holds Arrow batches of texts to BATCH_ROWS rows, in the JVM as in Python, unless the session names a size."""
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Adds _id and _th: an id of any kind, null included, plus a text hash name a row, so equal ids with different
     texts stay apart and rows that repeat exactly share one decision."""
+    bounded_batches(docs.sparkSession)
     return docs.withColumns({"_id": F.col(f"`{id_col}`"), "_th": F.xxhash64(F.col(f"`{text_col}`"))})
 
 
@@ -127,3 +137,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices, so that no more texts than these are Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skillweave.llm.common import gram_hashes, key_matches, with_key, word_hashes
+from skillweave.llm.common import gram_hashes, key_matches, small, with_key, word_hashes
 
 SEED_WORDS = 3
 MIN_SCORE = 0.5
@@ -115,7 +115,7 @@ class Block:
 def _gram_batches(block) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = block.value
-        for batch in batches:
+        for batch in small(batches):
             seen = [np.unique(b.known(passage_words(t))[1]) for t in batch.column("_text").to_pylist()]
             grams, counts = np.unique(np.concatenate(seen) if seen else np.empty(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))], names=["gram", "n"])
@@ -126,7 +126,7 @@ def _gram_batches(block) -> callable:
 def _leak_batches(block, id_type: pa.DataType | None = None) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, cache = block.value, {}
-        for batch in batches:
+        for batch in small(batches):
             rows, item, score, first = [], [], [], []
             for r, t in enumerate(batch.column("_text").to_pylist()):
                 for k, s, at in b.leaks(passage_words(t), cache):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm.common import mix, powers, stored, with_key
+from skillweave.llm.common import mix, powers, small, stored, with_key
 
 SPAN = 400
 ANCHOR = 128
@@ -193,7 +193,7 @@ def _name(data: memoryview) -> int:
 
 
 def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         sizes, parts, names = [], [], []
         for t in batch.column("_text").to_pylist():
             raw = (t or "").encode("utf-8", "replace")
@@ -215,7 +215,7 @@ _FINE = "_id {0}, _th long, m long, seg long, first long, count long, multiple b
 def _fine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cuts the wanted runs of each text again, with fine anchors. A run's bytes come along without its anchor, which all
     runs of the group share; whole where the anchor repeats."""
-    for batch in batches:
+    for batch in small(batches):
         rows, out = [], []
         for k, (t, wanted) in enumerate(zip(batch.column("_text").to_pylist(), batch.column("wanted").to_pylist(), strict=True)):
             raw = (t or "").encode("utf-8", "replace")
@@ -281,7 +281,7 @@ def window_names(data: bytes, count: int, many: bool, place: int) -> list[int]:
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A hash of each window of the runs of groups too large to gather; with the group's own it names the window."""
-    for batch in batches:
+    for batch in small(batches):
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
             first, h, rows = [], [], []
@@ -336,7 +336,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             size, removed, n_spans, kept, cut = [], [], [], [], []
