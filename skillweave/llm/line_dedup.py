@@ -4,8 +4,8 @@ Lines are sequences of lower-case words; lines of fewer than MIN_WORDS words are
 line, or one within one word edit (insert, delete, replace), comes earlier in the order of (id, text hash, line number);
 the earlier line counts whether or not it goes itself. One edit in five words is the usual similarity of 0.8.
 
-1. Distinct lines whose first or last words equal those of another line are suspects: one edit can't touch both ends, so
-   no pair within the bound is missed.
+1. Lines one half of which equals the half of another line, of the same length or a word longer or shorter, are suspects:
+   one edit can't touch both halves, so no pair within the bound is missed.
 2. For each suspect all variants within the bound are emitted as hashed keys: without word i at place i (equal keys: one
    replaced word), the whole line as the shorter one, and without word i as the longer one (equal keys: one word more).
 3. Equal keys are joined through the smallest order of each kind in a key's group, never as pairs of a group; what comes
@@ -25,12 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm.common import key_matches, mix, powers, stored, with_key, word_edges, word_hashes
+from skillweave.llm.common import key_matches, mix, powers, small, stored, with_key, word_edges, word_hashes
 
 MIN_WORDS = 5
-#: Words at either end that suspects share: (from so many words on, so many words). A line of just so many words takes the
-#: next size as well, as one edit can move it below.
-ENDS = ((97, 48), (49, 24), (25, 12), (13, 6), (MIN_WORDS, 2))
 #: Bytes of the texts that are hashed together.
 BLOCK_BYTES = 1 << 19
 
@@ -64,15 +61,16 @@ class Lines:
     def hashes(self) -> np.ndarray:
         return self.run_hash(self.start, self.start + self.n)
 
-    def end_keys(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(doc, key, line hash): the words at either end of each line; in the order of doc."""
+    def half_keys(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(doc, key, line hash): both halves of each line, as the line of its own length and as one with a word too many;
+        in the order of doc."""
         docs, keys, owners = [], [], []
-        for k, (least, size) in enumerate(ENDS):
-            most = ENDS[k - 1][0] if k else None
-            use = (self.n >= least) & ((self.n <= most) if most else True)
-            s, n = self.start[use], self.n[use]
-            for side, lo in ((0, s), (1, s + n - size)):
-                keys.append(mix(self.run_hash(lo, lo + size) + np.uint64(2 * k + side)))
+        for more in (0, 1):
+            use = self.n >= MIN_WORDS + more
+            s, n = self.start[use], self.n[use] - more
+            left = n // 2
+            for side, (lo, hi) in enumerate(((s, s + left), (s + left + more, s + n + more))):
+                keys.append(mix(self.run_hash(lo, hi) + (2 * n + side).astype(np.uint64)))
                 owners.append(h[use])
                 docs.append(self.doc[use])
         doc = np.concatenate(docs)
@@ -134,20 +132,20 @@ def _join(parts: list[np.ndarray], kind: type) -> np.ndarray:
 
 
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         for first, texts in _blocks(batch.column("_text").to_pylist()):
             part = batch.slice(first, len(texts))
             x = Lines(texts)
             h = x.hashes()
-            doc, keys, owners = x.end_keys(h)
+            doc, keys, owners = x.half_keys(h)
             counts = lambda d: np.bincount(d, minlength=len(texts))  # noqa: B023, E731
             lines = _nested(counts(x.doc), [("pos", x.pos.astype(np.int32)), ("h", h.view(np.int64))])
-            ends = _nested(counts(doc), [("k", keys.view(np.int64)), ("h", owners.view(np.int64))])
-            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_th"), pa.array(x.n_lines, pa.int64()), lines, ends], names=["_id", "_th", "n_lines", "lines", "ends"])
+            halves = _nested(counts(doc), [("k", keys.view(np.int64)), ("h", owners.view(np.int64))])
+            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_th"), pa.array(x.n_lines, pa.int64()), lines, halves], names=["_id", "_th", "n_lines", "lines", "halves"])
 
 
 def _suspect_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         order, words = [], []
         for t, wanted in zip(batch.column("_text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
             lines = (t or "").split("\n")
@@ -158,7 +156,7 @@ def _suspect_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _variant_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
             keys, kinds, orders = [], [], []
@@ -171,7 +169,7 @@ def _variant_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _verified_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         ok = [within_one_edit(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(batch.column("words"), batch.column("earlier"), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("ord").filter(pa.array(ok, pa.bool_()))], names=["ord"])
 
@@ -180,12 +178,12 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """_id, _th, n_lines, removed (numbers of the lines to remove, from 0): one row for each row of docs."""
     keyed = with_key(docs, id_col, text_col).select("_id", "_th", F.col(f"`{text_col}`").alias("_text"))
     id_type = dict(keyed.dtypes)["_id"]
-    schema = f"_id {id_type}, _th long, n_lines long, lines array<struct<pos: int, h: long>>, ends array<struct<k: long, h: long>>"
+    schema = f"_id {id_type}, _th long, n_lines long, lines array<struct<pos: int, h: long>>, halves array<struct<k: long, h: long>>"
     table = stored(keyed.mapInArrow(_line_batches, schema), "lines")
 
-    ends = table.select(F.explode("ends").alias("e")).select("e.k", "e.h")
-    shared = ends.groupBy("k").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least <> most").select("k")
-    suspects = ends.join(shared, "k").select(F.col("h").alias("sh")).distinct()
+    halves = table.select(F.inline("halves"))
+    shared = halves.groupBy("k").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least <> most").select("k")
+    suspects = halves.join(shared, "k").select(F.col("h").alias("sh")).distinct()
 
     lines = table.select("_id", "_th", F.explode("lines").alias("line")).select("_id", "_th", "line.pos", "line.h")
     order = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id"), F.col("_th"), F.col("pos"))
