@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are lower case, without ASCII punctuation. The benchmark is taken in blocks of bounded size (its word hashes are all
-that is broadcast). For each block, the documents that hold each of its n-grams are counted over the whole corpus; of each
-item, the n-grams that are not much more frequent than its median become seeds (always half of them at least), so there
-is no absolute limit that a passage leaked into thousands of documents could pass. Documents that hit at least two seeds of an item (one, if it has only one) have the passage around
-the hits aligned with the item (match +1, mismatch and gap -1). A score of at least half the item's words is a leak: a
-verbatim copy scores 1, a copy with a fifth of its words replaced about 0.6.
+that is broadcast). Every n-gram of an item is a seed, however many documents hold it: neither an edited copy inside a
+group of thousands nor a passage that the whole corpus quotes can lose its seeds. What common n-grams hit by chance goes out
+by two bounds that lose nothing: the seeds that an item needs, and the words that it shares with the text.
+Documents that hit at least two seeds of an item (one, if it has only one) have the passage around the hits aligned with the
+item (match +1, mismatch and gap -1). A score of at least half the item's words is a leak: a verbatim copy scores 1, a copy
+with a fifth of its words replaced about 0.6.
 
 Defined results: null and empty texts leak nothing, items of fewer than n words are compared whole; each (document, item)
 is given once with its best score; rows that repeat are given each; null ids are carried; empty tables give an empty result.
@@ -25,8 +26,6 @@ from skillweave.llm.common import gram_hashes, key_matches, small, with_key, wor
 
 SEED_WORDS = 3
 MIN_SCORE = 0.5
-#: An n-gram is a seed when it is in no more documents than this many times the median of its item's n-grams (or so many).
-RARE_TIMES, RARE_LEAST = 4, 10
 #: Words of the benchmark that one block broadcasts at most (an item is never split).
 BLOCK_WORDS = 500_000
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -53,6 +52,19 @@ def smith_waterman(item: np.ndarray, window: np.ndarray) -> int:
     return best
 
 
+def _ranges(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of all entries of a sorted array that equal each wanted one, in turn, and how many each has."""
+    low, high = np.searchsorted(ordered, wanted, "left"), np.searchsorted(ordered, wanted, "right")
+    counts = high - low
+    return np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts), counts
+
+
+def _shared(item: np.ndarray, ordered: np.ndarray) -> int:
+    """Words of the item that are among the sorted ones."""
+    at = np.minimum(np.searchsorted(ordered, item), len(ordered) - 1)
+    return int(np.count_nonzero(ordered[at] == item)) if len(ordered) else 0
+
+
 class Block:
     """Items of one block as arrays: their words, and the sorted seeds with the (item, position) pairs of each."""
 
@@ -75,16 +87,28 @@ class Block:
             found.append(g[hit])
         return (np.concatenate(where), np.concatenate(found)) if where else (np.empty(0, int), np.empty(0, np.uint64))
 
+    def likely(self, words: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """For each item, whether these distinct grams hit as many seeds as it needs and the words hold enough of its words
+        for MIN_SCORE (a score is at most the number of matches)."""
+        hits = np.bincount(self.owner[_ranges(self.grams, grams)[0]], minlength=len(self.items))
+        out, own = (hits > 0) & (hits >= self.needed), np.unique(words)
+        for k in np.flatnonzero(out):
+            out[k] = _shared(self.items[k], own) >= MIN_SCORE * len(self.items[k])
+        return out
+
     def leaks(self, words: np.ndarray, cache: dict) -> Iterator[tuple[int, float, int]]:
         """(item, score, first word of the passage) of each item that these words leak."""
         where, grams = self.known(words)
         if not len(where):
             return
-        low, high = np.searchsorted(self.grams, grams, "left"), np.searchsorted(self.grams, grams, "right")
-        counts = high - low
-        at = np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = np.repeat(where, counts) - self.position[at]
-        owners = self.owner[at]
+        likely = self.likely(words, np.unique(grams))
+        if not likely.any():
+            return
+        keep = likely[self.owner]
+        sorted_grams, owner, position = self.grams[keep], self.owner[keep], self.position[keep]
+        at, counts = _ranges(sorted_grams, grams)
+        starts = np.repeat(where, counts) - position[at]
+        owners = owner[at]
         order = np.lexsort((starts, owners))
         owners, starts, at = owners[order], starts[order], at[order]
         edges = np.flatnonzero(np.diff(owners)) + 1
@@ -100,6 +124,8 @@ class Block:
                     continue
                 begin, end = max(0, int(s[a]) - slack), int(s[b - 1]) + len(item) + slack
                 window = words[begin:end]
+                if _shared(item, np.unique(window)) < MIN_SCORE * len(item):
+                    continue
                 name = (k, window.tobytes())
                 score = cache.get(name)
                 if score is None:
@@ -112,17 +138,6 @@ class Block:
                 yield k, best / len(item), first
 
 
-def _gram_batches(block) -> callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b = block.value
-        for batch in small(batches):
-            seen = [np.unique(b.known(passage_words(t))[1]) for t in batch.column("_text").to_pylist()]
-            grams, counts = np.unique(np.concatenate(seen) if seen else np.empty(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))], names=["gram", "n"])
-
-    return run
-
-
 def _leak_batches(block, id_type: pa.DataType | None = None) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, cache = block.value, {}
@@ -150,16 +165,6 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
         yield items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()
 
 
-def _rare_limit(frequency: np.ndarray, owner: np.ndarray, n_items: int) -> np.ndarray:
-    """For each item, the document count up to which its n-grams are rare: RARE_TIMES their median, at least RARE_LEAST."""
-    order = np.lexsort((frequency, owner))
-    sizes = np.bincount(owner, minlength=n_items)
-    middle = np.cumsum(sizes) - sizes + sizes // 2
-    median = np.zeros(n_items)
-    median[sizes > 0] = frequency[order][middle[sizes > 0]]
-    return np.maximum(RARE_LEAST, RARE_TIMES * median)
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = SEED_WORDS) -> DataFrame:
     """_id, _th, item_id, score, first_word: each item that each row of docs leaks."""
     spark = docs.sparkSession
@@ -172,13 +177,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         owner = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
         position = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, int)
         flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        every = spark.sparkContext.broadcast(Block(words, flat, owner, position))
-        # as many rows at most as the block has n-grams
-        counted = keyed.mapInArrow(_gram_batches(every), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
-        df = dict(zip(counted.gram.to_numpy().view(np.uint64).tolist(), counted.n.tolist(), strict=True))
-        frequency = np.array([df.get(g, 0) for g in flat.tolist()], dtype=np.int64)
-        seeds = np.flatnonzero(frequency <= _rare_limit(frequency, owner, len(rows))[owner])
-        block = spark.sparkContext.broadcast(Block(words, flat[seeds], owner[seeds], position[seeds]))
+        block = spark.sparkContext.broadcast(Block(words, flat, owner, position))
         found = keyed.mapInArrow(_leak_batches(block), f"_id {dict(keyed.dtypes)['_id']}, _th long, _item long, score double, first_word long")
         names = spark.createDataFrame([(k, r.item) for k, r in enumerate(rows)], T.StructType([T.StructField("_item", T.LongType()), T.StructField("item_id", item_type)]))
         found = found.join(F.broadcast(names), "_item").select("_id", "_th", "item_id", "score", "first_word")

@@ -54,6 +54,18 @@ def test_planted_leaks(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5]
 
 
+def test_an_edited_copy_in_many_documents(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    item = [word() for _ in range(30)]
+    edited = [word() if k % 5 == 4 else w for k, w in enumerate(item)]
+    rows = [(k, " ".join([word() for _ in range(20)] + edited + [word() for _ in range(20)])) for k in range(50)]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    for extra in ([], [(50, " ".join(item))]):
+        docs = spark.createDataFrame(rows + extra + [(99, " ".join(item[:8]))], "doc_id long, text string")
+        assert sorted(x["_id"] for x in d.find_leaks(docs, bench).collect()) == [k for k, _ in rows + extra]
+
+
 def test_empty_tables(spark):
     docs, table, bench = make(spark)
     assert d.find_leaks(table.limit(0), bench).count() == 0
