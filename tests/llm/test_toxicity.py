@@ -49,3 +49,25 @@ def test_without_labels_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert [o.predicted for o in x.score_toxicity(docs, labels).collect()] == [0, 0]
     assert x.score_toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_every_ngram_of_two_documents_is_in_the_model(spark):
+    # more words than the former bound of the model, all but one in three documents
+    common = [(k, " ".join(f"w{k // 3}x{i}" for i in range(1000)), 0) for k in range(480)]
+    rows = spark.createDataFrame(common + [(k, "vile", 1) for k in (900, 901)], "id long, _text string, _toxic int").select("_toxic", "_text")
+    model = {r.k: r.v for r in x.fit_model(rows).collect()}
+    assert len(model) == 160 * (1000 + 999) + 1
+    vile = x.word_keys(x.words_of("vile")).view(np.int64)[0]
+    assert model[vile] > 0 and max(v for k, v in model.items() if k != vile) < model[vile]
+
+
+def test_the_head_decides_only_where_an_ngram_is_looked_up(spark, sf_dir, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.unionByName(docs.limit(20))
+    scores = []
+    for most, bits in ((x.HEAD_NGRAMS, 27), (2000, 27), (2000, 19), (0, 27)):
+        monkeypatch.setattr(x, "HEAD_NGRAMS", most)
+        monkeypatch.setattr(x, "FILTER_BITS", bits)
+        scores.append(sorted((o["_id"], o.score) for o in x.score_toxicity(docs, labels).collect()))
+    for other in scores[1:]:
+        assert [a for a, _ in other] == [a for a, _ in scores[0]] and np.allclose([b for _, b in other], [b for _, b in scores[0]])
