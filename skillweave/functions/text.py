@@ -22,9 +22,9 @@ def _accents() -> tuple[str, str]:
 
 
 ACCENTED, PLAIN = _accents()
-#: Spellings that tokenisation would break.
-SKILL_SPELLINGS = ((".net", " dotnet"), ("c++", "cplusplus"), ("c#", "csharp"), ("f#", "fsharp"), ("tcp/ip", "tcpip"))
-TITLE_PREFIXES = ("senior", "junior", "lead", "head", "chief", "apprentice", "intern", "freelance", "trainee", "associate", "staff", "graduate")
+#: Fixed values, which keys must agree on: spellings that tokenisation would break, words before and after a title.
+SKILL_SPELLINGS = ((".net", " dotnet"), ("c++", "cplusplus"), ("c#", "csharp"), ("f#", "fsharp"), ("tcp/ip", "tcpip"), ("co-ordin", "coordin"))
+TITLE_PREFIXES = ("senior", "junior", "lead", "head", "chief", "honorary", "apprentice", "intern", "freelance", "trainee", "associate", "staff", "graduate")
 TITLE_SUFFIXES = ("intern", "apprentice")
 LEGAL_FORMS = ("limited", "ltd", "inc", "plc", "uk")
 LANGUAGES = {"en": "english", "de": "german", "fr": "french", "es": "spanish"}
@@ -44,9 +44,9 @@ def strip_accents(text: Column) -> Column:
 
 
 def without_brackets(text: Column) -> Column:
-    """Drops balanced brackets, three levels deep."""
-    for _ in range(3):
-        text = F.regexp_replace(text, r"\([^()]*\)", "")
+    """Drops what stands in round, square or curly brackets, up to six levels deep; a bracket without its partner stays."""
+    for _ in range(6):
+        text = F.regexp_replace(text, r"\([^()\[\]{}]*\)|\[[^()\[\]{}]*\]|\{[^()\[\]{}]*\}", "")
     return text
 
 
@@ -128,11 +128,46 @@ def without_skills(title: Column, skills: list[str], protect_before: tuple[str,
     return F.nullif(F.array_join(F.filter(words, lambda w, i: ~w.isin(*skills) | following(i).isin(*protect_before)), " "), F.lit(""))
 
 
+_ORDINAL = r"(\d(st|nd|rd|th)|first|second|third)"
+#: How many ordinals and connectors may stand before "line".
+_LINE_REACH = 4
+
+
 def job_post_title(name: Column) -> Column:
-    """Head counts, salaries, durations and support lines off a post's title."""
-    for pattern in (r"(?i)^\d+ ?x |^x ?\d+ | x ?\d+$| \d+ ?x$", r"(?i)(gbp|£)?\d{2,}(-\d{2,})?k\b", r"\b\d{2,3},?\d{3}\b", r"(?i)up to \d{2,}", r"(?i)\b\d{1,2} months?( contract)?", r"(?i)\b(1st|2nd|3rd)( *[/&-] *(2nd|3rd))* line"):
-        name = F.regexp_replace(name, pattern, "")
-    return squeeze(name)
+    """A post's title, word by word: without the head count at either end, pay, contract length and support line.
+
+    Each word is judged by itself and the words beside it, lower case and without the signs around it."""
+    words = F.split(squeeze(name), " ")
+    bare = F.transform(words, lambda w: F.regexp_replace(F.lower(w), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    last = F.size(words) - 1
+    at = lambda i: F.coalesce(F.when(i >= 0, F.get(bare, i)), F.lit(""))
+    is_number = lambda w: w.rlike(r"^\d+$")
+
+    def counted(i: Column) -> Column:
+        two = lambda k: (is_number(at(k)) & (at(k + 1) == "x")) | ((at(k) == "x") & is_number(at(k + 1)))
+        alone = ((i == 0) | (i == last)) & at(i).rlike(r"^(x\d+|\d+x)$")
+        return alone | ((i <= 1) & two(F.lit(0))) | ((i >= last - 1) & (last >= 1) & two(last - 1))
+
+    def pay(i: Column) -> Column:
+        thousands = at(i).rlike(r"^([a-z]{3})?\d[\d,.]*(k?[-–]\W?\d[\d,.]*)?k$")
+        large = F.length(F.regexp_replace(at(i), ",", "")).between(5, 6) & at(i).rlike(r"^\d{2,3},?\d{3}$")
+        up_to = lambda k: (at(k) == "up") & (at(k + 1) == "to") & at(k + 2).rlike(r"^\d{2,}")
+        return thousands | large | up_to(i) | up_to(i - 1) | up_to(i - 2)
+
+    def length(i: Column) -> Column:
+        months = lambda k: is_number(at(k)) & (F.length(at(k)) <= 2) & at(k + 1).isin("month", "months")
+        return months(i) | months(i - 1) | (months(i - 2) & (at(i) == "contract"))
+
+    def line(i: Column) -> Column:
+        level = lambda k: at(k).rlike(rf"^{_ORDINAL}([/&-]{_ORDINAL})*$")
+        joint = lambda k: level(k) | at(k).isin("", "and", "to")
+        found, between = (at(i) == "line") & level(i - 1), level(i) | joint(i)
+        for k in range(1, _LINE_REACH + 1):
+            found = found | (between & (at(i + k) == "line") & level(i + k - 1) & (level(i) | level(i - 1)))
+            between = between & joint(i + k)
+        return found
+
+    return F.array_join(F.filter(words, lambda w, i: ~(counted(i) | pay(i) | length(i) | line(i))), " ")
 
 
 def company_name(name: Column, stop: list[str]) -> Column:

@@ -57,17 +57,37 @@ def test_keys(spark):
         spark.createDataFrame([("a:b",)], "k string").select(t.key_parts(F.col("k"))).collect()
 
 
-SALARIES = [
-    ("Rate £20-£22 per hour (depending)", (20.0, 22.0, "hour")), ("Pays €30,000-40,000 plus", (30000.0, 40000.0, "year")), ("From £38.00 to £44.00 per Hour Ltd", (38.0, 44.0, "hour")),
-    ("salary of £31,200 and 20 days leave", (31200.0, 31200.0, "year")), ("banding of £35-£45k.", (35000.0, 45000.0, "year")), ("around £300pd - then", (300.0, 300.0, "day")),
-    ("£28 - £32k p/a, van", (28000.0, 32000.0, "year")), ("£8.50 Per Hour/ more", (8.5, 8.5, "hour")), ("£30-40 per hour or £40,000 - £50,000pa", (40000.0, 50000.0, "year")), ("a £5 million fund", None), ("", None), (None, None),
-]
-
-
-def test_salaries(spark):
-    df = spark.createDataFrame([(k, x) for k, (x, _) in enumerate(SALARIES)], "k int, text string")
-    out = {x.k: None if x.s is None else tuple(x.s) for x in df.select("k", m.salary(F.col("text")).alias("s")).collect()}
-    assert out == {k: y for k, (_, y) in enumerate(SALARIES)}
+def pay(low, high, sign="£", joint=" - ", tail=""):
+    return f"{sign}{low:,}{joint}{sign}{high:,}{tail}"
+
+
+@pytest.mark.parametrize(("text", "expected"), [
+    (pay(41_250, 47_900), (41250.0, 47900.0, "year")),
+    (f"Remuneration: {pay(17, 19, joint='-', tail=' per hour')}, rota work", (17.0, 19.0, "hour")),
+    (pay(51_700, 58_300, sign="€", joint=" to ", tail=" per annum"), (51700.0, 58300.0, "year")),
+    (f"{pay(612, 640, joint=' to ', tail=' per day')} outside of London", (612.0, 640.0, "day")),
+    ("Our band is £61-£66k", (61000.0, 66000.0, "year")),
+    ("We pay £717 per week and a £90,000 car fund of our own", (90000.0, 90000.0, "year")),
+    ("A £6 million programme", None), ("A £12 voucher for lunch", None), ("no amount at all", None), ("", None), (None, None),
+])
+def test_salaries(spark, text, expected):
+    found = spark.createDataFrame([(text,)], "text string").select(m.salary(F.col("text")).alias("s")).first().s
+    assert (found and tuple(found)) == expected
+
+
+def test_job_post_titles(spark):
+    titles = {
+        "Web Tester": "Web Tester", "4x Web Tester": "Web Tester", "Web Tester x4": "Web Tester", "4 x Web Tester": "Web Tester", "Web Tester - £52k": "Web Tester -",
+        "Web Tester 52,500": "Web Tester", "Web Tester up to 450": "Web Tester", "Web Tester, 9 month contract": "Web Tester,", "Contract Tester": "Contract Tester",
+        "1st/2nd line Support": "Support", "Second and third Line Help Desk": "Help Desk", "Line Cook": "Line Cook", "First Mate": "First Mate", "": "",
+    }
+    df = spark.createDataFrame([(x,) for x in titles], "x string")
+    assert {r.x: r.y for r in df.select("x", t.job_post_title(F.col("x")).alias("y")).collect()} == titles
+
+
+def test_brackets_of_all_kinds(spark):
+    df = spark.createDataFrame([("Chef [Paris] {x} (a (b) c) d)",)], "x string")
+    assert df.select(t.clean(F.col("x"), brackets=True)).first()[0] == "chef d"
 
 
 def test_phrases_within_their_margin(spark):
