@@ -22,15 +22,17 @@ _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that all executors share; sets one only where the session has none (as in tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="skillweave-checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
+    """The checkpoint folder that all executors share. A session without one gets a folder of its own only in local mode (as
+    in tests), where driver and executors are one process; on a cluster that is an error."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="skillweave-checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -106,15 +108,16 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """v, root: each vertex of an edge table (a, b: long) with the smallest vertex of its component.
 
-    Large-star and small-star rounds: edges are pulled to the smallest neighbour until nothing moves. A vertex's
-    neighbours never meet in one task, only their minimum does; every round is written to the shared folder."""
+    Large-star and small-star rounds: edges are pulled to the smallest neighbour until nothing moves, however many rounds
+    that takes (it grows with the square of the logarithm of the longest path at most). Every round is written to the shared
+    folder."""
     links = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = checkpointed(links)
     size = None
-    for _ in range(max_rounds):
+    while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -1,10 +1,11 @@
 """Quality rules with cross-document line frequency.
 
 Each text is split at line feeds. A line is normalised (lower case, runs of white space to one blank) and hashed. For
-each host, the distinct documents that hold a line are counted; documents in which the line has the same neighbours
-count once, so a group of copies doesn't make its own lines look like boilerplate. Lines above both limits (so many
-documents, and such a share of the host's documents) are removed; a document left with too small a share of its words
-is rejected. Base rules on the whole text reject very short and very repetitive documents.
+each host, the distinct documents that hold a line are counted: documents of a host with the same set of lines are one
+document, so a group of exact copies doesn't make its own lines look like boilerplate, whatever its size. (Copies that differ
+in some line are different documents; the lines that many of them share are frequent lines, as in any template.) Lines above
+both limits (so many distinct documents, and such a share of the host's) are removed; a document left with too small a share
+of its words is rejected. Base rules on the whole text reject very short and very repetitive documents.
 
 Defined results: a null text is an empty one (no words, so it fails the base rules); a null host is a host of its own;
 null or repeated ids are allowed, rows that repeat exactly share their result; lines without a word are never counted or
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm.common import WHITE, checkpointed, gram_hashes, key_matches, small, with_key, word_hashes
+from skillweave.llm.common import WHITE, checkpointed, gram_hashes, key_matches, mix, small, with_key, word_hashes
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -30,8 +31,9 @@ MAX_SHARE = 0.002
 MIN_LEFT_SHARE = 0.3
 SYMBOLS = b"#*$%&|<>"
 
-_STATS = "_th long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-_LINES = "lines array<struct<h: long, ctx: long, w: long>>"
+_FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+_STATS = "_th long, " + ", ".join(f"{c} long" for c in _FIGURES)
+_LINES = "line_set long, lines array<struct<h: long, w: long>>"
 
 
 def line_hash(line: str) -> int | None:
@@ -40,8 +42,8 @@ def line_hash(line: str) -> int | None:
     return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63) if words else None
 
 
-def text_stats(text: str) -> tuple[int, int, int, int, int, list[dict]]:
-    """The base figures of one text and its distinct lines: hash, hash of the neighbours at first sight, words in all."""
+def text_stats(text: str) -> tuple[int, int, int, int, int, dict[int, int]]:
+    """The base figures of one text, and the words in all of each distinct line by its hash."""
     data = text.encode("utf-8", "replace")
     words = word_hashes(data)
     n_chars = len(text) - (len(data) - len(data.translate(None, WHITE)))
@@ -61,33 +63,31 @@ def text_stats(text: str) -> tuple[int, int, int, int, int, list[dict]]:
 
     seen: set[str] = set()
     dup_lines = 0
-    hashes, counts = [], []
+    lines: dict[int, int] = {}
     for line in text.split("\n"):
         n = len(line.encode("utf-8", "replace").split())
         if n:
             dup_lines += line in seen
             seen.add(line)
-            hashes.append(line_hash(line))
-            counts.append(n)
-    lines: dict[int, dict] = {}
-    for k, (h, n) in enumerate(zip(hashes, counts, strict=True)):
-        if h in lines:
-            lines[h]["w"] += n
-        else:
-            before, after = hashes[k - 1] if k else 0, hashes[k + 1] if k + 1 < len(hashes) else 0
-            lines[h] = {"h": h, "ctx": (before * 31 + after) % (1 << 62), "w": n}
-    return len(words), n_chars, n_symbols, dup_lines, repeated, list(lines.values())
+            h = line_hash(line)
+            lines[h] = lines.get(h, 0) + n
+    return len(words), n_chars, n_symbols, dup_lines, repeated, lines
+
+
+def line_set_hash(lines: dict[int, int]) -> int:
+    """A hash of a set of lines, whatever their order or number of repeats."""
+    return int(mix(np.array([*lines, len(lines)], dtype=np.int64).view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
 
 
 def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("h", pa.int64()), ("ctx", pa.int64()), ("w", pa.int64())]))
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("w", pa.int64())]))
     for batch in small(batches):
         found = [text_stats(t or "") for t in batch.column("_text").to_pylist()]
-        columns = [pa.array([x[k] for x in found], pa.int64()) for k in range(5)]
-        columns.append(pa.array([x[5] for x in found], kind))
-        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"]
+        columns = [pa.array([x[k] for x in found], pa.int64()) for k in range(len(_FIGURES))]
+        columns.append(pa.array([line_set_hash(x[-1]) for x in found], pa.int64()))
+        columns.append(pa.array([[{"h": h, "w": w} for h, w in x[-1].items()] for x in found], kind))
         keep = [batch.column(x) for x in ("_id", "_host", "_th")]
-        yield pa.RecordBatch.from_arrays([*keep, *columns], names=["_id", "_host", "_th", *names])
+        yield pa.RecordBatch.from_arrays([*keep, *columns], names=["_id", "_host", "_th", *_FIGURES, "line_set", "lines"])
 
 
 def document_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -99,14 +99,15 @@ def document_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def frequent_lines(stats: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE) -> DataFrame:
-    """host, h: lines above both limits. Counts are partial sums before they move, so a hot host or line is no hot task."""
-    lines = stats.select("_host", "_id", "_th", F.explode("lines").alias("line"))
-    once = lines.groupBy("_host", F.col("line.h").alias("h"), F.col("line.ctx").alias("ctx")).agg(F.count(F.lit(1)).alias("n"))
-    per_line = once.groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_docs"))
-    hosts = stats.groupBy("_host").agg(F.count(F.lit(1)).alias("n_host"))
+    """_host, h, n_docs: lines above both limits, with the distinct documents that hold them. A set of lines stays one row of
+    its host before anything is exploded, and counts are partial sums before they move: no hot host, line or group of copies
+    is a hot task."""
+    distinct = stats.groupBy("_host", "line_set").agg(F.any_value(F.transform("lines", lambda x: x["h"])).alias("hashes"))
+    per_line = distinct.select("_host", F.explode("hashes").alias("h")).groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_docs"))
+    hosts = stats.select("_host", "line_set").distinct().groupBy(F.col("_host").alias("_of")).agg(F.count(F.lit(1)).alias("n_host"))
     return (
         per_line.filter(F.col("n_docs") > min_documents)
-        .join(hosts.withColumnRenamed("_host", "_of"), F.col("_host").eqNullSafe(F.col("_of")))
+        .join(hosts, F.col("_host").eqNullSafe(F.col("_of")))
         .filter(F.col("n_docs") > F.col("n_host") * F.lit(max_share))
         .select("_host", "h", "n_docs")
     )
@@ -126,7 +127,7 @@ def verdicts(
     removed = hit.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth"), F.col("_host").alias("_rhost")).agg(
         F.map_from_entries(F.array_distinct(F.collect_list(F.struct("line.h", "line.w")))).alias("_lines")
     )
-    out = stats.drop("lines").join(
+    out = stats.drop("lines", "line_set").join(
         removed, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")) & F.col("_host").eqNullSafe(F.col("_rhost")), "left"
     )
     lost = F.coalesce(F.aggregate(F.map_values("_lines"), F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
@@ -191,13 +192,13 @@ r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i +
 l0 AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
 l1 AS (SELECT doc_id, source, line, pos, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
        lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM l0),
-l AS (SELECT *, coalesce(lag(norm) OVER p, '') || chr(10) || coalesce(lead(norm) OVER p, '') AS ctx,
-      row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS seen FROM l1 WHERE n > 0 WINDOW p AS (PARTITION BY doc_id ORDER BY pos)),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS seen FROM l1 WHERE n > 0),
 dup AS (SELECT doc_id, sum(CASE WHEN seen > 1 THEN 1 ELSE 0 END) AS n FROM l GROUP BY doc_id),
-one AS (SELECT doc_id, source, norm, arg_min(ctx, pos) AS ctx, sum(n) AS n FROM l GROUP BY doc_id, source, norm),
-host AS (SELECT source, count(*) AS n_host FROM d GROUP BY source),
-f AS (SELECT o.source, o.norm FROM one o JOIN host h ON o.source IS NOT DISTINCT FROM h.source GROUP BY o.source, o.norm
-      HAVING count(DISTINCT o.ctx) > {MIN_DOCUMENTS} AND count(DISTINCT o.ctx) > max(h.n_host) * CAST({MAX_SHARE} AS DOUBLE)),
+one AS (SELECT doc_id, source, norm, sum(n) AS n FROM l GROUP BY doc_id, source, norm),
+sets AS (SELECT doc_id, source, string_agg(norm, chr(10) ORDER BY norm) AS line_set FROM one GROUP BY doc_id, source),
+host AS (SELECT d.source, count(DISTINCT coalesce(sets.line_set, '')) AS n_host FROM d LEFT JOIN sets USING (doc_id) GROUP BY d.source),
+f AS (SELECT o.source, o.norm FROM one o JOIN sets USING (doc_id) JOIN host h ON o.source IS NOT DISTINCT FROM h.source GROUP BY o.source, o.norm
+      HAVING count(DISTINCT sets.line_set) > {MIN_DOCUMENTS} AND count(DISTINCT sets.line_set) > max(h.n_host) * CAST({MAX_SHARE} AS DOUBLE)),
 lost AS (SELECT o.doc_id, sum(o.n) AS n FROM one o JOIN f ON o.source IS NOT DISTINCT FROM f.source AND o.norm = f.norm GROUP BY o.doc_id),
 s AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
       CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,

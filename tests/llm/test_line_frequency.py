@@ -59,6 +59,37 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert all("Cookies" not in t for a, t, _ in texts if a is not None and a < 40)
 
 
+def distinct_documents(rows):
+    """host -> line -> sets of lines that hold it, by brute force."""
+    found = {}
+    for _, host, text in rows:
+        lines = frozenset(" ".join(x.lower().split()) for x in (text or "").split("\n")) - {""}
+        found.setdefault(host, set()).add(lines)
+    return {host: {x: sum(x in s for s in sets) for s in sets for x in s} for host, sets in found.items()}
+
+
+def test_counts_are_of_distinct_documents(spark):
+    rows, df = corpus(spark)
+    counts = distinct_documents(rows)
+    found = {(r["_host"], r.h): r.n_docs for r in q.frequent_lines(q.document_stats(df), 0, 0.0).collect()}
+    assert found == {(host, q.line_hash(x)): n for host, lines in counts.items() for x, n in lines.items()}
+
+
+def test_a_block_of_lines_goes_whole_and_exact_copies_stay(spark):
+    r = random.Random(5)
+    prose = lambda n: " ".join("".join(r.choice("abcdefg") for _ in range(6)) for _ in range(n))
+    block = "menu of the day\nimprint and terms\nall rights reserved"
+    rows = [(k, "h", f"{block}\n{prose(60)}\n{block.upper()}") for k in range(200)]
+    rows += [(1000 + k, "h", "a text of its own\n" + prose(1) * 60 + "\nwith a second line") for k in range(1)]
+    copy = prose(50) + "\n" + prose(50)
+    rows += [(2000 + k, "h", copy) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    by = {x["_id"]: x for x in q.verdicts(df).collect()}
+    assert all(len(by[k].removed) == 3 and by[k].n_removed_words == 20 and by[k].kept for k in range(200))
+    assert all(by[2000 + k].kept and not by[2000 + k].removed for k in range(400))
+    assert all("menu" not in x.text.lower() and "rights" not in x.text.lower() for x in q.apply_quality(df).filter("doc_id < 200").collect())
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string")
     assert q.verdicts(df).count() == 0 and q.apply_quality(df).count() == 0
