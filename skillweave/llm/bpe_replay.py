@@ -1,20 +1,30 @@
-"""Byte-level BPE by merge replay.
+"""Byte-level BPE by corpus-level merge replay.
 
-A block of documents is split into pieces by the tokenizer's pattern. All distinct pieces of the block that were not yet
-solved become one token array; an inverted index maps each merge's rank to the positions where it applies; the ranks are
-replayed in order, and each merge touches its two neighbours only. A solved piece is kept for the task's blocks that
-follow, up to a bound, so a frequent piece is replayed once, whatever the number of its occurrences. The ranks (a file of bounded
-size) are the only thing broadcast. Blocks are tasks' own, there is no shuffle, and the ids are those of whole pieces.
+1. Texts are cut into words at blanks and line feeds. In a text whose white space is single ones of these, the tokenizer's
+   pattern starts a match at each, so a word is a run of whole pieces, and its ids don't depend on where it stands. Of other
+   texts, and with cut=False (for other patterns), the words are the pieces themselves.
+2. The words of the whole corpus are counted, and the HEAD_WORDS most frequent are solved once: all their pieces become one
+   token array; an inverted index maps each token pair to the positions where it stands; pairs are taken in rank order over all
+   words at once, and each merge touches its two neighbours only. The index is an array sorted by pair, made anew for each
+   window of ranks; pairs that come up inside the window are filed as they come.
+3. The solved words are broadcast: their number is bounded, whatever the corpus. Documents look their words up; a word beyond the
+   head, which is rare by its rank, is solved by the same replay with the other rare words of its block of documents. Joining
+   these from a table would move each of their occurrences twice.
 
 Defined results: a null text is an empty one (no ids); special-token strings are ordinary text; rows that repeat and null
-ids are allowed; an empty table gives an empty result; the output columns replace input columns of the same name.
+ids are allowed; a text of any length is whole, in a block of its own; an empty table gives an empty result; the output
+columns replace input columns of the same name.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
@@ -23,129 +33,200 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skillweave.llm.common import bounded_batches, small
+from skillweave.llm.common import bounded_batches, small, stored
+
+#: Words that are solved for the whole corpus and broadcast (about 20 bytes each), the most frequent.
+HEAD_WORDS = 300_000
+#: Characters of texts that look up and solve their words together.
+BLOCK_CHARS = 8_000_000
+#: Words that one replay of the corpus's words holds at most.
+REPLAY_WORDS = 100_000
+#: Longer words are solved where they stand, so the head has a bound in bytes too.
+MAX_HEAD_CHARS = 64
+#: Windows of ranks, from the first merges on; later ones hold ever more ranks.
+_WINDOWS = 60
 
-MAX_SOLVED = 400_000
-MAX_PAIRS = 300_000
-BLOCK_CHARS = 2_000_000
 
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-class Replayer:
-    """Replays merges over blocks of pieces."""
+class Merges:
+    """All token pairs that merge, sorted, with the number of each in the order of ranks."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.tokens = {i: t for t, i in ranks.items()}
-        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.byte_pairs = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], dtype=np.int64)
-        byte = self.bytes.tolist()
-        self.pairs: dict[int, int] = {a << 32 | b: r for (a, b), r in zip(((a, b) for a in byte for b in byte), self.byte_pairs.tolist(), strict=True)}
-        self.solved: dict[str, bytes] = {}
-
-    def pair_rank(self, a: int, b: int) -> int:
-        """Rank of the merge of two tokens, -1 if there is none."""
-        rank = self.pairs.get(a << 32 | b)
-        if rank is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            rank = self.pairs[a << 32 | b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-        return rank
-
-    def replay(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece."""
-        whole = {k: self.ranks[x] for k, x in enumerate(pieces) if x in self.ranks}
-        ends = np.cumsum([len(x) for x in pieces], dtype=np.int64)
-        flat = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.int64)
+        found = [(r, ranks[t[:k]], ranks[t[k:]]) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+        table = np.array(sorted(found), dtype=np.int64).reshape(-1, 3)
+        self.size = max(ranks.values(), default=0) + 1
+        self.rank = table[:, 0].copy()
+        key = table[:, 1] * self.size + table[:, 2]
+        self.number = np.argsort(key).astype(np.int32)
+        self.key = key[self.number]
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        #: tokens that can stand in a pair of a lower rank than their own; words are taken one merge at a time there
+        back = table[(table[:, 0] < table[:, 1]) | (table[:, 0] < table[:, 2])]
+        self.falls = np.zeros(self.size, dtype=bool)
+        self.falls[back[:, 1:].ravel()] = True
+        steps = np.unique(np.geomspace(1, max(len(table), 2), _WINDOWS).astype(np.int64))
+        # no rank is in two windows
+        self.windows = np.unique(np.searchsorted(self.rank, self.rank[np.minimum(steps, len(table) - 1)], "right")) if len(table) else np.empty(0, int)
+
+    def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of each pair of tokens; -1 where they don't merge (or one is no token)."""
+        wanted = a.astype(np.int64) * self.size + b
+        at = np.searchsorted(self.key, wanted)
+        at[at == len(self.key)] = 0
+        return np.where((self.key[at] == wanted) & (a >= 0) & (b >= 0), self.number[at], -1) if len(self.key) else np.full(len(a), -1)
+
+
+class _Words:
+    """Pieces as one token array, with the links between neighbours and the pair that starts at each place."""
+
+    def __init__(self, merges: Merges, flat: np.ndarray, ends: np.ndarray):
         n = len(flat)
-        token = self.bytes[flat].tolist()
-        after = np.arange(1, n + 1)
-        after[ends[ends > 0] - 1] = -1
-        last = after == -1
-        prior = np.arange(-1, n - 1)
-        prior[1:][last[:-1]] = -1
-        # the inverted index: rank of a merge -> where its pair starts, as far as single bytes go
-        rank_at = np.full(n, -1)
-        rank_at[:-1] = self.byte_pairs[flat[:-1] * 256 + flat[1:]]
-        rank_at[last] = -1
-        for k in whole:
-            rank_at[(ends[k - 1] if k else 0) : ends[k]] = -1
-        where_any = np.flatnonzero(rank_at >= 0)
-        where_any = where_any[np.argsort(rank_at[where_any], kind="stable")]
-        kinds, cuts = np.unique(rank_at[where_any], return_index=True)
-        index: dict[int, list[int]] = {int(r): x.tolist() for r, x in zip(kinds, np.split(where_any, cuts[1:]), strict=True)} if len(kinds) else {}
-        following, before = after.tolist(), prior.tolist()
-        known, pair_rank, push = self.pairs.get, self.pair_rank, heapq.heappush
+        self.m = merges
+        self.token = merges.bytes[flat]
+        self.after, self.before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+        self.after[ends - 1] = -1
+        self.before[np.r_[0, ends[:-1]]] = -1
+        self.word = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(np.r_[0, ends]))
+        self.pair = np.full(n, -1, dtype=np.int32)
+        self.pair[:-1] = merges.pair(self.token[:-1], self.token[1:])
+        self.pair[ends - 1] = -1
+
+    def merge(self, at: np.ndarray, rank: int) -> np.ndarray:
+        """Merges the pairs that start at these places (apart from each other); gives the places whose pair is new."""
+        gone = self.after[at]
+        right = self.after[gone]
+        self.token[at], self.token[gone] = rank, -1
+        self.pair[gone] = -1
+        self.after[at] = right
+        self.before[right[right >= 0]] = at[right >= 0]
+        left = self.before[at]
+        left = left[left >= 0]
+        touched = np.concatenate([at, left])
+        following = self.after[touched]
+        self.pair[touched] = np.where(following >= 0, self.m.pair(self.token[touched], self.token[following]), -1)
+        return touched[self.pair[touched] >= 0]
+
+    def replay(self) -> None:
+        pending = [np.flatnonzero(self.pair >= 0).astype(np.int32)]
+        low = 0
+        for high in self.m.windows.tolist():
+            # the inverted index of this window: places sorted by pair
+            open_places = np.concatenate(pending) if pending else np.empty(0, np.int32)
+            numbers = self.pair[open_places]
+            open_places, numbers = open_places[numbers >= low], numbers[numbers >= low]
+            here = numbers < high
+            pending = [open_places[~here]]
+            self.window(open_places[here], numbers[here], high, pending)
+            low = high
+
+    def window(self, places: np.ndarray, numbers: np.ndarray, high: int, pending: list[np.ndarray]) -> None:
+        order = np.argsort(numbers, kind="stable")
+        places, numbers = places[order], numbers[order]
+        kinds, cuts = np.unique(numbers, return_index=True)
+        index: dict[int, list[np.ndarray]] = {int(k): [x] for k, x in zip(kinds, np.split(places, cuts[1:]), strict=True)} if len(kinds) else {}
         queue = list(index)
         heapq.heapify(queue)
+        rank_of = self.m.rank
+
+        def file(number: int, where: np.ndarray) -> None:
+            if number in index:
+                index[number].append(where)
+            else:
+                index[number] = [where]
+                heapq.heappush(queue, number)
+
         while queue:
-            rank = heapq.heappop(queue)
-            where = index.pop(rank, None)
-            if where is None:
+            found = index.pop(number := heapq.heappop(queue))
+            rank = int(rank_of[number])
+            while queue and rank_of[queue[0]] == rank:
+                found += index.pop(heapq.heappop(queue))
+            at = np.concatenate(found) if len(found) > 1 else found[0]
+            # a neighbour may have been merged meanwhile
+            now = self.pair[at]
+            at = at[(now >= 0) & (rank_of[now] == rank)]
+            if not len(at):
                 continue
-            where.sort()
-            for k, i in enumerate(where):
-                j = following[i]
-                # a neighbour may have been merged meanwhile
-                if j < 0 or (a := token[i]) < 0:
-                    continue
-                r = known(a << 32 | token[j])
-                if (pair_rank(a, token[j]) if r is None else r) != rank:
-                    continue
-                right, left = following[j], before[i]
-                token[i], token[j], following[i] = rank, -1, right
-                least = rank + 1
-                if right >= 0:
-                    before[right] = i
-                    r = known(rank << 32 | token[right])
-                    if r is None:
-                        r = pair_rank(rank, token[right])
-                    if r >= 0:
-                        if r in index:
-                            index[r].append(i)
-                        else:
-                            index[r] = [i]
-                            push(queue, r)
-                        least = r
-                if left >= 0:
-                    r = known(token[left] << 32 | rank)
-                    if r is None:
-                        r = pair_rank(token[left], rank)
-                    if r >= 0:
-                        if r in index:
-                            index[r].append(left)
-                        else:
-                            index[r] = [left]
-                            push(queue, r)
-                        if r < least:
-                            least = r
-                if least <= rank:  # an earlier merge came up; it goes before the rest of this one
-                    if rank not in index:
-                        push(queue, rank)
-                    index.setdefault(rank, []).extend(where[k + 1 :])
-                    break
-        out = []
-        starts = [0, *ends.tolist()]
-        for k, piece in enumerate(pieces):
-            if k in whole:
-                out.append([whole[k]])
-            else:
-                out.append([t for t in token[starts[k] : starts[k + 1]] if t >= 0])
-        return out
+            if len(at) > 1:
+                at = np.sort(at)
+                at = at[np.r_[True, at[1:] != at[:-1]]]
+                chained = np.r_[False, self.after[at[:-1]] == at[1:]]
+                if chained.any():  # of pairs that overlap, every other one from the left
+                    head = np.maximum.accumulate(np.where(chained, 0, np.arange(len(at))))
+                    at = at[(np.arange(len(at)) - head) % 2 == 0]
+                if self.m.falls[rank]:
+                    first = np.r_[True, np.diff(self.word[at]) != 0]
+                    later = at[~first]
+                    at = at[first]
+                    for k in np.unique(self.pair[later]).tolist():
+                        file(k, later[self.pair[later] == k])
+            new = self.merge(at, rank)
+            if not len(new):
+                continue
+            numbers = self.pair[new]
+            late = numbers >= high
+            if late.any():
+                pending.append(new[late])
+                new, numbers = new[~late], numbers[~late]
+            if len(new) == 1:
+                file(int(numbers[0]), new)
+            elif len(new):
+                order = np.argsort(numbers, kind="stable")
+                new, numbers = new[order], numbers[order]
+                cuts = np.flatnonzero(np.diff(numbers)) + 1
+                for k, x in zip(numbers[np.r_[0, cuts]].tolist(), np.split(new, cuts), strict=True):
+                    file(k, x)
+
+
+def solve_words(keys: list[str], pattern: regex.Pattern, ranks: dict[bytes, int], merges: Merges) -> list[bytes]:
+    """The ids of each word, packed as little-endian unsigned 32-bit integers; equal pieces are solved once."""
+    pieces: list[str] = []
+    counts = []
+    for w in map(text_of, keys):
+        found = pattern.findall(w)
+        pieces += found
+        counts.append(len(found))
+    names = list(dict.fromkeys(pieces))
+    raw = [x.encode("utf-8") for x in names]
+    whole = [ranks.get(x, -1) for x in raw]
+    solved = dict(zip(names, map(_PACK, whole), strict=True))
+    open_pieces = [k for k, r in enumerate(whole) if r < 0]
+    if open_pieces:
+        ends = np.cumsum([len(raw[k]) for k in open_pieces], dtype=np.int64)
+        table = _Words(merges, np.frombuffer(b"".join([raw[k] for k in open_pieces]), dtype=np.uint8), ends)
+        table.replay()
+        left = table.token >= 0
+        packed = table.token[left].astype("<u4").tobytes()
+        stops = (4 * np.cumsum(np.add.reduceat(left, np.r_[0, ends[:-1]]))).tolist()
+        start = 0
+        for k, stop in zip(open_pieces, stops, strict=True):
+            solved[names[k]] = packed[start:stop]
+            start = stop
+    ids = map(solved.__getitem__, pieces)
+    return [next(ids) if n == 1 else b"".join(islice(ids, n)) for n in counts]
+
+
+_PACK = Struct("<i").pack
+#: What may not stand in a text that is cut: the mark below, and white space but for blank and line feed.
+_OTHER = re.compile("[\x00\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
-    def encode_block(self, texts: list[str], pattern: regex.Pattern) -> list[bytes]:
-        """The ids of each text, packed as little-endian unsigned 32-bit integers."""
-        pieces = [pattern.findall(t) for t in texts]
-        if len(self.solved) > MAX_SOLVED:
-            self.solved.clear()
-        new = list(set().union(*pieces) - self.solved.keys())
-        for piece, ids in zip(new, self.replay([x.encode("utf-8") for x in new]), strict=True):
-            self.solved[piece] = np.array(ids, dtype="<u4").tobytes()
-        solve = self.solved.__getitem__
-        return [b"".join(map(solve, p)) for p in pieces]
+
+def cut_words(text: str, pattern: regex.Pattern, cut: bool) -> list[str]:
+    """Keys of the words of a text, in order: a line feed and what follows it, a zero and a piece, or what follows a blank."""
+    if not cut or _OTHER.search(text) or any(x in text for x in ("  ", " \n", "\n ", "\n\n")) or text[-1:] in (" ", "\n"):
+        return ["\0" + x for x in pattern.findall(text)]
+    words = text.replace("\n", " \n").split(" ")
+    if words[0]:
+        words[0] = "\0" + words[0]
+        return words
+    return words[1:]
+
+
+def text_of(key: str) -> str:
+    return key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key
 
 
 def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
@@ -160,26 +241,88 @@ def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
         yield block
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def head_words(docs: DataFrame, pattern: str, text_col: str, cut: bool, most: int) -> DataFrame:
+    """w: at most so many words of the corpus, the most frequent (those of the last count are left out together)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled, seen = regex.compile(pattern), Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+
+        for batch in small(batches):
+            for t in batch.column("_text").to_pylist():
+                seen.update(cut_words(t or "", compiled, cut))
+            if len(seen) > REPLAY_WORDS:
+                yield out()
+                seen.clear()
+        yield out()
+
+    counts = docs.select(F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    # a word that stands once is solved there
+    counts = stored(counts.filter((F.col("n") > 1) & (F.length("w") <= MAX_HEAD_CHARS)), "bpe-words")
+    total, least = 0, 2
+    for r in sorted(counts.groupBy("n").count().collect(), key=lambda r: -r.n):  # as many rows as there are different counts
+        total += r["count"]
+        if total > most:
+            least = r.n + 1
+            break
+    return counts.filter(F.col("n") >= least).select("w")
+
+
+def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", cut: bool = True, head: int = HEAD_WORDS) -> DataFrame:
     """docs plus ids_col: binary, the ids as little-endian unsigned 32-bit integers."""
-    bounded_batches(docs.sparkSession)
-    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(rank_path))
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    ranks = load_ranks(rank_path)
+    tools = spark.sparkContext.broadcast((ranks, Merges(ranks)))
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = regex.compile(pattern)
+        for batch in gathered(batches, REPLAY_WORDS):
+            words = batch.column("w").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column("w"), pa.array(solve_words(words, compiled, *tools.value), pa.binary())], names=["w", "ids"])
+
+    words = head_words(docs, pattern, text_col, cut, head)
+    # as few replays as the bound on their words allows: all places of a pair are then merged at once
+    solved = words.coalesce(max(1, -(-head // REPLAY_WORDS))).mapInArrow(solve, "w string, ids binary").toArrow()
+    known = spark.sparkContext.broadcast((solved.column("w").to_pylist(), solved.column("ids").to_pylist()))
     base = docs.drop(ids_col)
     names = base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled, replayer = regex.compile(pattern), Replayer(ranks.value)
-        for batch in small(batches):
+        compiled = regex.compile(pattern)
+        ids_of = dict(zip(*known.value, strict=True))
+        for batch in batches:
             at = 0
             for block in _blocks(batch.column(text_col).to_pylist()):
                 part = batch.slice(at, len(block))
                 at += len(block)
-                ids = pa.array(replayer.encode_block(block, compiled), pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*names, ids_col])
+                cuts = [cut_words(t, compiled, cut) for t in block]
+                rare = list(set().union(*cuts) - ids_of.keys())
+                ids_of.update(zip(rare, solve_words(rare, compiled, *tools.value), strict=True))
+                get = ids_of.__getitem__
+                ids = [b"".join(map(get, c)) for c in cuts]
+                if len(ids_of) > 2 * HEAD_WORDS:  # the rare ones are kept for the next block, up to a bound
+                    ids_of = dict(zip(*known.value, strict=True))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], names=[*names, ids_col])
 
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(ids_col, T.BinaryType())]))
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of up to so many."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def decode(df: DataFrame, rank_path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """df plus bytes_col: binary, the bytes that the packed ids stand for; null ids are none."""
     ranks = df.sparkSession.sparkContext.broadcast(load_ranks(rank_path))

@@ -1,7 +1,9 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,17 +15,25 @@ RANKS = b.load_ranks(PATH)
 THEIRS = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
-def ids(texts):
-    import numpy as np
-    import regex
+MERGES = b.Merges(RANKS)
+PATTERN = regex.compile(public_tokenizers.PATTERN)
 
-    packed = b.Replayer(RANKS).encode_block(texts, regex.compile(public_tokenizers.PATTERN))
-    return [np.frombuffer(x, dtype="<u4").tolist() for x in packed]
+
+def ids(texts, cut=True):
+    words = [b.cut_words(t, PATTERN, cut) for t in texts]
+    assert ["".join(map(b.text_of, w)) for w in words] == texts
+    solved = iter(b.solve_words([x for w in words for x in w], PATTERN, RANKS, MERGES))
+    return [np.frombuffer(b"".join(next(solved) for _ in w), dtype="<u4").tolist() for w in words]
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("aabcdeé ßhtn'sl1\n\t日本🙂"), max_size=60), max_size=6))
-def test_blocks_match_the_library(texts):
+@given(st.lists(st.text(alphabet=st.sampled_from("aabcdeé    ßhtn'sl1\0\n\t\x1c\x85\u00a0\u3000日本🙂"), max_size=60), max_size=6), st.booleans())
+def test_words_match_the_library(texts, cut):
+    assert ids(texts, cut) == [THEIRS.encode_ordinary(t) for t in texts]
+
+
+def test_long_runs_and_overlapping_pairs():
+    texts = ["a" * n for n in (1, 2, 3, 5, 8, 31, 1000)] + ["ab" * 777, "=" * 501, " " * 300 + "x", "\n" * 99, "aab" * 50 + "b" * 50, "0" * 64 + "1" * 65]
     assert ids(texts) == [THEIRS.encode_ordinary(t) for t in texts]
 
 
@@ -37,6 +47,14 @@ def test_table_with_nulls_and_long_texts(spark):
         assert len(r.ids) == 4 * len(THEIRS.encode_ordinary(r.text or ""))
 
 
+@pytest.mark.parametrize(("head", "cut"), [(0, True), (3, True), (10_000, False)])
+def test_the_head_decides_where_a_word_is_solved_not_how(spark, head, cut):
+    texts = ["der the la erblewh " * 3 + str(k) for k in range(30)] + ["  two  blanks ", "x\n y", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    for r in b.encode(df, PATH, public_tokenizers.PATTERN, cut=cut, head=head).collect():
+        assert np.frombuffer(r.ids, dtype="<u4").tolist() == THEIRS.encode_ordinary(texts[r.doc_id] or "")
+
+
 def test_query_against_the_library(spark, sf_dir):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = b.op4_bpe_replay(spark, sf_dir).collect()
