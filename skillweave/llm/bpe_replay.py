@@ -3,13 +3,13 @@
 1. Texts are cut into words at blanks and line feeds. In a text whose white space is single ones of these, the tokenizer's
    pattern starts a match at each, so a word is a run of whole pieces, and its ids don't depend on where it stands. Of other
    texts, and with cut=False (for other patterns), the words are the pieces themselves.
-2. The words of the whole corpus are counted, and the HEAD_WORDS most frequent are solved once: all their pieces become one
-   token array; an inverted index maps each token pair to the positions where it stands; pairs are taken in rank order over all
-   words at once, and each merge touches its two neighbours only. The index is an array sorted by pair, made anew for each
-   window of ranks; pairs that come up inside the window are filed as they come.
+2. The documents of each word of the corpus are counted, and the HEAD_WORDS most frequent are solved once: all their pieces become one
+   token array; an inverted index maps token pairs to the positions where they stand, by windows of ranks; windows are taken in
+   rank order over all words at once, inside one each word's pair of the least rank comes first, and a merge touches its two
+   neighbours only. Pairs that come up are filed under their own window.
 3. The solved words are broadcast: their number is bounded, whatever the corpus. Documents look their words up; a word beyond the
-   head, which is rare by its rank, is solved by the same replay with the other rare words of its block of documents. Joining
-   these from a table would move each of their occurrences twice.
+   head, which is rare by its rank, is solved by the same replay with the other rare words of its block of documents, unless
+   its pieces are known. Joining these from a table would move each of their occurrences twice.
 
 Defined results: a null text is an empty one (no ids); special-token strings are ordinary text; rows that repeat and null
 ids are allowed; a text of any length is whole, in a block of its own; an empty table gives an empty result; the output
@@ -19,7 +19,6 @@ columns replace input columns of the same name.
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -37,14 +36,14 @@ from skillweave.llm.common import bounded_batches, small, stored
 
 #: Words that are solved for the whole corpus and broadcast (about 20 bytes each), the most frequent.
 HEAD_WORDS = 300_000
-#: Characters of texts that look up and solve their words together.
-BLOCK_CHARS = 8_000_000
+#: Bytes of texts and rare words that are solved together, at most (a text is never split).
+BLOCK_BYTES, BLOCK_WORDS = 16 << 20, 200_000
 #: Words that one replay of the corpus's words holds at most.
 REPLAY_WORDS = 100_000
 #: Longer words are solved where they stand, so the head has a bound in bytes too.
 MAX_HEAD_CHARS = 64
 #: Windows of ranks, from the first merges on; later ones hold ever more ranks.
-_WINDOWS = 60
+_WINDOWS = 24
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -95,8 +94,8 @@ class _Words:
         self.pair[:-1] = merges.pair(self.token[:-1], self.token[1:])
         self.pair[ends - 1] = -1
 
-    def merge(self, at: np.ndarray, rank: int) -> np.ndarray:
-        """Merges the pairs that start at these places (apart from each other); gives the places whose pair is new."""
+    def merge(self, at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Merges the pairs that start at these places (apart from each other) to these tokens; gives the places whose pair is new."""
         gone = self.after[at]
         right = self.after[gone]
         self.token[at], self.token[gone] = rank, -1
@@ -104,106 +103,89 @@ class _Words:
         self.after[at] = right
         self.before[right[right >= 0]] = at[right >= 0]
         left = self.before[at]
-        left = left[left >= 0]
-        touched = np.concatenate([at, left])
+        touched = np.concatenate([at, left[left >= 0]])
         following = self.after[touched]
         self.pair[touched] = np.where(following >= 0, self.m.pair(self.token[touched], self.token[following]), -1)
-        return touched[self.pair[touched] >= 0]
+        return touched
 
     def replay(self) -> None:
-        pending = [np.flatnonzero(self.pair >= 0).astype(np.int32)]
-        low = 0
-        for high in self.m.windows.tolist():
-            # the inverted index of this window: places sorted by pair
-            open_places = np.concatenate(pending) if pending else np.empty(0, np.int32)
-            numbers = self.pair[open_places]
-            open_places, numbers = open_places[numbers >= low], numbers[numbers >= low]
-            here = numbers < high
-            pending = [open_places[~here]]
-            self.window(open_places[here], numbers[here], high, pending)
-            low = high
-
-    def window(self, places: np.ndarray, numbers: np.ndarray, high: int, pending: list[np.ndarray]) -> None:
-        order = np.argsort(numbers, kind="stable")
-        places, numbers = places[order], numbers[order]
-        kinds, cuts = np.unique(numbers, return_index=True)
-        index: dict[int, list[np.ndarray]] = {int(k): [x] for k, x in zip(kinds, np.split(places, cuts[1:]), strict=True)} if len(kinds) else {}
-        queue = list(index)
-        heapq.heapify(queue)
-        rank_of = self.m.rank
-
-        def file(number: int, where: np.ndarray) -> None:
-            if number in index:
-                index[number].append(where)
-            else:
-                index[number] = [where]
-                heapq.heappush(queue, number)
-
-        while queue:
-            found = index.pop(number := heapq.heappop(queue))
-            rank = int(rank_of[number])
-            while queue and rank_of[queue[0]] == rank:
-                found += index.pop(heapq.heappop(queue))
-            at = np.concatenate(found) if len(found) > 1 else found[0]
-            # a neighbour may have been merged meanwhile
-            now = self.pair[at]
-            at = at[(now >= 0) & (rank_of[now] == rank)]
-            if not len(at):
-                continue
-            if len(at) > 1:
-                at = np.sort(at)
-                at = at[np.r_[True, at[1:] != at[:-1]]]
+        filed: list[list[np.ndarray]] = [[] for _ in self.m.windows]
+        places = np.flatnonzero(self.pair >= 0).astype(np.int32)
+        self.file(places, filed, -1)
+        for w, high in enumerate(self.m.windows.tolist()):
+            places = np.sort(np.concatenate(filed[w])) if filed[w] else places[:0]
+            filed[w] = []
+            while True:
+                # a pair may have gone meanwhile, or have become one of another window
+                number = self.pair[places]
+                here = (number >= 0) & (number < high)
+                here[1:] &= places[1:] != places[:-1]
+                places = places[here]
+                if not len(places):
+                    break
+                rank, word = self.m.rank[number[here]], self.word[places]
+                heads = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                least = np.repeat(np.minimum.reduceat(rank, heads), np.diff(np.r_[heads, len(word)]))
+                chosen = np.flatnonzero(rank == least)
+                at, rank = places[chosen], least[chosen]
                 chained = np.r_[False, self.after[at[:-1]] == at[1:]]
-                if chained.any():  # of pairs that overlap, every other one from the left
-                    head = np.maximum.accumulate(np.where(chained, 0, np.arange(len(at))))
-                    at = at[(np.arange(len(at)) - head) % 2 == 0]
-                if self.m.falls[rank]:
-                    first = np.r_[True, np.diff(self.word[at]) != 0]
-                    later = at[~first]
-                    at = at[first]
-                    for k in np.unique(self.pair[later]).tolist():
-                        file(k, later[self.pair[later] == k])
-            new = self.merge(at, rank)
-            if not len(new):
-                continue
-            numbers = self.pair[new]
-            late = numbers >= high
-            if late.any():
-                pending.append(new[late])
-                new, numbers = new[~late], numbers[~late]
-            if len(new) == 1:
-                file(int(numbers[0]), new)
-            elif len(new):
-                order = np.argsort(numbers, kind="stable")
-                new, numbers = new[order], numbers[order]
-                cuts = np.flatnonzero(np.diff(numbers)) + 1
-                for k, x in zip(numbers[np.r_[0, cuts]].tolist(), np.split(new, cuts), strict=True):
-                    file(k, x)
-
-
-def solve_words(keys: list[str], pattern: regex.Pattern, ranks: dict[bytes, int], merges: Merges) -> list[bytes]:
-    """The ids of each word, packed as little-endian unsigned 32-bit integers; equal pieces are solved once."""
+                first = np.r_[True, self.word[at[1:]] != self.word[at[:-1]]]
+                if chained.any() or not first.all():
+                    # of pairs that overlap every other one from the left; a single one where a lower rank may come of it
+                    order = np.arange(len(at))
+                    head = np.maximum.accumulate(np.where(chained, 0, order))
+                    use = ((order - head) % 2 == 0) & (first | ~self.m.falls[rank])
+                    at, rank = at[use], rank[use]
+                new = self.merge(at, rank)
+                self.file(new, filed, w)
+                places = np.sort(np.concatenate([places, new]))
+
+    def file(self, places: np.ndarray, filed: list[list[np.ndarray]], window: int) -> None:
+        """Notes the places under the windows of their pairs, if those come later."""
+        number = self.pair[places]
+        of = np.searchsorted(self.m.windows, number, "right")
+        late = (number >= 0) & (of > window)
+        if not late.any():
+            return
+        places, of = places[late], of[late]
+        order = np.argsort(of, kind="stable")
+        places, of = places[order], of[order]
+        cuts = np.flatnonzero(np.diff(of)) + 1
+        for k, x in zip(of[np.r_[0, cuts]].tolist(), np.split(places, cuts), strict=True):
+            filed[k].append(x)
+
+
+def solve_words(keys: list[str], pattern: regex.Pattern, ranks: dict[bytes, int], merges: Merges, known: _Known | None = None) -> list[bytes]:
+    """The ids of each word, packed as little-endian unsigned 32-bit integers; equal pieces are solved once, those that are
+    known words not at all."""
     pieces: list[str] = []
     counts = []
     for w in map(text_of, keys):
         found = pattern.findall(w)
         pieces += found
         counts.append(len(found))
-    names = list(dict.fromkeys(pieces))
-    raw = [x.encode("utf-8") for x in names]
-    whole = [ranks.get(x, -1) for x in raw]
-    solved = dict(zip(names, map(_PACK, whole), strict=True))
-    open_pieces = [k for k, r in enumerate(whole) if r < 0]
-    if open_pieces:
-        ends = np.cumsum([len(raw[k]) for k in open_pieces], dtype=np.int64)
-        table = _Words(merges, np.frombuffer(b"".join([raw[k] for k in open_pieces]), dtype=np.uint8), ends)
+    solved: dict[str, bytes] = dict.fromkeys(pieces)
+    names, raw = [], []
+    for x in solved:
+        ids = known.get(x[1:]) if known and x[0] == " " and len(x) > 1 else None
+        if ids is None:
+            b = x.encode("utf-8")
+            rank = ranks.get(b)
+            if rank is None:
+                names.append(x)
+                raw.append(b)
+                continue
+            ids = _PACK(rank)
+        solved[x] = ids
+    if names:
+        ends = np.cumsum([len(x) for x in raw], dtype=np.int64)
+        table = _Words(merges, np.frombuffer(b"".join(raw), dtype=np.uint8), ends)
         table.replay()
         left = table.token >= 0
         packed = table.token[left].astype("<u4").tobytes()
-        stops = (4 * np.cumsum(np.add.reduceat(left, np.r_[0, ends[:-1]]))).tolist()
         start = 0
-        for k, stop in zip(open_pieces, stops, strict=True):
-            solved[names[k]] = packed[start:stop]
+        for x, stop in zip(names, (4 * np.cumsum(np.add.reduceat(left, np.r_[0, ends[:-1]]))).tolist(), strict=True):
+            solved[x] = packed[start:stop]
             start = stop
     ids = map(solved.__getitem__, pieces)
     return [next(ids) if n == 1 else b"".join(islice(ids, n)) for n in counts]
@@ -229,20 +211,8 @@ def text_of(key: str) -> str:
     return key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key
 
 
-def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
-    block, chars = [], 0
-    for t in texts:
-        block.append(t or "")
-        chars += len(block[-1])
-        if chars >= BLOCK_CHARS:
-            yield block
-            block, chars = [], 0
-    if block:
-        yield block
-
-
 def head_words(docs: DataFrame, pattern: str, text_col: str, cut: bool, most: int) -> DataFrame:
-    """w: at most so many words of the corpus, the most frequent (those of the last count are left out together)."""
+    """w: at most so many words of the corpus, those of the most documents (those of the last count are left out together)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled, seen = regex.compile(pattern), Counter()
@@ -252,14 +222,14 @@ def head_words(docs: DataFrame, pattern: str, text_col: str, cut: bool, most: in
 
         for batch in small(batches):
             for t in batch.column("_text").to_pylist():
-                seen.update(cut_words(t or "", compiled, cut))
-            if len(seen) > REPLAY_WORDS:
+                seen.update(set(cut_words(t or "", compiled, cut)))
+            if len(seen) > BLOCK_WORDS:
                 yield out()
                 seen.clear()
         yield out()
 
     counts = docs.select(F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    # a word that stands once is solved there
+    # a word of one document is solved there
     counts = stored(counts.filter((F.col("n") > 1) & (F.length("w") <= MAX_HEAD_CHARS)), "bpe-words")
     total, least = 0, 2
     for r in sorted(counts.groupBy("n").count().collect(), key=lambda r: -r.n):  # as many rows as there are different counts
@@ -270,6 +240,29 @@ def head_words(docs: DataFrame, pattern: str, text_col: str, cut: bool, most: in
     return counts.filter(F.col("n") >= least).select("w")
 
 
+class _Known(dict):
+    """Ids by word; a word that is asked for and not known is noted in `rare`, with a cell that its ids go to."""
+
+    def __init__(self, head: tuple[list[str], list[bytes]]):
+        super().__init__(zip(*head, strict=True))
+        self.rare: dict[str, list[bytes]] = {}
+
+    def __missing__(self, word: str) -> list[bytes]:
+        cell = self.rare[word] = self[word] = []
+        return cell
+
+    def get(self, word: str) -> bytes | None:
+        """What was known before the words that are open now."""
+        found = dict.get(self, word)
+        return found if type(found) is bytes else None
+
+    def settle(self) -> None:
+        """Forgets the rare words, so that their number never adds up."""
+        for word in self.rare:
+            del self[word]
+        self.rare = {}
+
+
 def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", cut: bool = True, head: int = HEAD_WORDS) -> DataFrame:
     """docs plus ids_col: binary, the ids as little-endian unsigned 32-bit integers."""
     spark = docs.sparkSession
@@ -286,26 +279,31 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
     words = head_words(docs, pattern, text_col, cut, head)
     # as few replays as the bound on their words allows: all places of a pair are then merged at once
     solved = words.coalesce(max(1, -(-head // REPLAY_WORDS))).mapInArrow(solve, "w string, ids binary").toArrow()
-    known = spark.sparkContext.broadcast((solved.column("w").to_pylist(), solved.column("ids").to_pylist()))
+    shared = spark.sparkContext.broadcast((solved.column("w").to_pylist(), solved.column("ids").to_pylist()))
     base = docs.drop(ids_col)
     names = base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
-        ids_of = dict(zip(*known.value, strict=True))
-        for batch in batches:
-            at = 0
-            for block in _blocks(batch.column(text_col).to_pylist()):
-                part = batch.slice(at, len(block))
-                at += len(block)
-                cuts = [cut_words(t, compiled, cut) for t in block]
-                rare = list(set().union(*cuts) - ids_of.keys())
-                ids_of.update(zip(rare, solve_words(rare, compiled, *tools.value), strict=True))
-                get = ids_of.__getitem__
-                ids = [b"".join(map(get, c)) for c in cuts]
-                if len(ids_of) > 2 * HEAD_WORDS:  # the rare ones are kept for the next block, up to a bound
-                    ids_of = dict(zip(*known.value, strict=True))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], names=[*names, ids_col])
+        known = _Known(shared.value)
+
+        def solved_block(block: list[tuple[pa.RecordBatch, list[list]]]) -> Iterator[pa.RecordBatch]:
+            rare = list(known.rare)
+            for cell, ids in zip(known.rare.values(), solve_words(rare, compiled, *tools.value, known), strict=True):
+                cell.append(ids)
+            for batch, packed in block:
+                ids = pa.array([b"".join([x if type(x) is bytes else x[0] for x in p]) for p in packed], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*names, ids_col])
+            known.settle()
+
+        block, size = [], 0
+        for batch in small(batches, 256):
+            block.append((batch, [list(map(known.__getitem__, cut_words(t or "", compiled, cut))) for t in batch.column(text_col).to_pylist()]))
+            size += batch.nbytes
+            if size >= BLOCK_BYTES or len(known.rare) >= BLOCK_WORDS:
+                yield from solved_block(block)
+                block, size = [], 0
+        yield from solved_block(block)
 
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(ids_col, T.BinaryType())]))
 
