@@ -35,9 +35,9 @@ from pyspark.sql import types as T
 from skillweave.llm.common import bounded_batches, small, stored
 
 #: Words that are solved for the whole corpus and broadcast (about 20 bytes each), the most frequent.
-HEAD_WORDS = 300_000
+HEAD_WORDS = 200_000
 #: Bytes of texts and rare words that are solved together, at most (a text is never split).
-BLOCK_BYTES, BLOCK_WORDS = 16 << 20, 200_000
+BLOCK_BYTES, BLOCK_WORDS = 6 << 20, 100_000
 #: Words that one replay of the corpus's words holds at most.
 REPLAY_WORDS = 100_000
 #: Longer words are solved where they stand, so the head has a bound in bytes too.
