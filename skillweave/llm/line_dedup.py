@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join.
 
-Lines are sequences of lower-case words; lines of fewer than MIN_WORDS words are left alone. A line goes when an equal
-line, or one within one word edit (insert, delete, replace), comes earlier in the order of (id, text hash, line number);
-the earlier line counts whether or not it goes itself. One edit in five words is the usual similarity of 0.8.
+Lines are sequences of lower-case words. A line with a word goes when an equal line comes earlier in the order of (id, text
+hash, line number); one of MIN_WORDS words or more also when such a line within one word edit (insert, delete, replace)
+does. The earlier line counts whether or not it goes itself. One edit in five words is the usual similarity of 0.8, which
+is why shorter lines must be equal.
 
 1. Lines one half of which equals the half of another line, of the same length or a word longer or shorter, are suspects:
    one edit can't touch both halves, so no pair within the bound is missed.
@@ -33,7 +34,7 @@ BLOCK_BYTES = 1 << 19
 
 
 class Lines:
-    """The lines of a block of texts, with at least MIN_WORDS words, as runs of word hashes."""
+    """The lines of a block of texts that hold a word, as runs of word hashes."""
 
     def __init__(self, texts: list[str | None]):
         raw = [(t or "").lower().encode("utf-8", "replace") for t in texts]
@@ -45,11 +46,11 @@ class Lines:
         lines = np.array([x.count(b"\n") + 1 for x in raw], dtype=np.int64)
         heads = np.cumsum(lines) - lines
         self.n_lines = np.where([bool(x) for x in raw], lines, 0)
-        long = np.flatnonzero(counts >= MIN_WORDS)
-        self.doc = np.searchsorted(heads, long, side="right") - 1
-        self.pos = long - heads[self.doc]
-        self.n = counts[long]
-        self.start = (np.cumsum(counts) - counts)[long]
+        held = np.flatnonzero(counts)
+        self.doc = np.searchsorted(heads, held, side="right") - 1
+        self.pos = held - heads[self.doc]
+        self.n = counts[held]
+        self.start = (np.cumsum(counts) - counts)[held]
         up, self.down = powers(len(self.words) + 1)
         self.total = np.zeros(len(self.words) + 1, dtype=np.uint64)
         np.cumsum(self.words * up[:-1], out=self.total[1:])

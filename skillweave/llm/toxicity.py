@@ -1,12 +1,13 @@
 """Toxicity by class-conditional Kneser-Ney bigram models.
 
 Two models, of toxic and of ordinary documents, are counted from all labelled rows outside the held-out fold (crc32 of the
-id as text, mod 5, is 0) and outside the calibration fold (4). As continuation counts do, each n-gram counts once for a
-document. Counts are discounted; the mass that a class gives up, and a prior of STRENGTH times the smaller class, go to
-backoff counts that both classes share: of words, and for bigrams of the pooled bigram moved by the class's word model. So
-an expression that is rare in both classes, or unseen, says nothing. A document's figures are the differences of its two
-log-likelihoods per word: over all words, and over the TOP_SHARE of its words where they are largest. A logistic curve,
-fitted on a sample of the calibration fold (by hash of id and text), turns them into a score.
+id as text, mod 5, is 0) and outside the calibration fold (4). A bigram counts once for a document. A word counts by
+continuation: the different words (or the start) that it follows in a class. Counts are discounted; the mass that a class
+gives up, and a prior of STRENGTH times the smaller class, go to backoff counts that both classes share: of words, the pooled
+continuation counts, and of bigrams, the pooled bigram moved by the class's word model. So an expression that is rare in both
+classes, or unseen, says nothing. A document's figures are the differences of its two length-normalised log-likelihoods: over
+all words, and over the TOP_SHARE of its words where they are largest (a long text that is toxic in a few lines). They are
+compared by a logistic curve, fitted on a sample of the calibration fold (by hash of id and text), which gives the score.
 
 The model is a table of every word and bigram in at least MIN_COUNT documents, whatever their number. The most frequent
 HEAD_NGRAMS are broadcast, with a bit filter of fixed size that holds all others; what a document has of those is joined to
@@ -36,6 +37,8 @@ MAX_CALIBRATION_ROWS = 20_000
 #: Labels up to this number of rows (16 bytes each) are broadcast to the texts; more are joined by a shuffle.
 MAX_BROADCAST_LABELS = 2_000_000
 DISCOUNT = 0.75
+#: Stands before a text's first word.
+START = 0
 STRENGTH = 5.0
 TOP_SHARE = 0.02
 #: N-grams that are broadcast (16 bytes each), the most frequent; the others are joined, with the same scores.
@@ -68,7 +71,8 @@ def bigram_keys(words: np.ndarray) -> np.ndarray:
 
 
 def distinct_bigrams(words: np.ndarray) -> np.ndarray:
-    """The distinct (word, next word) of a text as an array of two columns."""
+    """The distinct (word, next word) of a text as an array of two columns; START comes before the first word."""
+    words = np.r_[np.full(min(len(words), 1), START, np.uint64), words]
     first = np.unique(bigram_keys(words), return_index=True)[1]
     return np.column_stack([words[first], words[first + 1]]) if len(first) else np.empty((0, 2), np.uint64)
 
@@ -110,19 +114,21 @@ def _keyed(table: DataFrame, names: list[str]) -> DataFrame:
 
 
 def fit_model(rows: DataFrame) -> DataFrame:
-    """k, v, n: the log-likelihood difference and documents of each word and bigram in MIN_COUNT documents; only totals come to
-    the driver."""
-    common = F.col("t") + F.col("o") >= MIN_COUNT
-    words = stored(_count(rows, np.unique, ["b"]).filter(common), "toxicity-words")
+    """k, v, n: the log-likelihood difference of each word and bigram in MIN_COUNT documents, and how often it counts (a bigram
+    once for a document, a word by its bigrams); only totals come to the driver."""
+    pairs = stored(_count(rows, distinct_bigrams, ["a", "b"]), "toxicity-pairs")
+    words = pairs.groupBy("b").agg(F.sum(F.col("t") + F.col("o")).alias("n"), *[F.count_if(F.col(c) > 0).alias(c) for c in "to"])
+    words = stored(words.filter(F.col("n") >= MIN_COUNT), "toxicity-words")
     total = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "to"], *[F.count_if(F.col(c) > 0).alias(f"{c}1") for c in "to"]).first()
     prior = STRENGTH * min(total.t, total.o)
     shared = (F.col("t") + F.col("o")) / F.lit(float(max(total.t + total.o, 1)))
     for c in "to":
         ratio = (F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / shared + F.lit(DISCOUNT * total[f"{c}1"] + prior)) / F.lit(max(total[c] + prior, 1e-9))
         words = words.withColumn(f"r{c}", F.greatest(ratio, F.lit(1e-12)))
-    words = words.select("b", "rt", "ro", (F.col("t") + F.col("o")).alias("n"), (F.log("rt") - F.log("ro")).alias("v"))
+    words = words.select("b", "rt", "ro", "n", (F.log("rt") - F.log("ro")).alias("v"))
 
-    pairs = stored(_count(rows, distinct_bigrams, ["a", "b"]), "toxicity-pairs")
+    pairs = pairs.filter(F.col("a") != START)
+    common = F.col("t") + F.col("o") >= MIN_COUNT
     context = pairs.groupBy("a").agg(*[F.sum(c).alias(f"{c}n") for c in "to"], *[F.count_if(F.col(c) > 0).alias(f"{c}1") for c in "to"])
     seen = pairs.filter(common).join(context, "a").join(words.drop("v", "n"), "b")
     expected = (F.col("t") + F.col("o")) / (F.col("tn") + F.col("on"))

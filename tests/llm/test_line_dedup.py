@@ -23,9 +23,9 @@ def brute(docs):
         out[k] = []
         for pos, line in enumerate((docs[k][1] or "").split("\n")):
             w = tuple(line.lower().encode().split())
-            if len(w) < d.MIN_WORDS:
+            if not w:
                 continue
-            if w in distinct or any(abs(len(x) - len(w)) <= 1 and len(set(x) ^ set(w)) <= 2 and distance(x, w) <= 1 for x in seen):
+            if w in distinct or len(w) >= d.MIN_WORDS and any(len(x) >= d.MIN_WORDS and abs(len(x) - len(w)) <= 1 and len(set(x) ^ set(w)) <= 2 and distance(x, w) <= 1 for x in seen):
                 out[k].append(pos)
             if w not in distinct:
                 distinct[w] = True

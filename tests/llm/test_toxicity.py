@@ -51,6 +51,54 @@ def test_without_labels_or_rows(spark):
     assert x.score_toxicity(docs.limit(0), labels).count() == 0
 
 
+def brute_model(texts):
+    """Log-likelihood difference of every known word and bigram from plain dictionaries."""
+    pairs, follows = {}, {"t": {}, "o": {}}
+    for text, toxic in texts:
+        w = ["", *text.split()]
+        for a, b in {(w[k], w[k + 1]) for k in range(len(w) - 1)}:
+            pairs.setdefault((a, b), {"t": 0, "o": 0})["t" if toxic else "o"] += 1
+            follows["t" if toxic else "o"].setdefault(b, set()).add(a)
+    seen = {}
+    for (_, b), n in pairs.items():
+        seen[b] = seen.get(b, 0) + n["t"] + n["o"]
+    words = {b: {c: len(follows[c].get(b, ())) for c in "to"} for b, n in seen.items() if n >= 2}
+    total = {c: sum(n[c] for n in words.values()) for c in "to"}
+    kinds = {c: sum(n[c] > 0 for n in words.values()) for c in "to"}
+    prior = x.STRENGTH * min(total.values())
+    out, ratio = {}, {}
+    for b, n in words.items():
+        shared = (n["t"] + n["o"]) / sum(total.values())
+        ratio[b] = {c: (max(n[c] - x.DISCOUNT, 0) / shared + x.DISCOUNT * kinds[c] + prior) / (total[c] + prior) for c in "to"}
+        out[(b,)] = np.log(ratio[b]["t"] / ratio[b]["o"])
+    for (a, b), n in pairs.items():
+        if a and n["t"] + n["o"] >= 2:
+            context = {c: sum(m[c] for (p, _), m in pairs.items() if p == a) for c in "to"}
+            different = {c: sum(m[c] > 0 for (p, _), m in pairs.items() if p == a) for c in "to"}
+            prior = x.STRENGTH * min(context.values()) + 1
+            pooled = (n["t"] + n["o"]) / sum(context.values())
+            p = {c: (max(n[c] - x.DISCOUNT, 0) + (x.DISCOUNT * different[c] + prior) * pooled * ratio[b][c]) / (context[c] + prior) for c in "to"}
+            out[a, b] = np.log(p["t"] / p["o"])
+    return out
+
+
+def test_probabilities_and_figures_against_brute_force(spark):
+    r = random.Random(6)
+    texts = [(" ".join(r.choice("abcdefghij" if k % 3 else "hijklm") for _ in range(r.randrange(1, 30))), int(k % 3 == 0)) for k in range(60)]
+    expected = brute_model(texts)
+    model = x.fit_model(spark.createDataFrame([(t, b) for t, b in texts], "_text string, _toxic int").select("_toxic", "_text"))
+    key = lambda g: (x.word_keys(x.words_of(g[0])) if len(g) == 1 else x.bigram_keys(x.words_of(" ".join(g)))).view(np.int64)[0]
+    found = {m.k: m.v for m in model.collect()}
+    assert len(found) == len(expected) and all(abs(found[key(g)] - v) < 1e-9 for g, v in expected.items())
+
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)] + [(99, "zz zz"), (100, None)], "doc_id long, text string")
+    for d in x.figures(docs, model, "doc_id", "text").collect():
+        w = (dict(enumerate(texts)).get(d["_id"], ("zz zz" if d["_id"] == 99 else "",))[0]).split()
+        each = [expected.get((w[k - 1], w[k]) if k else None, expected.get((w[k],), 0.0)) for k in range(len(w))]
+        top = sorted(each)[-max(1, int(len(w) * x.TOP_SHARE)) :]
+        assert abs(d["_all"] - (np.mean(each) if w else 0.0)) < 1e-9 and abs(d["_top"] - (np.mean(top) if w else 0.0)) < 1e-9
+
+
 def test_every_ngram_of_two_documents_is_in_the_model(spark):
     # more words than the former bound of the model, all but one in three documents
     common = [(k, " ".join(f"w{k // 3}x{i}" for i in range(1000)), 0) for k in range(480)]
