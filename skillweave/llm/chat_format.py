@@ -9,7 +9,9 @@ Template: each turn is `<|turn|>ROLE\\nTEXT<|end|>\\n`. Control strings inside r
 
 Defined results: a null text or role is empty; turns are ordered by number, then role, then text, nulls first, and rows
 that repeat are turns of their own; a null conversation id is one conversation; a record whose fingerprint has no
-mapping comes back with null turns and its fingerprint, never silently dropped; an empty table gives an empty result.
+mapping comes back with null turns and its fingerprint, never silently dropped; an empty table gives an empty result; the added
+columns replace input columns of the same name. A record is one value, so a conversation has to fit in a row; texts are whole up
+to the 20 million characters that Spark's JSON reader takes in one string, and a record beyond its limits is an error, not a null.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<|turn|>", "<|end|>\n"
+#: Characters from which a record that can't be parsed is taken to be too large, not broken.
+LARGE_RECORD = 15_000_000
 #: Strings that steer known chat templates, as one Java pattern with the first character apart.
 CONTROL = r"([<\[])(\|(?:turn|end|im_start|im_end|system|user|assistant|endoftext)\||/?s>|/?INST\]|</?SYS>>|</SYS>>)"
 TURNS = "array<struct<role: string, text: string>>"
@@ -66,7 +70,8 @@ def shape(paths: tuple[str, ...]) -> str:
 
 def shape_of(json: Column) -> Column:
     """The field paths of a JSON record, scalars' types left out; null for text that isn't JSON."""
-    kind = F.schema_of_variant(F.try_parse_json(json))
+    too_large = F.raise_error(F.lit("a conversation is larger than the JSON reader takes")).cast("string")
+    kind = F.coalesce(F.schema_of_variant(F.try_parse_json(json)), F.when(F.length(json) > LARGE_RECORD, too_large))
     return F.regexp_replace(kind, r"\b(?:STRING|BIGINT|VOID|BOOLEAN|DOUBLE|VARIANT|DATE|TIMESTAMP|DECIMAL\(\d+,\d+\))(?=[,>]|$)", "_")
 
 

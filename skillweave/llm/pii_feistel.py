@@ -1,18 +1,20 @@
 """Format-preserving pseudonyms for personal data, in DataFrame functions only.
 
 Candidates are found by pattern and validated: payment-card numbers by the Luhn check, IPv4 addresses by their octets,
-dates by the calendar, phone numbers by country code and length, e-mail addresses by shape, quoted keys as 32 or more hex
-digits. Each value is permuted within its format by a keyed Feistel network, so equal values get equal pseudonyms in all
+dates by the calendar, phone numbers by country code (or an area code in brackets) and length, social security numbers by the
+areas, groups and serials that exist, e-mail addresses by shape, quoted keys as 32 or more hex digits. Each value is permuted within its format by a keyed Feistel network, so equal values get equal pseudonyms in all
 documents and different values of one format never share one:
 * cards: all digits but the last go through a decimal Feistel; the check digit is made anew, so the result is valid;
 * phones: the digits after the country code, punctuation stays in place;
-* IPv4: the 32-bit number, in two 16-bit halves; * dates: the day within its 400-year cycle (146097 = 189 x 773 days);
+* social security numbers: within the valid ones;
+* IPv4: the 32-bit number, in two 16-bit halves (octets with leading zeros are no addresses); * dates: the day within its 400-year cycle (146097 = 189 x 773 days);
 * e-mail local parts and hex keys: strings of any length are replaced by keyed hash text of the same length (these two
   are linked by equality but, unlike the numbers, not a permutation).
-The key is a parameter; production keeps it in a secret store. Numbers that fail their check stay as they are.
+The key is a parameter without a default; production keeps it in a secret store. Numbers that fail their check stay as they are.
 
-Defined results: a null text stays null with zero counts; an empty text stays empty; ids are only carried; rows that
-repeat get equal results; an empty table gives an empty result.
+Defined results: a null text stays null with zero counts; an empty text stays empty; a text of any length is rewritten whole;
+ids are only carried; rows that repeat get equal results; an empty table gives an empty result; `pii` replaces an input column
+of that name, all other columns pass unchanged.
 """
 
 from __future__ import annotations
@@ -21,15 +23,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 6
-DEMO_KEY = "demonstration-key"
+#: The key of the registered query only.
+QUERY_KEY = "demonstration-key"
 
 CARD = r"(?<![\d.])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?![\d.]\d|\d)"
-PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)"
+PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?![\d-])"
+SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)"
 DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 EMAIL = r"[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
-ANY = "|".join((EMAIL, PHONE, IPV4, DATE, SECRET, CARD))
+ANY = "|".join((EMAIL, PHONE, IPV4, DATE, SSN, SECRET, CARD))
 
 
 def _bind(value: Column, f) -> Column:
@@ -106,6 +110,15 @@ def phone(value: Column, key: str, undo: bool = False) -> Column:
     return F.concat(code, _bind(permute_digits(digits_of(rest), "phone", key, undo), lambda d: with_digits(rest, d)))
 
 
+def ssn(value: Column, key: str, undo: bool = False) -> Column:
+    """Areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999: numbered without gaps, permuted, written again."""
+    part = lambda k: F.split(value, "-")[k].cast("long")
+    area = part(0) - F.when(part(0) > 666, 2).otherwise(1)
+    state = feistel(area, (part(1) - 1) * 9999 + part(2) - 1, F.lit(898).cast("long"), F.lit(99 * 9999).cast("long"), F.lit("ssn"), key, undo)
+    pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    return _bind(state, lambda s: F.concat_ws("-", pad(s["a"] + F.when(s["a"] >= 665, 2).otherwise(1), 3), pad(F.floor(s["b"] / 9999) + 1, 2), pad(s["b"] % 9999 + 1, 4)))
+
+
 def ipv4(value: Column, key: str, undo: bool = False) -> Column:
     o = lambda k: F.split(value, r"\.")[k].cast("long")
     size = F.lit(65536).cast("long")
@@ -142,11 +155,14 @@ def secret(value: Column, key: str) -> Column:
 def kind_of(value: Column) -> Column:
     """The validated kind of a candidate; null when its check fails."""
     whole = lambda p: value.rlike(f"^(?:{p})$")
-    octets = F.forall(F.split(value, r"\."), lambda x: x.cast("int") <= 255)
+    octets = F.forall(F.split(value, r"\."), lambda x: (x.cast("int") <= 255) & ~x.rlike("^0."))
+    social = ~value.rlike("^(000|666|9)|-00-|-0000$")
     n = F.length(digits_of(value))
     return (
         F.when(value.contains("@"), F.lit("email"))
         .when(value.startswith("+"), F.when(n.between(8, 15), F.lit("phone")))
+        .when(value.startswith("("), F.lit("phone"))
+        .when(whole(r"\d{3}-\d{2}-\d{4}"), F.when(social, F.lit("ssn")))
         .when(whole(r"\d{1,3}(?:\.\d{1,3}){3}"), F.when(octets, F.lit("ipv4")))
         .when(whole(r"\d{4}-\d{2}-\d{2}"), F.when(F.try_to_date(value, "yyyy-MM-dd").isNotNull(), F.lit("date")))
         .when(whole(r"[\d -]{13,24}"), F.when(n.between(13, 19) & F.call_function("luhn_check", digits_of(value)), F.lit("card")))
@@ -157,32 +173,36 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
     return (
         F.when(kind == "card", card(value, key)).when(kind == "phone", phone(value, key)).when(kind == "ipv4", ipv4(value, key))
-        .when(kind == "date", date(value, key)).when(kind == "email", email(value, key)).when(kind == "secret", secret(value, key))
+        .when(kind == "ssn", ssn(value, key)).when(kind == "date", date(value, key)).when(kind == "email", email(value, key)).when(kind == "secret", secret(value, key))
         .otherwise(value)
     )
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = DEMO_KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with text_col rewritten and `pii`: array<struct<kind, pseudonym>> of what was replaced, in order. One pass, no
     shuffle: each text is split at its candidates and joined again around their pseudonyms."""
     text = F.col(f"`{text_col}`")
     found = F.when(text.rlike(r"[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    held = "_pii"
+    while held in docs.columns:
+        held += "_"
+
     def one(v: Column) -> Column:
         return _bind(kind_of(v), lambda k: F.struct(k.alias("kind"), pseudonym(v, k, key).alias("pseudonym")))
 
-    out = docs.withColumn("_pii", F.transform(found, one))
+    out = docs.withColumn(held, F.transform(found, one))
     gaps = F.split(text, ANY, -1)
-    values = F.concat(F.transform("_pii", lambda p: p["pseudonym"]), F.array(F.lit("")))
+    values = F.concat(F.transform(held, lambda p: p["pseudonym"]), F.array(F.lit("")))
     rewritten = F.array_join(F.zip_with(gaps, values, lambda g, v: F.concat(g, v)), "")
     return out.withColumns({
-        text_col: F.when(F.size("_pii") > 0, rewritten).otherwise(text),
-        "pii": F.filter("_pii", lambda p: p["kind"].isNotNull()),
-    }).drop("_pii")
+        text_col: F.when(F.size(held) > 0, rewritten).otherwise(text),
+        "pii": F.filter(held, lambda p: p["kind"].isNotNull()),
+    }).drop(held)
 
 
 def op10_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymise(docs).select(
+    return pseudonymise(docs, QUERY_KEY).select(
         "doc_id", "text", F.sha2("text", 256).alias("text_sha256"), F.coalesce(F.size("pii"), F.lit(0)).cast("long").alias("n_pii"),
         F.array_sort(F.transform("pii", lambda p: F.concat(p["kind"], F.lit(":"), p["pseudonym"]))).alias("pseudonyms"),
     )

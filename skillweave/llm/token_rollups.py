@@ -2,15 +2,23 @@
 
 A change is (batch, document, kind, source, lang, version, count): an insert adds its count, a delete takes back what the
 document had, a revision takes back the old count and adds the new one. Changes become signed deltas, are summed by
-(source, lang, tokenizer version) and committed as one folder per batch. Totals are the sum over all committed batches:
-additive, so batches may come in any order, and a batch that is committed again replaces itself (idempotent).
+(source, lang, tokenizer version) and committed per batch. Totals are the sum over all committed batches: additive, so batches
+may come in any order.
+
+A commit is idempotent and never leaves a batch half there: each attempt is written to a folder of its own, and then published
+by one small row that names it; of several published attempts of a batch the last counts. A job that dies before that row
+leaves the earlier state as it was. Where the old counts aren't at hand, `ledger_deltas` takes them from the ledger: the counts
+by document that the batches before left behind.
 
 Defined results: a null text has no tokens; null sources, languages and ids group as nulls; rows that repeat are documents
-of their own; groups whose documents are all gone are left out of the totals; an empty table gives empty totals.
+of their own (in the ledger a document is its id; of several rows of one id the counts are added); groups whose documents are
+all gone are left out of the totals; a text of any length is counted whole; an empty table gives empty totals; of input columns
+only source and lang are read, so others may have any name.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +52,22 @@ def revisions(docs: DataFrame, old: str, old_count: Column, new: str, new_count:
     return both.select(*KEYS[:2], "d.version", "d.n_docs", "d.n_tokens")
 
 
+LEDGER = ("doc_id", *KEYS)
+
+
+def ledger_of(counted: DataFrame) -> DataFrame:
+    """doc_id, source, lang, version, n_docs, n_tokens: the documents that a state holds, from its counted rows."""
+    return counted.groupBy(*LEDGER).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+
+
+def ledger_deltas(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Signed deltas that turn the old ledger into the new one: what is gone or changed is taken back as it was counted, what
+    is new or changed is added. Both sides are summed by document, so no key meets another's rows."""
+    taken = old.withColumns({"n_docs": -F.col("n_docs"), "n_tokens": -F.col("n_tokens")})
+    change = taken.select(*LEDGER, "n_docs", "n_tokens").unionByName(new.select(*LEDGER, "n_docs", "n_tokens"))
+    return ledger_of(change).filter("n_docs <> 0 OR n_tokens <> 0").drop("doc_id")
+
+
 class RollupStore:
     """Committed batches under one folder that all executors share."""
 
@@ -51,14 +75,20 @@ class RollupStore:
         self.spark, self.folder = spark, folder
 
     def commit(self, batch: str, deltas: DataFrame) -> None:
-        """Sums the deltas and replaces the batch's folder; Spark's writer commits it whole or not at all."""
+        """Sums the deltas into a new folder, then publishes it as the batch's state."""
+        attempt = uuid.uuid4().hex
         summed = deltas.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        summed.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
+        summed.write.parquet(f"{self.folder}/attempts/attempt={attempt}")
+        row = self.spark.range(1).select(F.lit(batch).alias("batch"), F.lit(attempt).alias("attempt"), F.lit(time.time_ns()).alias("at"))
+        row.write.mode("append").parquet(f"{self.folder}/commits")
 
     def totals(self) -> DataFrame:
-        deltas = self.spark.read.schema(DELTA).option("basePath", self.folder).parquet(f"{self.folder}/batch=*")
-        out = deltas.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return out.filter("n_docs <> 0 OR n_tokens <> 0")
+        """Attempts that nobody published, or that a later one of their batch replaced, don't count."""
+        commits = self.spark.read.schema("batch string, attempt string, at long").parquet(f"{self.folder}/commits")
+        live = commits.groupBy("batch").agg(F.max_by("attempt", "at").alias("live")).select("live")
+        deltas = self.spark.read.schema(f"{DELTA}, attempt string").parquet(f"{self.folder}/attempts")
+        out = deltas.join(live, F.col("attempt") == F.col("live")).groupBy(*KEYS)
+        return out.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).filter("n_docs <> 0 OR n_tokens <> 0")
 
 
 def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:

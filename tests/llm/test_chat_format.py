@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from skillweave.llm import chat_format as c
@@ -38,3 +39,11 @@ def test_rows_with_nulls_repeats_and_long_texts(spark):
     s = out[3].loss_spans[0]
     assert out[3].formatted[s.start : s.end] == "é" * 50000
     assert c.conversation_records(df.limit(0)).count() == 0
+
+
+def test_a_record_beyond_the_reader_is_an_error(spark):
+    df = spark.range(1).select(F.lit(1).alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"), F.repeat(F.lit("x"), 30_000_000).alias("text"))
+    with pytest.raises(Exception, match="larger than"):
+        c.format_conversations(c.conversation_records(df)).select(F.length("formatted")).collect()
+    whole = c.format_conversations(c.conversation_records(df.withColumn("text", F.repeat(F.lit("x"), 16_000_000))))
+    assert whole.select(F.length("formatted")).first()[0] == 16_000_000 + len("<|turn|>user\n<|end|>\n")

@@ -1,3 +1,5 @@
+import datetime
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -37,12 +39,81 @@ def test_texts(spark):
     long = "word " * 40000
     rows = [(1, f"a {card} b {bad}"), (2, f"{card}, 300.1.1.1 x"), (3, None), (4, ""), (None, long + card), (5, "on 2023-02-30 or 2024-02-29"), (5, "on 2023-02-30 or 2024-02-29")]
     df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, _pii int")
-    out = p.pseudonymise(df).collect()
+    out = p.pseudonymise(df, "k").collect()
     t = [r.text for r in out]
     new = t[0].split()[1]
     assert new != card and luhn(new) and t[0].endswith(bad) and t[1].startswith(new + ", 300.1.1.1") and t[4] == long + new
     assert t[2] is None and t[3] == "" and "2023-02-30" in t[5] and "2024-02-29" not in t[5] and t[5] == t[6]
-    assert p.pseudonymise(df.limit(0)).count() == 0
+    assert p.pseudonymise(df.limit(0), "k").count() == 0
+
+
+def plain_feistel(a, b, size_a, size_b, tag, key):
+    """The network in plain Python."""
+    def keyed(t, x, m):
+        return int(hashlib.sha256(f"{key}|{t}|{x}".encode()).hexdigest()[:15], 16) % m
+
+    for r in range(p.ROUNDS):
+        if r % 2 == 0:
+            a = (a + keyed(f"{tag}/{r}", b, size_a)) % size_a
+        else:
+            b = (b + keyed(f"{tag}/{r}", a, size_b)) % size_b
+    return a, b
+
+
+def plain_digits(d, tag, key):
+    h = len(d) // 2
+    a, b = plain_feistel(int(d[:h]), int(d[h:]), 10**h, 10 ** (len(d) - h), f"{tag}/{len(d)}", key)
+    return f"{a:0{h}d}{b:0{len(d) - h}d}"
+
+
+def put(value, digits):
+    it = iter(digits)
+    return "".join(next(it) if c.isdigit() else c for c in value)
+
+
+def plain(value, key):
+    """The pseudonym of one value by brute force."""
+    digits = "".join(c for c in value if c.isdigit())
+    if value[0] == "+":
+        code = value[: value.index(" ")]
+        return code + put(value[len(code) :], plain_digits(digits[len(code) - 1 :], "phone", key))
+    if value[0] == "(":
+        return put(value, plain_digits(digits, "phone", key))
+    if value.count(".") == 3:
+        w, x, y, z = map(int, value.split("."))
+        a, b = plain_feistel(w * 256 + x, y * 256 + z, 65536, 65536, "ipv4", key)
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+    if value.count("-") == 2 and len(value) == 10:
+        days = (datetime.date.fromisoformat(value) - datetime.date(2000, 1, 1)).days
+        cycle, inside = divmod(days, 146097)
+        a, b = plain_feistel(inside // 773, inside % 773, 189, 773, "date", key)
+        return (datetime.date(2000, 1, 1) + datetime.timedelta(cycle * 146097 + a * 773 + b)).isoformat()
+    if value.count("-") == 2:
+        area, group, serial = map(int, value.split("-"))
+        areas = [x for x in range(1, 900) if x != 666]
+        a, b = plain_feistel(areas.index(area), (group - 1) * 9999 + serial - 1, 898, 99 * 9999, "ssn", key)
+        return f"{areas[a]:03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}"
+    body = plain_digits(digits[:-1], "card", key)
+    return put(value, body + next(c for c in "0123456789" if luhn(body + c)))
+
+
+def test_whole_texts_against_brute_force(spark):
+    r = random.Random(3)
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    values = []
+    for _ in range(40):
+        body = number(15)
+        full = next(body + c for c in "0123456789" if luhn(body + c))
+        values += [full, f"{full[:4]} {full[4:8]} {full[8:12]} {full[12:]}", f"+44 {number(2)} {number(4)} {number(4)}", f"({number(3)}) {number(3)}-{number(4)}"]
+        values += [".".join(str(r.randrange(256)) for _ in range(4)), f"{r.randrange(1900, 2100)}-{r.randrange(1, 13):02d}-{r.randrange(1, 29):02d}"]
+        values.append(f"{r.choice([1, 78, 665, 667, 899]):03d}-{r.randrange(1, 100):02d}-{r.randrange(1, 10000):04d}")
+    left = ["01.2.3.4", "001.2.3.4", "1.2.3.256", "000-12-3456", "666-12-3456", "901-12-3456", "123-00-4567", "12-34", "2023-13-01"]
+    texts = [f"x {v} y, {w}." for v, w in zip(values, values[1:] + values[:1], strict=True)] + [f"keep {v} here" for v in left]
+    expected = [f"x {plain(v, 'k')} y, {plain(w, 'k')}." for v, w in zip(values, values[1:] + values[:1], strict=True)] + texts[len(values) :]
+    df = spark.createDataFrame([(k, t, "mine", 5) for k, t in enumerate(texts)], "doc_id long, text string, _pii string, pii int")
+    out = sorted(p.pseudonymise(df, "k").collect(), key=lambda x: x.doc_id)
+    assert [x.text for x in out] == expected
+    assert {x["_pii"] for x in out} == {"mine"} and sum(len(x.pii) for x in out) == 2 * len(values)
 
 
 def test_query_replaces_every_valid_value_and_nothing_else(spark, sf_dir):
