@@ -82,8 +82,8 @@ def clean(text: Column, **options) -> Column:
 
 def stem(word: Column) -> Column:
     """A light English stem: plurals, then -ing and -ed after a vowel."""
-    plural = F.regexp_replace(F.regexp_replace(F.regexp_replace(word, "sses$", "ss"), "ies$", "i"), "(?<=[^su])s$", "")
-    return F.regexp_replace(plural, "(?<=[aeiouy][a-z]{1,12})(ing|ed)$", "")
+    plural = F.regexp_replace(F.regexp_replace(F.regexp_replace(word, "sses$", "ss"), "ies$", "i"), "([^su])s$", "$1")
+    return F.regexp_replace(plural, "^([a-z]*[aeiouy][a-z]+)(ing|ed)$", "$1")
 
 
 def key(kind: str, source: str | Column, lang: str | Column, name: Column) -> Column:

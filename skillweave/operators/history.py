@@ -64,6 +64,16 @@ def flat(documents: DataFrame, parent: str, name: str) -> DataFrame:
     return documents.select(parent, F.explode_outer(name).alias("__c")).select(parent, "__c.*")
 
 
+def even_split(df: DataFrame, order: str, parts: int, name: str) -> DataFrame:
+    """df with the number (from 1) of its part in an order: parts differ in size by one row at most, the larger ones first."""
+    ranked = numbered(df, order, "__rank")
+    total = ranked.agg(F.count(F.lit(1)).alias("__total"))
+    size, more = F.floor(F.col("__total") / parts), F.col("__total") % parts
+    large = more * (size + 1)
+    part = F.when(F.col("__rank") <= large, F.ceil(F.col("__rank") / (size + 1))).otherwise(more + F.ceil((F.col("__rank") - large) / size))
+    return ranked.crossJoin(F.broadcast(total)).withColumn(name, part.cast("long")).drop("__rank", "__total")
+
+
 def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
     """df with numbers from 1 in an order, without one task for all rows: rows are sorted in ranges, and each range starts
     after the rows of those before it. The ranges are written once, so both readings agree."""

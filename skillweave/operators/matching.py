@@ -48,26 +48,27 @@ def salary(text: Column) -> Column:
     return F.when(text.rlike("[£$€]"), F.get(yearly_first, F.lit(0)))
 
 
-def phrase_hits(words: DataFrame, phrases: DataFrame, margin: float = 2.0) -> DataFrame:
-    """doc_id, phrase: phrases all of whose words stand within margin times their number of words of a text.
+def phrase_hits(words: DataFrame, phrases: DataFrame, margin: float = 1.5, fraction: float = 0.75) -> DataFrame:
+    """doc_id, phrase: phrases of whose different words at least this fraction stands within margin times their number of words
+    of a text.
 
     words(doc_id, pos, word), phrases(phrase, word). Only words of some phrase are kept; a phrase's hits are then looked
     at along the text, so the cost follows the hits."""
     sizes = phrases.groupBy("phrase").agg(F.count_distinct("word").alias("n"))
+    # phrases are a catalogue; the frame is as wide as its longest one
+    widest = int((sizes.agg(F.max("n")).first()[0] or 0) * margin) + 1
     hits = words.join(phrases.distinct(), "word").join(sizes, "phrase")
-    # the frame is as wide as the longest phrase; the words inside each phrase's own margin are counted
-    ahead = F.collect_list(F.struct("pos", "word")).over(W.partitionBy("doc_id", "phrase").orderBy("pos").rangeBetween(W.currentRow, 64))
+    ahead = F.collect_list(F.struct("pos", "word")).over(W.partitionBy("doc_id", "phrase").orderBy("pos").rangeBetween(W.currentRow, widest))
     inside = F.array_distinct(F.transform(F.filter(ahead, lambda x: x["pos"] < F.col("pos") + F.lit(margin) * F.col("n")), lambda x: x["word"]))
-    return hits.withColumn("k", F.size(inside)).filter("k >= n").select("doc_id", "phrase").distinct()
+    return hits.withColumn("k", F.size(inside)).filter(F.col("k") >= F.lit(fraction) * F.col("n")).select("doc_id", "phrase").distinct()
 
 
-def language_scores(docs: DataFrame, lists: dict[str, list[str]]) -> DataFrame:
-    """doc_id, guess: the language most of whose stop words a text holds; null when none has any."""
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
-    counts = docs.select("doc_id", words.alias("w")).select("doc_id", *[F.size(F.filter("w", _in(s))).alias(k) for k, s in sorted(lists.items())])
-    best = F.greatest(*[F.col(k) for k in sorted(lists)])
-    guess = F.coalesce(*[F.when((F.col(k) == best) & (best > 0), F.lit(k)) for k in sorted(lists)])
-    return counts.select("doc_id", guess.alias("guess"))
+def language(text: Column, lists: dict[str, list[str]]) -> Column:
+    """The language most of whose stop words a text holds; null when none has any. Of equal ones the first by name."""
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    counts = F.transform(F.array(words), lambda w: F.array(*[F.struct(F.size(F.filter(w, _in(s))).alias("n"), F.lit(-k).alias("order"), F.lit(name).alias("lang")) for k, (name, s) in enumerate(sorted(lists.items()))]))[0]
+    best = F.array_max(counts)
+    return F.when(best["n"] > 0, best["lang"])
 
 
 def _in(words: list[str]):
@@ -108,6 +109,48 @@ def inside(x: Column, y: Column, ring: Column) -> Column:
     return F.size(F.filter(edges, crosses)) % 2 == 1
 
 
+_RING = "array<struct<x: double, y: double>>"
+
+
+def _let(value: Column, f) -> Column:
+    """f(value) with the value worked out once."""
+    return F.transform(F.array(value), lambda v: f(v))[0]
+
+
+def _edges(ring: Column) -> Column:
+    rest = F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0)))
+    return F.zip_with(ring, F.concat(rest, F.slice(ring, F.lit(1), F.lit(1))), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+
+def _clip(ring: Column, axis: str, bound: Column, upper: bool) -> Column:
+    """The part of a ring on one side of a line that is parallel to the other axis."""
+    other = "y" if axis == "x" else "x"
+    inside = lambda p: p[axis] <= bound if upper else p[axis] >= bound
+
+    def cut(p: Column, q: Column) -> Column:
+        across = p[other] + (q[other] - p[other]) * (bound - p[axis]) / F.nullif(q[axis] - p[axis], F.lit(0.0))
+        at = {axis: bound.cast("double"), other: across}
+        return F.struct(at["x"].alias("x"), at["y"].alias("y"))
+
+    def step(e: Column) -> Column:
+        p, q = e["p"], e["q"]
+        kept = F.when(inside(p) & inside(q), F.array(q)).when(inside(p), F.array(cut(p, q))).when(inside(q), F.array(cut(p, q), q))
+        return F.coalesce(kept.cast(_RING), F.array().cast(_RING))
+
+    return _let(ring, lambda r: F.flatten(F.transform(_edges(r), step)))
+
+
+def ring_area(ring: Column) -> Column:
+    turn = lambda e: e["p"]["x"] * e["q"]["y"] - e["q"]["x"] * e["p"]["y"]
+    return _let(ring, lambda r: F.abs(F.aggregate(F.transform(_edges(r), turn), F.lit(0.0), lambda a, x: a + x)) / 2)
+
+
+def covered(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column, share: float) -> Column:
+    """Whether a rectangle covers more than this share of a ring's area."""
+    part = _clip(_clip(_clip(_clip(ring, "x", x0, False), "x", x1, True), "y", y0, False), "y", y1, True)
+    return ring_area(part) > F.lit(share) * ring_area(ring)
+
+
 def locate(points: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     """points(id, x, y) with the code of the region (code, ring) that holds each: regions are spread over the grid cells of
     their bounds, points meet them by cell, and the ring decides; the longest code wins."""
@@ -131,5 +174,5 @@ def clusters(vectors: DataFrame, k: int) -> DataFrame:
         pair = d.orderBy(F.round("distance", 9), "a", "b").first()
         members = {m: (pair.a if c == pair.b else c) for m, c in members.items()}
         pairs = vectors.sparkSession.createDataFrame(list(members.items()), "label string, cluster string")
-        current = vectors.join(F.broadcast(pairs), "label").groupBy(F.col("cluster").alias("label"), "item").agg(F.sum("w").alias("w"))
+        current = vectors.join(pairs, "label").groupBy(F.col("cluster").alias("label"), "item").agg(F.sum("w").alias("w"))
     return vectors.sparkSession.createDataFrame(list(members.items()), "label string, cluster string")

@@ -89,12 +89,33 @@ def angular_distance(a: DataFrame, b: DataFrame, key_a: str, key_b: str, item: s
     without a common item have a distance too, so the keys are crossed (both sides are sets of titles or clusters)."""
     norm = lambda v, k, name: v.groupBy(k).agg(F.sum(F.col("w") * F.col("w")).alias(name))
     dots = a.select(key_a, item, F.col("w").alias("wa")).join(b.select(key_b, item, F.col("w").alias("wb")), item).groupBy(key_a, key_b).agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    pairs = norm(a, key_a, "na").crossJoin(F.broadcast(norm(b, key_b, "nb"))).join(dots, [key_a, key_b], "left")
+    pairs = norm(a, key_a, "na").crossJoin(norm(b, key_b, "nb")).join(dots, [key_a, key_b], "left")
     cosine = F.coalesce("dot", F.lit(0.0)) / F.sqrt(F.col("na") * F.col("nb"))
     factor = F.least(F.pow("na", F.lit(power)), F.pow("nb", F.lit(power)))
     return pairs.select(key_a, key_b, (F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) * factor).alias("distance"))
 
 
+def nearest_cluster(rows: DataFrame, clusters: DataFrame, key: str, label: str, item: str) -> DataFrame:
+    """key, label, distance, n_shared: the cluster at the least angle to each vector (w by item), and how many items they share.
+    Only pairs with a common item are joined; a vector without any is at a right angle to all, and gets the first cluster.
+    Clusters have length 1; of equal distances the first label counts."""
+    norm = rows.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    near = rows.join(clusters.withColumnRenamed("w", "cw"), item).groupBy(key, label).agg(F.sum(F.col("w") * F.col("cw")).alias("dot"), F.count(F.lit(1)).alias("n_shared"))
+    best = near.groupBy(key).agg(F.min_by(F.struct(label, "dot", "n_shared"), F.struct(-F.round("dot", 9), label)).alias("best"))
+    first = clusters.agg(F.min(label).alias("first"))
+    cosine = F.least(F.lit(1.0), F.coalesce("best.dot", F.lit(0.0)) / F.col("norm"))
+    out = norm.join(best, key, "left").crossJoin(F.broadcast(first))
+    return out.select(key, F.coalesce(f"best.{label}", "first").alias(label), F.acos(cosine).alias("distance"), F.coalesce("best.n_shared", F.lit(0)).cast("long").alias("n_shared"))
+
+
+def merge_clouds(a: DataFrame, b: DataFrame, entity: str) -> DataFrame:
+    """entity, c1, n1, e, n of two clouds as one: coincidences and category sizes are added; an entity whose own count, or the
+    total, is not the same in both is an error."""
+    both = a.select(entity, "c1", "n1", "e", "n").unionByName(b.select(entity, "c1", "n1", "e", "n")).groupBy(entity)
+    same = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.raise_error(F.lit(f"the clouds disagree on {c}")).cast("bigint")).alias(c)
+    return both.agg(F.sum("c1").alias("c1"), F.sum("n1").alias("n1"), same("e"), same("n"))
+
+
 def bin_of(value: Column, edges: list[float]) -> Column:
     """Number of the right-closed bin (the first is closed on both sides); null outside the edges."""
     below = F.size(F.filter(F.lit(edges), lambda e: e < value))
@@ -106,7 +127,7 @@ def histogram(df: DataFrame, value: Column, edges: list[float], weight: Column |
     """bin, n: all bins, empty ones with 0."""
     counts = df.select(bin_of(value, edges).alias("bin"), (F.lit(1) if weight is None else weight).alias("w")).filter("bin IS NOT NULL").groupBy("bin").agg(F.sum("w").alias(name))
     bins = df.sparkSession.range(len(edges) - 1).toDF("bin")
-    return bins.join(F.broadcast(counts), "bin", "left").select("bin", F.coalesce(name, F.lit(0)).alias(name))
+    return bins.join(counts, "bin", "left").select("bin", F.coalesce(name, F.lit(0)).alias(name))
 
 
 def cumulative(hist: DataFrame, name: str = "n", upper: bool = False) -> DataFrame:

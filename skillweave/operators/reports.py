@@ -78,10 +78,10 @@ def build_fact(jobs: DataFrame, areas: DataFrame, bridge: DataFrame) -> DataFram
     """Posts counted by quarter, category, title and region of each type; one pass over the posts for all area levels."""
     quarter = F.concat(F.year("created").cast("string"), F.lit("Q"), F.quarter("created").cast("string"))
     base = jobs.groupBy(quarter.alias("period"), "category", "merged_title", "la_id").agg(F.count(F.lit(1)).alias("n"))
-    with_area = base.join(F.broadcast(areas.select("la_id", "nuts0", "nuts1", "nuts2")), "la_id")
+    with_area = base.join(areas.select("la_id", "nuts0", "nuts1", "nuts2"), "la_id")
     pairs = [F.struct(F.lit(k).alias("region_type"), F.col(c).cast("string").alias("region_code")) for k, c in REGION_FIELDS.items()]
     levels = with_area.withColumn("r", F.explode(F.array(*pairs))).select("period", "category", "merged_title", "r.region_type", "r.region_code", "n")
-    groups = base.join(F.broadcast(bridge), "la_id").select("period", "category", "merged_title", F.lit("LEP").alias("region_type"), F.col("lep_id").cast("string").alias("region_code"), "n")
+    groups = base.join(bridge, "la_id").select("period", "category", "merged_title", F.lit("LEP").alias("region_type"), F.col("lep_id").cast("string").alias("region_code"), "n")
     return levels.unionByName(groups).groupBy("period", "category", "merged_title", "region_type", "region_code").agg(F.sum("n").alias("total_jobs"))
 
 

@@ -121,7 +121,7 @@ def a21(spark, sf_dir):
     codes = spark.createDataFrame([("BUILDING", 101), ("MACHINERY", 102)], "sector string, code int")
     counts = p.agg(n().alias("official")).select(F.lit(101).alias("code"), "official").unionByName(spark.createDataFrame([(102, 7)], "code int, official long"))
     own = p.groupBy("sector").agg(n().alias("own"))
-    return own.join(F.broadcast(codes), "sector", "left").join(F.broadcast(counts), "code", "left").select("sector", F.coalesce("official", "own").alias("n"))
+    return own.join(codes, "sector", "left").join(counts, "code", "left").select("sector", F.coalesce("official", "own").alias("n"))
 
 
 @register("t37_label_words", "SELECT p_partkey, p_name AS label, p_size AS years FROM part")

@@ -18,10 +18,10 @@ def r1(log):
     return h.latest(log.filter("type <> 'signup'"), "url", "crawled_on").select("id", "url", "type")
 
 
-@plan("r2_latest_to_recrawl", "W", sql="SELECT id, url FROM (SELECT *, max(crawled_on) OVER (PARTITION BY url) AS last FROM W) WHERE crawled_on IS NOT DISTINCT FROM last AND fail_count <= 1 AND (crawled_on < TIMESTAMP '2024-01-31' OR NOT valid) AND type IN ('view', 'click', 'error') ORDER BY url, id LIMIT 100")
+@plan("r2_latest_to_recrawl", "W", sql="SELECT id, url FROM (SELECT *, max(crawled_on) OVER (PARTITION BY url) AS last FROM W) WHERE crawled_on IS NOT DISTINCT FROM last AND fail_count <= 1 AND (crawled_on < TIMESTAMP '2024-01-31' OR NOT valid) AND type IN ('view', 'click', 'error') ORDER BY url, id")
 def r2(log):
     due = (F.col("fail_count") <= 1) & ((F.col("crawled_on") < F.lit("2024-01-31").cast("timestamp_ntz")) | ~F.col("valid")) & F.col("type").isin("view", "click", "error")
-    return h.latest(log, "url", "crawled_on").filter(due).select("id", "url").orderBy("url", "id").limit(100)
+    return h.latest(log, "url", "crawled_on").filter(due).select("id", "url").orderBy("url", "id")
 
 
 @plan("r3_last_valid", "W", sql="SELECT id, url, crawl_number FROM W WHERE fail_count = 0 OR fail_count > 3 QUALIFY row_number() OVER (PARTITION BY url ORDER BY crawl_number DESC) = 1")
@@ -148,19 +148,19 @@ def w6(p):
 
 @plan("w7_missing_bridge_rows", "P", "area_in_group", sql="SELECT DISTINCT sector, lep_id FROM P JOIN area_in_group USING (la_id) WHERE score < 0 EXCEPT SELECT sector, lep_id FROM P JOIN area_in_group USING (la_id) WHERE score > 9000")
 def w7(p, bridge):
-    rows = p.join(F.broadcast(bridge), "la_id")
+    rows = p.join(bridge, "la_id")
     return h.unseen(rows.filter("score < 0").select("sector", "lep_id"), rows.filter("score > 9000").select("sector", "lep_id").distinct(), ["sector", "lep_id"])
 
 
-@plan("w8_folded_children", "J", "JS", sql="SELECT category, string_agg(DISTINCT skill, ',' ORDER BY skill) AS skills FROM J JOIN JS USING (job_id) WHERE pos = 1 GROUP BY category")
+@plan("w8_folded_children", "J", "JS", sql="SELECT category, string_agg(DISTINCT skill, ',' ORDER BY skill) AS skills FROM J JOIN JS USING (job_id) GROUP BY category")
 def w8(jobs, skills):
-    doc = h.nested(jobs.join(skills.filter("pos = 1"), "job_id").select("category", "skill").distinct(), "category", ["skill"], "s")
+    doc = h.nested(jobs.join(skills, "job_id").select("category", "skill").distinct(), "category", ["skill"], "s")
     return doc.select("category", F.array_join(F.transform("s", lambda x: x["skill"]), ",").alias("skills"))
 
 
 @plan("w9_place_ids", "X", "P", "area", sql="SELECT x.exp_id, x.title AS raw_title, a.la_name AS place FROM X x LEFT JOIN P p USING (profile_id) LEFT JOIN area a USING (la_id)")
 def w9(x, p, areas):
-    place = p.join(F.broadcast(areas), "la_id", "left").select("profile_id", F.col("la_name").alias("place"))
+    place = p.join(areas, "la_id", "left").select("profile_id", F.col("la_name").alias("place"))
     return x.withColumnsRenamed({"title": "raw_title"}).join(place, "profile_id", "left").select("exp_id", "raw_title", "place")
 
 
@@ -173,10 +173,10 @@ def p1(x):
         F.when(n() == 1, F.any_value("company")).otherwise(F.max_by("company", open_at)).alias("current_company"))
 
 
-@plan("p2_first_last_education", "X", sql="SELECT profile_id, arg_max(company, (start_ts, exp_id)) AS last_institute, arg_min(company, (start_ts, exp_id)) AS first_institute, CAST(max(start_ts) AS VARCHAR) IS NOT NULL AS has_end FROM X WHERE title = 'purchase' GROUP BY profile_id")
+@plan("p2_first_last_education", "X", sql="SELECT profile_id, arg_max(company, (start_ts, exp_id)) AS last_institute, arg_min(company, (start_ts, exp_id)) AS first_institute, CAST(max(start_ts) AS VARCHAR) IS NOT NULL AS has_end FROM X GROUP BY profile_id")
 def p2(x):
     at = F.struct("start_ts", "exp_id")
-    return x.filter("title = 'purchase'").groupBy("profile_id").agg(F.max_by("company", at).alias("last_institute"), F.min_by("company", at).alias("first_institute"), F.max("start_ts").isNotNull().alias("has_end"))
+    return x.groupBy("profile_id").agg(F.max_by("company", at).alias("last_institute"), F.min_by("company", at).alias("first_institute"), F.max("start_ts").isNotNull().alias("has_end"))
 
 
 @plan("p3_start_range", "X", sql="SELECT profile_id, min(start_ts) AS first_start, max(start_ts) AS last_start FROM X GROUP BY profile_id")
@@ -292,9 +292,9 @@ def s7(events):
     return events.select("event_id", k.alias("k"), F.when(k.isNull(), F.lit("k is missing")).alias("reason"))
 
 
-@plan("s12_search_documents", "J", "JS", sql="SELECT md5(company) AS id, company, count(*) AS n_children, string_agg(CAST(job_id AS VARCHAR), ',' ORDER BY job_id) AS children FROM J WHERE la_id = 7 GROUP BY company")
+@plan("s12_search_documents", "J", "JS", sql="SELECT md5(company) AS id, company, count(*) AS n_children, string_agg(CAST(job_id AS VARCHAR), ',' ORDER BY job_id) AS children FROM J GROUP BY company")
 def s12(jobs, skills):
-    doc = h.nested(jobs.filter("la_id = 7").select("company", "job_id"), "company", ["job_id"], "c")
+    doc = h.nested(jobs.select("company", "job_id"), "company", ["job_id"], "c")
     return doc.select(F.md5("company").alias("id"), "company", F.size("c").cast("long").alias("n_children"), F.array_join(F.transform("c", lambda x: x["job_id"].cast("string")), ",").alias("children"))
 
 

@@ -84,7 +84,7 @@ def j4(part):
 @plan("c11_locations_catalogue", "P", "area", "X", sql="SELECT la_name, count(DISTINCT profile_id) AS profiles, count(exp_id) AS experiences FROM P JOIN area USING (la_id) LEFT JOIN X USING (profile_id) GROUP BY la_name")
 def c11(p, areas, x):
     counts = x.groupBy("profile_id").agg(n().alias("c"))
-    per = p.join(F.broadcast(areas), "la_id").join(counts, "profile_id", "left")
+    per = p.join(areas, "la_id").join(counts, "profile_id", "left")
     return per.groupBy("la_name").agg(n().alias("profiles"), F.coalesce(F.sum("c"), F.lit(0)).alias("experiences"))
 
 
@@ -171,12 +171,11 @@ def q6(jobs):
     return co.select("category", "merged_title", "c1", "e", ((F.col("e") - F.col("c1")).cast("double") / F.col("e").cast("double") > 0.5).alias("sector_filter"))
 
 
-@plan("q7_merged_clouds", "JS", "J", sql=f"WITH c AS ({CO}), m AS (SELECT skill, sum(c1) AS c1, any_value(e) AS e, any_value(n) AS n FROM c WHERE category IN ('1-URGENT', '2-HIGH') GROUP BY skill), t AS (SELECT sum(c1) AS n1 FROM m) SELECT skill, CAST(c1 AS BIGINT) AS c1, round(c1::DOUBLE / n1::DOUBLE - (e - c1)::DOUBLE / (n - n1)::DOUBLE, 9) AS score FROM m, t")
+@plan("q7_merged_clouds", "JS", "J", sql=f"WITH c AS ({CO}), m AS (SELECT skill, sum(c1) AS c1, sum(n1) AS n1, any_value(e) AS e, any_value(n) AS n FROM c WHERE category IN ('1-URGENT', '2-HIGH') GROUP BY skill) SELECT skill, CAST(c1 AS BIGINT) AS c1, CAST(n1 AS BIGINT) AS n1, round(c1::DOUBLE / n1::DOUBLE - (e - c1)::DOUBLE / (n - n1)::DOUBLE, 9) AS score FROM m")
 def q7(skills, jobs):
-    two = F.col("category").isin("1-URGENT", "2-HIGH")
-    rows = skill_rows(skills, jobs).withColumn("category", F.when(two, "both").otherwise("rest"))
-    co = e.cooccurrence(rows, "category", "skill").filter("category = 'both'")
-    return co.select("skill", "c1", F.round(e.relevance(F.col("c1"), F.col("e"), F.col("n1"), F.col("n"))[0], 9).alias("score"))
+    co = e.cooccurrence(skill_rows(skills, jobs), "category", "skill")
+    merged = e.merge_clouds(co.filter("category = '1-URGENT'"), co.filter("category = '2-HIGH'"), "skill")
+    return merged.select("skill", "c1", "n1", F.round(e.relevance(F.col("c1"), F.col("e"), F.col("n1"), F.col("n"))[0], 9).alias("score"))
 
 
 @plan("q8_top_mapped", "P", sql=f"SELECT sector, mapped, n FROM (SELECT sector, mapped, count(*) AS n FROM ({MAPPED}) GROUP BY sector, mapped) QUALIFY row_number() OVER (PARTITION BY sector ORDER BY n DESC, mapped) <= 3")
@@ -237,17 +236,17 @@ def i1(skills, jobs):
     return e.idf(skills, jobs.agg(n())).select("skill", F.round("idf", 9).alias("idf"))
 
 
-@plan("i2_tfidf_words", "documents", sql="WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents), c AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL), f AS (SELECT word, sum(tf) AS f FROM c GROUP BY word) SELECT doc_id, word, round(tf::DOUBLE * ((SELECT count(*) FROM documents)::DOUBLE / f::DOUBLE), 9) AS tfidf FROM c JOIN f USING (word) WHERE tf >= 5")
+@plan("i2_tfidf_words", "documents", sql="WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents), c AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL), f AS (SELECT word, sum(tf) AS f FROM c GROUP BY word) SELECT doc_id, word, round(tf::DOUBLE * ((SELECT count(*) FROM documents)::DOUBLE / f::DOUBLE), 9) AS tfidf FROM c JOIN f USING (word)")
 def i2(docs):
     words = docs.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
     tf = words.groupBy("doc_id", "word").agg(n().alias("tf"))
     f = tf.groupBy("word").agg(F.sum("tf").alias("f")).crossJoin(F.broadcast(docs.agg(n().alias("total"))))
-    return tf.filter("tf >= 5").join(f, "word").select("doc_id", "word", F.round(F.col("tf").cast("double") * (F.col("total").cast("double") / F.col("f").cast("double")), 9).alias("tfidf"))
+    return tf.join(f, "word").select("doc_id", "word", F.round(F.col("tf").cast("double") * (F.col("total").cast("double") / F.col("f").cast("double")), 9).alias("tfidf"))
 
 
-@plan("i3_attach_idf", "JS", "J", sql=f"SELECT skill, count(*) AS c, round(count(*)::DOUBLE * coalesce(any_value(idf), 0), 6) AS weight FROM JS LEFT JOIN ({IDF}) USING (skill) WHERE pos = 1 GROUP BY skill ORDER BY weight DESC, skill LIMIT 20")
+@plan("i3_attach_idf", "JS", "J", sql=f"SELECT skill, count(*) AS c, round(count(*)::DOUBLE * coalesce(any_value(idf), 0), 6) AS weight FROM JS LEFT JOIN ({IDF}) USING (skill) GROUP BY skill ORDER BY weight DESC, skill LIMIT 20")
 def i3(skills, jobs):
-    counts = skills.filter("pos = 1").groupBy("skill").agg(n().alias("c")).join(e.idf(skills, jobs.agg(n())), "skill", "left")
+    counts = skills.groupBy("skill").agg(n().alias("c")).join(e.idf(skills, jobs.agg(n())), "skill", "left")
     return counts.select("skill", "c", F.round(F.col("c").cast("double") * F.coalesce("idf", F.lit(0.0)), 6).alias("weight")).orderBy(F.desc("weight"), "skill").limit(20)
 
 
@@ -271,11 +270,11 @@ def v3(skills, jobs):
     return d.filter("a < b").select("a", "b", F.round("distance", 5).alias("distance"))
 
 
-@plan("v5_nearest_cluster", "JS", "J", sql=f"WITH v AS ({VECTORS}), d AS (SELECT job_id, category, sum(w) AS dot FROM JS JOIN v USING (skill) WHERE pos <= 2 GROUP BY ALL) SELECT job_id, arg_max(category, (round(dot, 9), category)) AS cluster FROM d GROUP BY job_id")
+@plan("v5_nearest_cluster", "JS", "J", sql=f"WITH v AS ({VECTORS}), s AS (SELECT job_id, skill, count(*)::DOUBLE AS x FROM JS GROUP BY ALL), m AS (SELECT job_id, sqrt(sum(x * x)) AS nx FROM s GROUP BY job_id), d AS (SELECT job_id, category, sum(x * w) AS dot, count(*) AS shared FROM s JOIN v USING (skill) GROUP BY ALL), b AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY round(dot, 9) DESC, category) = 1) SELECT job_id, coalesce(category, (SELECT min(category) FROM v)) AS cluster, round(acos(least(1, coalesce(dot, 0) / nx)), 5) AS distance, coalesce(shared, 0) AS n_shared FROM m LEFT JOIN b USING (job_id)")
 def v5(skills, jobs):
     v = e.skill_vectors(skill_rows(skills, jobs), "category", "skill", 100)
-    dots = skills.filter("pos <= 2").join(v, "skill").groupBy("job_id", "category").agg(F.sum("w").alias("dot"))
-    return dots.groupBy("job_id").agg(F.max_by("category", F.struct(F.round("dot", 9), "category")).alias("cluster"))
+    own = skills.groupBy("job_id", "skill").agg(n().cast("double").alias("w"))
+    return e.nearest_cluster(own, v, "job_id", "category", "skill").select("job_id", F.col("category").alias("cluster"), F.round("distance", 5).alias("distance"), "n_shared")
 
 
 @plan("v7_rekey_vectors", "JS", sql="SELECT DISTINCT 'skill:other:en:' || skill AS key FROM JS")

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from skillweave.operators import history as h
 from skillweave.operators import reports as r
 from skillweave.plans.register import Plans
 
@@ -80,7 +81,7 @@ def f9(skills):
 
 @plan("f10_aligned_union", "J", "area", sql="SELECT CAST(la_id AS VARCHAR) AS code, la_name AS name, count(*) AS n_jobs FROM J JOIN area USING (la_id) GROUP BY la_id, la_name UNION ALL SELECT nuts1, NULL, count(*) FROM J JOIN area USING (la_id) GROUP BY nuts1")
 def f10(jobs, areas):
-    both = jobs.join(F.broadcast(areas), "la_id")
+    both = jobs.join(areas, "la_id")
     la = both.groupBy(F.col("la_id").cast("string").alias("code"), F.col("la_name").alias("name")).agg(n().alias("n_jobs"))
     return la.unionByName(both.groupBy(F.col("nuts1").alias("code")).agg(n().alias("n_jobs")), allowMissingColumns=True)
 
@@ -102,13 +103,13 @@ def j1(jobs, skills):
 
 @plan("j2_left_join", "J", "area", sql="SELECT job_id, nuts1 FROM J LEFT JOIN (SELECT * FROM area WHERE nuts0 <> 'R1') a USING (la_id)")
 def j2(jobs, areas):
-    return jobs.join(F.broadcast(areas.filter("nuts0 <> 'R1'")), "la_id", "left").select("job_id", "nuts1")
+    return jobs.join(areas.filter("nuts0 <> 'R1'"), "la_id", "left").select("job_id", "nuts1")
 
 
 @plan("j3_bridge_join", "region", "J", "area_in_group", sql="SELECT r_name, count(*) AS n FROM J JOIN area_in_group USING (la_id) JOIN region ON r_regionkey = lep_id GROUP BY r_name")
 def j3(region, jobs, bridge):
     per_area = jobs.groupBy("la_id").agg(n().alias("n"))
-    return per_area.join(F.broadcast(bridge), "la_id").join(F.broadcast(region), F.col("lep_id") == F.col("r_regionkey")).groupBy("r_name").agg(F.sum("n").alias("n"))
+    return per_area.join(bridge, "la_id").join(region, F.col("lep_id") == F.col("r_regionkey")).groupBy("r_name").agg(F.sum("n").alias("n"))
 
 
 @plan("j6_semi_join", "J", "JS", sql="SELECT job_id, company FROM J WHERE job_id IN (SELECT job_id FROM JS WHERE pos >= 6)")
@@ -123,7 +124,7 @@ def j7(jobs, skills):
 
 @plan("j8_dimension_join", "orders", "customer", "nation", sql="SELECT n_name, count(*) AS n FROM orders, customer, nation WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey GROUP BY n_name")
 def j8(orders, customer, nation):
-    both = orders.join(customer, orders.o_custkey == customer.c_custkey).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    both = orders.join(customer, orders.o_custkey == customer.c_custkey).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return both.groupBy("n_name").agg(n().alias("n"))
 
 
@@ -176,7 +177,7 @@ def a5(jobs, areas, bridge):
 
 @plan("a6_job_skill_rows", "J", "JS", "area", sql="SELECT job_id, skill, pos, merged_title, salary_min, salary_max, la_id, nuts1 FROM JS JOIN J USING (job_id) JOIN area USING (la_id)")
 def a6(jobs, skills, areas):
-    return skills.join(jobs, "job_id").join(F.broadcast(areas), "la_id").select("job_id", "skill", "pos", "merged_title", "salary_min", "salary_max", "la_id", "nuts1")
+    return skills.join(jobs, "job_id").join(areas, "la_id").select("job_id", "skill", "pos", "merged_title", "salary_min", "salary_max", "la_id", "nuts1")
 
 
 @plan("a7_top_skills_by_tfidf", "J", "JS", sql="""WITH t AS (SELECT count(*) AS n FROM J), i AS (SELECT skill, log10((SELECT n FROM t)::DOUBLE / count(*)::DOUBLE) AS idf FROM JS GROUP BY skill),
@@ -281,13 +282,12 @@ def a22(jobs, skills):
 
 @plan("a23_bridge_lookup", "P", "area", sql="SELECT DISTINCT sector, nuts0 FROM P JOIN area USING (la_id)")
 def a23(p, areas):
-    return p.join(F.broadcast(areas), "la_id").select("sector", "nuts0").distinct()
+    return p.join(areas, "la_id").select("sector", "nuts0").distinct()
 
 
 @plan("a24_facets", "J", "JS", sql="SELECT skill, count(*) AS n FROM JS JOIN J USING (job_id) WHERE merged_title IN ('BUILDING', 'MACHINERY') GROUP BY skill ORDER BY n DESC, skill LIMIT 10")
 def a24(jobs, skills):
-    nested = skills.groupBy("job_id").agg(F.collect_list("skill").alias("skills"))
-    rows = nested.join(r.title_filter(jobs, ["BUILDING", "MACHINERY"]).select("job_id"), "job_id").select(F.explode("skills").alias("skill"))
+    rows = skills.join(r.title_filter(jobs, ["BUILDING", "MACHINERY"]).select("job_id"), "job_id")
     return r.top(rows.groupBy("skill").agg(n().alias("n")), 10, F.desc("n"), F.asc("skill"))
 
 
@@ -307,13 +307,14 @@ def a26(x):
 @plan("a27_key_ranges", "J", sql="WITH d AS (SELECT la_id AS k, row_number() OVER (ORDER BY la_id) AS rn FROM (SELECT DISTINCT la_id FROM J)), b AS (SELECT k, rn FROM d WHERE rn % 4 = 1) SELECT k AS from_key, lead(k) OVER (ORDER BY k) AS to_key, rn FROM b")
 def a27(jobs):
     keys = jobs.select(F.col("la_id").alias("k")).distinct()
-    ranked = keys.withColumn("rn", F.row_number().over(W.orderBy("k")).cast("long")).filter("rn % 4 = 1")
+    ranked = h.numbered(keys, "k", "rn").filter("rn % 4 = 1")
+    # one row for each range
     return ranked.select(F.col("k").alias("from_key"), F.lead("k").over(W.orderBy("k")).alias("to_key"), "rn")
 
 
-@plan("a28_even_split", "J", sql="WITH d AS (SELECT DISTINCT company FROM J WHERE la_id = 3) SELECT company, CAST(ntile(8) OVER (ORDER BY company) AS BIGINT) AS chunk FROM d")
+@plan("a28_even_split", "J", sql="WITH d AS (SELECT DISTINCT company FROM J) SELECT company, CAST(ntile(8) OVER (ORDER BY company) AS BIGINT) AS chunk FROM d")
 def a28(jobs):
-    return jobs.filter("la_id = 3").select("company").distinct().select("company", F.ntile(8).over(W.orderBy("company")).cast("long").alias("chunk"))
+    return h.even_split(jobs.select("company").distinct(), "company", 8, "chunk")
 
 
 @plan("a29_distinct_totals", "P", sql="SELECT count(*) AS n_profiles, count(DISTINCT company) AS n_companies, count_if(score > 0) AS n_positive, count_if(sector IS NOT NULL) AS n_with_sector FROM P")
@@ -356,7 +357,7 @@ def k12(jobs, skills):
 
 @plan("k13_request_grid", "region", "nation", sql="SELECT r_name, n_name FROM region, nation WHERE r_regionkey <> n_regionkey")
 def k13(region, nation):
-    return nation.crossJoin(F.broadcast(region)).filter("r_regionkey <> n_regionkey").select("r_name", "n_name")
+    return nation.crossJoin(region).filter("r_regionkey <> n_regionkey").select("r_name", "n_name")
 
 
 QUERIES, ORACLES = plan.queries, plan.oracles

@@ -19,9 +19,9 @@ WORDS = "list_filter(string_split(trim(regexp_replace(lower(strip_accents({x})),
 CLEAN = f"nullif(array_to_string(list_filter({WORDS}, lambda w: w NOT IN ({QUOTED})), ' '), '')"
 
 
-@plan("t1_clean", "documents", sql=f"SELECT doc_id, {CLEAN.format(x='text')} AS clean FROM documents WHERE lang IN ('en', 'fr', 'es')")
+@plan("t1_clean", "documents", sql=f"SELECT doc_id, {CLEAN.format(x='text')} AS clean FROM documents")
 def t1(docs):
-    return docs.filter(F.col("lang").isin("en", "fr", "es")).select("doc_id", t.clean(F.col("text"), stop=STOP).alias("clean"))
+    return docs.select("doc_id", t.clean(F.col("text"), stop=STOP).alias("clean"))
 
 
 @plan("t2_keys", "P", sql="SELECT profile_id, CASE WHEN profile_id % 9 = 0 THEN NULL ELSE 'company:' || 'A' || ':en:' || lower(company) END AS key, CASE WHEN profile_id % 9 = 0 THEN NULL ELSE lower(company) END AS name FROM P")
@@ -35,9 +35,14 @@ def t3(tt):
     return tt.select("id", t.clean(F.concat(F.lit("c++ "), "base"), replace=t.SKILL_SPELLINGS).alias("skill"))
 
 
-@plan("t4_skill_keys", "part", sql=f"SELECT DISTINCT 'skill:A:en:' || {CLEAN.format(x='p_name')} AS key FROM part")
+#: A word's stem, and the canonical words of an expression stemmed, in DuckDB.
+STEM = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(w, 'sses$', 'ss'), 'ies$', 'i'), '([^su])s$', '\1'), '^([a-z]*[aeiouy][a-z]+)(ing|ed)$', '\1')"
+STEMMED = f"nullif(array_to_string(list_transform(list_filter({WORDS}, lambda w: w NOT IN ({QUOTED})), lambda w: {STEM}), ' '), '')"
+
+
+@plan("t4_skill_keys", "part", sql=f"SELECT DISTINCT 'skill:A:en:' || {STEMMED.format(x='p_name')} AS key FROM part")
 def t4(part):
-    return part.select(t.key("skill", "A", "en", t.clean(F.col("p_name"), stop=STOP)).alias("key")).distinct()
+    return part.select(t.key("skill", "A", "en", t.clean(F.col("p_name"), stop=STOP, stem_words=True)).alias("key")).distinct()
 
 
 TITLE = "trim(lower(CASE WHEN id % 5 = 2 THEN '2x ' ELSE prefix END || base || replace(suffix, 'é', 'e')))"
@@ -96,7 +101,7 @@ def t13(nation):
 
 @plan("t14_location_path", "nation", "region", sql="SELECT n_nationkey, CASE WHEN n_nationkey % 4 = 0 THEN r_name ELSE n_name || ', ' || r_name END AS place FROM nation JOIN region ON n_regionkey = r_regionkey")
 def t14(nation, region):
-    both = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    both = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     return both.select("n_nationkey", F.nullif(F.concat_ws(", ", F.when(F.col("n_nationkey") % 4 != 0, F.col("n_name")), "r_name"), F.lit("")).alias("place"))
 
 
@@ -115,9 +120,9 @@ def t16(tt):
     return tt.select("id", t.clean(text, stop=["hons", "honours"]).alias("degree"))
 
 
-@plan("t17_subject_keys", "part", sql=f"SELECT DISTINCT {CLEAN.format(x='p_type')} AS subject FROM part")
+@plan("t17_subject_keys", "part", sql=f"SELECT DISTINCT {STEMMED.format(x='p_type')} AS subject FROM part")
 def t17(part):
-    return part.select(t.clean(F.substring_index(F.concat("p_type", F.lit("/other")), "/", 1), stop=STOP).alias("subject")).distinct()
+    return part.select(t.clean(F.substring_index(F.concat("p_type", F.lit("/other")), "/", 1), stop=STOP, stem_words=True).alias("subject")).distinct()
 
 
 @plan("t18_entity_dispatch", "P", sql="SELECT profile_id, 'sector:A:en:' || lower(sector) AS sector_key, 'company:A:en:' || lower(regexp_replace(company, ' Ltd$', '')) AS company_key FROM P")
@@ -198,7 +203,7 @@ def t31(pages):
 
 @plan("t32_taxonomy_paths", "nation", "region", sql="SELECT DISTINCT r_name AS path FROM nation JOIN region ON n_regionkey = r_regionkey UNION SELECT r_name || '/' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey")
 def t32(nation, region):
-    path = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(F.array("r_name", "n_name").alias("p"))
+    path = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.array("r_name", "n_name").alias("p"))
     return path.select("p", F.explode(F.sequence(F.lit(1), F.size("p"))).alias("k")).select(F.array_join(F.slice("p", F.lit(1), F.col("k")), "/").alias("path")).distinct()
 
 
@@ -211,7 +216,7 @@ def t33(p):
 @plan("t34_language", "documents")
 def t34(docs):
     lists = {k: t.stop_words(k) for k in t.LANGUAGES}
-    return docs.select("doc_id", "lang").join(m.language_scores(docs, lists), "doc_id").withColumn("guess", F.coalesce("guess", F.lit("en")))
+    return docs.select("doc_id", "lang", F.coalesce(m.language(F.col("text"), lists), F.lit("en")).alias("guess"))
 
 
 @plan("t35_query_strings", "J", "JS", sql="SELECT merged_title, string_agg(skill, ' or ' ORDER BY skill) AS query FROM (SELECT merged_title, skill, count(*) AS c, row_number() OVER (PARTITION BY merged_title ORDER BY count(*) DESC, skill) AS rn FROM JS JOIN J USING (job_id) WHERE merged_title IS NOT NULL GROUP BY merged_title, skill) WHERE rn <= 5 GROUP BY merged_title")
@@ -249,7 +254,7 @@ def n10(p):
 
 @plan("n11_adjacent_parts", "nation", "region", sql="SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_name || ', ' || r_name ELSE n_name || ', ' || r_name || ', ' || n_name END AS address FROM nation JOIN region ON n_regionkey = r_regionkey")
 def n11(nation, region):
-    both = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    both = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     parts = F.array("n_name", F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(F.col("r_name")), "r_name", F.when(F.col("n_nationkey") % 2 == 0, F.col("r_name")).otherwise(F.col("n_name")))
     return both.withColumn("p", parts).select("n_nationkey", F.array_join(F.filter("p", lambda x, i: (i == 0) | (x != F.get("p", i - 1))), ", ").alias("address"))
 
@@ -281,7 +286,7 @@ def phrases(docs):
 
 
 PHRASES = "(VALUES ('of the', 'of', 2), ('of the', 'the', 2), ('with by', 'with', 2), ('with by', 'by', 2), ('nicht', 'nicht', 1), ('from was as', 'from', 3), ('from was as', 'was', 3), ('from was as', 'as', 3)) AS p(phrase, word, n)"
-HITS = f"WITH w AS ({DOC_WORDS}), h AS (SELECT doc_id, phrase, n, pos, w.word FROM w JOIN {PHRASES} ON w.word = p.word) SELECT DISTINCT doc_id, phrase FROM (SELECT a.doc_id, a.phrase, a.pos, any_value(a.n) AS n, count(DISTINCT b.word) AS k FROM h a JOIN h b ON a.doc_id = b.doc_id AND a.phrase = b.phrase AND b.pos >= a.pos AND b.pos < a.pos + 2 * a.n GROUP BY ALL) WHERE k >= n"
+HITS = f"WITH w AS ({DOC_WORDS}), h AS (SELECT doc_id, phrase, n, pos, w.word FROM w JOIN {PHRASES} ON w.word = p.word) SELECT DISTINCT doc_id, phrase FROM (SELECT a.doc_id, a.phrase, a.pos, any_value(a.n) AS n, count(DISTINCT b.word) AS k FROM h a JOIN h b ON a.doc_id = b.doc_id AND a.phrase = b.phrase AND b.pos >= a.pos AND b.pos < a.pos + 1.5 * a.n GROUP BY ALL) WHERE k >= 0.75 * n"
 
 
 @plan("e1_phrase_matches", "documents", sql=HITS)
@@ -307,10 +312,9 @@ def e4(x):
     return declared.join(found, ["profile_id", "title"], "full_outer").select("profile_id", "title", (F.coalesce("score", F.lit(0)) + F.coalesce("f", F.lit(0))).alias("score"))
 
 
-@plan("e5_tag_scores", "J", "JS", sql="SELECT company, skill, count(*) AS score FROM J JOIN JS USING (job_id) WHERE la_id = 3 GROUP BY ALL")
+@plan("e5_tag_scores", "J", "JS", sql="SELECT company, skill, count(*) AS score FROM J JOIN JS USING (job_id) GROUP BY ALL")
 def e5(jobs, skills):
-    tags = skills.groupBy("job_id").agg(F.collect_list("skill").alias("tags"))
-    return jobs.filter("la_id = 3").join(tags, "job_id").select("company", F.explode("tags").alias("skill")).groupBy("company", "skill").agg(n().alias("score"))
+    return jobs.select("job_id", "company").join(skills, "job_id").groupBy("company", "skill").agg(n().alias("score"))
 
 
 @plan("e6_declared_weight", "JS", sql="SELECT job_id, skill, CASE WHEN pos = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS score FROM JS")
@@ -335,7 +339,7 @@ def u2(tt):
 
 @plan("u3_token_sort_ratio", "supplier", "nation", sql="SELECT s_suppkey, n_name, round(100.0::DOUBLE * (1 - levenshtein(lower(s_name), lower(n_name))::DOUBLE / greatest(length(s_name), length(n_name))), 6) AS ratio FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def u3(supplier, nation):
-    both = supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    both = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return both.select("s_suppkey", "n_name", F.round(m.ratio(F.lower("s_name"), F.lower("n_name")), 6).alias("ratio"))
 
 
@@ -373,10 +377,20 @@ def g2(customer, nation):
     return g1(customer, nation).select("id", F.substring(code, 1, 2).alias("level0"), F.substring(code, 1, 3).alias("level1"), F.when(F.length(code) > 3, code).alias("level2"))
 
 
-@plan("g3_viewport_rule", "area", sql="SELECT la_id, CASE WHEN la_id % 3 = 0 THEN NULL ELSE nuts2 END AS nuts2, nuts0 FROM area")
-def g3(areas):
-    covered = F.col("la_id") % 3 == 0
-    return areas.select("la_id", F.when(~covered, F.col("nuts2")).alias("nuts2"), "nuts0")
+_SHARE = "greatest(0, least(x0 + {w}, x + dx) - greatest(x0, x - dx)) * greatest(0, least(y0 + 300, y + dy) - greatest(y0, y - dy)) > 0.9 * {w} * 300"
+
+
+@plan("g3_viewport_rule", "customer", "nation", sql=f"WITH l AS ({LOCATED}), a AS (SELECT id, code, CAST(substr(code, 2, 2) AS INTEGER) AS k, c_acctbal::DOUBLE AS x, (c_custkey % 1600)::DOUBLE AS y, c_custkey % 5 * 600.0::DOUBLE AS dx, c_custkey % 4 * 110.0::DOUBLE AS dy FROM l JOIN customer ON id = c_custkey WHERE code IS NOT NULL), b AS (SELECT *, k % 5 * 2000.0 - 1000 AS x0, k // 5 * 300.0 AS y0 FROM a) SELECT id, substr(code, 1, 3) AS level0, CASE WHEN length(code) > 3 AND NOT ({_SHARE.format(w=2000)}) THEN code END AS level1 FROM b")
+def g3(customer, nation):
+    """A view around each point: the deepest region that the view doesn't cover, with those above it."""
+    around = points(customer).select("id", *[(F.col(c) + sign * F.col("id") % k * by).alias(name) for c, sign, k, by, name in (("x", -1, 5, 600.0, "x0"), ("x", 1, 5, 600.0, "x1"), ("y", -1, 4, 110.0, "y0"), ("y", 1, 4, 110.0, "y1"))])
+    found = g1(customer, nation).filter("code IS NOT NULL").join(around, "id")
+    level = F.explode(F.array_distinct(F.array(F.substring("code", 1, 3), F.col("code")))).alias("level")
+    each = found.select("id", "x0", "x1", "y0", "y1", level).join(regions(nation).withColumnRenamed("code", "level"), "level")
+    seen = each.select("id", "level", m.covered(F.col("ring"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), 0.9).alias("covered"))
+    least = F.min(F.when(F.col("covered"), F.length("level")))
+    by_point = seen.groupBy("id").agg(least.alias("least"), *[F.max(F.when(c, F.col("level"))).alias(name) for c, name in ((F.length("level") == 3, "level0"), (F.length("level") > 3, "level1"))])
+    return by_point.select("id", "level0", F.when(F.col("least").isNull() | (F.length("level1") <= F.col("least")), F.col("level1")).alias("level1"))
 
 
 @plan("g4_region_listing", "area", sql="SELECT DISTINCT code FROM (SELECT nuts1 AS code FROM area UNION ALL SELECT nuts2 FROM area) WHERE length(code) = 3 AND code LIKE 'R1%'")
@@ -388,7 +402,7 @@ def g4(areas):
 @plan("g5_job_region_codes", "J", "area", sql="SELECT job_id, CASE WHEN job_id % 3 = 0 THEN 'R9' ELSE nuts1 END AS nuts1 FROM J JOIN area USING (la_id)")
 def g5(jobs, areas):
     own = F.when(F.col("job_id") % 3 == 0, F.lit("R9"))
-    return jobs.join(F.broadcast(areas), "la_id", "left").select("job_id", F.coalesce(own, "nuts1").alias("nuts1"))
+    return jobs.join(areas, "la_id", "left").select("job_id", F.coalesce(own, "nuts1").alias("nuts1"))
 
 
 @plan("g6_lookup_candidates", "P", "X", "area", sql="SELECT DISTINCT la_name AS place FROM area WHERE length(la_name) > 5 AND la_id IN (SELECT la_id FROM P) UNION SELECT DISTINCT company FROM X WHERE length(company) > 5")
@@ -404,7 +418,7 @@ def g7(log):
 
 @plan("g8_profile_regions", "P", "area", sql="SELECT profile_id, nuts0, nuts1, nuts2 FROM P LEFT JOIN area USING (la_id)")
 def g8(p, areas):
-    return p.join(F.broadcast(areas), "la_id", "left").select("profile_id", "nuts0", "nuts1", "nuts2")
+    return p.join(areas, "la_id", "left").select("profile_id", "nuts0", "nuts1", "nuts2")
 
 
 @plan("h4_edges_from_centres", "J", sql="WITH c AS (SELECT list(DISTINCT m ORDER BY m) AS c FROM (SELECT (salary_min // 10000) * 10000 + 5000 AS m FROM J WHERE salary_min < 50000)) SELECT array_to_string(list_transform(range(1, len(c) + 2), lambda i: CASE WHEN i = 1 THEN c[1] - (c[2] - c[1]) // 2 WHEN i = len(c) + 1 THEN c[len(c)] + (c[len(c)] - c[len(c) - 1]) // 2 ELSE (c[i - 1] + c[i]) // 2 END), ',') AS edges FROM c")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +30,14 @@ def local_session(cpus: int = 8, memory: str = "8g", shuffle_partitions: int = 8
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share. Without one a folder of its own is made in local
+    mode only, where they are one process; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="skillweave-")
+    return folder

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skillweave.session import work_folder
+
 BAD = "_malformed"
 
 
@@ -63,5 +64,5 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     """df, computed once and read back from the session's checkpoint folder; one of its own only where none is named."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skillweave-"))
+        context.setCheckpointDir(work_folder(df.sparkSession))
     return df.checkpoint()

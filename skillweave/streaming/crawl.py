@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skillweave.session import work_folder
+
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
     """New files of a folder (or of a pattern) of event files."""
@@ -40,6 +41,5 @@ def run_once(stream: DataFrame, mode: str, folder: str) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share; machine-local only where the session names none, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skillweave-stream-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    """A new folder that all executors share."""
+    return f"{work_folder(spark)}/stream-{uuid.uuid4().hex}"

@@ -103,6 +103,44 @@ def test_regions_take_the_deepest(spark):
     assert {x.id: x.code for x in m.locate(points, regions, 4.0).collect()} == {1: "AB", 2: "A", 3: None}
 
 
+def test_views_clip_rings(spark):
+    ring = [(0.0, 0.0), (10.0, 0.0), (0.0, 10.0)]
+    views = [(0.0, 0.0, 5.0, 5.0, 25.0), (-1.0, -1.0, 11.0, 11.0, 50.0), (5.0, 5.0, 9.0, 9.0, 0.0), (0.0, 0.0, 8.0, 20.0, 48.0), (20.0, 0.0, 30.0, 5.0, 0.0)]
+    df = spark.createDataFrame([(ring, *v) for v in views], "ring array<struct<x: double, y: double>>, x0 double, y0 double, x1 double, y1 double, area double")
+    box = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
+    out = df.select("area", *[m.covered(F.col("ring"), *box, k / 100).alias(f"c{k}") for k in (1, 45, 55, 90, 95, 97)]).collect()
+    assert all(x[f"c{k}"] == (x.area > 50 * k / 100) for x in out for k in (1, 45, 55, 90, 95, 97))
+
+
+def test_clouds_merge_or_disagree(spark):
+    make = lambda rows: spark.createDataFrame(rows, "skill string, c1 long, n1 long, e long, n long")
+    a, b = make([("x", 2, 10, 7, 99), ("y", 1, 10, 4, 99)]), make([("x", 3, 20, 7, 99)])
+    assert sorted(map(tuple, r.merge_clouds(a, b, "skill").collect())) == [("x", 5, 30, 7, 99), ("y", 1, 10, 4, 99)]
+    with pytest.raises(Exception, match="disagree on e"):
+        r.merge_clouds(a, make([("x", 3, 20, 8, 99)]), "skill").collect()
+
+
+def test_nearest_cluster_keeps_vectors_without_overlap(spark):
+    clusters = spark.createDataFrame([("a", "p", 1.0), ("b", "q", 0.6), ("b", "s", 0.8)], "label string, item string, w double")
+    rows = spark.createDataFrame([(1, "p", 3.0), (2, "q", 1.0), (2, "p", 0.1), (3, "none", 1.0)], "id int, item string, w double")
+    found = {x.id: (x.label, round(x.distance, 4), x.n_shared) for x in r.nearest_cluster(rows, clusters, "id", "label", "item").collect()}
+    assert found[1] == ("a", 0.0, 1) and found[3] == ("a", 1.5708, 0) and found[2][0] == "b" and found[2][2] == 1
+
+
+def test_even_split_and_language(spark):
+    df = spark.range(11).select(F.col("id").alias("k"))
+    assert [x.p for x in h.even_split(df, "k", 4, "p").orderBy("k").collect()] == [1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4]
+    texts = spark.createDataFrame([("le chat et la souris",), ("the cat",), ("xyz",), (None,)], "x string")
+    lists = {"en": ["the", "and"], "fr": ["le", "la", "et"]}
+    assert [x[0] for x in texts.select(m.language(F.col("x"), lists)).collect()] == ["fr", "en", None, None]
+
+
+def test_a_fraction_of_a_phrase_is_enough(spark):
+    words = spark.createDataFrame([(1, k, w) for k, w in enumerate("one two x three".split())] + [(2, k, w) for k, w in enumerate("one x y two".split())], "doc_id int, pos int, word string")
+    phrases = spark.createDataFrame([("p", w) for w in ("one", "two", "three", "four")], "phrase string, word string")
+    assert [x.doc_id for x in m.phrase_hits(words, phrases).collect()] == [1]
+
+
 def test_clusters_merge_the_closest(spark):
     v = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 0.9), ("b", "y", 0.1), ("c", "z", 1.0), ("d", "z", 1.0), ("d", "y", 0.1)], "label string, item string, w double")
     assert {x.label: x.cluster for x in m.clusters(v, 2).collect()} == {"a": "a", "b": "a", "c": "c", "d": "c"}
