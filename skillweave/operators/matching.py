@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_AMOUNT = r"(\d{1,3}(?:[,.']\d{3})+|\d+)(\.\d{1,2})?\s?(k)?"
+_AMOUNT = r"(\d{1,3}(?:[,.'’]\d{3})+|\d+)(\.\d{1,2})?\s?(k)?"
+#: A period may also stand between the two amounts of a range.
+_EACH = r"(?:\s?(?:p[./]?[hda]|(?:per|an?|/)\s?(?:hour|day|week|month|year|annum))\b)?"
 #: One amount, or a range of two; what follows is looked at for the period and for amounts that are no salaries.
-SALARY = rf"(?is)[£$€]\s?{_AMOUNT}(?:\s?(?:-|–|to|and)\s?[£$€]?\s?{_AMOUNT})?(?!\d)(?=(.{{0,30}}))"
-_NOT_SALARY = r"(?is)(?:overtime|bonus)[^\w£$€]+(?:\w+[^\w£$€]+){0,2}?[£$€]\s?\d[\d,.']*k?|[£$€]\s?[\d.,]+\s?(?:m\b|million|billion)"
+SALARY = rf"(?is)[£$€]\s?{_AMOUNT}(?:{_EACH}\s?(?:-|–|to|and)\s?[£$€]?\s?{_AMOUNT})?(?!\d)(?=(.{{0,30}}))"
+_NOT_SALARY = r"(?is)(?:[£$€]\s?[\d.,]+k?\s?(?:-|–|to)\s?)?[£$€]\s?[\d.,]+\s?(?:m\b|million|billion)|\b(?:budget|turnover|revenue)s?\W+(?:\w+\W+){0,3}?[£$€]\s?\d[\d,.']*k?|(?:overtime|bonus)[^\w£$€]+(?:\w+[^\w£$€]+){0,2}?[£$€]\s?\d[\d,.']*k?"
 _PERIODS = (
     ("hour", r"(?i)^\W{0,3}(?:per|an|/|p[./]?)\s?h(?:ou)?r?\b|^\W{0,3}ph\b"),
     ("day", r"(?i)^\W{0,3}(?:per|a|/|p[./]?)\s?d(?:ay)?\b|^\W{0,3}pd\b"),
@@ -29,7 +31,7 @@ def salary(text: Column) -> Column:
     found = F.arrays_zip(*[group(k).alias(n) for k, n in ((1, "a"), (2, "ad"), (3, "ak"), (4, "b"), (5, "bd"), (6, "bk"), (7, "after"))])
 
     def amount(whole: Column, part: Column) -> Column:
-        return F.concat(F.regexp_replace(whole, "[,.']", ""), part).try_cast("double")
+        return F.concat(F.regexp_replace(whole, "[,.'’]", ""), part).try_cast("double")
 
     # each step's structs are built before the next reads them; in one expression every use would work out the amounts anew
     period = lambda after: F.coalesce(*[F.when(after.rlike(p), F.lit(name)) for name, p in _PERIODS])
@@ -81,6 +83,13 @@ def ratio(a: Column, b: Column) -> Column:
     return 100.0 * (1 - F.levenshtein(a, b) / longest)
 
 
+def alike(a: Column, b: Column, least: float) -> Column:
+    """Whether `ratio` is above a bound, without working out distances that are beyond it."""
+    longest = F.greatest(F.length(a), F.length(b), F.lit(1))
+    distance = F.call_function("levenshtein", a, b, F.ceil(longest * (1 - least / 100)).cast("int"))
+    return (distance >= 0) & (100.0 * (1 - distance / longest) > least)
+
+
 def sorted_words(text: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(F.lower(text), " "), lambda w: w != "")), " ")
 
@@ -93,7 +102,9 @@ def near_pairs(df: DataFrame, block: str, id_col: str, title: str, text: str, ti
     left, right = nodes.select("k", *[F.col(c).alias(f"a_{c}") for c in ("t", "x", "id")]), nodes.select("k", *[F.col(c).alias(f"b_{c}") for c in ("t", "x", "id")])
     la, lb = F.length("a_x"), F.length("b_x")
     both = left.join(right, "k").filter(F.col("b_id") > F.col("a_id")).filter((F.greatest(la, lb) <= length_most * F.least(la, lb)))
-    kept = both.filter(ratio(F.col("a_t"), F.col("b_t")) > title_least).filter(ratio(F.col("a_x"), F.col("b_x")) > text_least)
+    # texts that differ more in length can't be so alike
+    both = both.filter(F.least(la, lb) >= F.lit(text_least / 100) * F.greatest(la, lb))
+    kept = both.filter(alike(F.col("a_t"), F.col("b_t"), title_least)).filter(alike(F.col("a_x"), F.col("b_x"), text_least))
     return kept.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
 
 

@@ -68,7 +68,8 @@ def pay(low, high, sign="£", joint=" - ", tail=""):
     (f"{pay(612, 640, joint=' to ', tail=' per day')} outside of London", (612.0, 640.0, "day")),
     ("Our band is £61-£66k", (61000.0, 66000.0, "year")),
     ("We pay £717 per week and a £90,000 car fund of our own", (90000.0, 90000.0, "year")),
-    ("A £6 million programme", None), ("A £12 voucher for lunch", None), ("no amount at all", None), ("", None), (None, None),
+    ("Day rate £310pd - £395pd, inside", (310.0, 395.0, "day")), ("shift work £12.10p/h - £14.60p/h", (12.1, 14.6, "hour")), ("£27’500 - £33’500", (27500.0, 33500.0, "year")),
+    ("You own a budget of £85,000 for tools", None), ("Deals from £60K to £7M", None), ("A £6 million programme", None), ("A £12 voucher for lunch", None), ("no amount at all", None), ("", None), (None, None),
 ])
 def test_salaries(spark, text, expected):
     found = spark.createDataFrame([(text,)], "text string").select(m.salary(F.col("text")).alias("s")).first().s
@@ -112,6 +113,14 @@ def test_views_clip_rings(spark):
     assert all(x[f"c{k}"] == (x.area > 50 * k / 100) for x in out for k in (1, 45, 55, 90, 95, 97))
 
 
+def test_alike_is_the_ratio_above_a_bound(spark):
+    texts = ["", "a", "kitten", "sitting", "the same words", "the same word", "quite another text", None]
+    df = spark.createDataFrame([(x, y) for x in texts for y in texts], "a string, b string")
+    for least in (0.0, 40.0, 75.0, 92.0):
+        out = df.select(m.alike(F.col("a"), F.col("b"), least).alias("x"), (m.ratio(F.col("a"), F.col("b")) > least).alias("y")).collect()
+        assert all(bool(o.x) == bool(o.y) for o in out)
+
+
 def test_clouds_merge_or_disagree(spark):
     make = lambda rows: spark.createDataFrame(rows, "skill string, c1 long, n1 long, e long, n long")
     a, b = make([("x", 2, 10, 7, 99), ("y", 1, 10, 4, 99)]), make([("x", 3, 20, 7, 99)])
