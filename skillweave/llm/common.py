@@ -147,3 +147,30 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+#: Bits of a part of a key filter.
+PART_BITS = 19
+
+
+def key_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bit for the end of each key (k: long), packed; parts are made where their keys are, so the driver gets 2 ** bits bits."""
+
+    def run(part: pa.Table) -> pa.Table:
+        held = np.zeros(1 << PART_BITS, dtype=bool)
+        held[part.column("bit").to_numpy() & ((1 << PART_BITS) - 1)] = True
+        return pa.table({"part": part.column("part")[:1], "bits": pa.array([np.packbits(held).tobytes()], pa.binary())})
+
+    bit = keys.select(F.col("k").bitwiseAND(F.lit((1 << bits) - 1)).alias("bit")).distinct()
+    parts = bit.withColumn("part", F.shiftright("bit", PART_BITS)).groupBy("part").applyInArrow(run, "part long, bits binary").collect()
+    out = np.zeros(1 << bits >> 3, dtype=np.uint8)
+    for r in parts:
+        at = r.part << PART_BITS >> 3
+        out[at : at + (1 << PART_BITS >> 3)] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def may_hold(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key (unsigned) may be among those of a `key_filter`; never false for one that is."""
+    bit = keys & np.uint64(8 * len(packed) - 1)
+    return ((packed[bit >> np.uint64(3)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)

@@ -1,7 +1,9 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are lower case, without ASCII punctuation. The benchmark is taken in blocks of bounded size (its word hashes are all
-that is broadcast). Every n-gram of an item is a seed, however many documents hold it: neither an edited copy inside a
+Words are lower case, without ASCII punctuation. Passages meet items by a join on seeds, in one pass over the corpus. A benchmark of
+up to BROADCAST_CHARS characters is the broadcast side of it, as an index of its word hashes; a larger one is a table of seeds,
+joined by a shuffle: documents send only n-grams that pass a filter of fixed size, and only pairs with enough common seeds have
+their texts joined for the alignment. Both give the same rows. Every n-gram of an item is a seed, however many documents hold it: neither an edited copy inside a
 group of thousands nor a passage that the whole corpus quotes can lose its seeds. What common n-grams hit by chance goes out
 by two bounds that lose nothing: the seeds that an item needs, and the words that it shares with the text.
 Documents that hit at least two seeds of an item (one, if it has only one) have the passage around the hits aligned with the
@@ -9,7 +11,8 @@ item (match +1, mismatch and gap -1). A score of at least half the item's words
 with a fifth of its words replaced about 0.6.
 
 Defined results: null and empty texts leak nothing, items of fewer than n words are compared whole; each (document, item)
-is given once with its best score; rows that repeat are given each; null ids are carried; empty tables give an empty result.
+is given once with its best score (of equal scores the first passage's place); rows that repeat are given each; null ids are
+carried; a text of any length is read whole; empty tables give an empty result; columns of any name may be there.
 """
 
 from __future__ import annotations
@@ -22,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skillweave.llm.common import gram_hashes, key_matches, small, with_key, word_hashes
+from skillweave.llm.common import gram_hashes, key_filter, key_matches, may_hold, small, stored, with_key, word_hashes
 
 SEED_WORDS = 3
 MIN_SCORE = 0.5
-#: Words of the benchmark that one block broadcasts at most (an item is never split).
-BLOCK_WORDS = 500_000
+#: Characters of a benchmark that is broadcast (8 bytes a word, and 24 a seed).
+BROADCAST_CHARS = 4_000_000
+#: Bits of the filter of a larger benchmark's seeds.
+SEED_BITS = 27
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
@@ -68,11 +73,11 @@ def _shared(item: np.ndarray, ordered: np.ndarray) -> int:
 class Block:
     """Items of one block as arrays: their words, and the sorted seeds with the (item, position) pairs of each."""
 
-    def __init__(self, items: list[np.ndarray], grams: np.ndarray, owner: np.ndarray, position: np.ndarray):
+    def __init__(self, items: list[np.ndarray], grams: np.ndarray, owner: np.ndarray, position: np.ndarray, seed_words: int):
         order = np.argsort(grams, kind="stable")
         self.items = items
         self.grams, self.owner, self.position = grams[order], owner[order], position[order]
-        self.short = sorted({min(SEED_WORDS, len(w)) for w in items if len(w)})
+        self.short = sorted({min(seed_words, len(w)) for w in items if len(w)})
         self.needed = np.minimum(np.bincount(owner, minlength=len(items)), 2) if len(items) else np.empty(0, int)
 
     def known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +143,15 @@ class Block:
                 yield k, best / len(item), first
 
 
-def _leak_batches(block, id_type: pa.DataType | None = None) -> callable:
+def block_of(texts: list[str | None], seed_words: int) -> Block:
+    words = [passage_words(t) for t in texts]
+    grams = [item_grams(w, seed_words) for w in words]
+    owner = np.repeat(np.arange(len(words)), [len(g) for g in grams])
+    position = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, int)
+    return Block(words, np.concatenate(grams) if grams else np.empty(0, np.uint64), owner, position, seed_words)
+
+
+def _leak_batches(block) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, cache = block.value, {}
         for batch in small(batches):
@@ -156,33 +169,88 @@ def _leak_batches(block, id_type: pa.DataType | None = None) -> callable:
     return run
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list]:
-    """Rows of the benchmark in blocks of at most about BLOCK_WORDS words."""
-    items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{text_col}`").alias("text"))
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = int(total // (BLOCK_WORDS * 3)) + 1
-    for b in range(n):
-        yield items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()
+def _broadcast_leaks(keyed: DataFrame, items: DataFrame, seed_words: int) -> DataFrame:
+    spark = keyed.sparkSession
+    rows = items.collect()
+    block = spark.sparkContext.broadcast(block_of([r.text for r in rows], seed_words))
+    found = keyed.mapInArrow(_leak_batches(block), f"_id {dict(keyed.dtypes)['_id']}, _th long, _item long, score double, first_word long")
+    names = spark.createDataFrame([(k, r.item) for k, r in enumerate(rows)], T.StructType([T.StructField("_item", T.LongType()), T.StructField("item_id", items.schema["item"].dataType)]))
+    return found.join(F.broadcast(names), "_item").select("_id", "_th", "item_id", "score", "first_word")
+
+
+def _seed_batches(seed_words: int) -> callable:
+    """Distinct seeds of each item, how many it needs, and the words of a seed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            keys, grams, needed, length = [], [], [], []
+            for k, t in zip(batch.column("_item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                w = passage_words(t)
+                g = item_grams(w, seed_words)
+                n = min(len(g), 2)
+                for x in np.unique(g).view(np.int64).tolist():
+                    keys.append(k)
+                    grams.append(x)
+                    needed.append(n)
+                    length.append(min(seed_words, len(w)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(grams, pa.int64()), pa.array(needed, pa.int32()), pa.array(length, pa.int32())], names=["_item", "k", "needed", "length"])
+
+    return run
+
+
+def _gram_batches(lengths: list[int], known) -> callable:
+    """Distinct n-grams of each text that may be seeds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            found = []
+            for t in batch.column("_text").to_pylist():
+                words = passage_words(t)
+                g = np.unique(np.concatenate([gram_hashes(words, n) for n in lengths])) if lengths else np.empty(0, np.uint64)
+                found.append(g[may_hold(known.value, g)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(found, pa.list_(pa.int64()))], names=["_id", "_th", "grams"])
+
+    return run
+
+
+def _aligned_batches(seed_words: int) -> callable:
+    """Alignment of each (text, item) pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, 100):
+            rows, score, first = [], [], []
+            for r, (t, item) in enumerate(zip(batch.column("_text").to_pylist(), batch.column("text").to_pylist(), strict=True)):
+                for _, s, at in block_of([item], seed_words).leaks(passage_words(t), {}):
+                    rows.append(r)
+                    score.append(s)
+                    first.append(at)
+            take = pa.array(rows, pa.int64())
+            kept = [batch.column(c).take(take) for c in ("_id", "_th", "item_id")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(score, pa.float64()), pa.array(first, pa.int64())], names=["_id", "_th", "item_id", "score", "first_word"])
+
+    return run
+
+
+def _joined_leaks(keyed: DataFrame, items: DataFrame, seed_words: int) -> DataFrame:
+    id_type, item_type = dict(keyed.dtypes)["_id"], dict(items.dtypes)["item"]
+    named = stored(items.withColumn("_item", F.monotonically_increasing_id()), "benchmark")
+    seeds = stored(named.select("_item", "text").mapInArrow(_seed_batches(seed_words), "_item long, k long, needed int, length int"), "seeds")
+    lengths = [r.length for r in seeds.select("length").distinct().collect()]  # seed_words different ones at most
+    known = keyed.sparkSession.sparkContext.broadcast(key_filter(seeds, SEED_BITS))
+    grams = keyed.mapInArrow(_gram_batches(lengths, known), f"_id {id_type}, _th long, grams array<long>").distinct()
+    grams = grams.select("_id", "_th", F.explode("grams").alias("k"))
+    hits = grams.join(seeds, "k").groupBy("_id", "_th", "_item", "needed").agg(F.count(F.lit(1)).alias("n")).filter("n >= needed")
+    hits = hits.select(F.col("_id").alias("_hid"), F.col("_th").alias("_hth"), "_item")
+    pairs = keyed.join(hits, keyed["_id"].eqNullSafe(hits["_hid"]) & (keyed["_th"] == hits["_hth"])).join(named, "_item")
+    return pairs.select("_id", "_th", F.col("item").alias("item_id"), "_text", "text").mapInArrow(_aligned_batches(seed_words), f"_id {id_type}, _th long, item_id {item_type}, score double, first_word long")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = SEED_WORDS) -> DataFrame:
     """_id, _th, item_id, score, first_word: each item that each row of docs leaks."""
-    spark = docs.sparkSession
     keyed = with_key(docs, id_col, text_col).select("_id", "_th", F.col(f"`{text_col}`").alias("_text"))
-    item_type = benchmark.schema[item_col].dataType
-    out = None
-    for rows in _blocks(benchmark, item_col, item_text_col):
-        words = [passage_words(r.text) for r in rows]
-        grams = [item_grams(w, seed_words) for w in words]
-        owner = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
-        position = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, int)
-        flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        block = spark.sparkContext.broadcast(Block(words, flat, owner, position))
-        found = keyed.mapInArrow(_leak_batches(block), f"_id {dict(keyed.dtypes)['_id']}, _th long, _item long, score double, first_word long")
-        names = spark.createDataFrame([(k, r.item) for k, r in enumerate(rows)], T.StructType([T.StructField("_item", T.LongType()), T.StructField("item_id", item_type)]))
-        found = found.join(F.broadcast(names), "_item").select("_id", "_th", "item_id", "score", "first_word")
-        out = found if out is None else out.unionByName(found)
-    return out
+    items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").alias("text"))
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    return (_broadcast_leaks if chars <= BROADCAST_CHARS else _joined_leaks)(keyed, items, seed_words)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm.common import bounded_batches, gram_hashes, mix, small, stored, word_hashes
+from skillweave.llm.common import bounded_batches, gram_hashes, key_filter, may_hold, mix, small, stored, word_hashes
 from skillweave.llm.decontaminate import _PUNCTUATION
 
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
@@ -43,8 +43,8 @@ STRENGTH = 5.0
 TOP_SHARE = 0.02
 #: N-grams that are broadcast (16 bytes each), the most frequent; the others are joined, with the same scores.
 HEAD_NGRAMS = 4_000_000
-#: Bits of the filter of the others, and of a part of it.
-FILTER_BITS, PART_BITS = 27, 19
+#: Bits of the filter of the others.
+FILTER_BITS = 27
 
 
 def fold(id_col: Column) -> Column:
@@ -148,23 +148,6 @@ def _head_cut(model: DataFrame, most: int) -> int:
     return cut
 
 
-def _filter_of(keys: DataFrame) -> np.ndarray:
-    """A bit for each key; parts are made where their keys are, so the driver gets 2 ** FILTER_BITS bits at most."""
-
-    def run(part: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << PART_BITS, dtype=bool)
-        bits[part.column("bit").to_numpy() & ((1 << PART_BITS) - 1)] = True
-        return pa.table({"part": part.column("part")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    bit = keys.select(F.col("k").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("bit")).distinct()
-    parts = bit.withColumn("part", F.shiftright("bit", PART_BITS)).groupBy("part").applyInArrow(run, "part long, bits binary").collect()
-    out = np.zeros(1 << FILTER_BITS >> 3, dtype=np.uint8)
-    for r in parts:
-        at = r.part << PART_BITS >> 3
-        out[at : at + (1 << PART_BITS >> 3)] = np.frombuffer(r.bits, np.uint8)
-    return out
-
-
 class Head:
     """The frequent part of the model, and the filter of the rest (None if there is no rest)."""
 
@@ -181,8 +164,7 @@ class Head:
             value = np.where(here, self.values[at], 0.0)
         if self.others is None:
             return here, value, np.zeros(len(keys), dtype=bool)
-        bit = keys & np.uint64(8 * len(self.others) - 1)
-        return here, value, ~here & ((self.others[bit >> np.uint64(3)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
+        return here, value, ~here & may_hold(self.others, keys)
 
     def read(self, words: np.ndarray) -> tuple:
         """What is known of a text: words, sum and top of the values that are certain; of each open place (one whose bigram,
@@ -231,7 +213,7 @@ def figures(docs: DataFrame, model: DataFrame, id_col: str, text_col: str) -> Da
     cut = _head_cut(model, HEAD_NGRAMS)
     head = model.filter(F.col("n") >= cut).select("k", "v").toArrow()
     rest = model.filter(F.col("n") < cut).select("k", "v")
-    shared = spark.sparkContext.broadcast(Head(head.column("k").to_numpy().view(np.uint64), head.column("v").to_numpy(), _filter_of(rest) if cut else None))
+    shared = spark.sparkContext.broadcast(Head(head.column("k").to_numpy().view(np.uint64), head.column("v").to_numpy(), key_filter(rest, FILTER_BITS) if cut else None))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = shared.value

@@ -45,8 +45,8 @@ def make(spark):
 def test_planted_leaks(spark, monkeypatch):
     docs, table, bench = make(spark)
     expected = sorted((str(a), k) for a, _, ks in docs for k in ks)
-    for block in (d.BLOCK_WORDS, 40):
-        monkeypatch.setattr(d, "BLOCK_WORDS", block)
+    for chars in (d.BROADCAST_CHARS, 0):
+        monkeypatch.setattr(d, "BROADCAST_CHARS", chars)
         rows = d.find_leaks(table, bench).collect()
         assert sorted((str(r["_id"]), r.item_id) for r in rows) == expected
     kept = d.decontaminate(table, bench)
@@ -66,8 +66,24 @@ def test_an_edited_copy_in_many_documents(spark):
         assert sorted(x["_id"] for x in d.find_leaks(docs, bench).collect()) == [k for k, _ in rows + extra]
 
 
-def test_empty_tables(spark):
+def test_both_joins_give_the_same_rows(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    short = spark.createDataFrame([(900, "one"), (901, "the of"), (902, None)], "item_id long, text string")
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").unionByName(short)
+    found = []
+    for chars in (d.BROADCAST_CHARS, 0):
+        monkeypatch.setattr(d, "BROADCAST_CHARS", chars)
+        found.append(sorted(map(tuple, d.find_leaks(docs, bench).select("_id", "item_id", "score", "first_word").collect())))
+    assert found[0] == found[1] and found[0]
+
+
+def test_empty_tables(spark, monkeypatch):
     docs, table, bench = make(spark)
+    monkeypatch.setattr(d, "BROADCAST_CHARS", 0)
+    assert d.find_leaks(table.limit(0), bench).count() == 0
+    monkeypatch.setattr(d, "BROADCAST_CHARS", -1)
+    assert d.find_leaks(table, bench.limit(0)).count() == 0
+    monkeypatch.undo()
     assert d.find_leaks(table.limit(0), bench).count() == 0
     assert d.find_leaks(table, bench.limit(0)).count() == 0
 
