@@ -130,14 +130,19 @@ def t37(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.trim(F.regexp_replace(text, r"(?i)\b(?:rankings?|ranks?)\b", "")).alias("label"), t.first_number(F.concat(F.col("p_size").cast("string"), F.lit(" years"))).cast("int").alias("years"))
 
 
-@register("r12_alternative_urls")
+@register("r12_alternative_urls", r"SELECT key, min(page_id) AS kept, count(*) AS n_versions FROM (SELECT page_id, regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '^https?://(?:www\.|m\.)?', '') AS key FROM pages) GROUP BY key")
 def r12(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     old = pages.select("page_id", F.regexp_replace(F.substring_index(F.substring_index("url", "#", 1), "?", 1), r"^https?://(?:www\.|m\.)?", "").alias("key"))
     return old.groupBy("key").agg(F.min("page_id").alias("kept"), n().alias("n_versions"))
 
 
-@register("t25_page_text")
+_TEXT = "html"
+for _pattern, _by in ((r"(?is)<script\b.*?</script>|<style\b.*?</style>", ""), (r"(?i)<br\s*/?>", "\n"), (r"(?i)</?p\b[^>]*>", "\n\n"), (r"(?s)<[^>]*>", ""), (r"[ \t]+", " "), (r"\n{3,}", "\n\n")):
+    _TEXT = f"regexp_replace({_TEXT}, '{_pattern}', '{_by}', 'g')"
+
+
+@register("t25_page_text", f"SELECT page_id, trim({_TEXT}) AS text FROM pages")
 def t25(spark, sf_dir):
     """Breaks become line feeds and paragraphs blank lines; scripts and styles go."""
     html = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", "")
@@ -157,9 +162,13 @@ def p5(spark, sf_dir):
     return table(spark, sf_dir, "P").select("profile_id", *[c.alias(k) for k, c in spec.items()])
 
 
-@register("j11_nearest_centroid")
+@register("j11_nearest_centroid", """
+    WITH p AS (SELECT vec_id, label, item, embedding[item]::DOUBLE AS w FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS item FROM embeddings)),
+    c AS (SELECT label, item, avg(w) AS w FROM p GROUP BY ALL), m AS (SELECT label, item, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS y FROM c),
+    d AS (SELECT vec_id, m.label, sum(p.w * y) AS dot FROM p JOIN m USING (item) GROUP BY ALL)
+    SELECT vec_id, arg_max(label, (round(dot, 9), label)) AS cluster FROM d GROUP BY vec_id""")
 def v5c(spark, sf_dir):
-    """Each vector's nearest label centroid by angle; centroids are as many as labels, so they are broadcast whole."""
+    """Each vector's nearest label centroid by angle."""
     v = table(spark, sf_dir, "embeddings")
     parts = v.select("vec_id", "label", F.posexplode("embedding").alias("item", "w")).withColumn("w", F.col("w").cast("double"))
     centre = parts.groupBy("label", "item").agg(F.avg("w").alias("w"))
