@@ -188,6 +188,17 @@ def strip_tags(html: Column) -> Column:
     return F.regexp_replace(html, r"(?s)<[^>]*>", "")
 
 
+def posting_body(html: Column, elements: tuple[str, ...] = ("article", "p")) -> Column:
+    """A posting's body: the description of a JSON-LD JobPosting, else of microdata, else the first of the given elements that
+    has any text; empty when there is none."""
+    blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
+    parsed = F.transform(blocks, lambda x: F.from_json(x, "`@type` string, description string"))
+    linked = F.get(F.filter(parsed, lambda x: (x["@type"] == "JobPosting") & (F.coalesce(x["description"], F.lit("")) != "")), F.lit(0))["description"]
+    micro = F.regexp_extract(html, r"""(?is)<(\w+)[^>]*\bitemprop=["']description["'][^>]*>(.*?)</\1>""", 2)
+    plain = [F.regexp_extract(html, f"(?s)<{x}>(.*?)</{x}>", 1) for x in elements]
+    return F.coalesce(linked, *[F.nullif(x, F.lit("")) for x in (micro, *plain)], F.lit(""))
+
+
 def money(text: Column) -> Column:
     """Whole pounds of a display text; null for anything else. A trailing k is a thousand."""
     plain = F.lower(F.regexp_replace(text, "[£$€, ]", ""))

@@ -174,8 +174,7 @@ def t26(pages):
 
 @plan("t27_posting_body", "pages", sql="SELECT page_id, coalesce(nullif(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), ''), nullif(regexp_extract(html, '<p>(.*?)</p>', 1, 's'), ''), '') AS body FROM pages")
 def t27(pages):
-    found = [F.nullif(F.regexp_extract("html", f"(?s)<{x}>(.*?)</{x}>", 1), F.lit("")) for x in ("article", "p")]
-    return pages.select("page_id", F.coalesce(*found, F.lit("")).alias("body"))
+    return pages.select("page_id", t.posting_body(F.col("html")).alias("body"))
 
 
 @plan("t28_display_money", "J", sql="SELECT job_id, CASE WHEN salary_min IS NULL THEN NULL ELSE salary_min // 1000 * 1000 END AS value FROM J")

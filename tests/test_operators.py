@@ -121,6 +121,19 @@ def test_alike_is_the_ratio_above_a_bound(spark):
         assert all(bool(o.x) == bool(o.y) for o in out)
 
 
+def test_posting_bodies_by_precedence(spark):
+    ld = '<script type="application/ld+json">{"@type": "%s", "description": "%s"}</script>'
+    micro = '<div class="x" itemprop="description">from <b>microdata</b></div>'
+    pages = {
+        ld % ("Organization", "no") + ld % ("JobPosting", "linked") + micro + "<article>a</article>": "linked",
+        ld % ("JobPosting", "") + micro + "<p>p</p>": "from <b>microdata</b>",
+        "<script type='application/ld+json'>{broken</script><article>first\nline</article><p>p</p>": "first\nline",
+        "<article></article><p>p</p>": "p", "plain": "",
+    }
+    df = spark.createDataFrame([(x,) for x in pages], "html string")
+    assert {x.html: x.body for x in df.select("html", t.posting_body(F.col("html")).alias("body")).collect()} == pages
+
+
 def test_clouds_merge_or_disagree(spark):
     make = lambda rows: spark.createDataFrame(rows, "skill string, c1 long, n1 long, e long, n long")
     a, b = make([("x", 2, 10, 7, 99), ("y", 1, 10, 4, 99)]), make([("x", 3, 20, 7, 99)])
