@@ -40,6 +40,11 @@ STEM = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(w, 'sses$',
 STEMMED = f"nullif(array_to_string(list_transform(list_filter({WORDS}, lambda w: w NOT IN ({QUOTED})), lambda w: {STEM}), ' '), '')"
 
 
+def stemmed(sql: str) -> str:
+    """The words of an expression stemmed, in DuckDB."""
+    return f"array_to_string(list_transform(string_split({sql}, ' '), lambda w: {STEM}), ' ')"
+
+
 @plan("t4_skill_keys", "part", sql=f"SELECT DISTINCT 'skill:A:en:' || {STEMMED.format(x='p_name')} AS key FROM part")
 def t4(part):
     return part.select(t.key("skill", "A", "en", t.clean(F.col("p_name"), stop=STOP, stem_words=True)).alias("key")).distinct()
@@ -62,10 +67,10 @@ def t6(tt):
     return tt.select("id", t.split_title(F.split(t.parsed_title(F.col("title")), " ")).alias("s")).select("id", "s.prefix", "s.title")
 
 
-@plan("t7_title_keys", "TT", sql=f"SELECT id, 'title:A:en:' || {BARE} AS key FROM TT")
+@plan("t7_title_keys", "TT", sql=f"SELECT id, 'title:A:en:' || {stemmed(BARE)} AS key FROM TT")
 def t7(tt):
     bare = t.split_title(F.split(t.parsed_title(F.col("title")), " "))["title"]
-    return tt.select("id", t.key("title", "A", "en", t.clean(bare, stop=STOP)).alias("key"))
+    return tt.select("id", t.key("title", "A", "en", t.clean(bare, stop=STOP, stem_words=True)).alias("key"))
 
 
 @plan("t8_without_skills", "TT", sql="SELECT id, nullif(array_to_string(list_filter(string_split(lower(base) || ' red engineer', ' '), lambda w, i: w NOT IN ('red', 'tin', 'steel') OR string_split(lower(base) || ' red engineer', ' ')[i + 1] = 'engineer'), ' '), '') AS title FROM TT")
@@ -78,9 +83,9 @@ def t9(tt):
     return tt.select("id", t.job_post_title(F.concat(F.lit("2x "), "base", F.lit(" £35k 6 months contract"))).alias("title"))
 
 
-@plan("t10_job_post_keys", "TT", sql="SELECT id, 'title:B:en:' || lower(base) AS key FROM TT")
+@plan("t10_job_post_keys", "TT", sql=f"SELECT id, 'title:B:en:' || {stemmed('lower(base)')} AS key FROM TT")
 def t10(tt):
-    clean = t.clean(t.job_post_title(F.concat("base", F.lit(" urgently needed bonus"))), stop=[*STOP, "bonus", "benefits", "needed", "urgently"])
+    clean = t.clean(t.job_post_title(F.concat("base", F.lit(" urgently needed bonus"))), stop=[*STOP, "bonus", "benefits", "needed", "urgently"], stem_words=True)
     return tt.select("id", t.key("title", "B", "en", clean).alias("key"))
 
 
@@ -105,10 +110,10 @@ def t14(nation, region):
     return both.select("n_nationkey", F.nullif(F.concat_ws(", ", F.when(F.col("n_nationkey") % 4 != 0, F.col("n_name")), "r_name"), F.lit("")).alias("place"))
 
 
-@plan("t15_institute_keys", "TT", sql="SELECT id, array_to_string(list_sort(string_split('university ' || lower(base), ' ')), ' ') AS institute FROM TT")
+@plan("t15_institute_keys", "TT", sql=f"SELECT id, array_to_string(list_sort(list_transform(string_split('university ' || lower(base), ' '), lambda w: {STEM})), ' ') AS institute FROM TT")
 def t15(tt):
     text = F.regexp_replace(F.lower(F.concat(F.lit("U. of "), "base")), r"\bu\.", "university")
-    return tt.select("id", t.clean(text, stop=STOP, order=True).alias("institute"))
+    return tt.select("id", t.clean(text, stop=STOP, stem_words=True, order=True).alias("institute"))
 
 
 @plan("t16_degree_keys", "TT", sql="SELECT id, CASE id % 2 WHEN 0 THEN 'bachelor of science ' ELSE 'master of arts ' END || lower(base) AS degree FROM TT")
