@@ -31,3 +31,11 @@ def test_words_and_grams():
     assert len(w) == 5 and w[0] == w[2] and w[1] == w[3] and w[0] != w[1]
     g = c.gram_hashes(w, 2)
     assert len(g) == 4 and g[0] == g[2] and len(c.gram_hashes(w, 6)) == 0 and len(c.word_hashes(b"")) == 0
+
+
+def test_a_dropped_folder_is_gone(spark, tmp_path):
+    path = f"file://{tmp_path}/x"
+    spark.range(3).write.parquet(path)
+    c.drop_folder(spark, path)
+    assert not (tmp_path / "x").exists()
+    c.drop_folder(spark, path)
