@@ -184,6 +184,26 @@ def first_number(text: Column) -> Column:
     return F.regexp_extract(text, r"(\d+)", 1).try_cast("long")
 
 
+#: Words that labels of rankings lose.
+RANK_WORDS = ("rankings", "ranking", "ranks", "rank")
+
+
+def without_words(text: Column, words: tuple[str, ...]) -> Column:
+    """Whole words off, whatever their case."""
+    return squeeze(F.regexp_replace(text, rf"(?i)\b(?:{'|'.join(words)})\b", ""))
+
+
+def leading_digit(text: Column) -> Column:
+    """The first character as a number ("3 years"); null if it is none."""
+    return F.substring(F.trim(text), 1, 1).try_cast("int")
+
+
+def points_range(text: Column) -> tuple[Column, Column]:
+    """(low, high) of "104-120"; one number has no high, anything else gives nulls."""
+    parts = F.split(F.trim(text), "-")
+    return F.get(parts, F.lit(0)).try_cast("int"), F.get(parts, F.lit(1)).try_cast("int")
+
+
 def strip_tags(html: Column) -> Column:
     return F.regexp_replace(html, r"(?s)<[^>]*>", "")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,6 +18,16 @@ def best_names(df: DataFrame, key: str, name: str) -> DataFrame:
     return ranked.filter("rn = 1").select(key, name, "total")
 
 
+def all_catalogues(sources: dict[str, dict[str, tuple[DataFrame, str]]]) -> DataFrame:
+    """type, source, name, n: the catalogue of each entity type of each source, {source: {type: (rows, column)}}."""
+    parts = [
+        rows.groupBy(F.lit(kind).alias("type"), F.lit(source).alias("source"), F.col(column).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+        for source, kinds in sources.items()
+        for kind, (rows, column) in kinds.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def word_index(names: DataFrame, key: str) -> DataFrame:
     """word, key: the distinct words of each key."""
     words = F.array_distinct(F.filter(F.split(F.lower(key), r"[^a-z0-9]+"), lambda w: w != ""))
@@ -29,11 +41,13 @@ def search(index: DataFrame, key: str, words: list[str]) -> DataFrame:
 
 def map_entities(df: DataFrame, column: str, sector: str, mapping: DataFrame) -> DataFrame:
     """Adds `mapped`: by the sector's own mapping, else the general one, else itself. mapping(sector, name, target); a
-    null sector is general."""
+    null sector is general. The row's sector is itself mapped by the general mapping before it is looked up."""
     own = mapping.filter("sector IS NOT NULL").select(F.col("sector").alias("__s"), F.col("name").alias("__n"), F.col("target").alias("__own"))
     general = mapping.filter("sector IS NULL").select(F.col("name").alias("__g"), F.col("target").alias("__general"))
-    out = df.join(own, (df[sector] == F.col("__s")) & (df[column] == F.col("__n")), "left").join(general, F.col(column) == F.col("__g"), "left")
-    return out.withColumn("mapped", F.coalesce("__own", "__general", column)).drop("__s", "__n", "__own", "__g", "__general")
+    sectors = general.select(F.col("__g").alias("__from"), F.col("__general").alias("__to"))
+    out = df.join(sectors, F.col(sector) == F.col("__from"), "left").withColumn("__sector", F.coalesce("__to", sector))
+    out = out.join(own, (F.col("__sector") == F.col("__s")) & (F.col(column) == F.col("__n")), "left").join(general, F.col(column) == F.col("__g"), "left")
+    return out.withColumn("mapped", F.coalesce("__own", "__general", column)).drop("__from", "__to", "__sector", "__s", "__n", "__own", "__g", "__general")
 
 
 def mapping_errors(mapping: DataFrame) -> DataFrame:
@@ -143,6 +157,11 @@ def combine(a: DataFrame, b: DataFrame, op, name: str = "n") -> DataFrame:
     return both.select("bin", checked.alias(name))
 
 
+def gaussian_power(mean: Column, sdev: Column, exponent: float) -> tuple[Column, Column]:
+    """Mean and standard deviation of a variate to a constant power, to first order."""
+    return F.pow(mean, F.lit(exponent)), F.abs(exponent * F.pow(mean, F.lit(exponent - 1)) * sdev)
+
+
 def gaussian(op: str, m1: Column, s1: Column, m2: Column, s2: Column) -> tuple[Column, Column]:
     """Mean and standard deviation of a sum, difference, product or quotient of independent variates."""
     both = lambda x, y: F.sqrt(x * x + y * y)

@@ -87,3 +87,20 @@ def build_fact(jobs: DataFrame, areas: DataFrame, bridge: DataFrame) -> DataFram
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
+
+
+def crawl_counts() -> list[Column]:
+    """Rows crawled, and of these the first crawls, later ones and failed later ones."""
+    later, failed = F.col("crawl_number") > 0, F.col("fail_count") > 0
+    return [F.count(F.lit(1)).alias("crawled"), F.count_if(~later).alias("n_new"), F.count_if(later & ~failed).alias("recrawl"), F.count_if(later & failed).alias("failed")]
+
+
+def daily_crawls(log: DataFrame, children: str, fields: list[str]) -> DataFrame:
+    """For each day of crawling: counts, sums and sums of squares of a number of children, how often fields are filled, rows
+    indexed within 30 days, and the longest delay in days (31: more)."""
+    k = F.col(children).cast("long")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    delay = F.floor((micros("indexed_on") - micros("crawled_on")) / 86_400_000_000)
+    filled = [F.count(c).alias(f"n_{c}") for c in fields]
+    sums = [F.sum(k).alias(f"{children}_sum"), F.sum(k * k).alias(f"{children}_squares")]
+    return log.groupBy(F.to_date("crawled_on").alias("day")).agg(*crawl_counts(), *sums, *filled, F.count_if(delay.between(0, 30)).alias("in_delay"), F.max(F.least(delay, F.lit(31))).alias("most_delay"))

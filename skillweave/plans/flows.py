@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skillweave.functions import text as t
 from skillweave.plans.register import Plans
+from skillweave.plans.text import regions
 from skillweave.sources import files
 from skillweave.sources.fixtures import oracle_with, table
 from skillweave.streaming import crawl
@@ -98,13 +99,23 @@ def s10(spark, sf_dir):
     return spark.read.csv(folder, header=True)
 
 
-@register("s11_geojson_features", "SELECT nuts0, count(*) AS n, string_agg(la_name, ',' ORDER BY la_name) AS names FROM area GROUP BY nuts0", ("area",))
+@register("s8_job_api_dimensions", "SELECT 'category' AS kind, o_orderstatus AS tag, 'Status ' || o_orderstatus AS label FROM orders UNION SELECT 'company', NULL, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
+def s8_dimensions(spark, sf_dir):
+    both = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    doc = F.struct(F.struct(F.col("o_orderstatus").alias("tag"), F.concat(F.lit("Status "), "o_orderstatus").alias("label")).alias("category"), F.struct(F.col("c_name").alias("display_name")).alias("company"))
+    categories, companies = files.job_dimensions(both.select(F.to_json(doc).alias("json")))
+    return categories.select(F.lit("category").alias("kind"), "tag", "label").unionByName(companies.select(F.lit("company").alias("kind"), F.lit(None).cast("string").alias("tag"), F.col("company").alias("label")))
+
+
+@register("s11_geojson_features", "WITH c AS (SELECT n_nationkey % 5 * 2000 - 1000 AS x, n_nationkey // 5 * 300 AS y, * FROM nation) SELECT r_name AS country, count(*) AS n, min(x)::DOUBLE AS west, min(y)::DOUBLE AS south, max(x + 2000)::DOUBLE AS east, max(y + 300)::DOUBLE AS north FROM c JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def s11(spark, sf_dir):
-    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("la_name").alias("name"), F.col("nuts0").alias("region")))
+    """Features with their polygons are written and read back; then the box of each country."""
+    nation = table(spark, sf_dir, "nation")
+    codes = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat(F.lit("R"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("code"), "r_name")
     folder = crawl.scratch(spark)
-    table(spark, sf_dir, "area").select(feature.alias("value")).write.text(folder)
-    back = spark.read.schema("type string, name string, region string").json(folder)
-    return back.groupBy(F.col("region").alias("nuts0")).agg(n().alias("n"), F.array_join(F.array_sort(F.collect_list("name")), ",").alias("names"))
+    files.geojson_features(regions(nation).join(codes, "code"), "code", "r_name", "ring").write.text(folder)
+    back = files.read_features(spark, folder)
+    return back.groupBy(F.col("name").alias("country")).agg(n().alias("n")).join(files.bounds(back.withColumnRenamed("name", "country"), "country", "ring"), "country")
 
 
 @register("a20_salary_bins", "WITH b AS (SELECT category, (salary_min // 10000) * 10000 AS lower, count(*) AS c FROM J WHERE salary_min IS NOT NULL GROUP BY ALL) SELECT category, lower, lead(lower) OVER (PARTITION BY category ORDER BY lower) AS upper, c FROM b", ("J",))
@@ -115,6 +126,14 @@ def a20(spark, sf_dir):
     return rows.withColumn("upper", F.lead("lower").over(W.partitionBy("category").orderBy("lower")))
 
 
+@register("a20_salary_history", "SELECT category, date_trunc('month', created)::DATE AS month, round(avg(salary_min), 6) AS salary FROM J WHERE salary_min IS NOT NULL GROUP BY ALL", ("J",))
+def a20_history(spark, sf_dir):
+    """A map of months to salaries, as rows with dates."""
+    months = table(spark, sf_dir, "J").filter("salary_min IS NOT NULL").groupBy("category", F.date_format("created", "yyyy-MM").alias("m")).agg(F.avg("salary_min").alias("salary"))
+    stored = months.groupBy("category").agg(F.map_from_entries(F.collect_list(F.struct("m", "salary"))).alias("history"))
+    return stored.select("category", F.explode("history").alias("m", "salary")).select("category", F.to_date(F.concat("m", F.lit("-01"))).alias("month"), F.round("salary", 6).alias("salary"))
+
+
 @register("a21_occupation_counts", "SELECT sector, coalesce(CASE sector WHEN 'BUILDING' THEN (SELECT count(*) FROM P) WHEN 'MACHINERY' THEN 7 END, count(*)) AS n FROM P GROUP BY sector", ("P",))
 def a21(spark, sf_dir):
     p = table(spark, sf_dir, "P")
@@ -124,10 +143,15 @@ def a21(spark, sf_dir):
     return own.join(codes, "sector", "left").join(counts, "code", "left").select("sector", F.coalesce("official", "own").alias("n"))
 
 
-@register("t37_label_words", "SELECT p_partkey, p_name AS label, p_size AS years FROM part")
+@register("t37_label_words", "SELECT p_partkey, p_name AS label FROM part")
 def t37(spark, sf_dir):
-    text = F.concat("p_name", F.lit(" rankings"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.trim(F.regexp_replace(text, r"(?i)\b(?:rankings?|ranks?)\b", "")).alias("label"), t.first_number(F.concat(F.col("p_size").cast("string"), F.lit(" years"))).cast("int").alias("years"))
+    return table(spark, sf_dir, "part").select("p_partkey", t.without_words(F.concat(F.lit("Ranks "), "p_name", F.lit(" rankings")), t.RANK_WORDS).alias("label"))
+
+
+@register("t37_course_fields", "SELECT id, CAST(substr(d, 1, 1) AS INTEGER) AS years, CASE WHEN p = 'Not Available' THEN NULL ELSE CAST(split_part(p, '-', 1) AS INTEGER) END AS low, CASE WHEN contains(p, '-') THEN CAST(split_part(p, '-', 2) AS INTEGER) END AS high FROM C", ("C",))
+def t37_course(spark, sf_dir):
+    low, high = t.points_range(F.col("p"))
+    return table(spark, sf_dir, "C").select("id", t.leading_digit(F.col("d")).alias("years"), low.alias("low"), high.alias("high"))
 
 
 @register("r12_alternative_urls", r"SELECT key, min(page_id) AS kept, count(*) AS n_versions FROM (SELECT page_id, regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '^https?://(?:www\.|m\.)?', '') AS key FROM pages) GROUP BY key")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skillweave.operators import history as h
 from skillweave.plans.register import Plans
+from skillweave.sources import files
 
 plan = Plans()
 n = lambda: F.count(F.lit(1))
@@ -292,10 +293,36 @@ def s7(events):
     return events.select("event_id", k.alias("k"), F.when(k.isNull(), F.lit("k is missing")).alias("reason"))
 
 
-@plan("s12_search_documents", "J", "JS", sql="SELECT md5(company) AS id, company, count(*) AS n_children, string_agg(CAST(job_id AS VARCHAR), ',' ORDER BY job_id) AS children FROM J GROUP BY company")
+CHECKED = """SELECT id, doc, CASE WHEN NOT json_valid(doc) THEN 'not a document' WHEN json_type(doc, '$.title') <> 'VARCHAR' THEN 'invalid title'
+ WHEN json_type(doc, '$.customer') IS NULL THEN 'missing customer' WHEN NOT starts_with(doc ->> '$.url', 'http') THEN 'invalid url'
+ WHEN json_type(doc, '$.tags[1]') <> 'VARCHAR' THEN 'invalid tags' END AS reason FROM DOC"""
+SPEC = {"title": ("str", True), "customer": ("int", True), "url": ("url", False), "tags": (["str"], False)}
+
+
+@plan("s7_checked_documents", "DOC", sql=f"SELECT id, doc ->> '$.title' AS title, CAST(doc ->> '$.customer' AS BIGINT) AS customer, (doc ->> '$.tags[0]') || (doc ->> '$.tags[1]') AS tags FROM ({CHECKED}) WHERE reason IS NULL")
+def s7_checked(docs):
+    return files.checked_documents(docs, "doc", SPEC)[0].select("id", "title", "customer", F.array_join("tags", "").alias("tags"))
+
+
+@plan("s7_rejected_documents", "DOC", sql=f"SELECT id, reason FROM ({CHECKED}) WHERE reason IS NOT NULL")
+def s7_rejected(docs):
+    return files.checked_documents(docs, "doc", SPEC)[1].select("id", "reason")
+
+
+@plan("s12_search_documents", "J", "JS", sql="""WITH d AS (SELECT DISTINCT company, job_id, skill FROM J JOIN JS USING (job_id))
+SELECT 'company' AS type, md5(company) AS id, NULL AS parent, count(DISTINCT job_id) AS n_children FROM d GROUP BY company
+UNION ALL SELECT 'job', md5(company || '/' || CAST(job_id AS VARCHAR)), md5(company), count(*) FROM d GROUP BY company, job_id
+UNION ALL SELECT 'skill', md5(company || '/' || CAST(job_id AS VARCHAR) || '/' || skill), md5(company || '/' || CAST(job_id AS VARCHAR)), 0 FROM d""")
 def s12(jobs, skills):
-    doc = h.nested(jobs.select("company", "job_id"), "company", ["job_id"], "c")
-    return doc.select(F.md5("company").alias("id"), "company", F.size("c").cast("long").alias("n_children"), F.array_join(F.transform("c", lambda x: x["job_id"].cast("string")), ",").alias("children"))
+    """Companies hold jobs, which hold skills; the nested documents are then told apart by type, as an index takes them."""
+    rows = jobs.join(skills, "job_id").select("company", "job_id", "skill").distinct()
+    inner = rows.groupBy("company", "job_id").agg(F.array_sort(F.collect_list("skill")).alias("skills"))
+    doc = h.nested(inner, "company", ["job_id"], "jobs").withColumns({"path": F.col("company"), "id": F.md5("company")})
+    job = doc.select(F.col("id").alias("parent"), "path", F.explode("jobs").alias("j")).withColumn("path", F.concat("path", F.lit("/"), F.col("j.job_id").cast("string")))
+    skill = job.select(F.md5("path").alias("parent"), "path", F.explode("j.skills").alias("skill"))
+    return (doc.select(F.lit("company").alias("type"), "id", F.lit(None).cast("string").alias("parent"), F.size("jobs").cast("long").alias("n_children"))
+        .unionByName(job.select(F.lit("job").alias("type"), F.md5("path").alias("id"), "parent", F.size("j.skills").cast("long").alias("n_children")))
+        .unionByName(skill.select(F.lit("skill").alias("type"), F.md5(F.concat("path", F.lit("/"), "skill")).alias("id"), "parent", F.lit(0).cast("long").alias("n_children"))))
 
 
 QUERIES, ORACLES = plan.queries, plan.oracles

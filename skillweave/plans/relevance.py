@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from skillweave.functions import text as t
 from skillweave.operators import relevance as e
+from skillweave.operators import reports as r
 from skillweave.plans.register import Plans
 
 plan = Plans()
@@ -49,15 +51,23 @@ def c6(p, x):
     return p.join(counts, "profile_id", "left").groupBy("sector").agg(n().alias("profiles"), F.coalesce(F.sum("c"), F.lit(0)).alias("experiences"))
 
 
-@plan("c7_institutes_catalogue", "P", sql=BEST.format(k="k", v="company", t="(SELECT lower(company) AS k, company FROM P)"))
-def c7(p):
-    return e.best_names(p.withColumn("k", F.lower("company")), "k", "company")
+#: The institute, degree and subject of each study, told from a profile's and a post's fields.
+STUDIES = "(SELECT 'institute' AS type, company AS name, profile_id FROM P UNION ALL SELECT 'degree', sector, profile_id FROM P UNION ALL SELECT 'subject', split_part(title, ' ', 1), profile_id FROM X)"
 
 
-@plan("c8_all_catalogues", "X", "P", sql="SELECT 'company' AS type, company AS name, count(*) AS n FROM X GROUP BY company UNION ALL SELECT 'title', title, count(*) FROM X GROUP BY title UNION ALL SELECT 'sector', sector, count(*) FROM P GROUP BY sector")
-def c8(x, p):
-    parts = [df.groupBy(F.lit(k).alias("type"), F.col(c).alias("name")).agg(n().alias("n")) for k, df, c in (("company", x, "company"), ("title", x, "title"), ("sector", p, "sector"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+@plan("c7_institutes_catalogue", "P", "X", sql=f"WITH s AS (SELECT type, name, count(*) AS c FROM {STUDIES} GROUP BY type, name) SELECT type || ':A:en:' || lower(name) AS key, min(name) AS name, CAST(sum(c) AS BIGINT) AS total FROM s GROUP BY type, lower(name)")
+def c7(p, x):
+    """Three catalogues, each by its own keys."""
+    parts = {"institute": p.select(F.col("company").alias("name")), "degree": p.select(F.col("sector").alias("name")), "subject": x.select(F.substring_index("title", " ", 1).alias("name"))}
+    named = [e.best_names(df.withColumn("key", t.key(kind, "A", "en", F.lower("name"))), "key", "name") for kind, df in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@plan("c8_all_catalogues", "X", "P", "J", sql="SELECT 'company' AS type, 'A' AS source, company AS name, count(*) AS n FROM X GROUP BY company UNION ALL SELECT 'title', 'A', title, count(*) FROM X GROUP BY title UNION ALL SELECT 'sector', 'A', sector, count(*) FROM P GROUP BY sector UNION ALL SELECT 'company', 'B', company, count(*) FROM J GROUP BY company UNION ALL SELECT 'sector', 'B', category, count(*) FROM J GROUP BY category")
+def c8(x, p, jobs):
+    """All entity types of all sources that have them, as one table."""
+    sources = {"A": {"company": (x, "company"), "title": (x, "title"), "sector": (p, "sector")}, "B": {"company": (jobs, "company"), "sector": (jobs, "category")}}
+    return e.all_catalogues(sources)
 
 
 WORDS = "SELECT DISTINCT unnest(regexp_extract_all(lower(p_name), '[a-z0-9]+')) AS word, p_name FROM part"
@@ -88,11 +98,11 @@ def c11(p, areas, x):
     return per.groupBy("la_name").agg(n().alias("profiles"), F.coalesce(F.sum("c"), F.lit(0)).alias("experiences"))
 
 
-MAPPING = "(VALUES (NULL, 'Supplier 1 Ltd', 'Supplier 0 Ltd'), (NULL, 'Supplier 2 Ltd', 'Supplier 0 Ltd'), ('BUILDING', 'Supplier 2 Ltd', 'Supplier 5 Ltd'), (NULL, 'Supplier 3 Ltd', 'Supplier 4 Ltd')) AS m(sector, name, target)"
+MAPPING = "(VALUES (NULL, 'Supplier 1 Ltd', 'Supplier 0 Ltd'), (NULL, 'Supplier 2 Ltd', 'Supplier 0 Ltd'), ('BUILDING', 'Supplier 2 Ltd', 'Supplier 5 Ltd'), (NULL, 'Supplier 3 Ltd', 'Supplier 4 Ltd'), (NULL, 'HOUSEHOLD', 'BUILDING')) AS m(sector, name, target)"
 
 
 def mapping(p):
-    rows = [(None, "Supplier 1 Ltd", "Supplier 0 Ltd"), (None, "Supplier 2 Ltd", "Supplier 0 Ltd"), ("BUILDING", "Supplier 2 Ltd", "Supplier 5 Ltd"), (None, "Supplier 3 Ltd", "Supplier 4 Ltd")]
+    rows = [(None, "Supplier 1 Ltd", "Supplier 0 Ltd"), (None, "Supplier 2 Ltd", "Supplier 0 Ltd"), ("BUILDING", "Supplier 2 Ltd", "Supplier 5 Ltd"), (None, "Supplier 3 Ltd", "Supplier 4 Ltd"), (None, "HOUSEHOLD", "BUILDING")]
     return p.sparkSession.createDataFrame(rows, "sector string, name string, target string")
 
 
@@ -103,7 +113,7 @@ def m1(p):
     return e.mapping_errors(names.unionByName(bad))
 
 
-MAPPED = f"SELECT P.profile_id, P.sector, P.company, coalesce(o.target, g.target, P.company) AS mapped FROM P LEFT JOIN {MAPPING.replace('m(', 'o(')} ON P.sector = o.sector AND P.company = o.name LEFT JOIN {MAPPING.replace('m(', 'g(')} ON g.sector IS NULL AND P.company = g.name"
+MAPPED = f"SELECT P.profile_id, P.sector, P.company, coalesce(o.target, g.target, P.company) AS mapped FROM P LEFT JOIN {MAPPING.replace('m(', 'o(')} ON CASE P.sector WHEN 'HOUSEHOLD' THEN 'BUILDING' ELSE P.sector END = o.sector AND P.company = o.name LEFT JOIN {MAPPING.replace('m(', 'g(')} ON g.sector IS NULL AND P.company = g.name"
 
 
 @plan("m2_map_entities", "P", sql=MAPPED)
@@ -206,9 +216,19 @@ def q10(part):
     return found.join(part.filter("p_name = 'red small tin'").select("p_name").distinct(), "p_name", "left_anti")
 
 
-@plan("q11_sector_definition", "P", "J", sql="SELECT sector, count(*) AS n_people, string_agg(DISTINCT company, ';' ORDER BY company) AS companies FROM P GROUP BY sector")
-def q11(p, jobs):
-    return p.groupBy("sector").agg(n().alias("n_people"), F.array_join(F.array_sort(F.collect_set("company")), ";").alias("companies"))
+@plan("q11_sector_definition", "J", "JS", sql=f"""WITH jobs AS (SELECT category, count(*) AS n_jobs, count(salary_min) AS n_paid FROM J GROUP BY category),
+k AS (SELECT category, string_agg(skill, ';' ORDER BY rank) AS skills FROM ({CLOUD.format(sigma=1.0, limit=5)}) GROUP BY category),
+c AS (SELECT category, merged_title, count(*) AS c, round(avg(salary_min), 4) AS pay, row_number() OVER (PARTITION BY category ORDER BY count(*) DESC, merged_title) AS rn FROM J WHERE merged_title IS NOT NULL GROUP BY category, merged_title)
+SELECT category, n_jobs, n_paid, skills, merged_title AS career, c AS n_career, pay, rn AS rank FROM jobs LEFT JOIN k USING (category) LEFT JOIN c USING (category) WHERE rn <= 3""")
+def q11(jobs, skills):
+    """Each sector's totals, its skill cloud and its largest careers, as a nested definition; then one row a career."""
+    totals = jobs.groupBy("category").agg(n().alias("n_jobs"), F.count("salary_min").alias("n_paid"))
+    best = e.cloud(skill_rows(skills, jobs), "category", "skill", 1.0, 5).groupBy("category").agg(F.array_sort(F.collect_list(F.struct("rank", "skill"))).alias("cloud"))
+    careers = jobs.filter("merged_title IS NOT NULL").groupBy("category", "merged_title").agg(n().alias("c"), F.round(F.avg("salary_min"), 4).alias("pay"))
+    careers = careers.withColumn("rank", F.row_number().over(W.partitionBy("category").orderBy(F.desc("c"), "merged_title")).cast("long")).filter("rank <= 3")
+    careers = careers.groupBy("category").agg(F.array_sort(F.collect_list(F.struct("rank", F.col("merged_title").alias("career"), F.col("c").alias("n_career"), "pay"))).alias("careers"))
+    definition = totals.join(best, "category", "left").join(careers, "category", "left")
+    return definition.select("category", "n_jobs", "n_paid", F.array_join(F.transform("cloud", lambda x: x["skill"]), ";").alias("skills"), F.inline("careers"))
 
 
 @plan("q12_stored_cloud_lookup", "JS", "J", sql=f"SELECT category, rank FROM ({CLOUD.format(sigma=0.0, limit=1000000)}) WHERE skill = (SELECT min(skill) FROM JS)")
@@ -353,12 +373,26 @@ def h12(jobs):
     return jobs.select(F.inline(F.array(*pairs))).filter("x IS NOT NULL AND y IS NOT NULL").groupBy("a", "b", "x", "y").agg(n().alias("n"))
 
 
-@plan("h13_daily_crawls", "W", sql="SELECT crawled_on::DATE AS day, count(*) AS indexed, count_if(crawl_number = 0) AS n_new, count_if(crawl_number > 0 AND fail_count = 0) AS recrawl, count_if(crawl_number > 0 AND fail_count > 0) AS failed, CAST(sum(crawl_number) AS BIGINT) AS s, CAST(sum(crawl_number * crawl_number) AS BIGINT) AS s2 FROM W GROUP BY 1")
+@plan("h13_daily_crawls", "W", sql="""WITH d AS (SELECT *, crawled_on::DATE AS day, crawl_number % 5 AS k, crawled_on + to_hours(id % 1000) AS indexed_on FROM W)
+SELECT day, count(*) AS crawled, count_if(crawl_number = 0) AS n_new, count_if(crawl_number > 0 AND fail_count = 0) AS recrawl, count_if(crawl_number > 0 AND fail_count > 0) AS failed,
+ CAST(sum(k) AS BIGINT) AS s, CAST(sum(k * k) AS BIGINT) AS s2, count(CASE WHEN valid THEN type END) AS n_typed, count_if(id % 1000 < 31 * 24) AS in_delay, CAST(max(least(id % 1000 // 24, 31)) AS BIGINT) AS most_delay FROM d GROUP BY day""")
 def h13(log):
-    k = F.col("crawl_number").cast("long")
-    return log.groupBy(F.to_date("crawled_on").alias("day")).agg(
-        n().alias("indexed"), F.count_if(k == 0).alias("n_new"), F.count_if((k > 0) & (F.col("fail_count") == 0)).alias("recrawl"),
-        F.count_if((k > 0) & (F.col("fail_count") > 0)).alias("failed"), F.sum(k).alias("s"), F.sum(k * k).alias("s2"))
+    w = log.withColumns({"k": F.col("crawl_number") % 5, "indexed_on": F.expr("crawled_on + make_interval(0, 0, 0, 0, CAST(id % 1000 AS INT))"), "typed": F.when(F.col("valid"), F.col("type"))})
+    out = r.daily_crawls(w, "k", ["typed"])
+    return out.select("day", "crawled", "n_new", "recrawl", "failed", F.col("k_sum").alias("s"), F.col("k_squares").alias("s2"), F.col("n_typed"), "in_delay", "most_delay")
+
+
+@plan("h13_index_delays", "W", sql="SELECT CAST(id % 1000 // 24 AS BIGINT) AS bin, count(*) AS n FROM W WHERE id % 1000 < 31 * 24 GROUP BY 1")
+def h13_delays(log):
+    """Rows by whole days between crawl and index, 0 to 30."""
+    days = F.floor((F.unix_micros(F.expr("CAST(crawled_on + make_interval(0, 0, 0, 0, CAST(id % 1000 AS INT)) AS TIMESTAMP)")) - F.unix_micros(F.col("crawled_on").cast("timestamp"))) / 86_400_000_000)
+    return log.select(days.alias("bin")).filter(F.col("bin").between(0, 30)).groupBy("bin").agg(n().alias("n"))
+
+
+@plan("h13_before_window", "W", sql="SELECT count(*) AS crawled, count_if(crawl_number = 0) AS n_new, count_if(crawl_number > 0 AND fail_count = 0) AS recrawl, count_if(crawl_number > 0 AND fail_count > 0) AS failed FROM W WHERE crawled_on < (SELECT date_trunc('day', max(crawled_on)) FROM W)")
+def h13_before(log):
+    last = log.agg(F.date_trunc("day", F.max("crawled_on")).alias("start"))
+    return log.crossJoin(F.broadcast(last)).filter(F.col("crawled_on") < F.col("start")).agg(*r.crawl_counts())
 
 
 @plan("h14_mean_with_error", "W", sql="SELECT crawled_on::DATE AS day, round(avg(crawl_number), 6) AS mean, round(CASE WHEN count(*) = 1 THEN 0 ELSE sqrt(greatest(var_samp(crawl_number), 0) / count(*)) END, 6) AS error FROM W GROUP BY 1")
@@ -375,12 +409,12 @@ def h15(jobs):
     return m.crossJoin(F.broadcast(m.agg(F.avg("c").alias("mean")))).select("m", F.round(F.col("c") / F.col("mean"), 9).alias("x"))
 
 
-@plan("n8_gaussian_arithmetic", "J", sql="WITH g AS (SELECT category, avg(salary_min) AS m1, stddev_pop(salary_min) AS s1, avg(salary_max) AS m2, stddev_pop(salary_max) AS s2 FROM J GROUP BY category) SELECT category, round(m1 + m2, 4) AS total, round(sqrt(s1 * s1 + s2 * s2), 4) AS total_error, round(m1 / m2, 8) AS ratio, round(sqrt((s1 / m2) ** 2 + (s2 * m1 / (m2 * m2)) ** 2), 8) AS ratio_error FROM g")
+@plan("n8_gaussian_arithmetic", "J", sql="WITH g AS (SELECT category, avg(salary_min) AS m1, stddev_pop(salary_min) AS s1, avg(salary_max) AS m2, stddev_pop(salary_max) AS s2 FROM J GROUP BY category) SELECT category, round(m1 + m2, 4) AS total, round(sqrt(s1 * s1 + s2 * s2), 4) AS total_error, round(m1 / m2, 8) AS ratio, round(sqrt((s1 / m2) ** 2 + (s2 * m1 / (m2 * m2)) ** 2), 8) AS ratio_error, round(m1 ** 3, 2) AS cube, round(abs(3 * m1 ** 2 * s1), 2) AS cube_error FROM g")
 def n8(jobs):
     g = jobs.groupBy("category").agg(F.avg("salary_min").alias("m1"), F.stddev_pop("salary_min").alias("s1"), F.avg("salary_max").alias("m2"), F.stddev_pop("salary_max").alias("s2"))
     v = [F.col(c) for c in ("m1", "s1", "m2", "s2")]
-    (a, ae), (q, qe) = e.gaussian("+", *v), e.gaussian("/", *v)
-    return g.select("category", F.round(a, 4).alias("total"), F.round(ae, 4).alias("total_error"), F.round(q, 8).alias("ratio"), F.round(qe, 8).alias("ratio_error"))
+    (a, ae), (q, qe), (c, ce) = e.gaussian("+", *v), e.gaussian("/", *v), e.gaussian_power(v[0], v[1], 3)
+    return g.select("category", F.round(a, 4).alias("total"), F.round(ae, 4).alias("total_error"), F.round(q, 8).alias("ratio"), F.round(qe, 8).alias("ratio_error"), F.round(c, 2).alias("cube"), F.round(ce, 2).alias("cube_error"))
 
 
 QUERIES, ORACLES = plan.queries, plan.oracles

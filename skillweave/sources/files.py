@@ -37,13 +37,21 @@ def write_skill_vectors(vectors: DataFrame, path: str) -> None:
     heads.unionByName(items).repartitionByRange("title").sortWithinPartitions("title", "k", "neg", "s").select("value").write.mode("overwrite").text(path)
 
 
-def read_skill_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """title, skill, w: weights times the title's count. A skill row belongs to the last title row above it in its file."""
+def read_skill_vectors(spark: SparkSession, path: str, titles: list[str] | None = None) -> DataFrame:
+    """title, skill, w: weights times the title's count. A skill row belongs to the last title row above it in its file.
+    With a list of titles only these are read; one that no title row names is an error."""
     rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("at"))
     cells = F.split("value", ",")
     above = W.partitionBy("f").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
     head = F.last(F.when(cells[0] == "t", F.struct(cells[1].alias("title"), F.get(cells, F.lit(2)).cast("double").alias("n"))), ignorenulls=True).over(above)
-    return rows.withColumn("h", head).filter(F.split("value", ",")[0] == "s").select("h.title", F.split("value", ",")[1].alias("skill"), (F.split("value", ",")[2].cast("double") * F.col("h.n")).alias("w"))
+    if titles is not None:
+        # at most one row for each listed title
+        found = rows.filter(cells[0] == "t").filter(cells[1].isin(titles)).select(cells[1].alias("title")).distinct().collect()
+        missing = sorted(set(titles) - {x.title for x in found})
+        if missing:
+            raise ValueError(f"titles without a row: {', '.join(missing)}")
+    out = rows.withColumn("h", head).filter(cells[0] == "s").select("h.title", cells[1].alias("skill"), (cells[2].cast("double") * F.col("h.n")).alias("w"))
+    return out if titles is None else out.filter(F.col("title").isin(titles))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int, **options: str) -> DataFrame:
@@ -52,6 +60,76 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, hig
     return reader.load()
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
+    """df into a database table, each partition over a connection of its own."""
+    df.write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
+
+
+#: What a checked field may be: the type of its value as a variant, and the column's type.
+FIELD_KINDS = {"str": ("STRING", "string"), "url": ("STRING", "string"), "int": ("BIGINT", "bigint"), "float": ("BIGINT|DOUBLE|DECIMAL.*", "double"), "bool": ("BOOLEAN", "boolean"), "dict": ("OBJECT.*", "string")}
+
+
+def checked_documents(docs: DataFrame, json_col: str, spec: dict[str, tuple[str | list[str], bool]], wrapper: str = "my_array_list") -> tuple[DataFrame, DataFrame]:
+    """(documents with the spec's fields as columns, documents with the reason of the first check that failed).
+
+    spec maps a field to its kind, or a list of one kind, and whether it is required. A null value is of no kind; a url
+    starts with http; a list may come inside an object of the wrapper's name alone."""
+    v = F.col("__v")
+
+    def wrong(x, kind: str):
+        bad = ~F.schema_of_variant(x).rlike(f"^(?:{FIELD_KINDS[kind][0]})$")
+        return bad | ~F.coalesce(F.try_variant_get(x, "$", "string"), F.lit("")).startswith("http") if kind == "url" else bad
+
+    columns, reason = [], F.when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), "not a document")
+    for name, (kind, required) in spec.items():
+        field = F.try_variant_get(v, f"$.{name}", "variant")
+        if required:
+            reason = reason.when(field.isNull(), f"missing {name}")
+        if isinstance(kind, list):
+            inner = F.try_variant_get(v, f"$.{name}.{wrapper}", "variant")
+            field = F.when(F.schema_of_variant(field).rlike(f"^OBJECT<{wrapper}: [^:]*>$"), inner).otherwise(field)
+            items = F.try_variant_get(field, "$", "array<variant>")
+            bad = items.isNull() | F.exists(items, lambda x: F.coalesce(wrong(x, kind[0]), F.lit(True)))
+            value = F.transform(items, lambda x: F.try_variant_get(x, "$", FIELD_KINDS[kind[0]][1]))
+        else:
+            bad, value = wrong(field, kind), F.try_variant_get(field, "$", FIELD_KINDS[kind][1])
+        reason = reason.when(field.isNotNull() & F.coalesce(bad, F.lit(True)), f"invalid {name}")
+        columns.append(value.alias(name))
+    parsed = docs.withColumn("__v", F.try_parse_json(json_col))
+    parsed = parsed.withColumn("reason", reason)
+    own = [c for c in docs.columns if c != json_col]
+    return parsed.filter("reason IS NULL").select(*own, *columns), parsed.filter("reason IS NOT NULL").select(*docs.columns, "reason")
+
+
+def job_dimensions(raw: DataFrame, json_col: str = "json") -> tuple[DataFrame, DataFrame]:
+    """The distinct categories (tag, label) and companies of job-API records."""
+    r = F.from_json(json_col, "category struct<tag: string, label: string>, company struct<display_name: string>")
+    rows = raw.select(r.alias("r"))
+    categories = rows.select("r.category.tag", "r.category.label").filter("tag IS NOT NULL").distinct()
+    return categories, rows.select(F.col("r.company.display_name").alias("company")).filter("company IS NOT NULL").distinct()
+
+
+def geojson_features(regions: DataFrame, code: str, name: str, ring: str) -> DataFrame:
+    """value: one GeoJSON feature a region, its ring (x, y) as a closed polygon."""
+    point = lambda q: F.array(q["x"], q["y"])
+    closed = F.concat(F.transform(ring, point), F.array(point(F.get(F.col(ring), F.lit(0)))))
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(closed).alias("coordinates"))
+    return regions.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col(code).alias("id"), F.col(name).alias("name")).alias("properties"), geometry.alias("geometry"))).alias("value"))
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """id, name, ring of GeoJSON polygons."""
+    rows = spark.read.schema("properties struct<id: string, name: string>, geometry struct<coordinates: array<array<array<double>>>>").json(path)
+    ring = F.transform(F.get("geometry.coordinates", F.lit(0)), lambda q: F.struct(q[0].alias("x"), q[1].alias("y")))
+    return rows.select("properties.id", "properties.name", ring.alias("ring"))
+
+
+def bounds(regions: DataFrame, by: str, ring: str) -> DataFrame:
+    """The bounding box of all rings of each group."""
+    q = regions.select(by, F.explode(ring).alias("q"))
+    return q.groupBy(by).agg(F.min("q.x").alias("west"), F.min("q.y").alias("south"), F.max("q.x").alias("east"), F.max("q.y").alias("north"))
+
+
 def job_records(raw: DataFrame, json_col: str = "json") -> DataFrame:
     """Job-API records flat: area levels to columns, "0"/"1" to booleans, ids to numbers."""
     r = F.from_json(json_col, "id string, title string, full_time string, location struct<area: array<string>>, category struct<tag: string, label: string>")

@@ -52,6 +52,17 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                  WHEN 4 THEN concat('Band \u20ac', CAST(20 + o_orderkey % 40 AS varchar(9)), '-', CAST(25 + o_orderkey % 40 AS varchar(9)), 'k depending on skill')
                  ELSE 'Competitive pay' END AS text
         FROM {orders}"""),
+    "C": (("part",), """
+        SELECT p_partkey AS id, concat(cast(p_size AS varchar(9)), ' years') AS d,
+               CASE p_partkey % 3 WHEN 0 THEN 'Not Available' WHEN 1 THEN cast(100 + p_size AS varchar(9))
+                 ELSE concat(cast(100 + p_size AS varchar(9)), '-', cast(120 + p_size AS varchar(9))) END AS p
+        FROM {part}"""),
+    "DOC": (("orders",), """
+        SELECT o_orderkey AS id, concat('{{"title": ', CASE WHEN o_orderkey % 5 = 0 THEN '17' ELSE concat('"', o_orderpriority, '"') END,
+               CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE concat(', "customer": ', cast(o_custkey AS varchar(9))) END,
+               ', "url": "', CASE WHEN o_orderkey % 4 = 0 THEN 'ftp' ELSE 'http' END, '://example.org/", "tags": ["a", ',
+               CASE WHEN o_orderkey % 6 = 0 THEN 'null' ELSE '"b"' END, ']', CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE '}}' END) AS doc
+        FROM {orders}"""),
 }
 
 
