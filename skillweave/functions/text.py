@@ -121,9 +121,15 @@ def split_title(words: Column) -> Column:
     return F.struct(F.nullif(F.array_join(prefix, " "), F.lit("")).alias("prefix"), F.nullif(F.array_join(F.slice(rest, F.lit(1), F.size(rest) - tail), " "), F.lit("")).alias("title"))
 
 
-def without_skills(title: Column, skills: list[str], protect_before: tuple[str, ...] = ("engineer", "manager")) -> Column:
-    """Drops skill words that don't stand right before a protected word."""
+#: Skill words that a post's title keeps, and words before which it keeps any.
+KEPT_SKILLS = ("software", "scrum", "business", "android", "ios", "engineering", "front-end", "frontend")
+KEPT_BEFORE = ("engineer", "manager")
+
+
+def without_skills(title: Column, skills: list[str], protect: tuple[str, ...] = KEPT_SKILLS, protect_before: tuple[str, ...] = KEPT_BEFORE) -> Column:
+    """Drops skill words that are not protected and don't stand right before a protected word."""
     words = F.split(title, " ")
+    skills = [w for w in skills if w not in protect]
     following = lambda i: F.coalesce(F.get(words, i + 1), F.lit(""))
     return F.nullif(F.array_join(F.filter(words, lambda w, i: ~w.isin(*skills) | following(i).isin(*protect_before)), " "), F.lit(""))
 
@@ -170,6 +176,39 @@ def job_post_title(name: Column) -> Column:
     return F.array_join(F.filter(words, lambda w, i: ~(counted(i) | pay(i) | length(i) | line(i))), " ")
 
 
+#: Letters of each degree, its name, and words that a degree's key loses.
+DEGREES = (("b s c", "bachelor of science"), ("b a", "bachelor of arts"), ("b eng", "bachelor of engineering"), ("m s c", "master of science"), ("m a", "master of arts"), ("m b a", "master of business administration"), ("m phil", "master of philosophy"), ("ph d", "doctor of philosophy"))
+DEGREE_STOP = ("degree", "hons", "honours", "honors", "first", "class")
+
+
+def degree_name(name: Column, stop: tuple[str, ...] = (), **options) -> Column:
+    """A degree in full: what stands before the first comma, its letters (with or without full stops and blanks between
+    them) written out, years and ordinals off. "a" and "as" stay."""
+    out = F.regexp_replace(F.lower(F.substring_index(name, ",", 1)), r"\b[0-9]+(st|nd|rd|th)?\b", "")
+    for letters, full in DEGREES:
+        out = F.regexp_replace(out, r"\b" + r"\.?\s*".join(letters.split(" ")) + r"\b", full)
+    words = [w for w in stop if w not in ("a", "as")]
+    return clean(out, nospace="'’.", brackets=True, stop=[*words, *DEGREE_STOP], **options)
+
+
+def entity_key(kind: str, source: str | Column, lang: str | Column, name: Column, stop: tuple[str, ...] = ()) -> Column:
+    """The key of any type of entity; an unknown type is an error. Sectors are keyed without stems."""
+    stemmed = {"stop": stop, "stem_words": True}
+    makers = {
+        "skill": lambda: clean(name, replace=SKILL_SPELLINGS, brackets=True, distinct=True, **stemmed),
+        "title": lambda: clean(split_title(F.split(parsed_title(name), " "))["title"], **stemmed),
+        "job_title": lambda: clean(job_post_title(name), **stemmed),
+        "company": lambda: company_name(name, list(stop)),
+        "sector": lambda: clean(name, stop=stop),
+        "institute": lambda: clean(F.regexp_replace(F.lower(name), r"\bu\.", "university"), order=True, **stemmed),
+        "degree": lambda: degree_name(name, stop, stem_words=True),
+        "subject": lambda: clean(F.substring_index(name, "/", 1), **stemmed),
+    }
+    if kind not in makers:
+        raise ValueError(f"unknown type of entity: {kind}")
+    return key(kind, source, lang, makers[kind]())
+
+
 def company_name(name: Column, stop: list[str]) -> Column:
     """Legal forms and stop words off, cut at commas, dashes and slashes that stand free."""
     cut = F.substring_index(F.substring_index(F.substring_index(name, ",", 1), " - ", 1), " / ", 1)

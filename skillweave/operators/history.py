@@ -64,6 +64,25 @@ def flat(documents: DataFrame, parent: str, name: str) -> DataFrame:
     return documents.select(parent, F.explode_outer(name).alias("__c")).select(parent, "__c.*")
 
 
+def log_batches(lines: DataFrame, file: str, at: str, line: str) -> DataFrame:
+    """file, start, n, percent, seconds, rate of each finished batch of a crawl log: its start, the end on the next line, and
+    counts on the one after. Batches without these lines are left out; a rate over no time is null."""
+    w = W.partitionBy(file).orderBy(at)
+    three = lines.select(file, F.col(line).alias("a"), F.lead(line).over(w).alias("b"), F.lead(line, 2).over(w).alias("c"))
+    time = lambda c: F.try_to_timestamp(F.regexp_extract(c, r" at (\S+ \S+)$", 1), F.lit("yyyy-MM-dd HH:mm:ss"))
+    whole = three.filter(F.col("a").startswith("Starting batch at ") & F.col("b").startswith("Retrieved URLs at ") & F.col("c").startswith("Crawled "))
+    out = whole.select(file, time("a").alias("start"), time("b").alias("stop"), F.regexp_extract("c", r"Crawled (\d+)", 1).cast("long").alias("n"), F.regexp_extract("c", r"(\d+)%", 1).cast("int").alias("percent"))
+    out = out.withColumn("seconds", F.unix_timestamp("stop") - F.unix_timestamp("start"))
+    return out.select(file, F.col("start").cast("timestamp_ntz").alias("start"), "n", "percent", "seconds", F.expr("n / nullif(seconds, 0)").alias("rate"))
+
+
+def log_failures(lines: DataFrame, file: str, at: str, line: str, status: int) -> DataFrame:
+    """endpoint, n: failed requests that the next line of the log gives the status for."""
+    after = F.lead(line).over(W.partitionBy(file).orderBy(at))
+    failed = lines.withColumn("__next", after).filter(F.col(line).startswith("Failed getting URL") & (F.col("__next") == f"Received status code {status}"))
+    return failed.groupBy(F.substring_index(line, " by ", -1).alias("endpoint")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def even_split(df: DataFrame, order: str, parts: int, name: str) -> DataFrame:
     """df with the number (from 1) of its part in an order: parts differ in size by one row at most, the larger ones first."""
     ranked = numbered(df, order, "__rank")

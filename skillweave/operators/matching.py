@@ -187,3 +187,13 @@ def clusters(vectors: DataFrame, k: int) -> DataFrame:
         pairs = vectors.sparkSession.createDataFrame(list(members.items()), "label string, cluster string")
         current = vectors.join(pairs, "label").groupBy(F.col("cluster").alias("label"), "item").agg(F.sum("w").alias("w"))
     return vectors.sparkSession.createDataFrame(list(members.items()), "label string, cluster string")
+
+
+#: The language of posts and profiles of a country.
+COUNTRY_LANGUAGES = {"United Kingdom": "en", "Netherlands": "nl", "Nederland": "nl", "Germany": "de", "Deutschland": "de", "Spain": "es", "France": "fr", "Italy": "it", "Italia": "it", "Russia": "ru", "Россия": "ru"}
+
+
+def assigned_language(text: Column, country: Column, lists: dict[str, list[str]], default: str | None = None) -> Column:
+    """The text's language if it is told from the lists, else the country's, else the default (null: the row has none)."""
+    of_country = F.coalesce(*[F.when(country == k, F.lit(v)) for k, v in COUNTRY_LANGUAGES.items()])
+    return F.coalesce(language(text, lists), of_country, F.lit(default))

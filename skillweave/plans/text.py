@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions import text as t
+from skillweave.operators import history as h
 from skillweave.operators import matching as m
 from skillweave.operators import relevance as e
 from skillweave.plans.register import Plans
@@ -73,9 +74,9 @@ def t7(tt):
     return tt.select("id", t.key("title", "A", "en", t.clean(bare, stop=STOP, stem_words=True)).alias("key"))
 
 
-@plan("t8_without_skills", "TT", sql="SELECT id, nullif(array_to_string(list_filter(string_split(lower(base) || ' red engineer', ' '), lambda w, i: w NOT IN ('red', 'tin', 'steel') OR string_split(lower(base) || ' red engineer', ' ')[i + 1] = 'engineer'), ' '), '') AS title FROM TT")
+@plan("t8_without_skills", "TT", sql="SELECT id, nullif(array_to_string(list_filter(string_split(lower(base) || ' red engineer business', ' '), lambda w, i: w NOT IN ('red', 'tin', 'steel') OR string_split(lower(base) || ' red engineer business', ' ')[i + 1] = 'engineer'), ' '), '') AS title FROM TT")
 def t8(tt):
-    return tt.select("id", t.without_skills(F.concat(F.lower("base"), F.lit(" red engineer")), ["red", "tin", "steel"]).alias("title"))
+    return tt.select("id", t.without_skills(F.concat(F.lower("base"), F.lit(" red engineer business")), ["red", "tin", "steel", "business"]).alias("title"))
 
 
 @plan("t9_job_post_title", "TT", sql="SELECT id, base AS title FROM TT")
@@ -116,13 +117,13 @@ def t15(tt):
     return tt.select("id", t.clean(text, stop=STOP, stem_words=True, order=True).alias("institute"))
 
 
-@plan("t16_degree_keys", "TT", sql="SELECT id, CASE id % 2 WHEN 0 THEN 'bachelor of science ' ELSE 'master of arts ' END || lower(base) AS degree FROM TT")
+DEGREE_FORMS = {0: ("B.Sc 1st", "bachelor of science"), 1: ("M.A", "master of arts"), 2: ("BEng", "bachelor of engineering"), 3: ("Ph. D.", "doctor of philosophy"), 4: ("MBA", "master of business administration"), 5: ("M.Phil", "master of philosophy"), 6: ("M S c", "master of science"), 7: ("ba", "bachelor of arts")}
+
+
+@plan("t16_degree_keys", "TT", sql=f"SELECT id, CASE id % 8 {' '.join(f'WHEN {k} THEN {chr(39)}{full}{chr(39)}' for k, (_, full) in DEGREE_FORMS.items())} END || ' ' || lower(base) AS degree FROM TT")
 def t16(tt):
-    text = F.lower(F.concat(F.when(F.col("id") % 2 == 0, "B.Sc 1st ").otherwise("M.A "), "base", F.lit(", honours")))
-    text = F.substring_index(text, ",", 1)
-    for pattern, full in ((r"\b\d+(?:st|nd|rd|th)?\b", ""), (r"\bb\.?\s*sc\b", "bachelor of science"), (r"\bm\.?\s*a\b", "master of arts")):
-        text = F.regexp_replace(text, pattern, full)
-    return tt.select("id", t.clean(text, stop=["hons", "honours"]).alias("degree"))
+    short = F.get(F.lit([s for s, _ in DEGREE_FORMS.values()]), F.col("id") % 8)
+    return tt.select("id", t.degree_name(F.concat(short, F.lit(" "), "base", F.lit(" (Hons), honours"))).alias("degree"))
 
 
 @plan("t17_subject_keys", "part", sql=f"SELECT DISTINCT {STEMMED.format(x='p_type')} AS subject FROM part")
@@ -130,10 +131,13 @@ def t17(part):
     return part.select(t.clean(F.substring_index(F.concat("p_type", F.lit("/other")), "/", 1), stop=STOP, stem_words=True).alias("subject")).distinct()
 
 
-@plan("t18_entity_dispatch", "P", sql="SELECT profile_id, 'sector:A:en:' || lower(sector) AS sector_key, 'company:A:en:' || lower(regexp_replace(company, ' Ltd$', '')) AS company_key FROM P")
-def t18(p):
-    makers = {"sector": lambda c: t.clean(c, stop=STOP), "company": lambda c: t.company_name(c, list(STOP))}
-    return p.select("profile_id", *[t.key(k, "A", "en", f(F.col(k))).alias(f"{k}_key") for k, f in makers.items()])
+@plan("t18_entity_dispatch", "TT", sql=f"""WITH k AS (SELECT id, lower(base) AS b, {stemmed('lower(base)')} AS s, {BARE} AS title FROM TT)
+SELECT id, 'skill:A:en:' || array_to_string(list_transform(list_filter(string_split(b, ' '), lambda w, i: list_position(string_split(b, ' '), w) = i), lambda w: {STEM}), ' ') AS skill, 'title:A:en:' || {stemmed('title')} AS title, 'job_title:A:en:' || s AS job_title, 'company:A:en:' || b AS company,
+ 'sector:A:en:' || b AS sector, 'institute:A:en:' || array_to_string(list_sort(list_transform(string_split(b, ' '), lambda w: {STEM})), ' ') AS institute, 'degree:A:en:' || s AS degree, 'subject:A:en:' || s AS subject FROM k""")
+def t18(tt):
+    """Every type of entity through the one dispatcher."""
+    kinds = ("skill", "title", "job_title", "company", "sector", "institute", "degree", "subject")
+    return tt.select("id", *[t.entity_key(k, "A", "en", F.col("title" if k == "title" else "base"), STOP).alias(k) for k in kinds])
 
 
 @plan("t19_is_company", "supplier", sql="SELECT s_suppkey, s_suppkey % 3 = 0 AS is_company FROM supplier")
@@ -220,7 +224,7 @@ def t33(p):
 @plan("t34_language", "documents")
 def t34(docs):
     lists = {k: t.stop_words(k) for k in t.LANGUAGES}
-    return docs.select("doc_id", "lang", F.coalesce(m.language(F.col("text"), lists), F.lit("en")).alias("guess"))
+    return docs.select("doc_id", "lang", m.assigned_language(F.col("text"), F.lit(None).cast("string"), lists, "en").alias("guess"))
 
 
 @plan("t35_query_strings", "J", "JS", sql="SELECT merged_title, string_agg(skill, ' or ' ORDER BY skill) AS query FROM (SELECT merged_title, skill, count(*) AS c, row_number() OVER (PARTITION BY merged_title ORDER BY count(*) DESC, skill) AS rn FROM JS JOIN J USING (job_id) WHERE merged_title IS NOT NULL GROUP BY merged_title, skill) WHERE rn <= 5 GROUP BY merged_title")
@@ -230,11 +234,33 @@ def t35(jobs, skills):
     return best.groupBy("merged_title").agg(F.array_join(F.array_sort(F.collect_list("skill")), " or ").alias("query"))
 
 
-@plan("t36_log_metrics", "events", sql="SELECT event_type, count(*) AS n, round(100.0 * count_if(value > 50) / count(*), 6) AS percent FROM events GROUP BY event_type")
-def t36(events):
-    line = F.concat(F.lit("endpoint="), "event_type", F.lit(" ok="), F.when(F.col("value") > 50, "1").otherwise("0"))
-    log = events.select(line.alias("line")).select(F.regexp_extract("line", r"endpoint=(\S+)", 1).alias("event_type"), F.regexp_extract("line", r"ok=(\d)", 1).cast("int").alias("ok"))
-    return log.groupBy("event_type").agg(n().alias("n"), F.round(100.0 * F.sum("ok").cast("double") / n(), 6).alias("percent"))
+LOGS = """b AS (SELECT type AS file, date_trunc('day', crawled_on) AS day, min(crawled_on) AS start, max(crawled_on) AS stop, count(*) AS n, CAST(round(100.0 * count_if(valid) / count(*)) AS INTEGER) AS percent FROM W GROUP BY type, date_trunc('day', crawled_on))"""
+
+
+def batch_log(log):
+    """file, at, line: the text of a crawl log, three lines a batch; an unfinished batch has only its first."""
+    b = log.groupBy(F.col("type").alias("file"), F.date_trunc("day", "crawled_on").alias("day")).agg(F.min("crawled_on").alias("start"), F.max("crawled_on").alias("stop"), n().alias("n"), F.round(F.lit(100.0) * F.count_if("valid") / n()).cast("int").alias("percent"))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    done = F.dayofmonth("day") % 7 != 0
+    lines = F.array(
+        F.concat(F.lit("Starting batch at "), stamp("start")), F.when(done, F.concat(F.lit("Retrieved URLs at "), stamp("stop"))),
+        F.when(done, F.format_string("Crawled %d URLs with %d%% success", "n", "percent")))
+    return b.select("file", F.unix_micros(F.col("day").cast("timestamp")).alias("d"), F.posexplode(F.array_compact(lines)).alias("k", "line")).select("file", (F.col("d") + F.col("k")).alias("at"), "line")
+
+
+@plan("t36_log_metrics", "W", sql=f"""WITH {LOGS} SELECT file, date_trunc('second', start) AS start, n, percent, date_diff('second', date_trunc('second', start), date_trunc('second', stop)) AS seconds,
+ round(n / nullif(date_diff('second', date_trunc('second', start), date_trunc('second', stop)), 0)::DOUBLE, 9) AS rate FROM b WHERE day(day) % 7 <> 0""")
+def t36(log):
+    return h.log_batches(batch_log(log), "file", "at", "line").withColumn("rate", F.round("rate", 9))
+
+
+@plan("t36_log_failures", "W", sql="SELECT 'endpoint-' || CAST(id % 7 AS VARCHAR) AS endpoint, count(*) AS n FROM W WHERE fail_count > 0 GROUP BY 1")
+def t36_failures(log):
+    """Refusals by endpoint: a line that names the endpoint, and right after it the status."""
+    failed = F.col("fail_count") > 0
+    lines = F.array(F.concat(F.when(failed, "Failed getting URL by ").otherwise("Got URL by "), F.lit("endpoint-"), (F.col("id") % 7).cast("string")), F.when(failed, F.lit("Received status code 999")))
+    text = log.select(F.col("url").alias("file"), "id", F.posexplode(F.array_compact(lines)).alias("k", "line")).select("file", (F.col("id") * 2 + F.col("k")).alias("at"), "line")
+    return h.log_failures(text, "file", "at", "line", 999)
 
 
 @plan("n1_flexible_times", "events", sql="SELECT event_id, CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('minute', ts) WHEN 2 THEN date_trunc('day', ts) END AS t FROM events")

@@ -173,3 +173,28 @@ def test_breakdown_totals(spark):
     out = rep.breakdown(rows, rep.known_title()).collect()
     assert sum(x.n_jobs for x in out) == 4 and all(x.n_all == 4 for x in out)
     assert {x.title for x in out} == {"t1", "t2", "unknown"}
+
+
+def test_language_falls_back_to_the_country(spark):
+    lists = {"en": ["the", "and"], "de": ["und", "der"]}
+    rows = [("the cat and the dog", "Germany"), ("xyz", "Germany"), ("xyz", "Россия"), ("xyz", "Atlantis"), (None, None)]
+    df = spark.createDataFrame(rows, "text string, country string")
+    told = lambda default: [x[0] for x in df.select(m.assigned_language(F.col("text"), F.col("country"), lists, default)).collect()]
+    assert told(None) == ["en", "de", "ru", None, None]
+    assert told("en") == ["en", "de", "ru", "en", "en"]
+
+
+def test_degrees_and_protected_skills(spark):
+    df = spark.createDataFrame([("B.Sc. (Hons) Physics 2nd, 2010",), ("MBA",), ("Ph.D Law",), ("m.a.",), (None,)], "x string")
+    assert [x[0] for x in df.select(t.degree_name(F.col("x"))).collect()] == ["bachelor of science physics", "master of business administration", "doctor of philosophy law", "master of arts", None]
+    one = spark.createDataFrame([("java software engineer java",), ("java engineer",)], "x string")
+    assert [x[0] for x in one.select(t.without_skills(F.col("x"), ["java", "software"])).collect()] == ["software engineer", "java engineer"]
+    with pytest.raises(ValueError, match="planet"):
+        t.entity_key("planet", "A", "en", F.lit("x"))
+
+
+def test_unfinished_batches_are_left_out(spark):
+    lines = ["Starting batch at 2020-01-01 10:00:00", "Retrieved URLs at 2020-01-01 10:01:40", "Crawled 50 URLs with 98% success", "Starting batch at 2020-01-01 11:00:00", "Starting batch at 2020-01-01 12:00:00", "Retrieved URLs at 2020-01-01 12:00:00", "Crawled 0 URLs with 0% success"]
+    df = spark.createDataFrame([("f", k, x) for k, x in enumerate(lines)], "file string, at int, line string")
+    assert sorted((x.n, x.percent, x.seconds, x.rate) for x in h.log_batches(df, "file", "at", "line").collect() if x.n) == [(50, 98, 100, 0.5)]
+    assert [x.rate for x in h.log_batches(df, "file", "at", "line").collect() if not x.n] == [None]
