@@ -31,7 +31,7 @@ def islands(df: DataFrame, key: str, order: list[str], changed: Column, name: st
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], protect: tuple[str, ...] = ()) -> DataFrame:
     """old with new's rows inserted or updated: columns that new lacks stay on update and are null on insert; protected
-    columns keep a non-null old value. new must be unique by key."""
+    columns keep a non-null old value; "column.field" protects a field of a struct. new must be unique by key."""
     fresh = new.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(c).alias(f"__n_{c}") for c in new.columns if c not in keys], F.lit(True).alias("__new"))
     on = [F.col(k) == F.col(f"__k_{k}") for k in keys]
     both = old.withColumn("__old", F.lit(True)).join(fresh, on, "full_outer")
@@ -40,7 +40,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], protect: tuple[str,
         if c in keys:
             columns.append(F.coalesce(F.col(c), F.col(f"__k_{c}")).alias(c))
         elif c in new.columns:
-            value = F.when(F.col("__new"), F.col(f"__n_{c}")).otherwise(F.col(c))
+            fresh_value = F.col(f"__n_{c}")
+            for field in [p.split(".", 1)[1] for p in protect if p.startswith(f"{c}.")]:
+                kept = fresh_value.withField(field, F.coalesce(F.col(f"{c}.{field}"), fresh_value[field]))
+                fresh_value = F.when(F.col(c).isNotNull(), kept).otherwise(fresh_value)
+            value = F.when(F.col("__new"), fresh_value).otherwise(F.col(c))
             columns.append((F.coalesce(F.col(c), value) if c in protect else value).alias(c))
         else:
             columns.append(F.col(c))
@@ -64,6 +68,31 @@ def flat(documents: DataFrame, parent: str, name: str) -> DataFrame:
     return documents.select(parent, F.explode_outer(name).alias("__c")).select(parent, "__c.*")
 
 
+def crawl_violations(log: DataFrame) -> DataFrame:
+    """rule, id: rows of log(id, url, crawled_on, valid, redirect_url, fail_count) that break a rule of crawl histories. A
+    crawl is its URL's last by time, one without a time being later than all others, and by id."""
+    by_time = W.partitionBy("url").orderBy(F.asc_nulls_last("crawled_on"), "id")
+    several = F.count(F.lit(1)).over(W.partitionBy("url")) > 1
+    rows = log.withColumns({"__last": F.lead("id").over(by_time).isNull(), "__several": several})
+    valid, last, no_time, fails = F.col("valid"), F.col("__last"), F.col("crawled_on").isNull(), F.col("fail_count")
+    rules = {
+        "several crawls and no timestamp": F.col("__several") & no_time,
+        "several crawls and a failed last one without failures": F.col("__several") & last & ~valid & (fails <= 0),
+        "failed crawl is not the last": ~last & ~valid,
+        "valid without a redirect": valid & F.col("redirect_url").isNull(),
+        "valid without a timestamp": valid & no_time,
+        "valid with a fail count": valid & (fails != 0),
+    }
+    broken = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]))
+    return rows.select(F.explode(broken).alias("rule"), "id")
+
+
+def repaired(log: DataFrame, start: str, end: str) -> DataFrame:
+    """log with the fail counts of valid crawls from start to before end set to 0."""
+    inside = F.col("valid") & (F.col("crawled_on") >= F.lit(start)) & (F.col("crawled_on") < F.lit(end))
+    return log.withColumn("fail_count", F.when(inside, F.lit(0)).otherwise(F.col("fail_count")).cast("long"))
+
+
 def log_batches(lines: DataFrame, file: str, at: str, line: str) -> DataFrame:
     """file, start, n, percent, seconds, rate of each finished batch of a crawl log: its start, the end on the next line, and
     counts on the one after. Batches without these lines are left out; a rate over no time is null."""

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from skillweave.functions.text import clean
+
 _AMOUNT = r"(\d{1,3}(?:[,.'’]\d{3})+|\d+)(\.\d{1,2})?\s?(k)?"
 #: A period may also stand between the two amounts of a range.
 _EACH = r"(?:\s?(?:p[./]?[hda]|(?:per|an?|/)\s?(?:hour|day|week|month|year|annum))\b)?"
@@ -197,3 +199,30 @@ def assigned_language(text: Column, country: Column, lists: dict[str, list[str]]
     """The text's language if it is told from the lists, else the country's, else the default (null: the row has none)."""
     of_country = F.coalesce(*[F.when(country == k, F.lit(v)) for k, v in COUNTRY_LANGUAGES.items()])
     return F.coalesce(language(text, lists), of_country, F.lit(default))
+
+
+def reinforcement(declared: DataFrame, own: DataFrame, experiences: DataFrame, profile: str = "profile_id", skill: str = "phrase") -> DataFrame:
+    """Each profile's declared skills with their scores: 1 where the profile's own text names the skill, which reinforces it,
+    and 1 for each experience that does. Skills that no text names score 0; found skills that are not declared do not count."""
+    hits = own.select(profile, skill, F.lit(True).alias("own")).distinct().unionByName(experiences.select(profile, skill, F.lit(False).alias("own")))
+    scores = hits.groupBy(profile, skill).agg(F.count(F.lit(1)).alias("score"), F.bool_or("own").alias("reenforced"))
+    out = declared.select(profile, skill).distinct().join(scores, [profile, skill], "left")
+    return out.select(profile, skill, F.coalesce("score", F.lit(0)).cast("long").alias("score"), F.coalesce("reenforced", F.lit(False)).alias("reenforced"))
+
+
+def overwrite_salaries(jobs: DataFrame, text: str, chosen: Column) -> DataFrame:
+    """jobs whose salary columns are those found in the text, null where nothing is found; rows that are not chosen keep theirs."""
+    found = salary(F.col(text))
+    new = {"salary_min": found["min"], "salary_max": found["max"], "salary_period": found["period"]}
+    return jobs.withColumns({c: F.when(chosen, v).otherwise(F.col(c)) for c, v in new.items()})
+
+
+def crosswalk(companies: DataFrame, names: DataFrame, key: str, name: str, stop: list[str]) -> DataFrame:
+    """key, matched, count: for each company the catalogue's name (matched, count) with an equal canonical form, taken with
+    and without full stops, at the least edit distance; the more frequent of equal ones. Null when there is none."""
+    options = {"nospace": "'’", "brackets": True, "stop": [*stop, "limited", "ltd", "uk"]}
+    forms = F.array_distinct(F.array(clean(F.col(name), **options), clean(F.replace(F.col(name), F.lit("."), F.lit("")), **options)))
+    wanted = companies.select(key, name, F.explode(F.array_compact(forms)).alias("form"))
+    known = names.withColumn("form", clean(F.col("matched"), **options))
+    best = wanted.join(known, "form").groupBy(key).agg(F.min_by(F.struct("matched", "count"), F.struct(F.levenshtein(F.lower(name), F.lower("matched")), -F.col("count"), "matched")).alias("best"))
+    return companies.select(key).join(best, key, "left").select(key, "best.matched", "best.count")

@@ -85,6 +85,29 @@ def build_fact(jobs: DataFrame, areas: DataFrame, bridge: DataFrame) -> DataFram
     return levels.unionByName(groups).groupBy("period", "category", "merged_title", "region_type", "region_code").agg(F.sum("n").alias("total_jobs"))
 
 
+def is_quarter(start: date, end: date) -> str | None:
+    """The period's name if start to end (inclusive) is exactly one quarter."""
+    first, after = start.month, date(end.year + (end.month == 12), end.month % 12 + 1, 1)
+    whole = start.day == 1 and first % 3 == 1 and end.year == start.year and end.month == first + 2 and (after - end).days == 1
+    return f"{start.year}Q{(first + 2) // 3}" if whole else None
+
+
+def region_counts(jobs: DataFrame, fact: DataFrame, areas: DataFrame, bridge: DataFrame, region_type: str, start: date, end: date) -> DataFrame:
+    """region_code, title, n_jobs of a range of days: from the fact where the range is a quarter that it holds, else from the posts."""
+    period = is_quarter(start, end)
+    if period is not None:
+        rows = fact.filter((F.col("period") == period) & (F.col("region_type") == region_type))
+        if not rows.isEmpty():
+            return rows.groupBy("region_code", known_title().alias("title")).agg(F.sum("total_jobs").alias("n_jobs"))
+    rows = region_rows(common_filters(jobs, None, start, end), areas, bridge, region_type)
+    return rows.groupBy("region_code", known_title().alias("title")).agg(F.count(F.lit(1)).alias("n_jobs"))
+
+
+def sample_ids(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """n different keys at random: those with the least hashes under the seed, so that a repeated run takes the same ones."""
+    return df.select(key).distinct().orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+
+
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

@@ -58,13 +58,20 @@ def r7(log):
     return log.join(to, "url", "left").select("id", F.coalesce("redirect", "url").alias("url"))
 
 
-@plan("r8_consistency_rules", "W", sql="WITH t AS (SELECT *, lead(fail_count) OVER (PARTITION BY url ORDER BY crawl_number) AS next_fail, row_number() OVER (PARTITION BY url ORDER BY crawl_number DESC) AS rn FROM W) SELECT 'failed crawl is not the last' AS rule, count(*) AS n FROM t WHERE fail_count > 0 AND rn > 1 UNION ALL SELECT 'two failed crawls in a row', count(*) FROM t WHERE fail_count > 0 AND next_fail > 0 UNION ALL SELECT 'valid with a fail count', count(*) FROM t WHERE valid AND fail_count > 0")
+WD = "WITH t AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY crawled_on DESC NULLS FIRST, id DESC) = 1 AS last, count(*) OVER (PARTITION BY url) > 1 AS several FROM WD)"
+
+
+@plan("r8_consistency_rules", "WD", sql=f"""{WD} SELECT 'several crawls and no timestamp' AS rule, id FROM t WHERE several AND crawled_on IS NULL
+UNION ALL SELECT 'several crawls and a failed last one without failures', id FROM t WHERE several AND last AND NOT valid AND fail_count <= 0
+UNION ALL SELECT 'failed crawl is not the last', id FROM t WHERE NOT last AND NOT valid UNION ALL SELECT 'valid without a redirect', id FROM t WHERE valid AND redirect_url IS NULL
+UNION ALL SELECT 'valid without a timestamp', id FROM t WHERE valid AND crawled_on IS NULL UNION ALL SELECT 'valid with a fail count', id FROM t WHERE valid AND fail_count <> 0""")
 def r8(log):
-    w = W.partitionBy("url").orderBy("crawl_number")
-    t = log.withColumns({"next_fail": F.lead("fail_count").over(w), "last": F.lead("id").over(w).isNull()})
-    rules = {"failed crawl is not the last": (F.col("fail_count") > 0) & ~F.col("last"), "two failed crawls in a row": (F.col("fail_count") > 0) & (F.col("next_fail") > 0), "valid with a fail count": F.col("valid") & (F.col("fail_count") > 0)}
-    one = t.agg(*[F.count_if(c).alias(str(k)) for k, c in enumerate(rules.values())])
-    return one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(str(k)).alias("n")) for k, name in enumerate(rules)])))
+    return h.crawl_violations(log)
+
+
+@plan("r8_repaired_counts", "WD", sql="SELECT id, CASE WHEN valid AND crawled_on >= TIMESTAMP '2024-01-05' AND crawled_on < TIMESTAMP '2024-01-20' THEN 0 ELSE fail_count END AS fail_count FROM WD")
+def r8_repaired(log):
+    return h.repaired(log, "2024-01-05", "2024-01-20").select("id", "fail_count")
 
 
 @plan("r9_merge_failed_crawls", "W", sql="WITH t AS (SELECT *, sum(CASE WHEN fail_count = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY url ORDER BY crawl_number) AS island FROM W) SELECT url, max(crawl_number) AS crawl_number, CAST(sum(fail_count) AS BIGINT) AS fail_count FROM t WHERE fail_count > 0 GROUP BY url, island")
@@ -130,6 +137,14 @@ def w3(jobs):
     return h.upsert(old, new, ["job_id"], protect=("salary_min",))
 
 
+@plan("w3_protected_fields", "J", sql=f"SELECT coalesce(o.job_id, n.job_id) AS job_id, CASE WHEN n.job_id IS NOT NULL THEN n.company ELSE o.company END AS company, coalesce(o.salary_min, n.salary_min) AS salary_min FROM {OLD} o FULL JOIN {NEW} n USING (job_id)")
+def w3_fields(jobs):
+    """The same rule inside a nested value."""
+    old = jobs.filter("job_id % 4 <> 0").select("job_id", F.struct("company", "salary_min").alias("doc"))
+    new = jobs.filter("job_id % 2 = 0").select("job_id", F.struct(F.upper("company").alias("company"), F.col("salary_max").alias("salary_min")).alias("doc"))
+    return h.upsert(old, new, ["job_id"], protect=("doc.salary_min",)).select("job_id", "doc.company", "doc.salary_min")
+
+
 @plan("w4_nested_document", "JS", sql="SELECT job_id, count(*) AS n_skills, string_agg(CAST(pos AS VARCHAR) || ':' || skill, '|' ORDER BY pos, skill) AS skills FROM JS GROUP BY job_id")
 def w4(skills):
     doc = h.nested(skills, "job_id", ["pos"], "skills")

@@ -93,7 +93,7 @@ def f11(x):
 
 @plan("f12_random_sample", "X")
 def f12(x):
-    return x.select("profile_id").distinct().orderBy(F.xxhash64("profile_id", F.lit(7))).limit(50)
+    return r.sample_ids(x, "profile_id", 50, seed=7)
 
 
 @plan("j1_fact_join", "J", "JS", sql="SELECT category, skill, count(*) AS n FROM JS JOIN J USING (job_id) GROUP BY category, skill")
@@ -162,8 +162,13 @@ def a3(jobs, areas, bridge):
 
 @plan("a4_quarter_from_fact", "J", "area", "area_in_group", sql="SELECT CAST(lep_id AS VARCHAR) AS region_code, coalesce(merged_title, 'unknown') AS title, count(*) AS n_jobs FROM J JOIN area_in_group USING (la_id) WHERE created >= TIMESTAMP '1996-04-01' AND created < TIMESTAMP '1996-07-01' GROUP BY 1, 2")
 def a4(jobs, areas, bridge):
-    fact = r.build_fact(jobs, areas, bridge).filter((F.col("period") == "1996Q2") & (F.col("region_type") == "LEP"))
-    return fact.groupBy("region_code", r.known_title().alias("title")).agg(F.sum("total_jobs").alias("n_jobs"))
+    return r.region_counts(jobs, r.build_fact(jobs, areas, bridge), areas, bridge, "LEP", date(1996, 4, 1), date(1996, 6, 30))
+
+
+@plan("a4_other_dates", "J", "area", "area_in_group", sql="SELECT CAST(lep_id AS VARCHAR) AS region_code, coalesce(merged_title, 'unknown') AS title, count(*) AS n_jobs FROM J JOIN area_in_group USING (la_id) WHERE created >= TIMESTAMP '1996-04-01' AND created < TIMESTAMP '1996-07-02' GROUP BY 1, 2")
+def a4_other(jobs, areas, bridge):
+    """A range that is no quarter is counted from the posts."""
+    return r.region_counts(jobs, r.build_fact(jobs, areas, bridge), areas, bridge, "LEP", date(1996, 4, 1), date(1996, 7, 1))
 
 
 @plan("a5_report_fact", "J", "area", "area_in_group", sql="""WITH q AS (SELECT *, CAST(year(created) AS VARCHAR) || 'Q' || CAST(quarter(created) AS VARCHAR) AS period FROM J),
@@ -248,8 +253,10 @@ def a16(jobs):
 
 @plan("a17_career_document", "J", "JS", sql="""WITH h AS (SELECT merged_title, strftime(created, '%Y-%m') AS m, count(*) AS c FROM J WHERE merged_title IS NOT NULL GROUP BY ALL),
 k AS (SELECT merged_title, skill, count(*) AS c, row_number() OVER (PARTITION BY merged_title ORDER BY count(*) DESC, skill) AS rn FROM JS JOIN J USING (job_id) WHERE merged_title IS NOT NULL GROUP BY merged_title, skill),
-hs AS (SELECT merged_title, string_agg(m || '=' || CAST(c AS VARCHAR), ';' ORDER BY m) AS history FROM h GROUP BY 1), ks AS (SELECT merged_title, string_agg(skill, ';' ORDER BY rn) AS skills FROM k WHERE rn <= 5 GROUP BY 1)
-SELECT merged_title, history, skills FROM hs JOIN ks USING (merged_title)""")
+hs AS (SELECT merged_title, string_agg(m || '=' || CAST(c AS VARCHAR), ';' ORDER BY m) AS history FROM h GROUP BY 1), ks AS (SELECT merged_title, string_agg(skill, ';' ORDER BY rn) AS skills FROM k WHERE rn <= 5 GROUP BY 1),
+b AS (SELECT merged_title, least(salary_min // 5000, 6) * 5000 AS lower, count(*) AS c FROM J WHERE salary_min IS NOT NULL AND merged_title IS NOT NULL GROUP BY ALL),
+bs AS (SELECT merged_title, string_agg(CAST(lower AS VARCHAR) || '=' || CAST(c AS VARCHAR), ';' ORDER BY lower) AS bins, round(sum(CASE WHEN lower = 30000 THEN lower ELSE lower + 2500 END * c)::DOUBLE / sum(c)::DOUBLE, 6) AS avg_salary FROM b GROUP BY 1)
+SELECT merged_title, history, skills, bins, avg_salary, 'The work of ' || lower(merged_title) AS description FROM hs JOIN ks USING (merged_title) LEFT JOIN bs USING (merged_title)""")
 def a17(jobs, skills):
     known = jobs.filter("merged_title IS NOT NULL")
     history = known.groupBy("merged_title", F.date_format("created", "yyyy-MM").alias("m")).agg(n().alias("c"))
@@ -257,9 +264,15 @@ def a17(jobs, skills):
     counts = skills.join(known.select("job_id", "merged_title"), "job_id").groupBy("merged_title", "skill").agg(n().alias("c"))
     ranked = counts.withColumn("rn", F.row_number().over(W.partitionBy("merged_title").orderBy(F.desc("c"), "skill"))).filter("rn <= 5")
     cloud = ranked.groupBy("merged_title").agg(F.array_sort(F.collect_list(F.struct("rn", "skill"))).alias("s"))
-    return history.join(cloud, "merged_title").select(
+    lower = F.least(F.expr("salary_min div 5000"), F.lit(6)) * 5000
+    bins = known.filter("salary_min IS NOT NULL").groupBy("merged_title", lower.alias("lower")).agg(n().alias("c"))
+    bins = bins.groupBy("merged_title").agg(F.array_sort(F.collect_list(F.struct("lower", "c"))).alias("b")).join(a15(jobs), "merged_title")
+    texts = known.select("merged_title").distinct().withColumn("description", F.concat(F.lit("The work of "), F.lower("merged_title")))
+    return history.join(cloud, "merged_title").join(bins, "merged_title", "left").join(texts, "merged_title", "left").select(
         "merged_title", F.array_join(F.transform("h", lambda x: F.concat(x["m"], F.lit("="), x["c"].cast("string"))), ";").alias("history"),
-        F.array_join(F.transform("s", lambda x: x["skill"]), ";").alias("skills"))
+        F.array_join(F.transform("s", lambda x: x["skill"]), ";").alias("skills"),
+        F.array_join(F.transform("b", lambda x: F.concat(x["lower"].cast("string"), F.lit("="), x["c"].cast("string"))), ";").alias("bins"),
+        "avg_salary", "description")
 
 
 @plan("a18_description_fallback", "P", sql="WITH d AS (SELECT company, sector, min(name) AS text FROM P WHERE sector = 'BUILDING' GROUP BY ALL), g AS (SELECT company, min(name) AS text FROM P GROUP BY company) SELECT profile_id, coalesce(d.text, g.text) AS description FROM P LEFT JOIN d USING (company, sector) LEFT JOIN g USING (company)")

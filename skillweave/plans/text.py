@@ -298,9 +298,15 @@ def y1(sal):
     return sal.select("id", m.salary(F.col("text")).alias("s")).select("id", F.col("s.min").alias("lo"), F.col("s.max").alias("hi"), "s.period")
 
 
-@plan("y5_salary_columns", "SAL", sql=f"SELECT period, count(*) AS n, round(avg(lo), 4) AS avg_lo, max(hi) AS max_hi FROM ({SALARIES}) GROUP BY period")
-def y5(sal):
-    return y1(sal).groupBy("period").agg(n().alias("n"), F.round(F.avg("lo"), 4).alias("avg_lo"), F.max("hi").alias("max_hi"))
+CHOSEN = "source = 'A' AND created >= TIMESTAMP '1996-01-01' AND created < TIMESTAMP '1998-01-01'"
+
+
+@plan("y5_salary_columns", "SAL", "J", sql=f"SELECT job_id, CASE WHEN {CHOSEN} THEN lo ELSE salary_min END::DOUBLE AS salary_min, CASE WHEN {CHOSEN} THEN hi ELSE salary_max END::DOUBLE AS salary_max, CASE WHEN {CHOSEN} THEN period ELSE salary_period END AS salary_period FROM J JOIN ({SALARIES}) ON id = job_id")
+def y5(sal, jobs):
+    """One source and range of days is written anew; all other rows keep their columns."""
+    posts = jobs.join(sal.select(F.col("id").alias("job_id"), "text"), "job_id")
+    out = m.overwrite_salaries(posts, "text", F.expr(CHOSEN))
+    return out.select("job_id", F.col("salary_min").cast("double"), F.col("salary_max").cast("double"), "salary_period")
 
 
 DOC_WORDS = "SELECT doc_id, w[i] AS word, i - 1 AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents))"
@@ -329,10 +335,23 @@ def e2(docs):
     return m.phrase_hits(doc_words(docs), phrases(docs)).groupBy("doc_id").agg(n().alias("n_phrases"))
 
 
-@plan("e3_skill_reinforcement", "documents", sql=f"SELECT lang, phrase, count(*) AS score, bool_or(source = 'src0') AS reenforced FROM ({HITS}) JOIN documents USING (doc_id) GROUP BY ALL")
+#: Every fourth document is a profile's own text, those after it its experiences.
+DECLARED = "(SELECT doc_id AS profile_id, unnest(['of the', 'with by', 'nicht']) AS phrase FROM documents WHERE doc_id % 4 = 0)"
+
+
+@plan("e3_skill_reinforcement", "documents", sql=f"SELECT d.profile_id, d.phrase, count(x.doc_id) AS score, coalesce(bool_or(x.doc_id % 4 = 0), false) AS reenforced FROM {DECLARED} d LEFT JOIN ({HITS}) x ON x.doc_id - x.doc_id % 4 = d.profile_id AND x.phrase = d.phrase GROUP BY ALL")
 def e3(docs):
-    hits = m.phrase_hits(doc_words(docs), phrases(docs)).join(docs.select("doc_id", "lang", "source"), "doc_id")
-    return hits.groupBy("lang", "phrase").agg(n().alias("score"), F.bool_or(F.col("source") == "src0").alias("reenforced"))
+    hits = m.phrase_hits(doc_words(docs), phrases(docs)).withColumn("profile_id", F.col("doc_id") - F.col("doc_id") % 4)
+    declared = docs.filter("doc_id % 4 = 0").select(F.col("doc_id").alias("profile_id"), F.explode(F.lit(["of the", "with by", "nicht"])).alias("phrase"))
+    return m.reinforcement(declared, hits.filter("doc_id % 4 = 0"), hits.filter("doc_id % 4 <> 0"))
+
+
+@plan("e3_experience_skills", "documents", sql=f"SELECT x.doc_id AS exp_id, x.phrase FROM ({HITS}) x JOIN {DECLARED} d ON x.doc_id - x.doc_id % 4 = d.profile_id AND x.phrase = d.phrase WHERE x.doc_id % 4 <> 0")
+def e3_links(docs):
+    """Links of experiences to the declared skills that they name."""
+    hits = m.phrase_hits(doc_words(docs), phrases(docs)).filter("doc_id % 4 <> 0").withColumn("profile_id", F.col("doc_id") - F.col("doc_id") % 4)
+    declared = docs.filter("doc_id % 4 = 0").select(F.col("doc_id").alias("profile_id"), F.explode(F.lit(["of the", "with by", "nicht"])).alias("phrase"))
+    return hits.join(declared, ["profile_id", "phrase"], "left_semi").select(F.col("doc_id").alias("exp_id"), "phrase")
 
 
 @plan("e4_declared_and_found", "X", sql="SELECT profile_id, title, CAST(max(d) + sum(f) AS BIGINT) AS score FROM (SELECT profile_id, title, 1 AS d, 0 AS f FROM X WHERE value > 80 UNION ALL SELECT profile_id, title, 0, 1 FROM X WHERE value < 20) GROUP BY ALL")
@@ -373,12 +392,16 @@ def u3(supplier, nation):
     return both.select("s_suppkey", "n_name", F.round(m.ratio(F.lower("s_name"), F.lower("n_name")), 6).alias("ratio"))
 
 
-@plan("u4_company_crosswalk", "supplier", "P", sql="WITH c AS (SELECT company, count(*) AS k FROM P GROUP BY company), x AS (SELECT s_suppkey, company, levenshtein(s_name, company) AS d, k FROM supplier JOIN c ON c.company = 'Supplier ' || CAST(s_suppkey % 40 AS VARCHAR) || ' Ltd') SELECT s.s_suppkey, x.company FROM supplier s LEFT JOIN x USING (s_suppkey)")
+@plan("u4_company_crosswalk", "supplier", "P", sql="WITH c AS (SELECT company, count(*) AS k FROM P GROUP BY company) SELECT s_suppkey, company, k AS people FROM supplier LEFT JOIN c ON company = 'Supplier ' || CAST(CAST(regexp_extract(s_name, '[0-9]+') AS BIGINT) AS VARCHAR) || ' Ltd'")
 def u4(supplier, p):
-    names = p.groupBy("company").agg(n().alias("k"))
-    own = supplier.withColumn("want", F.explode(F.array(F.concat(F.lit("Supplier "), (F.col("s_suppkey") % 40).cast("string"), F.lit(" Ltd")), F.concat(F.lit("Supplier. "), (F.col("s_suppkey") % 40).cast("string")))))
-    found = own.join(names, F.col("want") == F.col("company")).groupBy("s_suppkey").agg(F.min_by("company", F.struct(F.levenshtein("s_name", "company"), -F.col("k"))).alias("company"))
-    return supplier.join(found, "s_suppkey", "left").select("s_suppkey", "company")
+    names = p.groupBy(F.col("company").alias("matched")).agg(n().alias("count"))
+    own = supplier.select("s_suppkey", F.regexp_replace("s_name", "#0*([0-9]+)$", ". $1 (uk) Limited").alias("name"))
+    return m.crosswalk(own, names, "s_suppkey", "name", list(STOP)).select("s_suppkey", F.col("matched").alias("company"), F.col("count").alias("people"))
+
+
+@plan("u4_match_rate", "supplier", "P", sql="SELECT round(100.0 * count_if(CAST(regexp_extract(s_name, '[0-9]+') AS BIGINT) IN (SELECT c_custkey % 20 FROM customer)) / count(*), 6) AS percent FROM supplier")
+def u4_rate(supplier, p):
+    return u4(supplier, p).agg(F.round(F.lit(100.0) * F.count("company") / n(), 6).alias("percent"))
 
 
 def regions(nation):

@@ -52,6 +52,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                  WHEN 4 THEN concat('Band \u20ac', CAST(20 + o_orderkey % 40 AS varchar(9)), '-', CAST(25 + o_orderkey % 40 AS varchar(9)), 'k depending on skill')
                  ELSE 'Competitive pay' END AS text
         FROM {orders}"""),
+    "WD": (("events",), """
+        SELECT event_id AS id, concat('u', cast(user_id % 2000 AS varchar(9))) AS url, CASE WHEN event_id % 50 = 0 THEN NULL ELSE ts END AS crawled_on,
+               event_type <> 'error' AS valid, CASE WHEN event_id % 31 = 0 THEN NULL ELSE event_type END AS redirect_url,
+               CASE WHEN event_type = 'error' THEN event_id % 3 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS fail_count FROM {events}"""),
     "C": (("part",), """
         SELECT p_partkey AS id, concat(cast(p_size AS varchar(9)), ' years') AS d,
                CASE p_partkey % 3 WHEN 0 THEN 'Not Available' WHEN 1 THEN cast(100 + p_size AS varchar(9))

@@ -198,3 +198,35 @@ def test_unfinished_batches_are_left_out(spark):
     df = spark.createDataFrame([("f", k, x) for k, x in enumerate(lines)], "file string, at int, line string")
     assert sorted((x.n, x.percent, x.seconds, x.rate) for x in h.log_batches(df, "file", "at", "line").collect() if x.n) == [(50, 98, 100, 0.5)]
     assert [x.rate for x in h.log_batches(df, "file", "at", "line").collect() if not x.n] == [None]
+
+
+def test_reinforcement_counts_each_experience(spark):
+    pairs = lambda rows: spark.createDataFrame(rows, "profile_id int, phrase string")
+    out = m.reinforcement(pairs([(1, "a"), (1, "b"), (1, "c")]), pairs([(1, "a"), (1, "a"), (2, "a")]), pairs([(1, "a"), (1, "a"), (1, "b"), (1, "z")]))
+    assert sorted(map(tuple, out.collect())) == [(1, "a", 3, True), (1, "b", 1, False), (1, "c", 0, False)]
+
+
+def test_crosswalk_takes_the_nearest_name(spark):
+    companies = spark.createDataFrame([(1, "A.C.M.E. Limited"), (2, "Acme, Ltd"), (3, "Nobody"), (4, None)], "k int, name string")
+    names = spark.createDataFrame([("ACME (UK) plc", 9), ("Acme Ltd", 4), ("acme", 2), ("a c m e", 1)], "matched string, count long")
+    out = {x.k: x.matched for x in m.crosswalk(companies, names, "k", "name", []).collect()}
+    assert out == {1: "Acme Ltd", 2: "Acme Ltd", 3: None, 4: None}
+
+
+def test_quarters():
+    day = rep.date
+    assert rep.is_quarter(day(1996, 4, 1), day(1996, 6, 30)) == "1996Q2" and rep.is_quarter(day(1996, 10, 1), day(1996, 12, 31)) == "1996Q4"
+    assert all(rep.is_quarter(*x) is None for x in [(day(1996, 4, 2), day(1996, 6, 30)), (day(1996, 5, 1), day(1996, 7, 31)), (day(1996, 4, 1), day(1996, 6, 29)), (day(1996, 4, 1), day(1997, 6, 30))])
+
+
+def test_samples_repeat_by_seed(spark):
+    ids = spark.range(1000).union(spark.range(1000)).toDF("k")
+    take = lambda seed: {x.k for x in rep.sample_ids(ids, "k", 50, seed).collect()}
+    assert take(1) == take(1) and len(take(1)) == 50 and take(1) != take(2)
+
+
+def test_violations_of_one_history(spark):
+    rows = [(1, "u", "2020-01-01", False, None, 1), (2, "u", "2020-01-02", True, "r", 0), (3, "u", None, False, None, 0), (4, "v", "2020-01-01", True, None, 2)]
+    log = spark.createDataFrame(rows, "id int, url string, crawled_on string, valid boolean, redirect_url string, fail_count int").withColumn("crawled_on", F.to_timestamp("crawled_on"))
+    assert sorted(map(tuple, h.crawl_violations(log).collect())) == sorted([("failed crawl is not the last", 1), ("several crawls and no timestamp", 3), ("several crawls and a failed last one without failures", 3), ("valid without a redirect", 4), ("valid with a fail count", 4)])
+    assert {x.id: x.fail_count for x in h.repaired(log, "2020-01-01", "2020-01-02").collect()} == {1: 1, 2: 0, 3: 0, 4: 0}
