@@ -137,9 +137,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written once as Parquet in the shared folder and read back; smaller there than a checkpoint."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As `stored`, with the folder, for `drop_folder` once its last reader is done."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
