@@ -9,8 +9,9 @@ in the same document. Windows are judged on the input.
    strings of a batch of documents travel once, with the list of their places.
 3. A bucket sorts all windows of its strings; neighbours in that order are compared word by word, so hashes only speed the
    sort. A window's earliest place is the least over its strings; its other places are removed.
-4. A minimiser of more than HOT_RUNS runs is cut again by the longest minimiser there is, the whole window: each of its
-   windows is then a string of its own, whose earliest place is found by partial aggregation before anything moves.
+4. The strings of a minimiser of more than HOT_RUNS runs are not gathered. Equal ones are met by partial aggregation, which
+   leaves one of each, the earliest; these are cut again by the longest minimiser there is, the whole window, so each window
+   is a string of its own and meets its equals in the same way.
 
 Defined results: a null or empty text has no words; texts shorter than a window lose nothing; a null id is smaller than all
 others; rows of the same id are one document, so among them only the earlier start counts, and rows that repeat exactly
@@ -99,20 +100,17 @@ def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _string_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packs the wanted runs: each different string of a batch with all its places, earliest first; hot runs window by window."""
+    """Packs the wanted runs: each different string of a batch with all its places, earliest first; m is null for hot runs."""
     for batch in batches:
-        found: dict[tuple[bytes, int | None], list[tuple[int, int]]] = {}
+        found: dict[tuple[bytes, int, int | None], list[tuple[int, int]]] = {}
         for at in range(0, batch.num_rows, SLICE_TEXTS):
             part = batch.slice(at, SLICE_TEXTS)
             w = Words(part.column("_text").to_pylist())
             for k, (before, wanted) in enumerate(zip(w.before.tolist(), part.column("wanted").to_pylist(), strict=True)):
                 for x in wanted:
-                    first, count = x["place"] >> 5, x["place"] & 31
-                    if x["hot"]:
-                        for j in range(first, first + count):
-                            found.setdefault((w.string(before + j, WINDOW), None), []).append((at + k, j))
-                    else:
-                        found.setdefault((w.string(before + first, count + WINDOW - 1), x["m"]), []).append((at + k, first))
+                    first, words = x["place"] >> 5, (x["place"] & 31) + WINDOW - 1
+                    key = (w.string(before + first, words), words, None if x["hot"] else x["m"])
+                    found.setdefault(key, []).append((at + k, first))
         ids = batch.column("_id").to_pylist()
         rank = {i: r for r, i in enumerate(sorted({i for i in ids if i is not None}))}
         order = [rank.get(i, -1) for i in ids]
@@ -127,7 +125,23 @@ def _string_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         fields = [batch.column("_id").take(row), batch.column("_th").take(row), pa.array([x[1] for x in flat], pa.int64())]
         offsets = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, names=["id", "th", "first"]))
-        yield pa.RecordBatch.from_arrays([pa.array([m for _, m in strings], pa.int64()), pa.array([s for s, _ in strings], pa.binary()), lists], names=["m", "string", "places"])
+        columns = [pa.array([x[k] for x in strings], kind) for k, kind in ((2, pa.int64()), (0, pa.binary()), (1, pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*columns, lists], names=["m", "string", "words", "places"])
+
+
+def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window of the strings as a string of its own, with its place."""
+    for batch in small(batches):
+        windows, row, first = [], [], []
+        for k, (string, at) in enumerate(zip(batch.column("string").to_pylist(), batch.column("first").to_pylist(), strict=True)):
+            words = string.split(b" ")
+            for j in range(len(words) - WINDOW + 1):
+                windows.append(b" ".join(words[j : j + WINDOW]))
+                row.append(k)
+                first.append(at + j)
+        take = pa.array(row, pa.int64())
+        columns = [pa.array(windows, pa.binary()), batch.column("id").take(take), batch.column("th").take(take), pa.array(first, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["string", "id", "th", "first"])
 
 
 def window_groups(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,23 +210,36 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table, runs_at = stored_at(keyed.mapInArrow(_run_batches, f"_id {id_type}, _th long, runs array<struct<m: long, place: long>>").filter(F.size("runs") > 0), "window-runs")
     runs = table.select("_id", "_th", F.inline("runs"))
     shared = runs.groupBy("m").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("m").alias("gm"), (F.col("n") > HOT_RUNS).alias("hot"))
+    # a table, so that a minimiser of very many runs can be split in the join
+    shared, shared_at = stored_at(shared, "shared-minimisers")
     wanted = runs.join(shared, F.col("m") == F.col("gm")).groupBy(F.col("_id").alias("_wid"), F.col("_th").alias("_wth")).agg(F.collect_set(F.struct("m", "place", "hot")).alias("wanted"))
     texts = keyed.join(wanted, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_th") == F.col("_wth"))).select("_id", "_th", "_text", "wanted")
-    strings, strings_at = stored_at(texts.mapInArrow(_string_batches, f"m long, string binary, places array<struct<id: {id_type}, th: long, first: long>>"), "super-kmers")
+    strings, strings_at = stored_at(texts.mapInArrow(_string_batches, f"m long, string binary, words long, places array<struct<id: {id_type}, th: long, first: long>>"), "super-kmers")
     drop_folder(spark, runs_at)
+    drop_folder(spark, shared_at)
 
     cold = strings.filter("m IS NOT NULL")
     buckets = max(1, cold.count() // BUCKET_STRINGS)
     cold = cold.withColumn("bucket", F.pmod(F.xxhash64("m"), F.lit(buckets)))
     spans = cold.groupBy("bucket").applyInArrow(_later_windows, f"_id {id_type}, _th long, a long, b long")
 
-    hot = strings.filter("m IS NULL")
-    key = lambda x: F.struct(x["id"].isNotNull().alias("known"), x["id"].alias("id"), x["first"].alias("first"))
-    least = hot.groupBy(F.col("string").alias("_string")).agg(F.min(key(F.col("places")[0])).alias("least"))
-    each = hot.join(least, F.col("string") == F.col("_string")).select("least", F.explode("places").alias("p")).filter(key(F.col("p")) > F.col("least"))
-    each = each.select(F.col("p.id").alias("_id"), F.col("p.th").alias("_th"), F.col("p.first").alias("a"), (F.col("p.first") + WINDOW).alias("b"))
-    spans = stored_at(spans.unionByName(each), "later-windows")[0]
+    place = lambda id_col, first: F.struct(F.col(id_col).isNotNull().alias("known"), F.col(id_col).alias("id"), F.col(first).alias("first"))
+
+    def with_least(df: DataFrame) -> DataFrame:
+        """Strings with the earliest place of all their equals."""
+        least = df.groupBy(F.col("string").alias("_string")).agg(F.min(place("id", "first")).alias("least"))
+        return df.join(least, F.col("string") == F.col("_string")).drop("_string")
+
+    hot = strings.filter("m IS NULL").withColumns({"id": F.col("places")[0]["id"], "first": F.col("places")[0]["first"]})
+    each = with_least(hot).select("string", "words", "least", F.explode("places").alias("p")).select("string", "words", "least", "p.*")
+    later = place("id", "first") > F.col("least")
+    copies, copies_at = stored_at(each.select("id", "th", "first", "words", F.when(~later, F.col("string")).alias("string")), "hot-strings")
+    windows = with_least(copies.filter("string IS NOT NULL").mapInArrow(_window_batches, f"string binary, id {id_type}, th long, first long")).filter(later)
+    span = lambda df, words: df.select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("first").alias("a"), (F.col("first") + words).alias("b"))
+    spans = spans.unionByName(span(copies.filter("string IS NULL"), F.col("words"))).unionByName(span(windows, WINDOW))
+    spans = stored_at(spans, "later-windows")[0]
     drop_folder(spark, strings_at)
+    drop_folder(spark, copies_at)
     return spans
 
 
