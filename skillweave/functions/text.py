@@ -69,7 +69,7 @@ def tokens(text: Column, keep: str = "", nospace: str = "", brackets: bool = Fal
     if len(stop):
         words = F.filter(words, lambda w: ~w.isin(*stop))
     if stem_words:
-        words = F.transform(words, stem)
+        words = stems(words)
     if distinct:
         words = F.array_distinct(words)
     return F.array_sort(words) if order else words
@@ -80,10 +80,96 @@ def clean(text: Column, **options) -> Column:
     return F.nullif(F.array_join(tokens(text, **options), " "), F.lit(""))
 
 
+_V, _C = "[aeiouy]", "[^aeiouy]"
+#: Up to where the first region begins: behind the first consonant after a vowel, or one of three beginnings.
+_REGION = rf"^(?:gener|commun|arsen|(?!gener|commun|arsen).*?{_V}{_C})"
+_SHORT = rf"{_C}{_V}[^aeiouywxY]$|^{_V}{_C}$"
+#: Fixed values of the published English stemming rules: suffixes with what stands for them, and words that do not follow the rules.
+STEM_2 = {"tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent", "izer": "ize", "ization": "ize", "ational": "ate", "ation": "ate", "ator": "ate", "alism": "al", "aliti": "al", "alli": "al", "fulness": "ful", "ousli": "ous", "ousness": "ous", "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "ogi": "og", "fulli": "ful", "lessli": "less", "li": ""}
+STEM_3 = {"tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic", "ful": "", "ness": "", "ative": ""}
+STEM_4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive", "ize", "ion")
+STEM_WORDS = {"skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas", "cosmos": "cosmos", "bias": "bias", "andes": "andes"}
+STEM_KEPT = ("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed")
+
+
 def stem(word: Column) -> Column:
-    """A light English stem: plurals, then -ing and -ed after a vowel."""
-    plural = F.regexp_replace(F.regexp_replace(F.regexp_replace(word, "sses$", "ss"), "ies$", "i"), "([^su])s$", "$1")
-    return F.regexp_replace(plural, "^([a-z]*[aeiouy][a-z]+)(ing|ed)$", "$1")
+    """The English stem of a lower-case word."""
+    return stems(F.array(word))[0]
+
+
+def stems(words: Column) -> Column:
+    """The English stems of an array of lower-case words, by the published rules (the revised Porter stemmer). Each step is one
+    pass over the array, so no expression is worked out twice; a word keeps its regions from the start."""
+    cut = lambda w, n: F.left(w, F.length(w) - n)
+    ends = lambda w, *suffixes: w.rlike("(?:" + "|".join(suffixes) + ")$")
+
+    def start(w: Column) -> Column:
+        marked = F.regexp_replace(F.regexp_replace(w, "^y", "Y"), "([aeiouy])y", "$1Y")
+        special = F.when(F.length(w) <= 2, w).when(w.isin(*STEM_WORDS), F.element_at(F.create_map(*[F.lit(x) for pair in STEM_WORDS.items() for x in pair]), w))
+        return F.struct(marked.alias("w"), special.alias("held"))
+
+    def regions(x: Column) -> Column:
+        w = x["w"]
+        return F.struct(w.alias("w"), x["held"].alias("held"), F.when(w.rlike(_REGION), F.length(F.regexp_extract(w, _REGION, 0))).otherwise(F.length(w)).alias("p1"))
+
+    def second_region(x: Column) -> Column:
+        rest = F.substr(x["w"], x["p1"] + 1)
+        return F.struct(x["w"].alias("w"), x["held"].alias("held"), x["p1"].alias("p1"), (x["p1"] + F.when(rest.rlike(f"{_V}{_C}"), F.length(F.regexp_extract(rest, f"^.*?{_V}{_C}", 0))).otherwise(F.length(rest))).alias("p2"))
+
+    def changed(x: Column, w: Column, held: Column | None = None) -> Column:
+        return F.struct(w.alias("w"), (x["held"] if held is None else F.coalesce(x["held"], held)).alias("held"), x["p1"].alias("p1"), x["p2"].alias("p2"))
+
+    def plural(x: Column) -> Column:
+        w = x["w"]
+        return changed(x, F.when(ends(w, "sses"), cut(w, 2)).when(ends(w, "ied", "ies"), F.when(F.length(w) > 4, cut(w, 2)).otherwise(cut(w, 1))).when(ends(w, "us", "ss"), w).when(w.rlike(f"{_V}.+s$"), cut(w, 1)).otherwise(w))
+
+    def tense(x: Column) -> Column:
+        """Takes off -ed and -ing; what is left comes back marked, as the next step has to mend its end."""
+        w = x["w"]
+        s = F.regexp_extract(w, "^.*?(eedly|eed|ingly|edly|ing|ed)$", 1)
+        rest = cut(w, F.length(s))
+        eed = F.when(F.length(rest) >= x["p1"], F.concat(rest, F.lit("ee"))).otherwise(w)
+        return changed(x, F.when(s.startswith("eed"), eed).when((s != "") & rest.rlike(_V), F.concat(rest, F.lit("|"))).otherwise(w), F.when(w.isin(*STEM_KEPT), w))
+
+    def mended(x: Column) -> Column:
+        w = cut(x["w"], 1)
+        double = ends(w, *[2 * c for c in "bdfgmnprt"])
+        end = F.when(ends(w, "at", "bl", "iz"), F.concat(w, F.lit("e"))).when(double, cut(w, 1)).when((x["p1"] >= F.length(w)) & w.rlike(_SHORT), F.concat(w, F.lit("e"))).otherwise(w)
+        return changed(x, F.when(x["w"].endswith("|"), end).otherwise(x["w"]))
+
+    def last_y(x: Column) -> Column:
+        return changed(x, F.when(x["w"].rlike(f"^.+{_C}[yY]$"), F.concat(cut(x["w"], 1), F.lit("i"))).otherwise(x["w"]))
+
+    def by_suffix(rules: dict[str, str], region: str, allowed) -> list:
+        """The longest suffix of a word gives way if it lies in the region."""
+        pattern = "^.*?(" + "|".join(sorted(rules, key=lambda r: (-len(r), r))) + ")$"
+        to = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
+
+        def find(x: Column) -> Column:
+            return F.struct(*[x[c].alias(c) for c in ("w", "held", "p1", "p2")], F.regexp_extract(x["w"], pattern, 1).alias("s"))
+
+        def replace(x: Column) -> Column:
+            w, s = x["w"], x["s"]
+            good = (s != "") & (F.length(w) - F.length(s) >= x[region]) & allowed(x)
+            return changed(x, F.when(good, F.concat(cut(w, F.length(s)), F.element_at(to, s))).otherwise(w))
+
+        return [find, replace]
+
+    def last_letters(x: Column) -> Column:
+        w, n = x["w"], F.length(x["w"]) - 1
+        e = w.endswith("e") & ((n >= x["p2"]) | ((n >= x["p1"]) & ~cut(w, 1).rlike(_SHORT)))
+        return changed(x, F.when(e | (w.endswith("ll") & (n >= x["p2"])), cut(w, 1)).otherwise(w))
+
+    steps = [
+        start, regions, second_region, plural, tense, mended, last_y,
+        *by_suffix(STEM_2, "p1", lambda x: ((x["s"] != "ogi") | x["w"].endswith("logi")) & ((x["s"] != "li") | x["w"].rlike("[cdeghkmnrt]li$"))),
+        *by_suffix(STEM_3, "p1", lambda x: (x["s"] != "ative") | (F.length(x["w"]) - 5 >= x["p2"])),
+        *by_suffix(dict.fromkeys(STEM_4, ""), "p2", lambda x: (x["s"] != "ion") | x["w"].rlike("[st]ion$")),
+        last_letters, lambda x: F.coalesce(x["held"], F.lower(x["w"])),
+    ]
+    for step in steps:
+        words = F.transform(words, step)
+    return words
 
 
 def key(kind: str, source: str | Column, lang: str | Column, name: Column) -> Column:

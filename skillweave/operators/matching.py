@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions.text import clean
+from skillweave.session import work_folder
 
 _AMOUNT = r"(\d{1,3}(?:[,.'’]\d{3})+|\d+)(\.\d{1,2})?\s?(k)?"
 #: A period may also stand between the two amounts of a range.
@@ -56,15 +59,38 @@ def phrase_hits(words: DataFrame, phrases: DataFrame, margin: float = 1.5, fract
     """doc_id, phrase: phrases of whose different words at least this fraction stands within margin times their number of words
     of a text.
 
-    words(doc_id, pos, word), phrases(phrase, word). Only words of some phrase are kept; a phrase's hits are then looked
-    at along the text, so the cost follows the hits."""
-    sizes = phrases.groupBy("phrase").agg(F.count_distinct("word").alias("n"))
-    # phrases are a catalogue; the frame is as wide as its longest one
-    widest = int((sizes.agg(F.max("n")).first()[0] or 0) * margin) + 1
-    hits = words.join(phrases.distinct(), "word").join(sizes, "phrase")
-    ahead = F.collect_list(F.struct("pos", "word")).over(W.partitionBy("doc_id", "phrase").orderBy("pos").rangeBetween(W.currentRow, widest))
-    inside = F.array_distinct(F.transform(F.filter(ahead, lambda x: x["pos"] < F.col("pos") + F.lit(margin) * F.col("n")), lambda x: x["word"]))
-    return hits.withColumn("k", F.size(inside)).filter(F.col("k") >= F.lit(fraction) * F.col("n")).select("doc_id", "phrase").distinct()
+    words(doc_id, pos, word), phrases(phrase, word). A phrase of n words of which m have to stand together is looked up by its
+    n - m + 1 rarest words only, as one of these has to be there; the other words are read where that is so. A word at a
+    place counts for the windows that begin after its last place before, and at most a window's length back: it opens one
+    more different word there and closes it behind its place, and a running sum over these turns is the number of different
+    words of each window. Nothing is gathered, so a text may hold a phrase's words as often as it likes."""
+    catalogue = phrases.select("phrase", "word").distinct()
+    sizes = catalogue.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).withColumn("need", F.greatest(F.ceil(F.lit(fraction) * F.col("n") - 1e-9), F.lit(1)))
+    # of the texts, only words of some phrase
+    held = written(words.select("doc_id", "pos", "word").join(catalogue.select("word").distinct(), "word", "left_semi"))
+    often = held.groupBy("word").agg(F.count(F.lit(1)).alias("often"))
+    sized = catalogue.join(sizes, "phrase").join(often, "word", "left")
+    rare = sized.withColumn("place", F.row_number().over(W.partitionBy("phrase").orderBy(F.coalesce("often", F.lit(0)), "word"))).filter(F.col("place") <= F.col("n") - F.col("need") + 1)
+    at = held.select("doc_id", "word").distinct().join(rare.select("word", "phrase"), "word").select("doc_id", "phrase").distinct()
+    hits = held.join(at.join(sized.select("phrase", "word", "n", "need"), "phrase"), ["doc_id", "word"])
+
+    before = F.lag("pos").over(W.partitionBy("doc_id", "phrase", "word").orderBy("pos"))
+    # a window that begins at p holds q if q < p + margin n
+    begin = F.greatest(before + 1, F.floor(F.col("pos") - F.lit(margin) * F.col("n")) + 1)
+    turns = hits.withColumn("begin", begin).select("doc_id", "phrase", "need", F.inline(F.array(F.struct(F.col("begin").alias("at"), F.lit(1).alias("by")), F.struct((F.col("pos") + 1).cast("long").alias("at"), F.lit(-1).alias("by")))))
+    turns = turns.groupBy("doc_id", "phrase", "need", "at").agg(F.sum("by").alias("by"))
+    counts = turns.withColumn("k", F.sum("by").over(W.partitionBy("doc_id", "phrase").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return counts.filter("k >= need").select("doc_id", "phrase").distinct()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, computed once into a folder that driver and executors share."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_folder(spark))
+    path = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def language(text: Column, lists: dict[str, list[str]]) -> Column:
@@ -85,11 +111,16 @@ def ratio(a: Column, b: Column) -> Column:
     return 100.0 * (1 - F.levenshtein(a, b) / longest)
 
 
+def _let(value: Column, f) -> Column:
+    """f(value) with the value worked out once."""
+    return F.transform(F.array(value), lambda v: f(v))[0]
+
+
 def alike(a: Column, b: Column, least: float) -> Column:
     """Whether `ratio` is above a bound, without working out distances that are beyond it."""
     longest = F.greatest(F.length(a), F.length(b), F.lit(1))
     distance = F.call_function("levenshtein", a, b, F.ceil(longest * (1 - least / 100)).cast("int"))
-    return (distance >= 0) & (100.0 * (1 - distance / longest) > least)
+    return _let(distance, lambda d: (d >= 0) & (100.0 * (1 - d / longest) > least))
 
 
 def sorted_words(text: Column) -> Column:
@@ -98,16 +129,43 @@ def sorted_words(text: Column) -> Column:
 
 def near_pairs(df: DataFrame, block: str, id_col: str, title: str, text: str, title_least: float = 40, text_least: float = 75, length_most: float = 2.0) -> DataFrame:
     """a, b: pairs of one block with similar titles and texts, compared with their words sorted. Rows with equal words are
-    one node, so copies are not paired with each other."""
+    one node, so copies are not paired with each other. Only pairs that `prefix_pairs` finds are compared."""
     nodes = df.select(F.col(block).alias("k"), sorted_words(F.col(title)).alias("t"), sorted_words(F.col(text)).alias("x"), F.col(id_col).alias("id"))
     nodes = nodes.groupBy("k", "t", "x").agg(F.min("id").alias("id"))
-    left, right = nodes.select("k", *[F.col(c).alias(f"a_{c}") for c in ("t", "x", "id")]), nodes.select("k", *[F.col(c).alias(f"b_{c}") for c in ("t", "x", "id")])
-    la, lb = F.length("a_x"), F.length("b_x")
-    both = left.join(right, "k").filter(F.col("b_id") > F.col("a_id")).filter((F.greatest(la, lb) <= length_most * F.least(la, lb)))
-    # texts that differ more in length can't be so alike
-    both = both.filter(F.least(la, lb) >= F.lit(text_least / 100) * F.greatest(la, lb))
+    both = prefix_pairs(nodes, text_least, length_most)
+    for side in ("a", "b"):
+        both = both.join(nodes.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("t", "x")]), side)
     kept = both.filter(alike(F.col("a_t"), F.col("b_t"), title_least)).filter(alike(F.col("a_x"), F.col("b_x"), text_least))
-    return kept.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    return kept.select("a", "b")
+
+
+def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0) -> DataFrame:
+    """a, b: all pairs of nodes (id, k, x) of one k whose texts x may have a `ratio` above `least`; none above it is missing.
+
+    A text of n characters has n + 1 grams of q characters (q is 2, or 1 for bounds up to 50; the ends are marked), and an edit
+    changes at most q of them. Texts whose distance is within the bound's d therefore share n + 1 - q d grams of the longer
+    one's. The grams of a text (the second one of a kind is a gram of its own) are put in order of rarity in their block, and
+    two texts that share so many share one among the first q d + 1 of both, so only these are joined. At the first one that
+    they share, the grams that are left must still suffice. One gram more than the bound asks for is kept for each edit that
+    a longer partner may add."""
+    q = 2 if least > 50 else 1
+    padded = F.concat(F.lit("\u0001"), "x", F.lit("\u0002"))
+    n = F.length("x")
+    grams = F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.substr(padded, i, F.lit(q)))
+    edits = (F.ceil(n * (1 - least / 100) + 1e-9) - 1).cast("int")
+    each = nodes.select("id", "k", n.alias("n"), edits.alias("d"), F.posexplode(grams).alias("pos", "gram"))
+    each = each.withColumn("again", F.row_number().over(W.partitionBy("id", "gram").orderBy("pos")))
+    often = each.groupBy("k", "gram", "again").agg(F.count(F.lit(1)).alias("often"))
+    placed = each.join(often, ["k", "gram", "again"]).withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("often", "gram", "again")))
+    prefix = placed.filter(F.col("place") <= F.col("d") * q + q + 1).select("k", "gram", "again", "id", "n", "d", "place")
+
+    a, b = (prefix.select("k", "gram", "again", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "n", "d", "place")]) for side in "ab")
+    longest, shortest = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
+    lengths = (longest <= length_most * shortest) & (shortest >= F.lit(least / 100) * longest)
+    left = 1 + F.least(F.col("a_n") + 1 - F.col("a_place"), F.col("b_n") + 1 - F.col("b_place"))
+    enough = left >= longest + 1 - q * F.greatest("a_d", "b_d")
+    found = a.join(b, ["k", "gram", "again"]).filter(F.col("a_id") < F.col("b_id")).filter(lengths & enough)
+    return found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def inside(x: Column, y: Column, ring: Column) -> Column:
@@ -125,11 +183,6 @@ def inside(x: Column, y: Column, ring: Column) -> Column:
 _RING = "array<struct<x: double, y: double>>"
 
 
-def _let(value: Column, f) -> Column:
-    """f(value) with the value worked out once."""
-    return F.transform(F.array(value), lambda v: f(v))[0]
-
-
 def _edges(ring: Column) -> Column:
     rest = F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0)))
     return F.zip_with(ring, F.concat(rest, F.slice(ring, F.lit(1), F.lit(1))), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
@@ -175,20 +228,75 @@ def locate(points: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
     return points.join(hits, "id", "left").select("id", "code")
 
 
-def clusters(vectors: DataFrame, k: int) -> DataFrame:
-    """label, cluster: agglomerative merging of the closest pair (angular distance) until k groups are left; a merged
-    vector is the sum. vectors(label, item, w) is a catalogue of titles; each step is one small job over the group sums."""
-    from skillweave.operators.relevance import angular_distance
-
-    members = {r.label: r.label for r in vectors.select("label").distinct().collect()}
-    current = vectors.persist()
-    while len(set(members.values())) > max(k, 1):
-        d = angular_distance(current.withColumnRenamed("label", "a"), current.withColumnRenamed("label", "b"), "a", "b", "item").filter("a < b")
-        pair = d.orderBy(F.round("distance", 9), "a", "b").first()
-        members = {m: (pair.a if c == pair.b else c) for m, c in members.items()}
-        pairs = vectors.sparkSession.createDataFrame(list(members.items()), "label string, cluster string")
-        current = vectors.join(pairs, "label").groupBy(F.col("cluster").alias("label"), "item").agg(F.sum("w").alias("w"))
-    return vectors.sparkSession.createDataFrame(list(members.items()), "label string, cluster string")
+def clusters(vectors: DataFrame, k: int, power: float = 0.0, half: bool = False) -> DataFrame:
+    """label, cluster: agglomerative merging of the closest pair of groups until k are left; vectors(label, item, w).
+
+    A group's vector is the sum of its members' (half: half the sum of the two that are merged), its name the first label. The
+    distance is the angle, rounded to nine digits, times the lesser of both squared norms to `power`; of equal distances the
+    first labels count. Groups are never added up again: the inner products of all pairs are a table, and a merger adds
+    the rows of its two groups. A round merges as many pairs as the rule would, one after the other, provably: pairs that are each
+    other's nearest, in order, as long as no other pair comes before them, and no group that the earlier ones make is nearer to
+    any other. Tables have a row for a pair or a label and stay in the shared folder; the driver sees counts only."""
+    both = vectors.groupBy("label", "item").agg(F.sum("w").alias("w"))
+    label = both.select("label").distinct()
+    norms = written(both.groupBy("label").agg(F.sum(F.col("w") * F.col("w")).alias("norm")))
+    other = both.select(F.col("label").alias("b"), "item", F.col("w").alias("v"))
+    shared = both.withColumnRenamed("label", "a").join(other, "item").filter("a < b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    # every pair has a distance, those without a common item too
+    grid = label.select(F.col("label").alias("a")).join(label.select(F.col("label").alias("b")), F.col("a") < F.col("b"))
+    dots = written(grid.join(shared, ["a", "b"], "left").select("a", "b", F.coalesce("dot", F.lit(0.0)).alias("dot")))
+    members = written(label.select("label", F.col("label").alias("cluster")))
+    left = members.count()
+    while left > max(k, 1):
+        merged = written(_round_of_mergers(dots, norms, left - max(k, 1), power, half))
+        left -= merged.count()
+        to = merged.select(F.col("b").alias("was"), F.col("a").alias("now"))
+        moved = lambda df, c: df.join(to, F.col(c) == F.col("was"), "left").withColumn(c, F.coalesce("now", F.col(c))).drop("was", "now")
+        scale = lambda df, c: df.join(merged.select(F.col("a").alias("_a"), F.lit(0.5 if half else 1.0).alias("_f")), F.col(c) == F.col("_a"), "left").withColumn("_f", F.coalesce("_f", F.lit(1.0)))
+        inner = dots.join(merged.select("a", "b"), ["a", "b"], "left_semi").select(F.col("a").alias("label"), (2 * F.col("dot")).alias("norm"))
+        norms = moved(norms, "label").unionByName(inner).groupBy("label").agg(F.sum("norm").alias("norm"))
+        norms = written(scale(norms, "label").select("label", (F.col("norm") * F.col("_f") * F.col("_f")).alias("norm")))
+        pairs = moved(moved(dots, "a"), "b").filter("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("dot").alias("dot"))
+        for c in ("a", "b"):
+            pairs = scale(pairs, c).withColumn("dot", F.col("dot") * F.col("_f")).drop("_a", "_f")
+        dots, members = written(pairs.select("a", "b", "dot")), written(moved(members, "cluster"))
+    return members
+
+
+def _angle(dot: str, norm_a: str, norm_b: str, power: float) -> Column:
+    cosine = F.coalesce(F.try_divide(F.col(dot), F.sqrt(F.col(norm_a) * F.col(norm_b))), F.lit(0.0))
+    return F.round(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) * F.least(F.pow(norm_a, F.lit(power)), F.pow(norm_b, F.lit(power))), 9)
+
+
+def _round_of_mergers(dots: DataFrame, norms: DataFrame, most: int, power: float, half: bool) -> DataFrame:
+    """a, b: at least one and at most `most` pairs that merging one after the other would merge next."""
+    norm = lambda c, out: norms.select(F.col("label").alias(c), F.col("norm").alias(out))
+    pairs = dots.join(norm("a", "na"), "a").join(norm("b", "nb"), "b")
+    keyed = pairs.select("a", "b", "dot", "na", "nb", F.struct(_angle("dot", "na", "nb", power).alias("d"), "a", "b").alias("key"))
+    best = keyed.select(F.explode(F.array("a", "b")).alias("label"), "key").groupBy("label").agg(F.min("key").alias("key"))
+    # each other's nearest
+    mutual = best.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n = 2").select("key.a", "key.b", F.col("key.d").alias("d"), "key")
+    inside = mutual.select(F.explode(F.array("a", "b")).alias("label"), F.col("a").alias("now"))
+    outside = keyed.join(inside.select(F.col("label").alias("a")), "a", "left_anti").join(inside.select(F.col("label").alias("b")), "b", "left_anti").agg(F.min("key").alias("first_other"))
+
+    # how near each new group would be to the old ones, and to the other new ones
+    by = 0.5 if half else 1.0
+    new = mutual.join(keyed.select("a", "b", "dot", "na", "nb"), ["a", "b"]).select(F.col("a").alias("now"), ((F.col("na") + F.col("nb") + 2 * F.col("dot")) * by * by).alias("new_norm"))
+    sides = dots.select("a", "b", "dot").unionByName(dots.select(F.col("b").alias("a"), F.col("a").alias("b"), "dot"))
+    halves = sides.join(inside, F.col("a") == F.col("label")).select("now", F.col("b").alias("other"), (F.col("dot") * by).alias("dot"))
+    belongs = inside.select(F.col("label").alias("other"), F.col("now").alias("other_now"))
+    halves = halves.join(belongs, "other", "left").filter("other_now IS NULL OR other_now <> now")
+    old = halves.groupBy("now", "other").agg(F.sum("dot").alias("dot")).join(norm("other", "other_norm"), "other")
+    fresh = halves.filter("other_now IS NOT NULL").groupBy("now", F.col("other_now").alias("other")).agg(F.sum(F.col("dot") * by).alias("dot")).join(new.select(F.col("now").alias("other"), F.col("new_norm").alias("other_norm")), "other")
+    near = old.select("now", "dot", "other_norm").unionByName(fresh.select("now", "dot", "other_norm")).join(new, "now")
+    near = near.groupBy(F.col("now").alias("a")).agg(F.min(_angle("dot", "new_norm", "other_norm", power)).alias("near"))
+
+    # one row for a pair of labels that are each other's nearest: a part of the catalogue
+    order = W.orderBy("key")
+    ranked = mutual.join(near, "a", "left").crossJoin(outside).withColumns({"place": F.row_number().over(order), "made": F.min("near").over(order.rowsBetween(W.unboundedPreceding, -1))})
+    late = (F.col("key") > F.col("first_other")) | (F.col("made") <= F.col("d"))
+    stopped = F.max(F.coalesce(late, F.lit(False)).cast("int")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return ranked.withColumn("stopped", stopped).filter((F.col("place") == 1) | (F.col("stopped") == 0)).filter(F.col("place") <= most).select("a", "b")
 
 
 #: The language of posts and profiles of a country.

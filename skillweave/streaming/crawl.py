@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +29,21 @@ def distinct_events(events: DataFrame, late: str = "2 days") -> DataFrame:
 
 
 def run_once(stream: DataFrame, mode: str, folder: str) -> str:
-    """Runs a stream over all that is there and returns the folder of its result; the checkpoint beside it lets the next
-    call go on from there. Complete results replace the folder, others are appended."""
-    out, state = f"{folder}/out", f"{folder}/state"
+    """Runs a stream over all that is there and returns the pattern of its result's folders; the checkpoint beside them lets the
+    next call go on from there. Complete results replace the last one; of others each batch has a folder of its number, which
+    it writes anew if a lost driver makes it run again, so no row is there twice."""
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").foreachBatch(batch_writer(mode, folder)).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return f"{folder}/out/*"
+
+
+def batch_writer(mode: str, folder: str) -> Callable[[DataFrame, int], None]:
+    """Writes a batch where only this batch writes."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{folder}/out/{'all' if mode == 'complete' else f'batch-{number}'}")
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", state).foreachBatch(write).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return out
+    return write
 
 
 def scratch(spark: SparkSession) -> str:
