@@ -139,15 +139,15 @@ def near_pairs(df: DataFrame, block: str, id_col: str, title: str, text: str, ti
     return kept.select("a", "b")
 
 
-def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0) -> DataFrame:
+def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0, more: int = 4) -> DataFrame:
     """a, b: all pairs of nodes (id, k, x) of one k whose texts x may have a `ratio` above `least`; none above it is missing.
 
     A text of n characters has n + 1 grams of q characters (q is 2, or 1 for bounds up to 50; the ends are marked), and an edit
     changes at most q of them. Texts whose distance is within the bound's d therefore share n + 1 - q d grams of the longer
     one's. The grams of a text (the second one of a kind is a gram of its own) are put in order of rarity in their block, and
-    two texts that share so many share one among the first q d + 1 of both, so only these are joined. At the first one that
-    they share, the grams that are left must still suffice. One gram more than the bound asks for is kept for each edit that
-    a longer partner may add."""
+    only the first q d + 1 + `more` of each text are joined. What two texts share there, with what is left behind the last
+    shared gram in either, and behind the end of either's part, has to reach the bound. The longer of two texts may allow more
+    edits than the shorter one's own length does; q more grams of each make up for that."""
     q = 2 if least > 50 else 1
     padded = F.concat(F.lit("\u0001"), "x", F.lit("\u0002"))
     n = F.length("x")
@@ -157,15 +157,18 @@ def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0) -> Da
     each = each.withColumn("again", F.row_number().over(W.partitionBy("id", "gram").orderBy("pos")))
     often = each.groupBy("k", "gram", "again").agg(F.count(F.lit(1)).alias("often"))
     placed = each.join(often, ["k", "gram", "again"]).withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("often", "gram", "again")))
-    prefix = placed.filter(F.col("place") <= F.col("d") * q + q + 1).select("k", "gram", "again", "id", "n", "d", "place")
+    prefix = placed.withColumn("size", F.least(F.col("n") + 1, F.col("d") * q + q + 1 + more)).filter("place <= size").select("k", "gram", "again", "id", "n", "d", "place", "size")
 
-    a, b = (prefix.select("k", "gram", "again", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "n", "d", "place")]) for side in "ab")
+    a, b = (prefix.select("k", "gram", "again", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "n", "d", "place", "size")]) for side in "ab")
     longest, shortest = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
     lengths = (longest <= length_most * shortest) & (shortest >= F.lit(least / 100) * longest)
-    left = 1 + F.least(F.col("a_n") + 1 - F.col("a_place"), F.col("b_n") + 1 - F.col("b_place"))
-    enough = left >= longest + 1 - q * F.greatest("a_d", "b_d")
-    found = a.join(b, ["k", "gram", "again"]).filter(F.col("a_id") < F.col("b_id")).filter(lengths & enough)
-    return found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    met = a.join(b, ["k", "gram", "again"]).filter(F.col("a_id") < F.col("b_id")).filter(lengths)
+    rest = lambda place: F.least(*[F.col(f"{side}_n") + 1 - place(side) for side in "ab"])
+    behind = F.greatest(F.col("a_n") + 1 - F.col("a_size"), F.col("b_n") + 1 - F.col("b_size"))
+    bound = longest + 1 - q * F.greatest("a_d", "b_d")
+    of_pair = [F.min(x).alias(name) for x, name in ((behind, "behind"), (bound, "bound"), (F.col("a_n"), "a_n"), (F.col("b_n"), "b_n"))]
+    pairs = met.groupBy(F.col("a_id").alias("a"), F.col("b_id").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.max("a_place").alias("a_last"), F.max("b_place").alias("b_last"), *of_pair)
+    return pairs.filter(F.col("shared") + F.least("behind", rest(lambda side: F.col(f"{side}_last"))) >= F.col("bound")).select("a", "b")
 
 
 def inside(x: Column, y: Column, ring: Column) -> Column:
