@@ -16,13 +16,13 @@ _AMOUNT = r"(\d{1,3}(?:[,.'’]\d{3})+|\d+)(\.\d{1,2})?\s?(k)?"
 _EACH = r"(?:\s?(?:p[./]?[hda]|(?:per|an?|/)\s?(?:hour|day|week|month|year|annum))\b)?"
 #: One amount, or a range of two; what follows is looked at for the period and for amounts that are no salaries.
 SALARY = rf"(?is)[£$€]\s?{_AMOUNT}(?:{_EACH}\s?(?:-|–|to|and)\s?[£$€]?\s?{_AMOUNT})?(?!\d)(?=(.{{0,30}}))"
-_NOT_SALARY = r"(?is)(?:[£$€]\s?[\d.,]+k?\s?(?:-|–|to)\s?)?[£$€]\s?[\d.,]+\s?(?:m\b|million|billion)|\b(?:budget|turnover|revenue)s?\W+(?:\w+\W+){0,3}?[£$€]\s?\d[\d,.']*k?|(?:overtime|bonus)[^\w£$€]+(?:\w+[^\w£$€]+){0,2}?[£$€]\s?\d[\d,.']*k?"
+_NOT_SALARY = r"(?is)(?:[£$€]\s?[\d.,]+k?\s?(?:-|–|to)\s?)?[£$€]\s?[\d.,]+\s?(?:m\b|million|billion)|\b(?:budget|turnover|revenue)s?\W+(?:\w+\W+){0,3}?[£$€]\s?\d[\d,.']*k?(?:\s?(?:-|–|to|and)\s?[£$€]\s?\d[\d,.']*k?)?|(?:overtime|bonus)[^\w£$€]+(?:\w+[^\w£$€]+){0,2}?[£$€]\s?\d[\d,.']*k?"
 _PERIODS = (
     ("hour", r"(?i)^\W{0,3}(?:per|an|/|p[./]?)\s?h(?:ou)?r?\b|^\W{0,3}ph\b"),
     ("day", r"(?i)^\W{0,3}(?:per|a|/|p[./]?)\s?d(?:ay)?\b|^\W{0,3}pd\b"),
     ("week", r"(?i)^\W{0,3}(?:per|a|/)\s?week\b|^\W{0,3}pw\b"),
     ("month", r"(?i)^\W{0,3}(?:per|a|/)\s?month\b|^\W{0,3}pcm\b"),
-    ("year", r"(?i)^\W{0,3}(?:per|a|/)\s?(?:year|annum)\b|^\W{0,3}p[./]?a\b"),
+    ("year", r"(?i)^\W{0,3}(?:per|a|/)\s?(?:year|annum)\b|^\W{0,3}p[./]?a\b(?!\.?\s?y)"),
 )
 
 
@@ -43,6 +43,11 @@ def salary(text: Column) -> Column:
     read = F.transform(found, lambda x: F.struct(
         amount(x["a"], x["ad"]).alias("low"), F.when(x["b"] != "", amount(x["b"], x["bd"])).alias("high"),
         (x["ak"] != "").alias("lk"), (x["bk"] != "").alias("hk"), period(x["after"]).alias("period")))
+    # 400450 a day is a range that lost its dash
+    lost = lambda x: x["high"].isNull() & ~x["lk"] & (x["period"] == "day") & x["low"].between(100_000, 999_999) & (x["low"] % 1000 >= F.floor(x["low"] / 1000)) & (x["low"] % 1000 <= 3 * F.floor(x["low"] / 1000))
+    read = F.transform(read, lambda x: F.struct(
+        F.when(lost(x), F.floor(x["low"] / 1000).cast("double")).otherwise(x["low"]).alias("low"), F.when(lost(x), x["low"] % 1000).otherwise(x["high"]).alias("high"),
+        x["lk"].alias("lk"), x["hk"].alias("hk"), x["period"].alias("period")))
     scale = lambda v, own, any_k: F.when((own | (any_k & (v < 1000))) & (v < 10_000), v * 1000).otherwise(v)
     scaled = F.transform(read, lambda x: F.struct(scale(x["low"], x["lk"], x["lk"] | x["hk"]).alias("low"), scale(x["high"], x["hk"], x["lk"] | x["hk"]).alias("high"), x["period"].alias("period")))
     # "31,200 and 20 days" is no range

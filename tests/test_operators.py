@@ -254,3 +254,18 @@ def test_a_batch_that_runs_twice_is_there_once(spark, tmp_path):
     for number in (0, 1, 1, 0):
         write(spark.range(number * 10, number * 10 + 3), number)
     assert sorted(x.id for x in spark.read.parquet(f"{tmp_path}/out/*").collect()) == [0, 1, 2, 10, 11, 12]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Contract, €310360 per day", (310.0, 360.0, "day")),
+        ("Contract, £900100 per day", (900100.0, 900100.0, "day")),
+        ("Paid €410500 a year", (410500.0, 410500.0, "year")),
+        ("Paid £12.40 P.A.Y.E, that is £12.40 /hour", (12.4, 12.4, "hour")),
+        ("You run budgets between £60,000 and £90,000; pay £31,000 pa", (31000.0, 31000.0, "year")),
+        ("You run a budget of $2,000 to $7,000, salary $44k", (44000.0, 44000.0, "year")),
+    ],
+)
+def test_lost_dashes_tax_words_and_budget_ranges(spark, text, expected):
+    test_salaries(spark, text, expected)
