@@ -140,8 +140,9 @@ def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 row.append(k)
                 first.append(at + j)
         take = pa.array(row, pa.int64())
-        columns = [pa.array(windows, pa.binary()), batch.column("id").take(take), batch.column("th").take(take), pa.array(first, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["string", "id", "th", "first"])
+        places = pa.StructArray.from_arrays([batch.column("id").take(take), batch.column("th").take(take), pa.array(first, pa.int64())], names=["id", "th", "first"])
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32)), places)
+        yield pa.RecordBatch.from_arrays([pa.array(windows, pa.binary()), pa.array(np.full(len(row), WINDOW)), lists], names=["string", "words", "places"])
 
 
 def window_groups(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +204,7 @@ def _later_windows(rows: pa.Table) -> pa.Table:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_id, _th, a, b: ranges of words covered by windows that also start earlier; ranges may overlap."""
+    """_id, _th, spans (array of a, b): ranges of words covered by windows that also start earlier; ranges may overlap."""
     spark = docs.sparkSession
     keyed = with_key(docs, id_col, text_col).select("_id", "_th", F.col(f"`{text_col}`").alias("_text"))
     id_type = dict(keyed.dtypes)["_id"]
@@ -223,38 +224,61 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cold = cold.withColumn("bucket", F.pmod(F.xxhash64("m"), F.lit(buckets)))
     spans = cold.groupBy("bucket").applyInArrow(_later_windows, f"_id {id_type}, _th long, a long, b long")
 
-    place = lambda id_col, first: F.struct(F.col(id_col).isNotNull().alias("known"), F.col(id_col).alias("id"), F.col(first).alias("first"))
+    place = lambda x: F.struct(x["id"].isNotNull().alias("known"), x["id"].alias("id"), x["first"].alias("first"))
 
     def with_least(df: DataFrame) -> DataFrame:
-        """Strings with the earliest place of all their equals."""
-        least = df.groupBy(F.col("string").alias("_string")).agg(F.min(place("id", "first")).alias("least"))
+        """Strings with the earliest place of all their equals; the first of a row's places is its earliest."""
+        least = df.groupBy(F.col("string").alias("_string")).agg(F.min(place(F.col("places")[0])).alias("least"))
         return df.join(least, F.col("string") == F.col("_string")).drop("_string")
 
-    hot = strings.filter("m IS NULL").withColumns({"id": F.col("places")[0]["id"], "first": F.col("places")[0]["first"]})
-    each = with_least(hot).select("string", "words", "least", F.explode("places").alias("p")).select("string", "words", "least", "p.*")
-    later = place("id", "first") > F.col("least")
-    copies, copies_at = stored_at(each.select("id", "th", "first", "words", F.when(~later, F.col("string")).alias("string")), "hot-strings")
-    windows = with_least(copies.filter("string IS NOT NULL").mapInArrow(_window_batches, f"string binary, id {id_type}, th long, first long")).filter(later)
-    span = lambda df, words: df.select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("first").alias("a"), (F.col("first") + words).alias("b"))
-    spans = spans.unionByName(span(copies.filter("string IS NULL"), F.col("words"))).unionByName(span(windows, WINDOW))
+    found = f"_id {id_type}, _th long, spans array<struct<a: long, b: long>>"
+    hot, hot_at = stored_at(with_least(strings.filter("m IS NULL")), "hot-strings")
+    firsts = hot.select("string", F.explode(F.filter("places", lambda x: place(x) == F.col("least"))).alias("p")).select("string", "p.*")
+    windows = firsts.mapInArrow(_window_batches, f"string binary, words long, places array<struct<id: {id_type}, th: long, first: long>>")
+    spans = spans.select("_id", "_th", F.array(F.struct("a", "b")).alias("spans"))
+    for each in (hot, with_least(windows)):
+        spans = spans.unionByName(each.mapInArrow(_later_places, found))
     spans = stored_at(spans, "later-windows")[0]
     drop_folder(spark, strings_at)
-    drop_folder(spark, copies_at)
+    drop_folder(spark, hot_at)
     return spans
 
 
+def _later_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranges of words of all places behind their string's earliest, one row for a document of a batch."""
+    for batch in small(batches, 500):
+        found: dict[tuple, list[list[int]]] = {}
+        for words, places, least in zip(batch.column("words").to_pylist(), batch.column("places").to_pylist(), batch.column("least").to_pylist(), strict=True):
+            first = (least["known"], least["id"], least["first"])
+            for x in places:
+                # ids are only compared where both are known
+                at = (x["id"] is not None, x["id"], x["first"])
+                if at[:2] != first[:2] or at[2] > first[2]:
+                    found.setdefault((x["id"], x["th"]), []).append([x["first"], x["first"] + words])
+        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+        spans = pa.array([[{"a": a, "b": b} for a, b in _merged(x)] for x in found.values()], kind)
+        id_type = batch.column("places").type.value_type.field("id").type
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], id_type), pa.array([x[1] for x in found], pa.int64()), spans], names=["_id", "_th", "spans"])
+
+
+def _merged(spans: list) -> list[list[int]]:
+    """Ranges in order, joined where they touch."""
+    merged: list[list[int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    return merged
+
+
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small(batches, SLICE_TEXTS):
         size, removed, kept, cut = [], [], [], []
         for t, spans in zip(batch.column("_text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             words = (t or "").encode("utf-8", "replace").split()
             size.append(len(words))
-            merged: list[list[int]] = []
-            for a, b in sorted((x["a"], x["b"]) for x in spans or ()):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
+            merged = _merged([(x["a"], x["b"]) for x in spans or ()])
             if merged:
                 keep = np.ones(len(words), dtype=bool)
                 for a, b in merged:
@@ -273,7 +297,7 @@ def remove_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """_id, n_words, n_removed, kept (the words left, joined by one blank), spans (maximal removed ranges of words) of each row."""
     keyed = with_key(docs, id_col, text_col).select("_id", "_th", F.col(f"`{text_col}`").alias("_text"))
     spans = repeated_spans(docs, id_col, text_col)
-    spans = spans.groupBy(F.col("_id").alias("_sid"), F.col("_th").alias("_sth")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = spans.groupBy(F.col("_id").alias("_sid"), F.col("_th").alias("_sth")).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     both = keyed.join(spans, F.col("_id").eqNullSafe(F.col("_sid")) & (F.col("_th") == F.col("_sth")), "left").select("_id", "_text", "spans")
     return both.mapInArrow(_cut_batches, f"_id {dict(keyed.dtypes)['_id']}, n_words long, n_removed long, kept string, spans array<struct<a: long, b: long>>")
 
