@@ -335,10 +335,25 @@ def overwrite_salaries(jobs: DataFrame, text: str, chosen: Column) -> DataFrame:
 
 def crosswalk(companies: DataFrame, names: DataFrame, key: str, name: str, stop: list[str]) -> DataFrame:
     """key, matched, count: for each company the catalogue's name (matched, count) with an equal canonical form, taken with
-    and without full stops, at the least edit distance; the more frequent of equal ones. Null when there is none."""
+    and without full stops, or else one that holds the company's form as whole words, or that it holds; at the least edit
+    distance, the more frequent of equal ones. Null when there is none.
+
+    A form can only be inside another that has its rarest word, so forms are joined by that word alone."""
     options = {"nospace": "'’", "brackets": True, "stop": [*stop, "limited", "ltd", "uk"]}
     forms = F.array_distinct(F.array(clean(F.col(name), **options), clean(F.replace(F.col(name), F.lit("."), F.lit("")), **options)))
     wanted = companies.select(key, name, F.explode(F.array_compact(forms)).alias("form"))
-    known = names.withColumn("form", clean(F.col("matched"), **options))
-    best = wanted.join(known, "form").groupBy(key).agg(F.min_by(F.struct("matched", "count"), F.struct(F.levenshtein(F.lower(name), F.lower("matched")), -F.col("count"), "matched")).alias("best"))
+    known = names.withColumn("known_form", clean(F.col("matched"), **options)).filter("known_form IS NOT NULL")
+    word = lambda c: F.explode(F.array_distinct(F.split(c, " "))).alias("word")
+    known_words, wanted_words = known.select("matched", "count", "known_form", word("known_form")), wanted.select(key, name, "form", word("form"))
+    often = known_words.groupBy("word").agg(F.count(F.lit(1)).alias("often"))
+    rarest = F.min_by("word", F.struct("often", "word")).alias("word")
+    known_rare = known_words.join(often, "word").groupBy("matched", "count", "known_form").agg(rarest)
+    # a word that no name of the catalogue has can't be in one
+    wanted_rare = wanted_words.join(often, "word").groupBy(key, name, "form").agg(rarest, F.count(F.lit(1)).alias("n")).filter(F.col("n") == F.size(F.array_distinct(F.split("form", " ")))).drop("n")
+    holds = lambda outer, inner: F.contains(F.concat(F.lit(" "), outer, F.lit(" ")), F.concat(F.lit(" "), inner, F.lit(" ")))
+    columns = [key, name, "form", "matched", "count", "known_form"]
+    inside = wanted_words.join(known_rare, "word").filter(holds(F.col("form"), F.col("known_form"))).select(*columns)
+    around = wanted_rare.join(known_words, "word").filter(holds(F.col("known_form"), F.col("form"))).select(*columns)
+    order = F.struct(F.col("form") != F.col("known_form"), F.levenshtein(F.lower(name), F.lower("matched")), -F.col("count"), "matched")
+    best = inside.unionByName(around).groupBy(key).agg(F.min_by(F.struct("matched", "count"), order).alias("best"))
     return companies.select(key).join(best, key, "left").select(key, "best.matched", "best.count")

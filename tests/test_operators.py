@@ -269,3 +269,10 @@ def test_a_batch_that_runs_twice_is_there_once(spark, tmp_path):
 )
 def test_lost_dashes_tax_words_and_budget_ranges(spark, text, expected):
     test_salaries(spark, text, expected)
+
+
+def test_crosswalk_takes_names_inside_each_other(spark):
+    companies = spark.createDataFrame([(1, "Acme Tools"), (2, "Acme"), (3, "Northern Acme Tools Ltd"), (4, "Toolset"), (5, None), (6, "Blue Sky Holdings")], "k int, name string")
+    names = spark.createDataFrame([("Acme Tools Limited", 3), ("Acme", 1), ("Tools", 9), ("Blue Sky", 2), ("Sky Holdings Group", 5)], "matched string, count long")
+    out = {x.k: x.matched for x in m.crosswalk(companies, names, "k", "name", []).collect()}
+    assert out == {1: "Acme Tools Limited", 2: "Acme", 3: "Acme Tools Limited", 4: None, 5: None, 6: "Blue Sky"}
