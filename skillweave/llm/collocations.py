@@ -444,10 +444,10 @@ WITH pieces AS (
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
 lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
-at AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM lists),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM lists),
 f AS (
   SELECT lang, array_to_string(w[k:k + s - 1], ' ') AS phrase, s, count(*) AS a
-  FROM at, (VALUES (1), (2), (3)) AS sizes(s) WHERE k + s - 1 <= len(w) GROUP BY ALL),
+  FROM starts, (VALUES (1), (2), (3)) AS sizes(s) WHERE k + s - 1 <= len(w) GROUP BY ALL),
 candidates AS (SELECT lang, phrase, s, a, string_split(phrase, ' ') AS w FROM f WHERE s >= 2 AND a >= 10),
 cuts AS (SELECT *, unnest(range(1, s)) AS k FROM candidates),
 scored AS (
