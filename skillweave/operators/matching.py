@@ -176,66 +176,6 @@ def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0, more:
     return pairs.filter(F.col("shared") + F.least("behind", rest(lambda side: F.col(f"{side}_last"))) >= F.col("bound")).select("a", "b")
 
 
-def inside(x: Column, y: Column, ring: Column) -> Column:
-    """Whether a point lies in a ring of structs (x, y), by counting crossings of its edges."""
-    edges = F.zip_with(ring, F.concat(F.slice(ring, F.lit(2), F.size(ring) - 1), F.slice(ring, F.lit(1), F.lit(1))), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
-
-    def crosses(e: Column) -> Column:
-        p, q = e["p"], e["q"]
-        spans = (p["y"] > y) != (q["y"] > y)
-        return spans & (x < (q["x"] - p["x"]) * (y - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) + p["x"])
-
-    return F.size(F.filter(edges, crosses)) % 2 == 1
-
-
-_RING = "array<struct<x: double, y: double>>"
-
-
-def _edges(ring: Column) -> Column:
-    rest = F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0)))
-    return F.zip_with(ring, F.concat(rest, F.slice(ring, F.lit(1), F.lit(1))), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
-
-
-def _clip(ring: Column, axis: str, bound: Column, upper: bool) -> Column:
-    """The part of a ring on one side of a line that is parallel to the other axis."""
-    other = "y" if axis == "x" else "x"
-    inside = lambda p: p[axis] <= bound if upper else p[axis] >= bound
-
-    def cut(p: Column, q: Column) -> Column:
-        across = p[other] + (q[other] - p[other]) * (bound - p[axis]) / F.nullif(q[axis] - p[axis], F.lit(0.0))
-        at = {axis: bound.cast("double"), other: across}
-        return F.struct(at["x"].alias("x"), at["y"].alias("y"))
-
-    def step(e: Column) -> Column:
-        p, q = e["p"], e["q"]
-        kept = F.when(inside(p) & inside(q), F.array(q)).when(inside(p), F.array(cut(p, q))).when(inside(q), F.array(cut(p, q), q))
-        return F.coalesce(kept.cast(_RING), F.array().cast(_RING))
-
-    return _let(ring, lambda r: F.flatten(F.transform(_edges(r), step)))
-
-
-def ring_area(ring: Column) -> Column:
-    turn = lambda e: e["p"]["x"] * e["q"]["y"] - e["q"]["x"] * e["p"]["y"]
-    return _let(ring, lambda r: F.abs(F.aggregate(F.transform(_edges(r), turn), F.lit(0.0), lambda a, x: a + x)) / 2)
-
-
-def covered(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column, share: float) -> Column:
-    """Whether a rectangle covers more than this share of a ring's area."""
-    part = _clip(_clip(_clip(_clip(ring, "x", x0, False), "x", x1, True), "y", y0, False), "y", y1, True)
-    return ring_area(part) > F.lit(share) * ring_area(ring)
-
-
-def locate(points: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
-    """points(id, x, y) with the code of the region (code, ring) that holds each: regions are spread over the grid cells of
-    their bounds, points meet them by cell, and the ring decides; the longest code wins."""
-    bound = lambda f, c: f(F.transform("ring", lambda p: p[c]))
-    steps = lambda c: F.explode(F.sequence(F.floor(bound(F.array_min, c) / cell), F.floor(bound(F.array_max, c) / cell)))
-    cells = regions.withColumn("cx", steps("x")).withColumn("cy", steps("y"))
-    at = points.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
-    hits = at.join(cells, ["cx", "cy"]).filter(inside(F.col("x"), F.col("y"), F.col("ring"))).groupBy("id").agg(F.max_by("code", F.struct(F.length("code"), "code")).alias("code"))
-    return points.join(hits, "id", "left").select("id", "code")
-
-
 def clusters(vectors: DataFrame, k: int, power: float = 0.0, half: bool = False) -> DataFrame:
     """label, cluster: agglomerative merging of the closest pair of groups until k are left; vectors(label, item, w).
 

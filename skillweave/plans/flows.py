@@ -6,8 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions import text as t
+from skillweave.operators import aliases, areas
 from skillweave.plans.register import Plans
-from skillweave.plans.text import regions
+from skillweave.plans.text import holed_regions, regions
 from skillweave.sources import files
 from skillweave.sources.fixtures import oracle_with, table
 from skillweave.streaming import crawl
@@ -113,9 +114,21 @@ def s11(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     codes = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat(F.lit("R"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("code"), "r_name")
     folder = crawl.scratch(spark)
-    files.geojson_features(regions(nation).join(codes, "code"), "code", "r_name", "ring").write.text(folder)
+    files.geojson_features(regions(nation).join(codes, "code"), "code", "r_name", "parts").write.text(folder)
     back = files.read_features(spark, folder)
-    return back.groupBy(F.col("name").alias("country")).agg(n().alias("n")).join(files.bounds(back.withColumnRenamed("name", "country"), "country", "ring"), "country")
+    return back.groupBy(F.col("name").alias("country")).agg(n().alias("n")).join(files.bounds(back.withColumnRenamed("name", "country"), "country", "parts"), "country")
+
+
+@register("s11_multi_polygons", "SELECT 'H' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, n_name AS name, 2 AS n_polygons, 15 AS n_points, 510000.0::DOUBLE AS area FROM nation")
+def s11_parts(spark, sf_dir):
+    """Regions of two polygons, one with a hole, written as features and read back: what they are made of and their area."""
+    nation = table(spark, sf_dir, "nation")
+    names = nation.select(F.concat(F.lit("H"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("code"), "n_name")
+    folder = crawl.scratch(spark)
+    files.geojson_features(holed_regions(nation).join(names, "code"), "code", "n_name", "parts").write.text(folder)
+    back = files.read_features(spark, folder)
+    points = F.size(F.flatten(F.flatten("parts")))
+    return back.select(F.col("id").alias("code"), "name", F.size("parts").alias("n_polygons"), points.alias("n_points"), areas.area(F.col("parts")).alias("area"))
 
 
 @register("a20_salary_bins", "WITH b AS (SELECT category, (salary_min // 10000) * 10000 AS lower, count(*) AS c FROM J WHERE salary_min IS NOT NULL GROUP BY ALL) SELECT category, lower, lead(lower) OVER (PARTITION BY category ORDER BY lower) AS upper, c FROM b", ("J",))
@@ -161,6 +174,26 @@ def r12(spark, sf_dir):
     return old.groupBy("key").agg(F.min("page_id").alias("kept"), n().alias("n_versions"))
 
 
+_SAME = r"lower(regexp_replace(regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '^https?://(?:www\.|m\.)*', ''), '(?:\.html?|/)+$', ''))"
+
+
+@register("r12_alias_survivors", f"""
+    WITH RECURSIVE k AS (SELECT page_id AS id, 'u' || {_SAME} AS key FROM pages
+      UNION SELECT page_id, 'a' || regexp_extract(html, '<article>(.*?)</article>', 1, 's') FROM pages WHERE contains(html, '<article>')
+      UNION SELECT page_id, 't' || regexp_extract(html, '<title>(.*?)</title>', 1, 's') FROM pages WHERE contains(html, '<title>')),
+    e AS (SELECT DISTINCT a.id AS a, b.id AS b FROM k a JOIN k b USING (key)),
+    c AS (SELECT a AS id, b AS other FROM e UNION SELECT c.id, e.b FROM c JOIN e ON c.other = e.a),
+    r AS (SELECT id, min(other) AS class_id FROM c GROUP BY id),
+    s AS (SELECT class_id, min_by(page_id, (CASE WHEN url LIKE 'https:%' THEN 0 ELSE 1 END, length(url), page_id)) AS survivor FROM r JOIN pages ON id = page_id GROUP BY class_id)
+    SELECT page_id, class_id, survivor, survivor <> page_id AS removed FROM pages JOIN r ON id = page_id JOIN s USING (class_id)""")
+def r12_survivors(spark, sf_dir):
+    """Pages of one address, article or title are one page, over any number of steps; the https one of the shortest address stays."""
+    pages = table(spark, sf_dir, "pages")
+    inside = lambda tag: F.when(F.col("html").rlike(f"<{tag}>"), F.regexp_extract("html", f"(?s)<{tag}>(.*?)</{tag}>", 1))
+    links = aliases.links_by_key(pages, "page_id", [F.lower(aliases.url_key(F.col("url"))), inside("article"), inside("title")])
+    return aliases.one_of_each(pages.select("page_id", "url"), "page_id", links, [~F.col("url").startswith("https:"), F.length("url")]).drop("url")
+
+
 _TEXT = "html"
 for _pattern, _by in ((r"(?is)<script\b.*?</script>|<style\b.*?</style>", ""), (r"(?i)<br\s*/?>", "\n"), (r"(?i)</?p\b[^>]*>", "\n\n"), (r"(?s)<[^>]*>", ""), (r"[ \t]+", " "), (r"\n{3,}", "\n\n")):
     _TEXT = f"regexp_replace({_TEXT}, '{_pattern}', '{_by}', 'g')"

@@ -6,6 +6,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions import text as t
+from skillweave.functions.html import Field, page_fields
+from skillweave.operators import areas
 from skillweave.operators import history as h
 from skillweave.operators import matching as m
 from skillweave.operators import relevance as e
@@ -181,6 +183,25 @@ def t26(pages):
     return pages.select("page_id", one("<title>([^<]*)</title>").alias("title"), F.size(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).cast("long").alias("n_links"), one('lang="([a-z]+)"').alias("lang"))
 
 
+_UNESCAPED = "trim(regexp_replace(replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), '[\\x20\\x09-\\x0D]+', ' ', 'g'))"
+_UNTAGGED = "regexp_replace(regexp_extract(html, '{p}', 1, 's'), '<[^>]*>', '', 'g')"
+
+
+@plan("t26_page_selectors", "pages", sql=f"""
+    SELECT page_id, regexp_extract(html, 'lang="([a-z]+)"', 1) AS lang, nullif({_UNESCAPED.format(x=_UNTAGGED.format(p="<h1>(.*?)</h1>"))}, '') AS head,
+           nullif({_UNESCAPED.format(x=_UNTAGGED.format(p='<div class="ad">(.*?)</div>'))}, '') AS ad, nullif({_UNESCAPED.format(x=_UNTAGGED.format(p="<article>(.*)</article>"))}, '') AS body,
+           array_to_string(regexp_extract_all(html, '<li><a href="([^"]*)"', 1), '|') AS links, nullif({_UNESCAPED.format(x=_UNTAGGED.format(p="<footer>(.*?)</footer>"))}, '') AS foot
+    FROM pages WHERE contains(html, '<h1>') AND contains(html, '<article>')""")
+def t26_selectors(pages):
+    """Fields by selectors; pages without a head or an article are kept apart, so they aren't here."""
+    spec = {
+        "lang": Field("html", attr="lang"), "head": Field("article > h1", required=True), "ad": Field("body div.ad"), "body": Field("body > article", required=True),
+        "links": Field("nav > ul > li > a[href]", attr="href", many=True), "foot": Field("footer"),
+    }
+    good, _ = page_fields(pages.select("page_id", "html"), spec)
+    return good.withColumn("links", F.array_join(F.transform("links", lambda x: F.coalesce(x, F.lit(""))), "|"))
+
+
 @plan("t27_posting_body", "pages", sql="SELECT page_id, coalesce(nullif(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), ''), nullif(regexp_extract(html, '<p>(.*?)</p>', 1, 's'), ''), '') AS body FROM pages")
 def t27(pages):
     return pages.select("page_id", t.posting_body(F.col("html")).alias("body"))
@@ -404,12 +425,16 @@ def u4_rate(supplier, p):
     return u4(supplier, p).agg(F.round(F.lit(100.0) * F.count("company") / n(), 6).alias("percent"))
 
 
+def rectangle(x0, y0, x1, y1):
+    return F.array(*[F.struct(a.cast("double").alias("x"), b.cast("double").alias("y")) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))])
+
+
 def regions(nation):
-    """Rectangles of a grid as rings: a nation's column and row, and half of it as a deeper level."""
+    """Rectangles of a grid: a nation's column and row, and half of it as a deeper level."""
     x, y = (F.col("n_nationkey") % 5) * 2000.0 - 1000, F.floor(F.col("n_nationkey") / 5) * 300.0
-    ring = lambda x1: F.array(*[F.struct(a.cast("double").alias("x"), b.cast("double").alias("y")) for a, b in ((x, y), (x1, y), (x1, y + 300), (x, y + 300))])
+    parts = lambda x1: areas.one_ring(rectangle(x, y, x1, y + 300)).alias("parts")
     code = F.concat(F.lit("R"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    return nation.select(code.alias("code"), ring(x + 2000).alias("ring")).unionByName(nation.select(F.concat(code, F.lit("W")).alias("code"), ring(x + 1000).alias("ring")))
+    return nation.select(code.alias("code"), parts(x + 2000)).unionByName(nation.select(F.concat(code, F.lit("W")).alias("code"), parts(x + 1000)))
 
 
 LOCATED = "SELECT c_custkey AS id, CASE WHEN c_acctbal >= -1000 AND c_acctbal < 9000 AND c_custkey % 1600 < 1500 THEN 'R' || lpad(CAST(CAST(floor((c_acctbal + 1000) / 2000) AS BIGINT) + 5 * ((c_custkey % 1600) // 300) AS VARCHAR), 2, '0') || CASE WHEN (c_acctbal + 1000) - floor((c_acctbal + 1000) / 2000) * 2000 < 1000 THEN 'W' ELSE '' END END AS code FROM customer"
@@ -421,7 +446,36 @@ def points(customer):
 
 @plan("g1_point_in_region", "customer", "nation", sql=LOCATED)
 def g1(customer, nation):
-    return m.locate(points(customer), regions(nation), 500.0)
+    return areas.locate(points(customer), regions(nation), 500.0)
+
+
+def holed_regions(nation):
+    """Two polygons a region: a nation's rectangle with a hole, and an island in the hole of the next nation's."""
+    x, y = (F.col("n_nationkey") % 5) * 2000.0 - 1000, F.floor(F.col("n_nationkey") / 5) * 300.0
+    main = F.array(rectangle(x, y, x + 2000, y + 300), rectangle(x + 500, y + 100, x + 1500, y + 200))
+    ahead = (F.col("n_nationkey") + 1) % 25
+    u, v = (ahead % 5) * 2000.0 + 100, F.floor(ahead / 5) * 300.0 + 110
+    code = F.concat(F.lit("H"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    return nation.select(code.alias("code"), F.array(main, F.array(rectangle(u, v, u + 250, v + 40))).cast(areas.PARTS).alias("parts"))
+
+
+@plan("g1_polygons_with_holes", "customer", "nation", sql="""
+    WITH p AS (SELECT c_custkey AS id, c_acctbal AS x, (c_custkey % 1600)::DOUBLE AS y FROM customer),
+    b AS (SELECT n_nationkey AS k, n_nationkey % 5 * 2000.0 - 1000 AS x0, n_nationkey // 5 * 300.0 AS y0, (n_nationkey + 24) % 25 AS before FROM nation),
+    h AS (SELECT id, CASE WHEN x >= x0 + 500 AND x < x0 + 1500 AND y >= y0 + 100 AND y < y0 + 200
+              THEN CASE WHEN x >= x0 + 1100 AND x < x0 + 1350 AND y >= y0 + 110 AND y < y0 + 150 THEN before END ELSE k END AS k
+          FROM p JOIN b ON x >= x0 AND x < x0 + 2000 AND y >= y0 AND y < y0 + 300)
+    SELECT p.id, 'H' || lpad(CAST(k AS VARCHAR), 2, '0') AS code FROM p LEFT JOIN h USING (id)""")
+def g1_holes(customer, nation):
+    return areas.locate(points(customer), holed_regions(nation), 250.0)
+
+
+@plan("g3_area_and_cover", "nation", sql="SELECT 'H' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, 510000.0::DOUBLE AS area, 150000.0::DOUBLE / 510000 AS main_left FROM nation")
+def g3_cover(nation):
+    """Areas without holes, and the share of each that its rectangle's first 500 columns cover."""
+    x = F.get(F.get(F.get("parts", F.lit(0)), F.lit(0)), F.lit(0))
+    view = (x["x"], x["y"], x["x"] + 500, x["y"] + 300)
+    return holed_regions(nation).select("code", areas.area(F.col("parts")).alias("area"), areas.covered_share(F.col("parts"), *view).alias("main_left"))
 
 
 @plan("g2_region_levels", "customer", "nation", sql=f"SELECT id, substr(code, 1, 2) AS level0, substr(code, 1, 3) AS level1, CASE WHEN length(code) > 3 THEN code END AS level2 FROM ({LOCATED})")
@@ -440,7 +494,7 @@ def g3(customer, nation):
     found = g1(customer, nation).filter("code IS NOT NULL").join(around, "id")
     level = F.explode(F.array_distinct(F.array(F.substring("code", 1, 3), F.col("code")))).alias("level")
     each = found.select("id", "x0", "x1", "y0", "y1", level).join(regions(nation).withColumnRenamed("code", "level"), "level")
-    seen = each.select("id", "level", m.covered(F.col("ring"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), 0.9).alias("covered"))
+    seen = each.select("id", "level", (areas.covered_share(F.col("parts"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")) > 0.9).alias("covered"))
     least = F.min(F.when(F.col("covered"), F.length("level")))
     by_point = seen.groupBy("id").agg(least.alias("least"), *[F.max(F.when(c, F.col("level"))).alias(name) for c, name in ((F.length("level") == 3, "level0"), (F.length("level") > 3, "level1"))])
     return by_point.select("id", "level0", F.when(F.col("least").isNull() | (F.length("level1") <= F.col("least")), F.col("level1")).alias("level1"))

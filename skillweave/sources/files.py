@@ -109,24 +109,33 @@ def job_dimensions(raw: DataFrame, json_col: str = "json") -> tuple[DataFrame, D
     return categories, rows.select(F.col("r.company.display_name").alias("company")).filter("company IS NOT NULL").distinct()
 
 
-def geojson_features(regions: DataFrame, code: str, name: str, ring: str) -> DataFrame:
-    """value: one GeoJSON feature a region, its ring (x, y) as a closed polygon."""
-    point = lambda q: F.array(q["x"], q["y"])
-    closed = F.concat(F.transform(ring, point), F.array(point(F.get(F.col(ring), F.lit(0)))))
-    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(closed).alias("coordinates"))
-    return regions.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col(code).alias("id"), F.col(name).alias("name")).alias("properties"), geometry.alias("geometry"))).alias("value"))
+def geojson_features(regions: DataFrame, code: str, name: str, parts: str) -> DataFrame:
+    """value: one GeoJSON feature a region, its parts (polygons of rings, the first one the outline, of points x, y) as a polygon
+    or several, rings closed. A region without parts has no geometry."""
+
+    def ring(r):
+        shut = F.when(F.get(r, F.lit(0)) == F.element_at(r, -1), r).otherwise(F.concat(r, F.slice(r, 1, 1)))
+        return F.transform(shut, lambda q: F.array(q["x"], q["y"]))
+
+    shapes = F.transform(parts, lambda p: F.transform(p, ring))
+    one = F.size(parts) == 1
+    geometry = F.concat(F.lit('{"type":"'), F.when(one, "Polygon").otherwise("MultiPolygon"), F.lit('","coordinates":'), F.when(one, F.to_json(F.get(shapes, F.lit(0)))).otherwise(F.to_json(shapes)), F.lit("}"))
+    properties = F.to_json(F.struct(F.col(code).alias("id"), F.col(name).alias("name")))
+    return regions.select(F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), F.coalesce(geometry, F.lit("null")), F.lit("}")).alias("value"))
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """id, name, ring of GeoJSON polygons."""
-    rows = spark.read.schema("properties struct<id: string, name: string>, geometry struct<coordinates: array<array<array<double>>>>").json(path)
-    ring = F.transform(F.get("geometry.coordinates", F.lit(0)), lambda q: F.struct(q[0].alias("x"), q[1].alias("y")))
-    return rows.select("properties.id", "properties.name", ring.alias("ring"))
+    """id, name, parts of GeoJSON polygons and multi-polygons; other geometries have no parts."""
+    rows = spark.read.schema("properties struct<id: string, name: string>, geometry struct<type: string, coordinates: string>").json(path)
+    polygon = "array<array<array<double>>>"
+    shapes = F.when(F.col("geometry.type") == "Polygon", F.array(F.from_json("geometry.coordinates", polygon))).when(F.col("geometry.type") == "MultiPolygon", F.from_json("geometry.coordinates", f"array<{polygon}>"))
+    point = lambda q: F.struct(q[0].alias("x"), q[1].alias("y"))
+    return rows.select("properties.id", "properties.name", F.transform(shapes, lambda p: F.transform(p, lambda r: F.transform(r, point))).alias("parts"))
 
 
-def bounds(regions: DataFrame, by: str, ring: str) -> DataFrame:
-    """The bounding box of all rings of each group."""
-    q = regions.select(by, F.explode(ring).alias("q"))
+def bounds(regions: DataFrame, by: str, parts: str) -> DataFrame:
+    """The bounding box of all parts of each group."""
+    q = regions.select(by, F.explode(F.flatten(F.flatten(parts))).alias("q"))
     return q.groupBy(by).agg(F.min("q.x").alias("west"), F.min("q.y").alias("south"), F.max("q.x").alias("east"), F.max("q.y").alias("north"))
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skillweave.functions import text as t
+from skillweave.operators import areas
 from skillweave.operators import history as h
 from skillweave.operators import matching as m
 from skillweave.operators import relevance as r
@@ -101,7 +102,7 @@ def test_regions_take_the_deepest(spark):
     square = lambda s: [(0.0, 0.0), (s, 0.0), (s, s), (0.0, s)]
     regions = spark.createDataFrame([("A", square(10.0)), ("AB", square(5.0))], "code string, ring array<struct<x: double, y: double>>")
     points = spark.createDataFrame([(1, 2.0, 2.0), (2, 7.0, 7.0), (3, 11.0, 1.0)], "id int, x double, y double")
-    assert {x.id: x.code for x in m.locate(points, regions, 4.0).collect()} == {1: "AB", 2: "A", 3: None}
+    assert {x.id: x.code for x in areas.locate(points, regions.select("code", areas.one_ring(F.col("ring")).alias("parts")), 4.0).collect()} == {1: "AB", 2: "A", 3: None}
 
 
 def test_views_clip_rings(spark):
@@ -109,7 +110,7 @@ def test_views_clip_rings(spark):
     views = [(0.0, 0.0, 5.0, 5.0, 25.0), (-1.0, -1.0, 11.0, 11.0, 50.0), (5.0, 5.0, 9.0, 9.0, 0.0), (0.0, 0.0, 8.0, 20.0, 48.0), (20.0, 0.0, 30.0, 5.0, 0.0)]
     df = spark.createDataFrame([(ring, *v) for v in views], "ring array<struct<x: double, y: double>>, x0 double, y0 double, x1 double, y1 double, area double")
     box = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
-    out = df.select("area", *[m.covered(F.col("ring"), *box, k / 100).alias(f"c{k}") for k in (1, 45, 55, 90, 95, 97)]).collect()
+    out = df.select("area", *[(areas.covered_share(areas.one_ring(F.col("ring")), *box) > k / 100).alias(f"c{k}") for k in (1, 45, 55, 90, 95, 97)]).collect()
     assert all(x[f"c{k}"] == (x.area > 50 * k / 100) for x in out for k in (1, 45, 55, 90, 95, 97))
 
 

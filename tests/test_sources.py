@@ -59,9 +59,9 @@ def test_checked_documents(spark):
 
 
 def test_features_close_their_rings(spark, tmp_path):
-    square = spark.sql("SELECT 'R1' AS code, 'One' AS name, array(named_struct('x', 0D, 'y', 0D), named_struct('x', 2D, 'y', 0D), named_struct('x', 2D, 'y', 3D)) AS ring")
-    files.geojson_features(square, "code", "name", "ring").write.text(f"file://{tmp_path}/g")
+    square = spark.sql("SELECT 'R1' AS code, 'One' AS name, array(array(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 2D, 'y', 0D), named_struct('x', 2D, 'y', 3D)))) AS parts")
+    files.geojson_features(square, "code", "name", "parts").write.text(f"file://{tmp_path}/g")
     back = files.read_features(spark, f"file://{tmp_path}/g")
-    ring = back.first().ring
+    ring = back.first().parts[0][0]
     assert len(ring) == 4 and ring[0] == ring[-1]
-    assert tuple(files.bounds(back, "id", "ring").first()) == ("R1", 0.0, 0.0, 2.0, 3.0)
+    assert tuple(files.bounds(back, "id", "parts").first()) == ("R1", 0.0, 0.0, 2.0, 3.0)
