@@ -125,30 +125,36 @@ def page_fields(pages: DataFrame, spec: dict[str, Field], html: str = "html") ->
     Texts have their tags, comments, scripts and styles taken out, their references read and their blanks squeezed; empty
     ones are null. A null page has no element. An element without the attribute that a field asks for is an error."""
     compiled = {name: _compiled(f.selector) for name, f in spec.items()}
-    page = pages.withColumn("__tokens", F.coalesce(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), F.array().cast("array<string>")))
-    page = page.withColumn("__found", elements(F.col("__tokens"), sorted({c[0] for c in compiled.values()})))
-    tag = lambda e: F.element_at("__tokens", e["from"] + 1)
-
-    def text(e: Column) -> Column:
-        inside = F.slice("__tokens", e["from"] + 2, F.greatest(e["to"] - e["from"] - 1, F.lit(0)))
-        words = F.filter(inside, lambda t: ~t.rlike(r"^<[!/a-zA-Z]"))
-        return F.nullif(F.trim(squeeze(references(F.array_join(words, "")))), F.lit(""))
-
-    values, reason = {}, F.lit(None).cast("string")
-    for name, field in spec.items():
-        path, attr, value = compiled[name]
-        found = F.filter("__found", lambda e: e["path"].rlike(path))
-        if attr is not None:
-            found = F.filter(found, lambda e: attribute(tag(e), attr).isNotNull() if value is None else attribute(tag(e), attr).eqNullSafe(F.lit(value)))
-        values[f"__{name}"] = F.transform(found, lambda e: text(e) if field.attr is None else attribute(tag(e), field.attr))
-    page = page.withColumns(values)
+    paths = sorted({c[0] for c in compiled.values()})
+
+    def fields(tokens: Column, found: Column) -> Column:
+        tag = lambda e: F.element_at(tokens, e["from"] + 1)
+
+        def text(e: Column) -> Column:
+            inside = F.slice(tokens, e["from"] + 2, F.greatest(e["to"] - e["from"] - 1, F.lit(0)))
+            words = F.filter(inside, lambda t: ~t.rlike(r"^<[!/a-zA-Z]"))
+            return F.nullif(F.trim(squeeze(references(F.array_join(words, "")))), F.lit(""))
+
+        values = []
+        for name, field in spec.items():
+            path, attr, value = compiled[name]
+            own = F.filter(found, lambda e: e["path"].rlike(path))
+            if attr is not None:
+                own = F.filter(own, lambda e: attribute(tag(e), attr).isNotNull() if value is None else attribute(tag(e), attr).eqNullSafe(F.lit(value)))
+            values.append(F.transform(own, lambda e: text(e) if field.attr is None else attribute(tag(e), field.attr)).alias(name))
+        return F.struct(*values)
+
+    tokens = F.coalesce(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), F.array().cast("array<string>"))
+    # generated, so that no filter is pushed below it and has all fields worked out a second time
+    page = pages.select("*", F.explode(F.array(_let(tokens, lambda t: _let(elements(t, paths), lambda e: fields(t, e))))).alias("__page"))
+    reason = F.lit(None).cast("string")
     for name, field in spec.items():
-        held = F.col(f"__{name}")
+        held = F.col(f"__page.{name}")
         wrong = F.when(F.lit(field.required) & (F.size(held) == 0), f"missing {name}").when(F.lit(not field.many) & (F.size(held) > 1), f"several {name}")
         if field.attr is not None:
             wrong = wrong.when(F.exists(held, lambda v: v.isNull()), f"no {field.attr} of {name}")
         reason = F.coalesce(reason, wrong)
     page = page.withColumn("__reason", reason)
-    columns = [(F.col(f"__{name}") if f.many else F.get(f"__{name}", F.lit(0))).alias(name) for name, f in spec.items()]
+    columns = [(F.col(f"__page.{name}") if f.many else F.get(F.col(f"__page.{name}"), F.lit(0))).alias(name) for name, f in spec.items()]
     own = [c for c in pages.columns if c != html]
     return page.filter("__reason IS NULL").select(*own, *columns), page.filter("__reason IS NOT NULL").select(*pages.columns, F.col("__reason").alias("reason"))
