@@ -1,11 +1,14 @@
 """Format-preserving pseudonyms for personal data, in DataFrame functions only.
 
 Candidates are found by pattern and validated: payment-card numbers by the Luhn check, IPv4 addresses by their octets,
-dates by the calendar, phone numbers by country code (or an area code in brackets) and length, social security numbers by the
-areas, groups and serials that exist, e-mail addresses by shape, quoted keys as 32 or more hex digits. Each value is permuted within its format by a keyed Feistel network, so equal values get equal pseudonyms in all
+dates by the calendar, phone numbers by country code (or North American area code) and length, account numbers (IBAN) by their
+check digits, social security numbers by the areas, groups and serials that exist, e-mail addresses by shape, quoted keys as
+32 or more hex digits. Each value is permuted within its format by a keyed Feistel network, so equal values get equal pseudonyms in all
 documents and different values of one format never share one:
 * cards: all digits but the last go through a decimal Feistel; the check digit is made anew, so the result is valid;
-* phones: the digits after the country code, punctuation stays in place;
+* phones: the digits after the country code, which is told by the numbering plan, so one number has one pseudonym however it is
+  spaced, with a trunk zero in brackets or, for +1, without its code; punctuation stays in place;
+* account numbers: all digits but the check digits, which are made anew; letters stay;
 * social security numbers: within the valid ones;
 * IPv4: the 32-bit number, in two 16-bit halves (octets with leading zeros are no addresses); * dates: the day within its 400-year cycle (146097 = 189 x 773 days);
 * e-mail local parts and hex keys: strings of any length are replaced by keyed hash text of the same length (these two
@@ -26,14 +29,17 @@ ROUNDS = 6
 #: The key of the registered query only.
 QUERY_KEY = "demonstration-key"
 
-CARD = r"(?<![\d.])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?![\d.]\d|\d)"
-PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?![\d-])"
+CARD = r"(?<![\d.])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d.]\d|\d)"
+PHONE = r"\+\d{1,3}[ .-]?(?:\(0\) ?)?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?![\d-])|(?<![\w.-])[2-9]\d\d-[2-9]\d\d-\d{4}(?![\w-])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: The country codes of one and two digits of the numbering plan; all others have three.
+COUNTRY_CODE = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)"
 DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 EMAIL = r"[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
-ANY = "|".join((EMAIL, PHONE, IPV4, DATE, SSN, SECRET, CARD))
+ANY = "|".join((EMAIL, PHONE, IPV4, DATE, SSN, IBAN, SECRET, CARD))
 
 
 def _bind(value: Column, f) -> Column:
@@ -104,10 +110,32 @@ def card(value: Column, key: str, undo: bool = False) -> Column:
 
 
 def phone(value: Column, key: str, undo: bool = False) -> Column:
-    """The country code stays; the digits after it are permuted."""
-    code = F.regexp_extract(value, r"^\+\d{1,3}", 0)
-    rest = F.substr(value, F.length(code) + 1)
-    return F.concat(code, _bind(permute_digits(digits_of(rest), "phone", key, undo), lambda d: with_digits(rest, d)))
+    """The country code stays; the digits after it are permuted. A trunk zero in brackets is no part of the number."""
+    bare = F.replace(value, F.lit("(0)"), F.lit("(\u0001)"))
+
+    def digits(d: Column) -> Column:
+        code = F.when(value.startswith("+"), F.regexp_extract(d, COUNTRY_CODE, 0)).otherwise("")
+        return F.concat(code, permute_digits(F.substr(d, F.length(code) + 1), "phone", key, undo))
+
+    return F.replace(_bind(_bind(digits_of(bare), digits), lambda d: with_digits(bare, d)), F.lit("(\u0001)"), F.lit("(0)"))
+
+
+def mod97(text: Column) -> Column:
+    """The remainder of a number whose letters stand for 10 to 35."""
+
+    def step(r: Column, c: Column) -> Column:
+        letter = F.ascii(c) - 55
+        return F.when(c.rlike("[0-9]"), (r * 10 + c.cast("int")) % 97).otherwise((r * 100 + letter) % 97)
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def iban(value: Column, key: str, undo: bool = False) -> Column:
+    """The digits behind the check digits are permuted, the check digits made anew."""
+    rest = F.substr(value, F.lit(5))
+    moved = _bind(permute_digits(digits_of(rest), "iban", key, undo), lambda d: with_digits(rest, d))
+    check = lambda m: F.lpad((98 - mod97(F.concat(F.replace(m, F.lit(" "), F.lit("")), F.substr(value, F.lit(1), F.lit(2)), F.lit("00")))).cast("string"), 2, "0")
+    return _bind(moved, lambda m: F.concat(F.substr(value, F.lit(1), F.lit(2)), check(m), m))
 
 
 def ssn(value: Column, key: str, undo: bool = False) -> Column:
@@ -157,15 +185,17 @@ def kind_of(value: Column) -> Column:
     whole = lambda p: value.rlike(f"^(?:{p})$")
     octets = F.forall(F.split(value, r"\."), lambda x: (x.cast("int") <= 255) & ~x.rlike("^0."))
     social = ~value.rlike("^(000|666|9)|-00-|-0000$")
-    n = F.length(digits_of(value))
+    n = F.length(digits_of(F.replace(value, F.lit("(0)"), F.lit(""))))
+    account = F.replace(value, F.lit(" "), F.lit(""))
     return (
         F.when(value.contains("@"), F.lit("email"))
         .when(value.startswith("+"), F.when(n.between(8, 15), F.lit("phone")))
-        .when(value.startswith("("), F.lit("phone"))
+        .when(value.startswith("(") | whole(r"\d{3}-\d{3}-\d{4}"), F.lit("phone"))
         .when(whole(r"\d{3}-\d{2}-\d{4}"), F.when(social, F.lit("ssn")))
         .when(whole(r"\d{1,3}(?:\.\d{1,3}){3}"), F.when(octets, F.lit("ipv4")))
         .when(whole(r"\d{4}-\d{2}-\d{2}"), F.when(F.try_to_date(value, "yyyy-MM-dd").isNotNull(), F.lit("date")))
         .when(whole(r"[\d -]{13,24}"), F.when(n.between(13, 19) & F.call_function("luhn_check", digits_of(value)), F.lit("card")))
+        .when(whole(IBAN) & F.length(account).between(15, 34) & (n >= 4) & (mod97(F.concat(F.substr(account, F.lit(5)), F.substr(account, F.lit(1), F.lit(4)))) == 1), F.lit("iban"))
         .when(whole(r"[0-9a-fA-F]{32,64}"), F.lit("secret"))
     )
 
@@ -173,7 +203,7 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
     return (
         F.when(kind == "card", card(value, key)).when(kind == "phone", phone(value, key)).when(kind == "ipv4", ipv4(value, key))
-        .when(kind == "ssn", ssn(value, key)).when(kind == "date", date(value, key)).when(kind == "email", email(value, key)).when(kind == "secret", secret(value, key))
+        .when(kind == "ssn", ssn(value, key)).when(kind == "date", date(value, key)).when(kind == "iban", iban(value, key)).when(kind == "email", email(value, key)).when(kind == "secret", secret(value, key))
         .otherwise(value)
     )
 

@@ -116,6 +116,36 @@ def test_whole_texts_against_brute_force(spark):
     assert {x["_pii"] for x in out} == {"mine"} and sum(len(x.pii) for x in out) == 2 * len(values)
 
 
+def test_one_number_has_one_pseudonym_in_all_layouts(spark):
+    groups = [
+        ["+12125550199", "+1 212 555 0199", "+1-212-555-0199", "+1 (212) 555-0199", "(212) 555-0199", "212-555-0199"],
+        ["+442079460018", "+44 20 7946 0018", "+44 (0)20 7946 0018", "+44.20.7946.0018"],
+        ["+353861234567", "+353 86 123 4567"], ["+74951234567", "+7 495 123 4567"],
+        ["378282246310005", "3782 822463 10005", "3782-822463-10005"],
+        ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"], ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"],
+    ]
+    kept = ["GB83WEST12345698765432", "XX00ABCDEFGHIJKLMNO", "112-555-0199", "3782 822463 10006", "x212-555-0199"]
+    rows = [(k, v) for k, g in enumerate(groups) for v in g] + [(-1, v) for v in kept]
+    out = p.pseudonymise(spark.createDataFrame([(k, f"see {v}, ok") for k, v in rows], "doc_id long, text string"), "k").collect()
+    bare = {k: set() for k in range(len(groups))}
+    for (k, v), x in zip(rows, out, strict=True):
+        new = x.text[4:-4]
+        if k < 0:
+            assert new == v
+            continue
+        assert new != v and len(new) == len(v) and [c for c in new if not c.isalnum()] == [c for c in v if not c.isalnum()]
+        digits = "".join(c for c in new.replace("(0)", "") if c.isalnum())
+        bare[k].add("1" + digits if k == 0 and "+" not in v else digits)
+    assert all(len(s) == 1 for s in bare.values())
+    assert [min(bare[k])[: len(c)] for k, c in enumerate(("1", "44", "353", "7"))] == ["1", "44", "353", "7"] and luhn(min(bare[4]))
+    for k in (5, 6):
+        new = min(bare[k])
+        assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+    numbers = spark.createDataFrame([("+44 (0)20 7946 0018", "GB82 WEST 1234 5698 7654 32")], "tel string, acc string")
+    back = numbers.select(p.phone(p.phone(F.col("tel"), "k"), "k", undo=True), p.iban(p.iban(F.col("acc"), "k"), "k", undo=True)).first()
+    assert tuple(back) == tuple(numbers.first())
+
+
 def test_query_replaces_every_valid_value_and_nothing_else(spark, sf_dir):
     import re
 
