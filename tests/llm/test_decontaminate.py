@@ -77,6 +77,40 @@ def test_both_joins_give_the_same_rows(spark, sf_dir, monkeypatch):
     assert found[0] == found[1] and found[0]
 
 
+def test_no_leak_is_lost_at_the_bound(spark, monkeypatch):
+    """Random edits of items, with common words and without, around the least score; every leak by the plain recurrence is found."""
+    r = random.Random(11)
+    items, rows = [], []
+    for k in range(60):
+        m = r.choice([4, 5, 8, 12, 13, 24, 31])
+        pool = [f"w{k}x{j}" for j in range(m)] if k % 2 else [f"c{j}" for j in range(12)]
+        items.append([r.choice(pool) for _ in range(m)])
+    for item in items:
+        for share in (0.15, 0.25, 0.4):
+            for _ in range(2):
+                out = []
+                for w in item:
+                    x = r.random()
+                    out += [] if x < share / 3 else ["new"] if x < 2 * share / 3 else [w, "put"] if x < share else [w]
+                rows.append(" ".join(["before"] * r.randrange(30) + out + ["after"] * r.randrange(30)))
+    # three of twelve words replaced; a word put in behind every second one of twenty-four
+    items += [[f"a{j}" for j in range(12)], [f"b{j}" for j in range(24)]]
+    rows += [" ".join("no" if j in (2, 5, 8) else f"a{j}" for j in range(12)), " ".join(f"b{j} in" if j % 2 else f"b{j}" for j in range(24))]
+    expected = set()
+    for a, text in enumerate(rows):
+        w = d.passage_words(text)
+        for k, item in enumerate(items):
+            i = d.passage_words(" ".join(item))
+            if np.intersect1d(i, w).size and d.smith_waterman(i, w) >= d.MIN_SCORE * len(i):
+                expected.add((a, k))
+    assert {(len(rows) - 2, 60), (len(rows) - 1, 61)} <= expected and 200 < len(expected) < len(rows) * len(items) / 2
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    for chars in (d.BROADCAST_CHARS, 0):
+        monkeypatch.setattr(d, "BROADCAST_CHARS", chars)
+        assert {(x["_id"], x.item_id) for x in d.find_leaks(docs, bench).collect()} == expected
+
+
 def test_empty_tables(spark, monkeypatch):
     docs, table, bench = make(spark)
     monkeypatch.setattr(d, "BROADCAST_CHARS", 0)
