@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions import text as t
-from skillweave.operators import aliases, areas
+from skillweave.operators import aliases, areas, profiles
 from skillweave.plans.register import Plans
 from skillweave.plans.text import holed_regions, regions
 from skillweave.sources import files
@@ -219,6 +219,27 @@ def p5(spark, sf_dir):
     return table(spark, sf_dir, "P").select("profile_id", *[c.alias(k) for k, c in spec.items()])
 
 
+@register("p5_career_profiles", """
+    WITH dated AS (SELECT *, date(start_ts) AS s, date(end_ts) AS e FROM X), n AS (SELECT profile_id, count(*) AS n_experiences, sum(length(title)) AS chars, min(s) AS first_start, max(s) AS last_start,
+      arg_min(title, (s, exp_id)) AS first_title, arg_min(company, (s, exp_id)) AS first_company, arg_max(title, (s, -exp_id)) FILTER (e IS NULL) AS open_title, arg_max(company, (s, -exp_id)) FILTER (e IS NULL) AS open_company,
+      any_value(title) AS a_title, any_value(company) AS a_company FROM dated GROUP BY profile_id),
+    people AS (SELECT profile_id, sector, name, company AS own FROM P)
+    SELECT people.profile_id, coalesce(n_experiences, 0) AS n_experiences, first_start AS first_experience_start, last_start AS last_experience_start, first_title, first_company,
+      coalesce(CASE WHEN n_experiences = 1 THEN a_title ELSE open_title END, name) AS curr_title, coalesce(CASE WHEN n_experiences = 1 THEN a_company ELSE open_company END, own) AS company,
+      'company:careers:en:' || lower(coalesce(CASE WHEN n_experiences = 1 THEN a_company ELSE open_company END, 'supplier ' || split_part(own, ' ', 2))) AS nrm_company,
+      'sector:careers:en:' || lower(sector) AS nrm_sector, 'title:careers:en:' || CASE first_title WHEN 'purchase' THEN 'purchas' ELSE first_title END AS nrm_first_title,
+      CAST(length(name || ' at ' || own) + coalesce(chars, 0) AS BIGINT) AS text_length
+    FROM people LEFT JOIN n USING (profile_id)""", ("P", "X"))
+def p5_careers(spark, sf_dir):
+    """Whole canonical rows of people with their experiences, in the order of their ids, nested."""
+    e = F.struct("exp_id", "title", "company", F.lit(None).cast("string").alias("description"), F.to_date("start_ts").alias("start"), F.to_date("end_ts").alias("end"))
+    own = table(spark, sf_dir, "X").groupBy("profile_id").agg(F.array_sort(F.collect_list(e)).alias("experiences"))
+    people = table(spark, sf_dir, "P").select("profile_id", "name", "sector", F.concat_ws(" at ", "name", "company").alias("title"), F.lit("en").alias("language")).join(own, "profile_id", "left")
+    people = people.withColumn("educations", F.array().cast("array<struct<institute: string, degree: string, subject: string, start: date, end: date>>"))
+    columns = ("n_experiences", "first_experience_start", "last_experience_start", "first_title", "first_company", "curr_title", "company", "nrm_company", "nrm_sector", "nrm_first_title", "text_length")
+    return profiles.canonical(people, profiles.CAREERS).select("profile_id", *columns)
+
+
 @register("j11_nearest_centroid", """
     WITH p AS (SELECT vec_id, label, item, embedding[item]::DOUBLE AS w FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS item FROM embeddings)),
     c AS (SELECT label, item, avg(w) AS w FROM p GROUP BY ALL), m AS (SELECT label, item, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS y FROM c),
