@@ -45,25 +45,28 @@ def _prefix(title: Column) -> Column:
     return F.nullif(words, F.lit(""))
 
 
-def _elements(column: str, kind: str, source: Source, lang: Column, fields: list[str], stop: tuple[str, ...]) -> Column:
-    """An array's elements with their keys; dates that run backwards are both null, an end without a start is null."""
-    dated = {"start", "end"} <= set(fields)
+def _dated(column: str, fields: list[str]) -> Column:
+    """An array's elements with dates that run backwards both null, and an end without a start null."""
 
     def one(e: Column) -> Column:
-        bad = F.coalesce(e["start"] > e["end"], F.lit(False)) if dated else F.lit(False)
-        value = {c: e[c] for c in fields}
-        if dated:
-            value["start"] = F.when(~bad, e["start"])
-            value["end"] = F.when(~bad & e["start"].isNotNull(), e["end"])
-            value["days"] = F.datediff(value["end"], value["start"])
-        for name, (entity, made_of) in source.nested[kind].items():
-            if made_of in fields:
-                value[name] = t.entity_key(entity, source.name, lang, e[made_of], stop)
+        bad = F.coalesce(e["start"] > e["end"], F.lit(False))
+        start, end = F.when(~bad, e["start"]), F.when(~bad & e["start"].isNotNull(), e["end"])
+        value = {c: e[c] for c in fields} | {"start": start, "end": end, "days": F.datediff(end, start)}
         return F.struct(*[v.alias(k) for k, v in value.items()])
 
     return F.transform(column, one)
 
 
+def _keyed(column: str, source: Source, lang: Column, fields: list[str], stop: tuple[str, ...]) -> Column:
+    """An array's elements with their keys."""
+
+    def one(e: Column) -> Column:
+        keys = [t.entity_key(entity, source.name, lang, e[made_of], stop).alias(name) for name, (entity, made_of) in source.nested[column].items() if made_of in fields]
+        return F.struct(*[e[c].alias(c) for c in fields], *keys)
+
+    return F.transform(column, one)
+
+
 def _by_start(array: str, last: bool, where=None) -> Column:
     """The element of an array with the least or greatest start, the first of equal ones; null when none has a start."""
     places = F.filter(F.transform(array, lambda e, i: F.struct(e["start"].alias("start"), (-i if last else i).alias("i"), (where(e) if where else F.lit(True)).alias("fits"))), lambda x: x["start"].isNotNull() & x["fits"])
@@ -115,9 +118,10 @@ def canonical(rows: DataFrame, source: Source, lang: str = "language", stop: tup
     Everything is a projection: no row meets another, nothing is shuffled."""
     language = F.col(lang)
     nested = [c for c in source.nested if c in rows.columns]
-    out = rows.withColumns({c: _elements(c, c, source, language, rows.schema[c].dataType.elementType.names, stop) for c in nested})
-    out = _history(out, source)
-    new: dict[str, Column] = {}
+    fields = {c: rows.schema[c].dataType.elementType.names for c in nested}
+    out = _history(rows.withColumns({c: _dated(c, f) for c, f in fields.items() if {"start", "end"} <= set(f)}), source)
+    # keys come last, so that those which nobody reads are pruned
+    new = {c: _keyed(c, source, language, out.schema[c].dataType.elementType.names, stop) for c in nested}
     for name, (entity, made_of) in source.keys.items():
         if made_of in out.columns:
             new[name] = t.entity_key(entity, source.name, language, F.col(made_of), stop)
