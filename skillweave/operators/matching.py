@@ -1,4 +1,4 @@
-"""Salary and phrase extraction, language, near-duplicate pairs, regions, clustering."""
+"""Salary and phrase extraction, near-duplicate pairs, regions, clustering."""
 
 from __future__ import annotations
 
@@ -98,18 +98,6 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def language(text: Column, lists: dict[str, list[str]]) -> Column:
-    """The language most of whose stop words a text holds; null when none has any. Of equal ones the first by name."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
-    counts = F.transform(F.array(words), lambda w: F.array(*[F.struct(F.size(F.filter(w, _in(s))).alias("n"), F.lit(-k).alias("order"), F.lit(name).alias("lang")) for k, (name, s) in enumerate(sorted(lists.items()))]))[0]
-    best = F.array_max(counts)
-    return F.when(best["n"] > 0, best["lang"])
-
-
-def _in(words: list[str]):
-    return lambda x: x.isin(*words)
-
-
 def ratio(a: Column, b: Column) -> Column:
     """Similarity of 0 to 100: the edit distance against the longer text."""
     longest = F.greatest(F.length(a), F.length(b), F.lit(1))
@@ -247,16 +235,6 @@ def _round_of_mergers(dots: DataFrame, norms: DataFrame, most: int, power: float
     return ranked.withColumn("stopped", stopped).filter((F.col("place") == 1) | (F.col("stopped") == 0)).filter(F.col("place") <= most).select("a", "b")
 
 
-#: The language of posts and profiles of a country.
-COUNTRY_LANGUAGES = {"United Kingdom": "en", "Netherlands": "nl", "Nederland": "nl", "Germany": "de", "Deutschland": "de", "Spain": "es", "France": "fr", "Italy": "it", "Italia": "it", "Russia": "ru", "Россия": "ru"}
-
-
-def assigned_language(text: Column, country: Column, lists: dict[str, list[str]], default: str | None = None) -> Column:
-    """The text's language if it is told from the lists, else the country's, else the default (null: the row has none)."""
-    of_country = F.coalesce(*[F.when(country == k, F.lit(v)) for k, v in COUNTRY_LANGUAGES.items()])
-    return F.coalesce(language(text, lists), of_country, F.lit(default))
-
-
 def reinforcement(declared: DataFrame, own: DataFrame, experiences: DataFrame, profile: str = "profile_id", skill: str = "phrase") -> DataFrame:
     """Each profile's declared skills with their scores: 1 where the profile's own text names the skill, which reinforces it,
     and 1 for each experience that does. Skills that no text names score 0; found skills that are not declared do not count."""

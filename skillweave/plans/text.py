@@ -9,6 +9,7 @@ from skillweave.functions import text as t
 from skillweave.functions.html import Field, page_fields
 from skillweave.operators import areas
 from skillweave.operators import history as h
+from skillweave.operators import languages
 from skillweave.operators import matching as m
 from skillweave.operators import relevance as e
 from skillweave.plans.register import Plans
@@ -242,10 +243,25 @@ def t33(p):
     return p.join(F.broadcast(fixes), F.lower("sector") == F.col("k"), "left").select("profile_id", F.coalesce("fixed", "sector").alias("sector"))
 
 
-@plan("t34_language", "documents")
+#: Trigrams, profiles and the nearest one in DuckDB, over texts x (k, country, text).
+CHARS = r"string_split(' ' || trim(regexp_replace(lower({x}), '[^\p{{L}}]+', ' ', 'g')) || ' ', '')"
+GRAMS = "SELECT {keys}, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM (SELECT {keys}, {chars} AS c FROM {rows})"
+PROFILES = f"known AS (SELECT lang, gram, {languages.PROFILE_SIZE} - row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) + 1 AS saved FROM ({GRAMS.format(keys='lang', chars=CHARS.format(x='text'), rows='documents')}) WHERE lang IN ('de', 'en', 'es', 'fr') GROUP BY lang, gram QUALIFY saved > 0)"
+NEAREST = f"""grams AS ({GRAMS.format(keys="id", chars=CHARS.format(x="text"), rows="texts")}), total AS (SELECT id, count(*) AS n FROM grams GROUP BY id),
+sums AS (SELECT id, lang, sum(saved) AS saved, count(*) AS hits FROM grams JOIN known USING (gram) GROUP BY id, lang),
+best AS (SELECT id, CASE WHEN hits * 100 >= {languages.LEAST_KNOWN} * n THEN lang END AS told FROM sums JOIN total USING (id) QUALIFY row_number() OVER (PARTITION BY id ORDER BY saved DESC, lang) = 1)"""
+
+
+@plan("t34_language", "documents", sql=f"WITH {PROFILES}, texts AS (SELECT doc_id AS id, text FROM documents), {NEAREST} SELECT doc_id, lang, coalesce(told, 'en') AS guess FROM documents LEFT JOIN best ON id = doc_id")
 def t34(docs):
-    lists = {k: t.stop_words(k) for k in t.LANGUAGES}
-    return docs.select("doc_id", "lang", m.assigned_language(F.col("text"), F.lit(None).cast("string"), lists, "en").alias("guess"))
+    return languages.assigned(docs, ["doc_id", "lang"], "text", languages.profiles(docs), None, "en").withColumnRenamed("language", "guess")
+
+
+@plan("t34_profile_language", "documents", "P", "nation", sql=f"WITH {PROFILES}, texts AS (SELECT profile_id AS id, CASE WHEN profile_id % 3 = 0 THEN NULL ELSE lower(sector) || ' ' || company END AS text FROM P), {NEAREST} SELECT profile_id, n_name AS country, coalesce(told, CASE n_name WHEN 'UNITED KINGDOM' THEN 'en' WHEN 'GERMANY' THEN 'de' WHEN 'FRANCE' THEN 'fr' WHEN 'RUSSIA' THEN 'ru' END) AS language FROM P JOIN nation ON la_id = n_nationkey LEFT JOIN best ON id = profile_id WHERE language IS NOT NULL")
+def t34_profiles(docs, people, nation):
+    own = F.when(F.col("profile_id") % 3 != 0, F.concat(F.lower("sector"), F.lit(" "), "company")).alias("text")
+    rows = people.join(nation, F.col("la_id") == F.col("n_nationkey")).select("profile_id", F.col("n_name").alias("country"), own)
+    return languages.assigned(rows, ["profile_id", "country"], "text", languages.profiles(docs), "country")
 
 
 @plan("t35_query_strings", "J", "JS", sql="SELECT merged_title, string_agg(skill, ' or ' ORDER BY skill) AS query FROM (SELECT merged_title, skill, count(*) AS c, row_number() OVER (PARTITION BY merged_title ORDER BY count(*) DESC, skill) AS rn FROM JS JOIN J USING (job_id) WHERE merged_title IS NOT NULL GROUP BY merged_title, skill) WHERE rn <= 5 GROUP BY merged_title")

@@ -150,12 +150,9 @@ def test_nearest_cluster_keeps_vectors_without_overlap(spark):
     assert found[1] == ("a", 0.0, 1) and found[3] == ("a", 1.5708, 0) and found[2][0] == "b" and found[2][2] == 1
 
 
-def test_even_split_and_language(spark):
+def test_even_split(spark):
     df = spark.range(11).select(F.col("id").alias("k"))
     assert [x.p for x in h.even_split(df, "k", 4, "p").orderBy("k").collect()] == [1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4]
-    texts = spark.createDataFrame([("le chat et la souris",), ("the cat",), ("xyz",), (None,)], "x string")
-    lists = {"en": ["the", "and"], "fr": ["le", "la", "et"]}
-    assert [x[0] for x in texts.select(m.language(F.col("x"), lists)).collect()] == ["fr", "en", None, None]
 
 
 def test_a_fraction_of_a_phrase_is_enough(spark):
@@ -176,15 +173,6 @@ def test_breakdown_totals(spark):
     assert {x.title for x in out} == {"t1", "t2", "unknown"}
 
 
-def test_language_falls_back_to_the_country(spark):
-    lists = {"en": ["the", "and"], "de": ["und", "der"]}
-    rows = [("the cat and the dog", "Germany"), ("xyz", "Germany"), ("xyz", "Россия"), ("xyz", "Atlantis"), (None, None)]
-    df = spark.createDataFrame(rows, "text string, country string")
-    told = lambda default: [x[0] for x in df.select(m.assigned_language(F.col("text"), F.col("country"), lists, default)).collect()]
-    assert told(None) == ["en", "de", "ru", None, None]
-    assert told("en") == ["en", "de", "ru", "en", "en"]
-
-
 def test_degrees_and_protected_skills(spark):
     df = spark.createDataFrame([("B.Sc. (Hons) Physics 2nd, 2010",), ("MBA",), ("Ph.D Law",), ("m.a.",), (None,)], "x string")
     assert [x[0] for x in df.select(t.degree_name(F.col("x"))).collect()] == ["bachelor of science physics", "master of business administration", "doctor of philosophy law", "master of arts", None]
