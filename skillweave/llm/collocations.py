@@ -196,35 +196,111 @@ def _rare_phrases(words: list[bytes], done: int, get, lang: str, packed: np.ndar
         out.update(b" ".join(words[s : s + size]) for s in np.flatnonzero(take).tolist())
 
 
-_TILES = "lang string, wide boolean, row int, col int, cells binary, counts binary"
+_TILES = "lang string, wide boolean, row int, col int, cells binary, counts binary, n_cells long"
 
 
 def _tile_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
     columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "wide", "row", "col", "cells", "counts"])
+    n = pa.array([len(r[4]) // (8 if r[1] else 4) for r in rows], pa.int64())
+    return pa.RecordBatch.from_arrays([*columns, n], names=["lang", "wide", "row", "col", "cells", "counts", "n_cells"])
 
 
-def _tiled(lang: str, rows: np.ndarray, cols: np.ndarray, side: int) -> list[tuple]:
-    """Cells of a table, counted and cut into tiles."""
-    width = int(cols.max()) // side + 1 if len(cols) else 1
-    key = ((rows // side) * width + cols // side) * (side * side) + (rows % side) * side + cols % side
-    key, n = np.unique(key, return_counts=True)
-    tile, cell = key // (side * side), (key % (side * side)).astype(np.int32)
-    heads = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]][: len(tile)])
-    ends = np.r_[heads[1:], len(tile)][: len(heads)]
-    return [(lang, False, int(tile[a]) // width, int(tile[a]) % width, cell[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(heads.tolist(), ends.tolist(), strict=True)]
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs: nearly all are small, and tiles are what tasks hold and send."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
 
 
-def _wide_tiled(lang: str, keys: np.ndarray, groups: int) -> list[tuple]:
+def _unpacked(counts: pa.Buffer | bytes, n: int) -> np.ndarray:
+    return np.frombuffer(counts, f"u{len(counts) // max(n, 1) or 1}")
+
+
+def _tile_rows(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Batches of a thousand tiles, fewer where they are large."""
+    out, size = [], 0
+    for r in rows:
+        out.append(r)
+        size += len(r[4]) + len(r[5])
+        if len(out) == 1000 or size > 1 << 22:
+            yield _tile_batch(out)
+            out, size = [], 0
+    if out:
+        yield _tile_batch(out)
+
+
+def _buffers(column: pa.Array | pa.ChunkedArray) -> Iterator[pa.Buffer]:
+    """Each value of a binary column where it lies, without a copy."""
+    return (column[k].as_buffer() for k in range(len(column)))
+
+
+#: Numbers that are widened or counted at a time; what a task holds beside its block is a few times this.
+STEP = 1 << 18
+
+
+def _tiled(lang: str, keys: np.ndarray, width: int, side: int) -> Iterator[tuple]:
+    """Counts keys (tile * side**2 + cell, with `width` tiles in a row), which are sorted in place, a few whole tiles at a time."""
+    keys.sort()
+    at, size = 0, side * side
+    while at < len(keys):
+        end = int(np.searchsorted(keys, (int(keys[at + STEP]) // size + 1) * size)) if at + STEP < len(keys) else len(keys)
+        for tile, cells, n in _counted(keys[at:end] // size, keys[at:end]):
+            yield lang, False, tile // width, tile % width, (cells % size).astype(np.int32).tobytes(), _packed(n)
+        at = end
+
+
+def _wide_tiled(lang: str, keys: np.ndarray, groups: int) -> Iterator[tuple]:
     """Cells of three word numbers, counted and dealt to sparse tiles by their first two."""
-    keys, n = np.unique(keys, return_counts=True)
-    tile = ((keys >> 21) * np.int64(0x9E3779B1) >> 13) % groups
+    tile = keys >> 21
+    tile *= np.int64(0x9E3779B1)
+    tile >>= 13
+    tile %= groups
+    tile = tile.astype(np.int32)
     order = np.argsort(tile, kind="stable")
-    tile, keys, n = tile[order], keys[order], n[order]
-    heads = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]][: len(tile)])
-    ends = np.r_[heads[1:], len(tile)][: len(heads)]
-    return [(lang, True, int(tile[a]), 0, keys[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(heads.tolist(), ends.tolist(), strict=True)]
+    tile, keys = tile[order], keys[order]
+    del order
+    at = 0
+    while at < len(keys):
+        end = int(np.searchsorted(tile, tile[at + STEP], "right")) if at + STEP < len(keys) else len(keys)
+        order = np.lexsort((keys[at:end], tile[at:end]))
+        for group, cells, n in _counted(tile[at:end][order], keys[at:end][order]):
+            yield lang, True, group, 0, cells.tobytes(), _packed(n)
+        at = end
+
+
+def _counted(tile: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each tile of keys in order by tile, with its different keys and their counts."""
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    n = np.diff(np.r_[at, len(keys)])
+    tile, keys = tile[at], keys[at]
+    heads = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+    ends = np.r_[heads[1:], len(tile)]
+    return ((int(tile[a]), keys[a:b], n[a:b]) for a, b in zip(heads.tolist(), ends.tolist(), strict=True))
+
+
+def _cell_keys(x: np.ndarray, find, complete: bool, side: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys of the cells that a row of word numbers has in tiles, keys in sparse tiles, and tiles in a row; find: of a pair's rank, for
+    the table of pairs by words. Only STEP numbers at a time are widened."""
+    more = 1 if find is None else 2
+    width = int(x.max()) // side + 1 if len(x) else 1
+    n = max(len(x) - more, 0)
+    keys, wide, used, used_wide = np.empty(n, np.int64), np.empty(0 if complete else n, np.int64), 0, 0
+    for low in range(0, n, STEP):
+        y = x[low : min(low + STEP, n) + more].astype(np.int64)
+        if find is None:
+            rows, ok = y[:-1], (y[:-1] >= 0) & (y[1:] >= 0)
+        else:
+            rank = find(y[:-1] << 32 | y[1:])
+            rank[(y[:-1] < 0) | (y[1:] < 0)] = -2
+            rows, ok = rank[:-1], (rank[:-1] >= 0) & (rank[1:] >= (0 if complete else -1))
+            if not complete:
+                other = (rank[:-1] == -1) & (rank[1:] >= -1)
+                other = (y[:-2] << 42 | y[1:-1] << 21 | y[2:])[other]
+                wide[used_wide : used_wide + len(other)] = other
+                used_wide += len(other)
+        rows, cols = rows[ok], y[more:][ok]
+        keys[used : used + len(rows)] = ((rows // side) * width + cols // side) * (side * side) + (rows % side) * side + cols % side
+        used += len(rows)
+    return keys[:used], wide[:used_wide], width
 
 
 def _tile_batches(pairs, complete: bool, groups: int, bounds: Bounds) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -235,29 +311,20 @@ def _tile_batches(pairs, complete: bool, groups: int, bounds: Bounds) -> Callabl
         size = 0
 
         def sent() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
-                x = np.concatenate(parts).astype(np.int64)
-                if pairs is None:
-                    ok = (x[:-1] >= 0) & (x[1:] >= 0)
-                    rows = _tiled(lang, x[:-1][ok], x[1:][ok], bounds.side)
-                else:
-                    find = pairs.value.finder(lang)
-                    rank = find(x[:-1] << 32 | x[1:])
-                    rank[(x[:-1] < 0) | (x[1:] < 0)] = -2
-                    least = -1 if not complete else 0
-                    ok = (rank[:-1] >= 0) & (rank[1:] >= least)
-                    rows = _tiled(lang, rank[:-1][ok], x[2:][ok], bounds.side)
-                    if not complete:
-                        ok = (rank[:-1] == -1) & (rank[1:] >= -1)
-                        rows += _wide_tiled(lang, (x[:-2] << 42 | x[1:-1] << 21 | x[2:])[ok], groups)
-                for low in range(0, len(rows), 1000):
-                    yield _tile_batch(rows[low : low + 1000])
-            held.clear()
+            while held:
+                lang, parts = held.popitem()
+                x = np.concatenate(parts)
+                del parts
+                keys, wide, width = _cell_keys(x, pairs.value.finder(lang) if pairs is not None else None, complete, bounds.side)
+                del x
+                yield from _tile_rows(_tiled(lang, keys, width, bounds.side))
+                del keys
+                yield from _tile_rows(_wide_tiled(lang, wide, groups))
 
         for batch in batches:
-            for lang, numbers in zip(batch.column("lang").to_pylist(), batch.column("numbers").to_pylist(), strict=True):
+            for lang, numbers in zip(batch.column("lang").to_pylist(), _buffers(batch.column("numbers")), strict=True):
                 held.setdefault(lang, []).append(np.frombuffer(numbers, dtype=np.int32))
-                size += len(numbers) // 4
+                size += numbers.size // 4
                 if size > bounds.held_numbers:
                     yield from sent()
                     size = 0
@@ -269,31 +336,45 @@ def _tile_batches(pairs, complete: bool, groups: int, bounds: Bounds) -> Callabl
 def count_cells(cells: np.ndarray, counts: np.ndarray, size: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Different cells in order, with the sums of their counts: by direct address in a table of this size, or by sorting."""
     if size:
-        # sums of whole numbers below 2**53 are exact as doubles
-        total = np.bincount(cells, weights=counts, minlength=size)
-        at = np.flatnonzero(total)
-        return at, total[at].astype(np.int64)
+        return _addressed([(cells, counts)], size, 1)
     order = np.argsort(cells, kind="stable")
     cells = cells[order]
     heads = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]][: len(cells)])
     return cells[heads].astype(np.int64), np.add.reduceat(counts[order], heads) if len(heads) else counts
 
 
-def _merged(rows: pa.Table, bounds: Bounds) -> Iterator[tuple[str, bool, int, int, np.ndarray, np.ndarray]]:
-    """Each tile of the rows once."""
+def _addressed(parts: list[tuple[np.ndarray, np.ndarray]], size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cells with sums of `least` or more, from parts that are added to one table where they lie."""
+    total = np.zeros(size, dtype=np.int64)
+    for cells, counts in parts:
+        for low in range(0, len(cells), STEP):
+            np.add.at(total, cells[low : low + STEP], counts[low : low + STEP].astype(np.int64))
+    at = np.flatnonzero(total >= least)
+    return at, total[at]
+
+
+def _merged(rows: pa.Table, bounds: Bounds, least: int = 1) -> Iterator[tuple[str, bool, int, int, np.ndarray, np.ndarray]]:
+    """Each tile of the rows once, with its cells counted `least` times or more."""
     parts: dict[tuple, list[tuple]] = {}
-    for lang, wide, row, col, cells, counts in zip(*[rows.column(c).to_pylist() for c in ("lang", "wide", "row", "col", "cells", "counts")], strict=True):
-        parts.setdefault((lang, wide, row, col), []).append((np.frombuffer(cells, np.int64 if wide else np.int32), np.frombuffer(counts, np.int64)))
+    names = [rows.column(c).to_pylist() for c in ("lang", "wide", "row", "col")]
+    for lang, wide, row, col, cells, counts in zip(*names, _buffers(rows.column("cells")), _buffers(rows.column("counts")), strict=True):
+        cells = np.frombuffer(cells, np.int64 if wide else np.int32)
+        parts.setdefault((lang, wide, row, col), []).append((cells, _unpacked(counts, len(cells))))
     for (lang, wide, row, col), found in parts.items():
-        cells, counts = (np.concatenate(x) for x in zip(*found, strict=True))
-        dense = not wide and len(cells) * bounds.dense_share >= bounds.side**2
-        yield lang, wide, row, col, *count_cells(cells, counts, bounds.side**2 if dense else 0)
+        if not wide and sum(len(x) for x, _ in found) * bounds.dense_share >= bounds.side**2:
+            cells, counts = _addressed(found, bounds.side**2, least)
+        else:
+            cells, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+            cells, counts = count_cells(cells, counts.astype(np.int64))
+            often = counts >= least
+            cells, counts = cells[often], counts[often]
+        yield lang, wide, row, col, cells, counts
 
 
 def _part_batches(bounds: Bounds) -> Callable[[pa.Table], pa.Table]:
     def run(rows: pa.Table) -> pa.Table:
         found = _merged(rows, bounds)
-        return pa.Table.from_batches([_tile_batch([(lang, wide, row, col, cells.astype(np.int64 if wide else np.int32).tobytes(), counts.tobytes()) for lang, wide, row, col, cells, counts in found])])
+        return pa.Table.from_batches([_tile_batch([(lang, wide, row, col, cells.astype(np.int64 if wide else np.int32).tobytes(), _packed(counts)) for lang, wide, row, col, cells, counts in found])])
 
     return run
 
@@ -303,7 +384,7 @@ def merged_tiles(tiles: DataFrame, frequent: Callable[[pa.Table], pa.Table], sch
     fits in a task. A part gives at most a full tile, so rounds shrink it."""
     spark, key, most = tiles.sparkSession, ["lang", "wide", "row", "col"], max(bounds.max_cells, 4 * bounds.side**2)
     while True:
-        sizes = tiles.groupBy(*key).agg(F.sum(F.octet_length("counts") / 8).alias("size"), F.count(F.lit(1)).alias("rows"))
+        sizes = tiles.groupBy(*key).agg(F.sum("n_cells").alias("size"), F.count(F.lit(1)).alias("rows"))
         large = sizes.filter((F.col("size") > most) & (F.col("rows") > 1) & ~F.col("wide")).select(*[F.col(c).alias(f"_{c}") for c in key], F.ceil(F.col("size") / most).alias("parts"))
         if large.isEmpty():
             break
@@ -311,7 +392,7 @@ def merged_tiles(tiles: DataFrame, frequent: Callable[[pa.Table], pa.Table], sch
         split = tiles.join(large, same).withColumn("part", F.pmod(F.xxhash64("cells"), F.col("parts"))).groupBy(*key, "part")
         split = split.applyInArrow(_part_batches(bounds), _TILES)
         tiles = stored_at(tiles.join(large, same, "left_anti").unionByName(split), "tiles")[0]
-    cells = tiles.agg(F.sum(F.octet_length("counts") / 8)).first()[0] or 0
+    cells = tiles.agg(F.sum("n_cells")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(cells) // bounds.bucket_cells)
     return tiles.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(buckets))).groupBy("bucket").applyInArrow(frequent, schema)
 
@@ -335,11 +416,9 @@ def _frequent(head, pairs, least: int, names: list[str], bounds: Bounds) -> Call
     def run(rows: pa.Table) -> pa.Table:
         words: dict[str, pa.Array] = {}
         found = []
-        for lang, wide, row, col, cells, counts in _merged(rows, bounds):
-            often = counts >= least
-            if not often.any():
+        for lang, wide, row, col, cells, counts in _merged(rows, bounds, least):
+            if not len(cells):
                 continue
-            cells, counts = cells[often], counts[often]
             if lang not in words:
                 words[lang] = pa.array(head.value.list_of(lang), pa.binary()).cast(pa.string())
             if wide:

@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, difference
 
@@ -61,6 +64,54 @@ def test_counts_in_dense_and_sparse_tiles_agree():
     assert all((a == b).all() for a, b in zip(c.count_cells(cells, counts, 64), c.count_cells(cells, counts), strict=True))
 
 
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("complete", [True, False])
+def test_a_block_is_cut_into_tiles_within_a_few_times_its_size(complete):
+    """Four million numbers (17 MB) and two million ranked pairs, as on the tool's large table."""
+    r = np.random.default_rng(2)
+    bounds = c.Bounds()
+    x = (r.random(bounds.held_numbers + 1) ** 4 * 50_000).astype(np.int32)
+    keys = np.unique(x[:-1].astype(np.int64) << 32 | x[1:])
+    keys = r.permutation(keys)[: len(keys) if complete else len(keys) // 2]
+    pairs = SimpleNamespace(value=c.Pairs(pa.table({"lang": pa.array(["en"] * len(keys)).dictionary_encode(), "i": keys >> 32, "j": keys & 0xFFFFFFFF})))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([x.tobytes()])], names=["lang", "numbers"])
+    for find in (None, pairs):
+        n = []
+        run = c._tile_batches(find, complete or find is None, 64, bounds)
+        assert peak_mb(lambda: n.extend(int(c._unpacked(t, k).sum()) for b in run(iter([batch])) for t, k in zip(b.column("counts").to_pylist(), b.column("n_cells").to_pylist(), strict=True))) < 150
+        assert sum(n) == (len(x) - 1 if find is None else len(x) - 2)
+
+
+def test_counts_travel_in_as_few_bytes_as_they_need():
+    for most, size in ((1, 1), (255, 1), (256, 2), (70_000, 4), (1 << 40, 8)):
+        counts = np.array([1, most, 1])
+        assert len(c._packed(counts)) == 3 * size and (c._unpacked(c._packed(counts), 3) == counts).all()
+    tiles = [("en", False, 0, 0, np.array([3, 5], np.int32).tobytes(), c._packed(np.array(x))) for x in ([250, 1], [250, 1 << 40], [250, 9])]
+    for share in (0, 1 << 40):
+        ((*_, cells, counts),) = c._merged(pa.Table.from_batches([c._tile_batch(tiles)]), c.Bounds(side=4, dense_share=share))
+        assert cells.tolist() == [3, 5] and counts.tolist() == [750, (1 << 40) + 10]
+
+
+def test_a_large_tile_is_merged_where_its_parts_lie():
+    bounds = c.Bounds()
+    side, r = bounds.side, np.random.default_rng(3)
+    parts = [np.sort(r.choice(side * side, 1 << 20, replace=False)).astype(np.int32) for _ in range(12)]
+    rows = pa.Table.from_batches([c._tile_batch([("en", False, 0, 0, p.tobytes(), np.full(len(p), 2).tobytes()) for p in parts])])
+    found = []
+    assert peak_mb(lambda: found.extend(c._merged(rows, bounds))) < 150
+    expected = np.bincount(np.concatenate(parts)) * 2
+    ((*_, cells, counts),) = found
+    assert (cells == np.flatnonzero(expected)).all() and (counts == expected[cells]).all()
+
+
 def test_scores_past_64_bits(spark):
     a, left, right = 3_000_000_000_000, 3_500_000_000_017, 4_000_000_000_039
     df = spark.createDataFrame([(a, left, right)], "a long, l long, r long")
