@@ -8,9 +8,9 @@ are one vertex.
    deepest node over both, and all vertices under a node of any depth are a run of neighbours with as long a common prefix.
    Sorting is by ranges, so a node with any number of vertices is spread; the neighbours across ranges are linked afterwards.
 2. Matching starts at full depth, and the prefix is shortened until the recall that is estimated on the data reaches the target:
-   of a bounded sample of vertices, the trie neighbours that are alike (by the share of equal MinHash values) tell how alike
-   linked texts are here, and so which share of such pairs meets in some tree at a given depth. Where nothing is alike, pairs at
-   the threshold itself decide. Every vertex is in the index; the sample only sets the depth.
+   of all vertices, the trie neighbours that are alike (by the number of equal MinHash values, counted on the executors) tell how
+   alike linked texts are here, and so which share of such pairs meets in some tree at a given depth. Where nothing is alike,
+   pairs at the threshold itself decide. No sample is taken.
 3. Neighbours that match at this depth are candidates. Connected candidates are compared exactly inside their component, in
    blocks of bounded size when it is large; only each text's links are counted and the classes' spanning edges leave a task,
    never all pairs. Copies aren't compared: they share a vertex.
@@ -42,8 +42,6 @@ FULL_DEPTH = 10
 #: Prefixes that are shorter match by chance too often to be of use.
 LEAST_DEPTH = 5
 TARGET_RECALL = 0.999
-#: Vertices whose trie neighbours set the depth, about, by hash.
-SAMPLE_VERTICES = 2000
 #: Texts of a component that one task compares with as many others.
 BLOCK_TEXTS = 400
 
@@ -53,13 +51,15 @@ def recall_at(depth: int, similarity: np.ndarray, trees: int = TREES) -> np.ndar
     return 1 - (1 - similarity**depth) ** trees
 
 
-def match_depth(similarities: np.ndarray, threshold: float, target: float = TARGET_RECALL) -> int:
-    """Shortens the matched prefix from full depth until pairs as alike as these are found with the target recall.
+def match_depth(similarities: np.ndarray, threshold: float, target: float = TARGET_RECALL, pairs: np.ndarray | None = None) -> int:
+    """Shortens the matched prefix from full depth until pairs as alike as these are found with the target recall; pairs: how many
+    there are of each similarity (one).
 
     A pair was seen as it shared a prefix of LEAST_DEPTH somewhere; it stands for as many as that is rare."""
-    linked = similarities[similarities >= threshold] if len(similarities) else similarities
-    linked = np.minimum(linked, 1.0) if len(linked) else np.array([threshold])
-    weight = 1 / recall_at(LEAST_DEPTH, linked)
+    pairs = np.ones(len(similarities)) if pairs is None else pairs
+    alike = similarities >= threshold
+    linked, pairs = (np.minimum(similarities[alike], 1.0), pairs[alike]) if alike.any() else (np.array([threshold]), np.ones(1))
+    weight = pairs / recall_at(LEAST_DEPTH, linked)
     depth = FULL_DEPTH
     while depth > LEAST_DEPTH and float((recall_at(depth, linked) * weight).sum() / weight.sum()) < target:
         depth -= 1
@@ -165,23 +165,25 @@ def trie_neighbours(vertices: DataFrame) -> DataFrame:
     return found.filter("b IS NOT NULL").select("a", "b", "depth").unionByName(across.filter(F.col("depth") >= LEAST_DEPTH))
 
 
-def sampled_similarities(neighbours: DataFrame, vertices: DataFrame) -> np.ndarray:
-    """Similarities of the sampled vertices to their trie neighbours, estimated by the signatures: at most 2 * TREES of each."""
-    n = vertices.count()
-    share = min(1.0, SAMPLE_VERTICES / max(n, 1))
-    chosen = F.pmod(F.xxhash64("a"), F.lit(1_000_003)) < int(share * 1_000_003) + 1
-    pairs = neighbours.filter(chosen).select("a", "b").distinct()
+def neighbour_similarities(neighbours: DataFrame, vertices: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Similarities of all pairs of trie neighbours, estimated by the signatures, and the number of pairs of each: the driver gets one
+    row for each number of equal values."""
+    pairs = neighbours.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sig = vertices.select("wh", "sig")
     pairs = pairs.join(sig.select(F.col("wh").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("wh").alias("b"), F.col("sig").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(TREES * FULL_DEPTH + 1, dtype=np.int64)
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, TREES * FULL_DEPTH) for c in "xy")
-            equal = (x == y).mean(axis=1)
-            # one value in 256 is equal by chance
-            yield pa.RecordBatch.from_arrays([pa.array((equal - 1 / 256) / (1 - 1 / 256), pa.float64())], names=["s"])
+            counts += np.bincount((x == y).sum(axis=1), minlength=len(counts))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["equal", "n"])
 
-    return pairs.select("x", "y").mapInArrow(run, "s double").toPandas()["s"].to_numpy()
+    found = pairs.select("x", "y").mapInArrow(run, "equal long, n long").groupBy("equal").agg(F.sum("n").alias("n")).toPandas()
+    # one value in 256 is equal by chance
+    equal = found["equal"].to_numpy(dtype=float) / (TREES * FULL_DEPTH)
+    return (equal - 1 / 256) / (1 - 1 / 256), found["n"].to_numpy(dtype=float)
 
 
 def _links_of_block(threshold: float):
@@ -233,7 +235,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     vertices = sig.filter("wh IS NOT NULL").groupBy("wh").agg(F.count(F.lit(1)).alias("copies"), first, F.any_value("sig").alias("sig"))
     vertices = stored(vertices, "vertices")
     neighbours = trie_neighbours(vertices)
-    depth = match_depth(sampled_similarities(neighbours, vertices), threshold)
+    similarities, pairs = neighbour_similarities(neighbours, vertices)
+    depth = match_depth(similarities, threshold, pairs=pairs)
     candidates = neighbours.filter(F.col("depth") >= depth).select("a", "b")
     parts = checkpointed(connected_components(candidates).select(F.col("v").alias("wh"), F.col("root").alias("part")))
 

@@ -95,6 +95,24 @@ def test_trie_neighbours_against_all_pairs(spark):
     assert all(any(label(a, t, d) == label(b, t, d) for t in range(j.TREES)) for a, b, d in found)
 
 
+def test_the_depth_comes_from_all_trie_neighbours(spark):
+    """5000 pairs, well past any sample: each is counted once, whichever of its two texts comes first and in however many trees they meet."""
+    r = np.random.default_rng(6)
+    n, size = 5000, j.TREES * j.FULL_DEPTH
+    sig = r.integers(0, 256, (n, size), dtype=np.uint8)
+    other = sig.copy()
+    other[np.arange(n), r.integers(0, size, n)] += np.uint8(1)
+    other[: n // 10, :48] += np.uint8(2)
+    rows = [(k, x.tobytes()) for k, x in enumerate(np.vstack([sig, other]))]
+    near = [(k, n + k, 10) for k in range(n)] + [(n + k, k, 10) for k in range(0, n, 2)]
+    vertices, neighbours = spark.createDataFrame(rows, "wh long, sig binary"), spark.createDataFrame(near, "a long, b long, depth int")
+    similarities, pairs = j.neighbour_similarities(neighbours, vertices)
+    equal = (sig == other).sum(axis=1)
+    assert dict(zip(np.round((similarities * 255 + 1) / 256 * size).astype(int).tolist(), pairs.tolist(), strict=True)) == dict(zip(*(x.tolist() for x in np.unique(equal, return_counts=True)), strict=True))
+    each = (equal / size - 1 / 256) / (1 - 1 / 256)
+    assert j.match_depth(similarities, 0.8, pairs=pairs) == j.match_depth(each, 0.8)
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs just above the threshold among unlike texts: at least nine in ten are linked."""
     r = random.Random(4)
