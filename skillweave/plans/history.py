@@ -11,7 +11,9 @@ from skillweave.sources import files
 
 plan = Plans()
 n = lambda: F.count(F.lit(1))
-DAYS = lambda a, b: F.floor((F.unix_timestamp(F.col(b).cast("timestamp")) - F.unix_timestamp(F.col(a).cast("timestamp"))) / 86400).cast("long")
+#: Seconds with their fraction: a day that lacks a part of a second is none.
+EPOCH = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6
+DAYS = lambda a, b: F.floor((EPOCH(b) - EPOCH(a)) / 86400).cast("long")
 
 
 @plan("r1_latest_version", "W", sql="SELECT id, url, type FROM W WHERE type <> 'signup' QUALIFY crawled_on = max(crawled_on) OVER (PARTITION BY url)")
