@@ -75,9 +75,19 @@ def tokens(text: Column, keep: str = "", nospace: str = "", brackets: bool = Fal
     return F.array_sort(words) if order else words
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with the value worked out once, however often f reads it."""
+    return F.transform(F.array(value), lambda v: f(v))[0]
+
+
+def filled(text: Column) -> Column:
+    """A text; null when it is empty."""
+    return let(text, lambda x: F.when(x != "", x))
+
+
 def clean(text: Column, **options) -> Column:
     """`tokens` joined by blanks; null when nothing is left."""
-    return F.nullif(F.array_join(tokens(text, **options), " "), F.lit(""))
+    return filled(F.array_join(tokens(text, **options), " "))
 
 
 _V, _C = "[aeiouy]", "[^aeiouy]"
@@ -175,9 +185,7 @@ def stems(words: Column) -> Column:
 def key(kind: str, source: str | Column, lang: str | Column, name: Column) -> Column:
     """type:source:language:name; null when a part is null or empty."""
     parts = [F.lit(kind), *[F.lit(x) if isinstance(x, str) else x for x in (source, lang)], name]
-    full = [F.coalesce(p, F.lit("")) != "" for p in parts]
-    ok = full[0] & full[1] & full[2] & full[3]
-    return F.when(ok, F.concat_ws(":", *parts))
+    return let(F.array(*parts), lambda p: F.when(F.forall(p, lambda x: F.coalesce(x, F.lit("")) != ""), F.array_join(p, ":")))
 
 
 def key_parts(k: Column) -> Column:
@@ -195,16 +203,24 @@ def parsed_title(name: Column, separators: tuple[str, ...] = (" at ", " for "))
     is_prefix = lambda p: F.forall(F.split(p, " "), lambda w: w.isin(*TITLE_PREFIXES))
     state = F.struct(F.array().cast("array<string>").alias("taken"), F.lit(False).alias("done"))
     step = lambda s, p: F.struct(F.when(s["done"], s["taken"]).otherwise(F.array_append(s["taken"], p)).alias("taken"), (s["done"] | ~is_prefix(p)).alias("done"))
-    return F.nullif(F.array_join(F.aggregate(parts, state, step, lambda s: s["taken"]), " "), F.lit(""))
+    return filled(F.array_join(F.aggregate(parts, state, step, lambda s: s["taken"]), " "))
 
 
 def split_title(words: Column) -> Column:
     """struct<prefix, title>: leading prefix words and, reversed, trailing suffix words; and what is between."""
-    lead = F.aggregate(words, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, w: F.struct((s["n"] + (s["on"] & w.isin(*TITLE_PREFIXES)).cast("int")).alias("n"), (s["on"] & w.isin(*TITLE_PREFIXES)).alias("on")), lambda s: s["n"])
-    rest = F.slice(words, lead + 1, F.greatest(F.size(words) - lead, F.lit(0)))
-    tail = F.aggregate(F.reverse(rest), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, w: F.struct((s["n"] + (s["on"] & w.isin(*TITLE_SUFFIXES)).cast("int")).alias("n"), (s["on"] & w.isin(*TITLE_SUFFIXES)).alias("on")), lambda s: s["n"])
-    prefix = F.concat(F.slice(words, F.lit(1), lead), F.slice(F.reverse(rest), F.lit(1), tail))
-    return F.struct(F.nullif(F.array_join(prefix, " "), F.lit("")).alias("prefix"), F.nullif(F.array_join(F.slice(rest, F.lit(1), F.size(rest) - tail), " "), F.lit("")).alias("title"))
+    def leading(words: Column, known: tuple[str, ...]) -> Column:
+        count = lambda s, w: let(s["on"] & w.isin(*known), lambda on: F.struct((s["n"] + on.cast("int")).alias("n"), on.alias("on")))
+        return F.aggregate(words, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), count, lambda s: s["n"])
+
+    def cut(words: Column, lead: Column, back: Column) -> Column:
+        """back: what stands behind the leading words, reversed."""
+        ends = let(leading(back, TITLE_SUFFIXES), lambda tail: F.struct(
+            F.array_join(F.concat(F.slice(words, F.lit(1), lead), F.slice(back, F.lit(1), tail)), " ").alias("prefix"),
+            F.array_join(F.reverse(F.slice(back, tail + 1, F.size(back) - tail)), " ").alias("title")))
+        return let(ends, lambda x: F.struct(*[F.when(x[c] != "", x[c]).alias(c) for c in ("prefix", "title")]))
+
+    behind = lambda w, lead: F.reverse(F.slice(w, lead + 1, F.size(w) - lead))
+    return let(words, lambda w: let(leading(w, TITLE_PREFIXES), lambda lead: let(behind(w, lead), lambda back: cut(w, lead, back))))
 
 
 #: Skill words that a post's title keeps, and words before which it keeps any.
@@ -229,37 +245,43 @@ def job_post_title(name: Column) -> Column:
     """A post's title, word by word: without the head count at either end, pay, contract length and support line.
 
     Each word is judged by itself and the words beside it, lower case and without the signs around it."""
-    words = F.split(squeeze(name), " ")
-    bare = F.transform(words, lambda w: F.regexp_replace(F.lower(w), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-    last = F.size(words) - 1
-    at = lambda i: F.coalesce(F.when(i >= 0, F.get(bare, i)), F.lit(""))
     is_number = lambda w: w.rlike(r"^\d+$")
-
-    def counted(i: Column) -> Column:
-        two = lambda k: (is_number(at(k)) & (at(k + 1) == "x")) | ((at(k) == "x") & is_number(at(k + 1)))
-        alone = ((i == 0) | (i == last)) & at(i).rlike(r"^(x\d+|\d+x)$")
-        return alone | ((i <= 1) & two(F.lit(0))) | ((i >= last - 1) & (last >= 1) & two(last - 1))
-
-    def pay(i: Column) -> Column:
-        thousands = at(i).rlike(r"^([a-z]{3})?\d[\d,.]*(k?[-–]\W?\d[\d,.]*)?k$")
-        large = F.length(F.regexp_replace(at(i), ",", "")).between(5, 6) & at(i).rlike(r"^\d{2,3},?\d{3}$")
-        up_to = lambda k: (at(k) == "up") & (at(k + 1) == "to") & at(k + 2).rlike(r"^\d{2,}")
-        return thousands | large | up_to(i) | up_to(i - 1) | up_to(i - 2)
-
-    def length(i: Column) -> Column:
-        months = lambda k: is_number(at(k)) & (F.length(at(k)) <= 2) & at(k + 1).isin("month", "months")
-        return months(i) | months(i - 1) | (months(i - 2) & (at(i) == "contract"))
-
-    def line(i: Column) -> Column:
-        level = lambda k: at(k).rlike(rf"^{_ORDINAL}([/&-]{_ORDINAL})*$")
-        joint = lambda k: level(k) | at(k).isin("", "and", "to")
-        found, between = (at(i) == "line") & level(i - 1), level(i) | joint(i)
-        for k in range(1, _LINE_REACH + 1):
-            found = found | (between & (at(i + k) == "line") & level(i + k - 1) & (level(i) | level(i - 1)))
-            between = between & joint(i + k)
-        return found
-
-    return F.array_join(F.filter(words, lambda w, i: ~(counted(i) | pay(i) | length(i) | line(i))), " ")
+    level = lambda w: w.rlike(rf"^{_ORDINAL}([/&-]{_ORDINAL})*$")
+    bare = lambda words: F.transform(words, lambda w: F.regexp_replace(F.lower(w), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    marked = lambda words: F.transform(words, lambda w: F.struct(w.alias("w"), is_number(w).alias("number"), level(w).alias("level")))
+
+    def dropped(marks: Column, i: Column) -> Column:
+        last = F.size(marks) - 1
+        at = lambda k: F.coalesce(F.get(marks, k)["w"], F.lit(""))
+        number, ordinal = (lambda k, c=c: F.coalesce(F.get(marks, k)[c], F.lit(False)) for c in ("number", "level"))
+
+        def counted() -> Column:
+            two = lambda k: (number(k) & (at(k + 1) == "x")) | ((at(k) == "x") & number(k + 1))
+            alone = ((i == 0) | (i == last)) & at(i).rlike(r"^(x\d+|\d+x)$")
+            return alone | ((i <= 1) & two(F.lit(0))) | ((i >= last - 1) & (last >= 1) & two(last - 1))
+
+        def pay() -> Column:
+            thousands = at(i).endswith("k") & at(i).rlike(r"^([a-z]{3})?\d[\d,.]*(k?[-–]\W?\d[\d,.]*)?k$")
+            large = at(i).rlike(r"^\d{2,3},?\d{3}$") & F.length(F.regexp_replace(at(i), ",", "")).between(5, 6)
+            up_to = lambda k: (at(k) == "up") & (at(k + 1) == "to") & at(k + 2).rlike(r"^\d{2,}")
+            return thousands | large | up_to(i) | up_to(i - 1) | up_to(i - 2)
+
+        def length() -> Column:
+            months = lambda k: at(k + 1).isin("month", "months") & number(k) & (F.length(at(k)) <= 2)
+            return months(i) | months(i - 1) | (months(i - 2) & (at(i) == "contract"))
+
+        def line() -> Column:
+            joint = lambda k: ordinal(k) | at(k).isin("", "and", "to")
+            found, between = (at(i) == "line") & ordinal(i - 1), joint(i)
+            for k in range(1, _LINE_REACH + 1):
+                found = found | ((at(i + k) == "line") & between & ordinal(i + k - 1) & (ordinal(i) | ordinal(i - 1)))
+                between = between & joint(i + k)
+            return found
+
+        return counted() | pay() | length() | line()
+
+    kept = lambda words: let(marked(bare(words)), lambda marks: F.filter(words, lambda w, i: ~dropped(marks, i)))
+    return F.array_join(let(F.split(squeeze(name), " "), kept), " ")
 
 
 #: Letters of each degree, its name, and words that a degree's key loses.

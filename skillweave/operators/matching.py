@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions.text import clean
+from skillweave.functions.text import let as _let
 from skillweave.session import work_folder
 
 _AMOUNT = r"(\d{1,3}(?:[,.'’]\d{3})+|\d+)(\.\d{1,2})?\s?(k)?"
@@ -104,11 +105,6 @@ def ratio(a: Column, b: Column) -> Column:
     return 100.0 * (1 - F.levenshtein(a, b) / longest)
 
 
-def _let(value: Column, f) -> Column:
-    """f(value) with the value worked out once."""
-    return F.transform(F.array(value), lambda v: f(v))[0]
-
-
 def alike(a: Column, b: Column, least: float) -> Column:
     """Whether `ratio` is above a bound, without working out distances that are beyond it."""
     longest = F.greatest(F.length(a), F.length(b), F.lit(1))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,14 @@ def all_catalogues(sources: dict[str, dict[str, tuple[DataFrame, str]]]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def per_text(df: DataFrame, text: str, made: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """df with columns that hang on one text alone, {name: function of the text}. Each different text is worked out once, dealt
+    over all shuffle partitions however few files there are, and joined back, null to null."""
+    texts = df.select(F.col(text).alias("__text")).distinct().repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    worked = texts.select("__text", *[f(F.col("__text")).alias(name) for name, f in made.items()])
+    return df.join(worked, F.col(text).eqNullSafe(F.col("__text")), "left").drop("__text")
+
+
 def word_index(names: DataFrame, key: str) -> DataFrame:
     """word, key: the distinct words of each key."""
     words = F.array_distinct(F.filter(F.split(F.lower(key), r"[^a-z0-9]+"), lambda w: w != ""))

@@ -140,7 +140,9 @@ SELECT id, 'skill:A:en:' || array_to_string(list_transform(list_filter(string_sp
 def t18(tt):
     """Every type of entity through the one dispatcher."""
     kinds = ("skill", "title", "job_title", "company", "sector", "institute", "degree", "subject")
-    return tt.select("id", *[t.entity_key(k, "A", "en", F.col("title" if k == "title" else "base"), STOP).alias(k) for k in kinds])
+    keys = {k: lambda x, k=k: t.entity_key(k, "A", "en", x, STOP) for k in kinds}
+    with_title = e.per_text(tt.select("id", "base", "title"), "title", {"title_key": keys.pop("title")}).drop("title").withColumnRenamed("title_key", "title")
+    return e.per_text(with_title, "base", keys).select("id", *kinds)
 
 
 @plan("t19_is_company", "supplier", sql="SELECT s_suppkey, s_suppkey % 3 = 0 AS is_company FROM supplier")
