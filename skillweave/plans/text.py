@@ -89,8 +89,8 @@ def t9(tt):
 
 @plan("t10_job_post_keys", "TT", sql=f"SELECT id, 'title:B:en:' || {stemmed('lower(base)')} AS key FROM TT")
 def t10(tt):
-    clean = t.clean(t.job_post_title(F.concat("base", F.lit(" urgently needed bonus"))), stop=[*STOP, "bonus", "benefits", "needed", "urgently"], stem_words=True)
-    return tt.select("id", t.key("title", "B", "en", clean).alias("key"))
+    clean = lambda x: t.clean(t.job_post_title(F.concat(x, F.lit(" urgently needed bonus"))), stop=[*STOP, "bonus", "benefits", "needed", "urgently"], stem_words=True)
+    return e.per_text(tt, "base", {"key": lambda x: t.key("title", "B", "en", clean(x))}).select("id", "key")
 
 
 @plan("t11_sector_keys", "customer", sql="SELECT DISTINCT 'sector:A:en:' || lower(c_mktsegment) AS key FROM customer")
