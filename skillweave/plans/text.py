@@ -73,8 +73,7 @@ def t6(tt):
 
 @plan("t7_title_keys", "TT", sql=f"SELECT id, 'title:A:en:' || {stemmed(BARE)} AS key FROM TT")
 def t7(tt):
-    bare = t.split_title(F.split(t.parsed_title(F.col("title")), " "))["title"]
-    return tt.select("id", t.key("title", "A", "en", t.clean(bare, stop=STOP, stem_words=True)).alias("key"))
+    return e.per_text(tt, "title", {"key": lambda x: t.entity_key("title", "A", "en", x, STOP)}).select("id", "key")
 
 
 @plan("t8_without_skills", "TT", sql="SELECT id, nullif(array_to_string(list_filter(string_split(lower(base) || ' red engineer business', ' '), lambda w, i: w NOT IN ('red', 'tin', 'steel') OR string_split(lower(base) || ' red engineer business', ' ')[i + 1] = 'engineer'), ' '), '') AS title FROM TT")

@@ -51,7 +51,7 @@ def test_each_different_text_is_worked_out_once(spark):
     assert seen.value == 4
 
 
-@pytest.mark.parametrize("name", ["t18_entity_dispatch", "t10_job_post_keys"])
+@pytest.mark.parametrize("name", ["t18_entity_dispatch", "t10_job_post_keys", "t7_title_keys"])
 def test_queries_work_out_different_texts_only(spark, sf_dir, name):
     """The texts pass a distinct before anything is made of them."""
     plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
