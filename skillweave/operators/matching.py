@@ -116,16 +116,73 @@ def sorted_words(text: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(F.lower(text), " "), lambda w: w != "")), " ")
 
 
-def near_pairs(df: DataFrame, block: str, id_col: str, title: str, text: str, title_least: float = 40, text_least: float = 75, length_most: float = 2.0) -> DataFrame:
+#: In a block whose texts share grams this many times as often as it has pairs, all pairs are compared.
+DENSE = 1.0
+#: How many texts of a block meet how many others in one unit of work.
+TILE = 1000
+
+
+def near_pairs(df: DataFrame, block: str, id_col: str, title: str, text: str, title_least: float = 40, text_least: float = 75, length_most: float = 2.0, dense: float = DENSE) -> DataFrame:
     """a, b: pairs of one block with similar titles and texts, compared with their words sorted. Rows with equal words are
-    one node, so copies are not paired with each other. Only pairs that `prefix_pairs` finds are compared."""
+    one node, so copies are not paired with each other. Only pairs that `prefix_pairs` finds are compared, but all pairs of a
+    block whose texts are so alike that this would make more rows than the block has pairs (see `tiled_pairs`)."""
     nodes = df.select(F.col(block).alias("k"), sorted_words(F.col(title)).alias("t"), sorted_words(F.col(text)).alias("x"), F.col(id_col).alias("id"))
-    nodes = nodes.groupBy("k", "t", "x").agg(F.min("id").alias("id"))
-    both = prefix_pairs(nodes, text_least, length_most)
+    nodes = written(nodes.dropna(subset=["k", "t", "x"]).groupBy("k", "t", "x").agg(F.min("id").alias("id")))
+    prefix = written(prefixes(nodes, text_least))
+    shared = prefix.groupBy("k", "gram", "again").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("shared"))
+    blocks = nodes.groupBy("k").agg(F.count(F.lit(1)).alias("size")).join(shared, "k")
+    crowded = written(blocks.filter(F.col("shared") > F.lit(dense) * F.col("size") * (F.col("size") - 1)).select("k", "size"))
+
+    both = met_pairs(prefix.join(crowded, "k", "left_anti"), text_least, length_most)
     for side in ("a", "b"):
         both = both.join(nodes.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("t", "x")]), side)
     kept = both.filter(alike(F.col("a_t"), F.col("b_t"), title_least)).filter(alike(F.col("a_x"), F.col("b_x"), text_least))
-    return kept.select("a", "b")
+    least = {"x": text_least} if title == text and title_least <= text_least else {"x": text_least, "t": title_least}
+    return kept.select("a", "b").unionByName(tiled_pairs(nodes.join(crowded, "k"), least, length_most))
+
+
+def tiled_pairs(nodes: DataFrame, least: dict[str, float], length_most: float = 2.0, tile: int = TILE) -> DataFrame:
+    """a, b: all pairs of nodes (id, k, size of k, texts) of one k whose texts have a `ratio` above their bound in `least`; the
+    first text's lengths are within `length_most`.
+
+    The nodes of a block are dealt to parts of about `tile`, and each two parts (or a part and itself) are one unit, which
+    holds one part and streams the other. Pairs that are not alike are never rows, and the units of a large block
+    are spread over all shuffle partitions. What all texts of a block begin with changes no distance, so it is cut off first."""
+    ends = nodes.groupBy("k").agg(*[f(c).alias(f"{name}_{c}") for c in least for name, f in (("low", F.min), ("high", F.max))])
+    begins = ends.select("k", *[common_beginning(F.col(f"low_{c}"), F.col(f"high_{c}")).alias(f"begin_{c}") for c in least])
+    nodes = nodes.join(begins, "k")
+    parts = F.ceil(F.col("size") / tile).cast("int")
+    dealt = nodes.withColumns({"parts": parts, "part": F.pmod(F.xxhash64("id"), parts).cast("int")})
+    count = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def side(name: str, i: Column, j: Column) -> DataFrame:
+        texts = [x for c in least for x in (F.substr(c, F.col(f"begin_{c}") + 1).alias(f"{name}_{c}"), F.length(c).alias(f"{name}_n{c}"))]
+        other = F.explode(F.sequence("part", F.col("parts") - 1) if name == "a" else F.sequence(F.lit(0), "part")).alias("other")
+        units = dealt.select("k", F.col("id").alias(name), *texts, "part", other)
+        return units.withColumns({"i": i, "j": j}).drop("part", "other").repartition(count, "k", "i", "j")
+
+    a, b = side("a", F.col("part"), F.col("other")), side("b", F.col("other"), F.col("part"))
+    first = next(iter(least))
+    longest, shortest = F.greatest(f"a_n{first}", f"b_n{first}"), F.least(f"a_n{first}", f"b_n{first}")
+    met = a.join(b, ["k", "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))).filter(longest <= length_most * shortest)
+    for c, bound in least.items():
+        edits = most_edits(F.greatest(f"a_n{c}", f"b_n{c}", F.lit(1)), bound)
+        met = met.filter(F.call_function("levenshtein", F.col(f"a_{c}"), F.col(f"b_{c}"), edits) >= 0)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def common_beginning(a: Column, b: Column) -> Column:
+    """The number of characters with which both texts begin; of the least and the greatest text it is that of all between."""
+    characters = lambda x: F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0))
+    other = F.array_position(F.zip_with(characters(a), characters(b), lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    return F.when(other > 0, other - 1).otherwise(F.length(a)).cast("int")
+
+
+def most_edits(longest: Column, least: float) -> Column:
+    """The most edits with which texts of which the longer one has so many characters have a `ratio` above a bound."""
+    edits = F.ceil(longest * (1 - least / 100)).cast("int")
+    above = lambda d: 100.0 * (1 - d / longest) > least
+    return F.when(above(edits), edits).when(above(edits - 1), edits - 1).otherwise(edits - 2)
 
 
 def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0, more: int = 4) -> DataFrame:
@@ -137,6 +194,11 @@ def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0, more:
     only the first q d + 1 + `more` of each text are joined. What two texts share there, with what is left behind the last
     shared gram in either, and behind the end of either's part, has to reach the bound. The longer of two texts may allow more
     edits than the shorter one's own length does; q more grams of each make up for that."""
+    return met_pairs(prefixes(nodes, least, more), least, length_most)
+
+
+def prefixes(nodes: DataFrame, least: float, more: int = 4) -> DataFrame:
+    """The grams of each text (k, gram, again, id, place) by which `prefix_pairs` looks for others, n, d and size of the text."""
     q = 2 if least > 50 else 1
     padded = F.concat(F.lit("\u0001"), "x", F.lit("\u0002"))
     n = F.length("x")
@@ -146,8 +208,12 @@ def prefix_pairs(nodes: DataFrame, least: float, length_most: float = 2.0, more:
     each = each.withColumn("again", F.row_number().over(W.partitionBy("id", "gram").orderBy("pos")))
     often = each.groupBy("k", "gram", "again").agg(F.count(F.lit(1)).alias("often"))
     placed = each.join(often, ["k", "gram", "again"]).withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("often", "gram", "again")))
-    prefix = placed.withColumn("size", F.least(F.col("n") + 1, F.col("d") * q + q + 1 + more)).filter("place <= size").select("k", "gram", "again", "id", "n", "d", "place", "size")
+    return placed.withColumn("size", F.least(F.col("n") + 1, F.col("d") * q + q + 1 + more)).filter("place <= size").select("k", "gram", "again", "id", "n", "d", "place", "size")
+
 
+def met_pairs(prefix: DataFrame, least: float, length_most: float = 2.0) -> DataFrame:
+    """a, b: the pairs of `prefix_pairs`, from its `prefixes`."""
+    q = 2 if least > 50 else 1
     a, b = (prefix.select("k", "gram", "again", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "n", "d", "place", "size")]) for side in "ab")
     longest, shortest = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
     lengths = (longest <= length_most * shortest) & (shortest >= F.lit(least / 100) * longest)
